@@ -50,3 +50,126 @@ def q_market_silver(spark, sf_dir):
     """Flagship: ticks -> hourly OHLCV bars -> all indicators per ticker."""
     silver = I.with_indicators(bars_1h(spark, sf_dir), ["ticker"], ["datetime"])
     return as_double(silver)
+
+
+# --- single indicators over hourly bars ---------------------------------------
+
+def _bars_sql_base(extra_select: str, extra_ctes: str = "") -> str:
+    return (O.with_(O.TICKS, O.BARS_1H, "s0 as (select *, lag(close) over (partition by ticker order by datetime) as prev from bars_1h)" + extra_ctes)
+            + extra_select)
+
+
+def _ind(fn_cols, spark, sf_dir, add):
+    df = add(bars_1h(spark, sf_dir), ["ticker"], ["datetime"])
+    return df.select("ticker", "datetime", *fn_cols)
+
+
+@register("pct_change", _bars_sql_base(
+    "select ticker, datetime, ((close - prev)::double / nullif(prev::double, 0)) * 100 as PrctChange from s0"))
+def q_pct_change(spark, sf_dir):
+    return _ind(["PrctChange"], spark, sf_dir, I.add_pct_change)
+
+
+@register("direction", _bars_sql_base(
+    "select ticker, datetime, case when close > prev then 'Up' when close < prev then 'Down' "
+    "else 'No Change' end as Direction from s0"))
+def q_direction(spark, sf_dir):
+    return _ind(["Direction"], spark, sf_dir, I.add_pct_change)
+
+
+_W = ["ticker"], ["datetime"]
+
+
+@register("sma", O.with_(O.TICKS, O.BARS_1H) + "select ticker, datetime, "
+          + ", ".join(f"{O.mean_sql('close', *_W, n)} as SMA{n}" for n in I.SMA_PERIODS)
+          + " from bars_1h")
+def q_sma(spark, sf_dir):
+    return _ind([f"SMA{n}" for n in I.SMA_PERIODS], spark, sf_dir, I.add_sma)
+
+
+_GAIN = ", s1 as (select *, close - prev as change, case when close - prev > 0 then close - prev else 0 end as gain, case when close - prev < 0 then prev - close else 0 end as loss from s0)"
+
+
+@register("gain_loss", _bars_sql_base(
+    "select ticker, datetime, change::double as change, gain::double as gain, loss::double as loss from s1", _GAIN))
+def q_gain_loss(spark, sf_dir):
+    df = I.add_gain_loss(bars_1h(spark, sf_dir), ["ticker"], ["datetime"])
+    return as_double(df.select("ticker", "datetime", "change", "gain", "loss"), ["change", "gain", "loss"])
+
+
+@register("rsi", _bars_sql_base(
+    f"select ticker, datetime, 100 - 100 / (1 + ({O.mean_sql('gain', *_W, 14)}) / nullif({O.mean_sql('loss', *_W, 14)}, 0)) as RSI from s1",
+    _GAIN))
+def q_rsi(spark, sf_dir):
+    return _ind(["RSI"], spark, sf_dir, I.add_rsi)
+
+
+_TR = ", s1 as (select *, greatest(high - low, abs(high - prev), abs(low - prev)) as tr from s0)"
+
+
+@register("true_range", _bars_sql_base(
+    "select ticker, datetime, prev::double as prev_close, tr::double as TR from s1", _TR))
+def q_true_range(spark, sf_dir):
+    df = I.add_true_range(bars_1h(spark, sf_dir), ["ticker"], ["datetime"])
+    return as_double(df.select("ticker", "datetime", "prev_close", "TR"), ["prev_close", "TR"])
+
+
+@register("atr", _bars_sql_base(
+    f"select ticker, datetime, {O.mean_sql('tr', *_W, 14)} as ATR from s1", _TR))
+def q_atr(spark, sf_dir):
+    return _ind(["ATR"], spark, sf_dir, I.add_atr)
+
+
+@register("macd", O.with_(O.TICKS, O.BARS_1H) + "select ticker, datetime, "
+          + f"{O.mean_sql('close', *_W, 12)} - {O.mean_sql('close', *_W, 26)} as MACD from bars_1h")
+def q_macd(spark, sf_dir):
+    return _ind(["MACD"], spark, sf_dir, I.add_macd)
+
+
+# --- the silver job at other shapes -------------------------------------------
+
+_WIDE_ORDER = list(X.WIDE_ORDER)
+_WIDE_KEEP = ["ticker", "datetime", "l_orderkey", "l_linenumber", "l_partkey",
+              "price::double as price", "volume"]
+
+
+def _wide_silver_sql():
+    src = ("wide_bars as (select ticker, datetime, l_orderkey, l_linenumber, l_partkey, price, volume, "
+           "price as open, price as high, price as low, price as close from ticks_wide)")
+    base, final = O.silver_sql("wide_bars", ["ticker"], _WIDE_ORDER, _WIDE_KEEP)
+    return O.with_(O.TICKS_WIDE, src, base) + final
+
+
+def wide_ticks_as_bars(spark, sf_dir):
+    t = X.ticks_wide(spark, sf_dir)
+    return t.withColumns({"open": F.col("price"), "high": F.col("price"),
+                          "low": F.col("price"), "close": F.col("price")})
+
+
+def _wide_out(df):
+    return df.drop("open", "high", "low", "close").withColumn("price", F.col("price").cast("double"))
+
+
+@register("market_silver_wide", _wide_silver_sql())
+def q_market_silver_wide(spark, sf_dir):
+    """Indicators over many tickers (each supplier's line items as ticks)."""
+    df = I.with_indicators(wide_ticks_as_bars(spark, sf_dir), ["ticker"], _WIDE_ORDER)
+    return _wide_out(df)
+
+
+def _long_silver_sql():
+    src = ("one as (select 'ALL' as ticker, datetime, tie_key, price, volume, price as open, "
+           "price as high, price as low, price as close from ticks)")
+    base, final = O.silver_sql("one", [], ["datetime", "tie_key"],
+                               ["ticker", "datetime", "tie_key", "price::double as price", "volume"])
+    return O.with_(O.TICKS, src, base) + final
+
+
+@register("market_silver_long", _long_silver_sql())
+def q_market_silver_long(spark, sf_dir):
+    """One long series (every event as one ticker): halo-chunked windows."""
+    t = X.ticks(spark, sf_dir).withColumn("ticker", F.lit("ALL"))
+    t = t.withColumns({"open": F.col("price"), "high": F.col("price"),
+                       "low": F.col("price"), "close": F.col("price")})
+    df = I.with_indicators(t, [], ["datetime", "tie_key"], strategy="chunked")
+    return _wide_out(df)
