@@ -40,14 +40,17 @@ def normalise_ohlcv(df: DataFrame, metadata: dict | None = None) -> DataFrame:
     """Vendor OHLCV frame -> bronze bar: ``datetime`` text, prices rounded to
     2 decimals, integer volume, vendor-only columns dropped, metadata added."""
     ts = find_datetime_column(df)
-    exprs = {"datetime": F.date_format(F.col(ts), BAR_TIME_FORMAT)}
-    for src, dst in VENDOR_RENAMES.items():
-        if src in df.columns:
-            if dst == "volume":
-                exprs[dst] = F.col(src).cast("long")
-            else:
-                exprs[dst] = round_half_up(F.col(src), 2)
-    out = df.withColumns(exprs).drop(ts, *VENDOR_DROPPED, *VENDOR_RENAMES.keys())
+    cols = []
+    for name in df.columns:
+        if name == ts:
+            cols.append(F.date_format(F.col(ts), BAR_TIME_FORMAT).alias("datetime"))
+        elif name in VENDOR_RENAMES:
+            dst = VENDOR_RENAMES[name]
+            c = F.col(f"`{name}`")
+            cols.append((c.cast("long") if dst == "volume" else round_half_up(c, 2)).alias(dst))
+        elif name not in VENDOR_DROPPED:
+            cols.append(F.col(f"`{name}`"))
+    out = df.select(*cols)
     if metadata:
         out = with_metadata(out, metadata)
     return out
