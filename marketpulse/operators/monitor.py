@@ -20,7 +20,8 @@ FRESH_MINUTES = 10
 TOP_COMMUNITIES = 5
 
 
-def _minutes_before(as_of: Column, m: int) -> Column:
+def _minutes_before(as_of, m: int) -> Column:
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     return as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(m))
 
 
@@ -36,9 +37,9 @@ def totals(streams: dict[str, DataFrame]) -> DataFrame:
 def recent_activity(df: DataFrame, ts: str, name: str,
                     minutes: Sequence[int] = RECENT_MINUTES) -> DataFrame:
     """Rows in the last m minutes before the latest row, for each m, in one
-    pass (``as_of`` = the latest time, fetched as one scalar first)."""
-    as_of = df.agg(F.max(ts)).first()[0]
-    aggs = [F.count_if(F.col(ts) >= _minutes_before(F.lit(as_of), m)).alias(f"last_{m}_min")
+    pass (``as_of`` = the latest time, a scalar subquery in the same plan)."""
+    as_of = df.select(F.max(ts)).scalar()
+    aggs = [F.count_if(F.col(ts) >= _minutes_before(as_of, m)).alias(f"last_{m}_min")
             for m in minutes]
     return df.agg(*aggs).withColumn("stream", F.lit(name)).select(
         "stream", *[f"last_{m}_min" for m in minutes])
@@ -48,7 +49,7 @@ def price_move(ticks: DataFrame, as_of, minutes: int = 60, key: str = "ticker",
                ts: str = "datetime", price: str = "price", tie: str = "tie_key") -> DataFrame:
     """Per ticker over the last ``minutes``: first, last, change, change %,
     high and low; only tickers with more than one row."""
-    recent = ticks.filter(F.col(ts) >= _minutes_before(F.lit(as_of), minutes))
+    recent = ticks.filter(F.col(ts) >= _minutes_before(as_of, minutes))
     order = F.struct(F.col(ts), F.col(tie))
     p = F.col(price)
     agg = recent.groupBy(key).agg(
@@ -70,7 +71,7 @@ def price_move(ticks: DataFrame, as_of, minutes: int = 60, key: str = "ticker",
 def top_communities(posts: DataFrame, as_of, ts: str = "datetime", minutes: int = 60,
                     k: int = TOP_COMMUNITIES) -> DataFrame:
     """Top k communities by posts in the last ``minutes`` (name breaks ties)."""
-    recent = posts.filter(F.col(ts) >= _minutes_before(F.lit(as_of), minutes))
+    recent = posts.filter(F.col(ts) >= _minutes_before(as_of, minutes))
     return (recent.groupBy("subreddit").agg(F.count(F.lit(1)).alias("n_posts"))
             .orderBy(F.col("n_posts").desc(), F.col("subreddit")).limit(k))
 
@@ -78,7 +79,8 @@ def top_communities(posts: DataFrame, as_of, ts: str = "datetime", minutes: int
 def freshness(latest: DataFrame, as_of, limit_minutes: int = FRESH_MINUTES) -> DataFrame:
     """``latest`` has (stream, latest ts or null). Total elapsed minutes (days
     included); OK under the limit, STALE otherwise, NO DATA when empty."""
-    age = (F.unix_micros(F.lit(as_of).cast("timestamp"))
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    age = (F.unix_micros(as_of.cast("timestamp"))
            - F.unix_micros(F.col("latest").cast("timestamp"))).cast("double") / F.lit(60e6)
     status = (F.when(F.col("latest").isNull(), F.lit("NO DATA"))
               .when(age < limit_minutes, F.lit("OK")).otherwise(F.lit("STALE")))

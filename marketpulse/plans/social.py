@@ -1,3 +1,360 @@
-"""social queries."""
+"""Social queries: filters, enrichment, features, sentiment, post silver and
+the social half of the star schema."""
 
 from __future__ import annotations
+
+import calendar
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketpulse.operators import sentiment as S
+from marketpulse.operators import social as P
+from marketpulse.operators import star as T
+from marketpulse.plans import oracle as O
+from marketpulse.plans.catalog import register
+from marketpulse.sources import fixtures as X
+from marketpulse.sources.sinks import new_rows
+
+# Query parameters (our own community names and keywords).
+ALLOWLIST = [f"src{i}" for i in range(16)]
+LISTED = ALLOWLIST + ["src99"]
+TOPIC_COMMUNITIES = ["src0", "src1", "src2", "src3"]
+KEYWORDS = ["ist", "que"]
+RANGE_START, RANGE_END = "1995-01-01 00:00:00", "1996-12-31 23:59:59"
+
+
+def _epoch(text: str) -> int:
+    return calendar.timegm(datetime.strptime(text, "%Y-%m-%d %H:%M:%S").timetuple())
+
+
+def _r(x: str, scale: int = 6) -> str:
+    """SQL rounding matching Spark's round(double): half-up on the shortest text."""
+    return f"round(({x})::varchar::decimal(38,20), {scale})::double"
+
+
+def _ntz(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def round6(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
+
+
+# --- SQL building blocks ------------------------------------------------------------
+
+_LEX = "lex(word, v) as (values " + ", ".join(f"('{w}', {v})" for w, v in S.LEXICON_TENTHS.items()) + ")"
+
+ENRICHED = """enriched as (
+  select p.*, a.author_total_karma, a.author_comment_karma, a.author_link_karma, a.author_created_utc,
+         a.author_verified, a.author_is_gold,
+         case when a.author is not null then false end as author_has_verified_email,
+         case when a.author is not null then false end as author_is_mod,
+         floor(((select max(created_utc) from posts) - nullif(a.author_created_utc, 0)) / 86400)::bigint
+           as author_account_age_days
+  from posts p left join authors a on p.author = a.author)"""
+
+SENT = _LEX + """,
+toks as (select id, unnest(regexp_extract_all(lower(coalesce(selftext, '')), '(\\p{L}+)', 1)) as t from posts),
+sent as (select toks.id, sum(lex.v) as s, count(lex.v) as n from toks join lex on toks.t = lex.word group by toks.id)"""
+
+
+def _lg(x: str) -> str:
+    return f"case when {x} > -1 then ln(1 + {x}) end"
+
+
+SCORED = """scored as (
+  select e.*, coalesce(sent.s, 0) as s, coalesce(sent.n, 0) as n,
+    case when coalesce(sent.s, 0) = 0 then 0.0::double
+         else (sent.s::double / 10.0::double) / sqrt((sent.s::double / 10.0::double) * (sent.s::double / 10.0::double) + 15.0::double) end as VaderScore,
+    coalesce((sent.s::double / nullif(sent.n, 0)::double) / 40.0::double, 0.0::double) as TextblobScore,
+    """ + f"""{_lg('score')} as log_post_score, {_lg('num_comments')} as log_num_comments,
+    {_lg('author_total_karma')} as log_author_karma, {_lg('author_comment_karma')} as log_author_comment_karma
+  from enriched e left join sent on sent.id = e.id),
+silver as (
+  select *, log_post_score + log_num_comments + log_author_karma + log_author_comment_karma + upvote_ratio as SocialIndex
+  from scored)"""
+
+SOCIAL = O.with_(O.POSTS, O.AUTHORS, ENRICHED, SENT, SCORED)
+
+SILVER_SELECT = f"""select id, title, subreddit, author, author_fullname, score, num_comments, upvote_ratio, stickied,
+  author_total_karma, author_comment_karma, author_link_karma, author_verified, author_is_gold,
+  author_has_verified_email, author_is_mod, author_account_age_days, VaderScore, TextblobScore,
+  {_r('SocialIndex')} as SocialIndex, {_r('SocialIndex * VaderScore')} as VaderFullScore,
+  {_r('SocialIndex * TextblobScore')} as TextblobFullScore,
+  try_strptime(created_datetime, '%Y-%m-%dT%H:%M:%S') as datetime,
+  timezone('Africa/Casablanca', to_timestamp(author_created_utc)) as author_created_datetime
+from silver"""
+
+
+# --- Spark side -----------------------------------------------------------------------
+
+def enriched_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = X.posts(spark, sf_dir)
+    e = P.enrich(posts, X.authors(spark, sf_dir))
+    as_of = posts.select(F.max("created_utc")).scalar()
+    return e.withColumn("author_account_age_days",
+                        F.floor((as_of - F.nullif(F.col("author_created_utc"), F.lit(0))) / F.lit(86400)))
+
+
+def posts_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.score_posts(enriched_posts(spark, sf_dir))
+
+
+def silver_out(df: DataFrame) -> DataFrame:
+    df = round6(df, ["SocialIndex", "VaderFullScore", "TextblobFullScore"])
+    return _ntz(df, [c for c in ["datetime", "author_created_datetime"] if c in df.columns])
+
+
+# --- filters ------------------------------------------------------------------------------
+
+@register("posts_valid", O.with_(O.POSTS)
+          + "select id, subreddit, created_utc from posts where not coalesce(stickied, false) "
+          "and created_utc is not null and created_utc <> 0")
+def q_posts_valid(spark, sf_dir):
+    return P.valid_posts(X.posts(spark, sf_dir)).select("id", "subreddit", "created_utc")
+
+
+@register("posts_in_range", O.with_(O.POSTS)
+          + f"select id, created_utc from posts where created_utc between {_epoch(RANGE_START)} and {_epoch(RANGE_END)}")
+def q_posts_in_range(spark, sf_dir):
+    """Posts created in an inclusive time range."""
+    p = X.posts(spark, sf_dir).withColumn("_ts", P.created_ts())
+    start = F.lit(RANGE_START).cast("timestamp")
+    end = F.lit(RANGE_END).cast("timestamp")
+    return p.filter(F.col("_ts").between(start, end)).select("id", "created_utc")
+
+
+@register("real_authors", O.with_(O.POSTS)
+          + "select id, author from posts where author is not null and author <> '' "
+          "and author not in ('[deleted]', '[removed]', 'AutoModerator')")
+def q_real_authors(spark, sf_dir):
+    return P.real_authors(X.posts(spark, sf_dir)).select("id", "author")
+
+
+@register("posts_allowlist", O.with_(O.POSTS)
+          + "select id, subreddit from posts where subreddit in ("
+          + ", ".join(f"'{s}'" for s in ALLOWLIST) + ")")
+def q_posts_allowlist(spark, sf_dir):
+    return P.allowlisted(X.posts(spark, sf_dir), ALLOWLIST).select("id", "subreddit")
+
+
+@register("posts_topic_filter", O.with_(O.POSTS)
+          + "select id, subreddit, created_utc from posts where subreddit in ("
+          + ", ".join(f"'{s}'" for s in TOPIC_COMMUNITIES) + ") or list_has_any(regexp_extract_all("
+          "lower(coalesce(title, '') || ' ' || coalesce(selftext, '')), '(\\p{L}+)', 1), ["
+          + ", ".join(f"'{k}'" for k in KEYWORDS) + "]) qualify row_number() over "
+          "(partition by subreddit order by created_utc desc, id) <= 20")
+def q_posts_topic_filter(spark, sf_dir):
+    """Topic communities in full, keyword posts elsewhere, newest 20 each."""
+    t = P.topic_posts(X.posts(spark, sf_dir), TOPIC_COMMUNITIES, KEYWORDS, 20)
+    return t.select("id", "subreddit", "created_utc")
+
+
+@register("posts_newest", O.with_(O.POSTS) + "select id, created_utc from posts")
+def q_posts_newest(spark, sf_dir):
+    """All posts, newest first (missing creation time sorts as 0)."""
+    return (X.posts(spark, sf_dir).select("id", "created_utc")
+            .orderBy(F.coalesce(F.col("created_utc"), F.lit(0)).desc(), "id"))
+
+
+# --- enrichment and features --------------------------------------------------------------
+
+@register("posts_enriched", O.with_(O.POSTS, O.AUTHORS, ENRICHED) + "select * exclude (author_account_age_days) from enriched")
+def q_posts_enriched(spark, sf_dir):
+    """Posts with author profile fields (left join; unknown authors unchanged)."""
+    return P.enrich(X.posts(spark, sf_dir), X.authors(spark, sf_dir))
+
+
+@register("author_defaults", O.with_(O.POSTS, O.AUTHORS, ENRICHED)
+          + "select id, author_total_karma, author_has_verified_email, author_is_mod from enriched")
+def q_author_defaults(spark, sf_dir):
+    e = P.enrich(X.posts(spark, sf_dir), X.authors(spark, sf_dir))
+    return e.select("id", "author_total_karma", "author_has_verified_email", "author_is_mod")
+
+
+@register("account_age", O.with_(O.POSTS, O.AUTHORS, ENRICHED)
+          + "select id, author, author_account_age_days from enriched")
+def q_account_age(spark, sf_dir):
+    """Account age in whole days as of the newest post; null for unknown time."""
+    return enriched_posts(spark, sf_dir).select("id", "author", "author_account_age_days")
+
+
+@register("author_created", O.with_(O.POSTS, O.AUTHORS, ENRICHED)
+          + "select id, make_timestamp(author_created_utc * 1000000) as author_created_ts, "
+          "timezone('Africa/Casablanca', to_timestamp(author_created_utc)) as author_created_datetime from enriched")
+def q_author_created(spark, sf_dir):
+    e = P.author_created(P.enrich(X.posts(spark, sf_dir), X.authors(spark, sf_dir)))
+    return _ntz(e.select("id", "author_created_ts", "author_created_datetime"),
+                ["author_created_ts", "author_created_datetime"])
+
+
+@register("parse_created", O.with_(O.POSTS)
+          + "select id, try_strptime(created_datetime, '%Y-%m-%dT%H:%M:%S') as datetime from posts")
+def q_parse_created(spark, sf_dir):
+    return _ntz(P.parse_created(X.posts(spark, sf_dir)).select("id", "datetime"), ["datetime"])
+
+
+_LOGS = ["log_post_score", "log_num_comments", "log_author_karma", "log_author_comment_karma"]
+
+
+@register("log_features", SOCIAL + "select id, " + ", ".join(f"{_r(c)} as {c}" for c in _LOGS) + " from silver")
+def q_log_features(spark, sf_dir):
+    return round6(P.log_features(enriched_posts(spark, sf_dir)).select("id", *_LOGS), _LOGS)
+
+
+@register("social_index", SOCIAL + f"select id, {_r('SocialIndex')} as SocialIndex from silver")
+def q_social_index(spark, sf_dir):
+    df = P.social_index(P.log_features(enriched_posts(spark, sf_dir)))
+    return round6(df.select("id", "SocialIndex"), ["SocialIndex"])
+
+
+@register("full_scores", SOCIAL + f"select id, {_r('SocialIndex * VaderScore')} as VaderFullScore, "
+          f"{_r('SocialIndex * TextblobScore')} as TextblobFullScore from silver")
+def q_full_scores(spark, sf_dir):
+    df = P.full_scores(P.social_index(P.log_features(S.add_scores(enriched_posts(spark, sf_dir)))))
+    return round6(df.select("id", "VaderFullScore", "TextblobFullScore"),
+                  ["VaderFullScore", "TextblobFullScore"])
+
+
+@register("sentiment_compound", SOCIAL + "select id, VaderScore from silver")
+def q_sentiment_compound(spark, sf_dir):
+    """Lexicon compound score over each post's whole text."""
+    return S.add_scores(X.posts(spark, sf_dir)).select("id", "VaderScore")
+
+
+@register("sentiment_polarity", SOCIAL + "select id, TextblobScore from silver")
+def q_sentiment_polarity(spark, sf_dir):
+    """Mean matched valence over each post's whole text."""
+    return S.add_scores(X.posts(spark, sf_dir)).select("id", "TextblobScore")
+
+
+@register("posts_silver", SOCIAL + SILVER_SELECT)
+def q_posts_silver(spark, sf_dir):
+    """The post silver table: enrichment, sentiment, engagement, event time."""
+    return silver_out(posts_silver(spark, sf_dir))
+
+
+# --- star, social half --------------------------------------------------------------------
+
+_SILVER_CTE = SOCIAL.rstrip() + ",\nsv as (" + SILVER_SELECT + ")\n"
+_FACT_COLS = ["id", "title", "subreddit", "author_fullname", "score", "num_comments", "upvote_ratio",
+              "stickied", "VaderScore", "TextblobScore", "SocialIndex", "VaderFullScore",
+              "TextblobFullScore", "datetime"]
+
+
+@register("sentiment_fact", _SILVER_CTE + "select " + ", ".join(_FACT_COLS) + " from sv")
+def q_sentiment_fact(spark, sf_dir):
+    return P.sentiment_fact(silver_out(posts_silver(spark, sf_dir)))
+
+
+@register("sentiment_fact_stream_shape", _SILVER_CTE + "select " + ", ".join(T.SENTIMENT_FACT_STREAM_COLUMNS) + " from sv")
+def q_sentiment_fact_stream_shape(spark, sf_dir):
+    return T.sentiment_fact_stream_shape(silver_out(posts_silver(spark, sf_dir)))
+
+
+_ADIM = ["author", "author_account_age_days", "author_comment_karma", "author_created_datetime",
+         "author_fullname", "author_has_verified_email", "author_is_gold", "author_is_mod",
+         "author_link_karma", "author_total_karma", "author_verified"]
+
+
+@register("author_dim", _SILVER_CTE + "select distinct " + ", ".join(_ADIM) + " from sv")
+def q_author_dim(spark, sf_dir):
+    return T.author_dim(silver_out(posts_silver(spark, sf_dir)))
+
+
+@register("author_dim_latest", _SILVER_CTE + "select author, " + ", ".join(
+    f"arg_max({c}, (datetime, id)) as {c}" for c in _ADIM if c != "author")
+    + " from sv where author is not null group by author")
+def q_author_dim_latest(spark, sf_dir):
+    return T.author_dim_latest(silver_out(posts_silver(spark, sf_dir)))
+
+
+@register("platform_dim", O.with_(O.POSTS) + "select distinct subreddit, 'Reddit' as Platform from posts")
+def q_platform_dim(spark, sf_dir):
+    return T.platform_dim(X.posts(spark, sf_dir))
+
+
+@register("star_sentiment_by_author", _SILVER_CTE
+          + ", ad as (select author_fullname, arg_max(author_verified, (datetime, id)) as author_verified, "
+          "arg_max(author_is_gold, (datetime, id)) as author_is_gold from sv where author is not null group by author, author_fullname) "
+          "select author_verified, author_is_gold, count(*) as n_posts, " + _r("avg(VaderScore)")
+          + " as avg_vader, " + _r("avg(TextblobScore)") + " as avg_textblob, sum(score) as total_score "
+          "from (select sv.VaderScore, sv.TextblobScore, sv.score, ad.author_verified, ad.author_is_gold "
+          "from sv join ad using (author_fullname)) group by all")
+def q_star_sentiment_by_author(spark, sf_dir):
+    """Sentiment fact joined to the author dimension, by author flags."""
+    silver = silver_out(posts_silver(spark, sf_dir))
+    return T.sentiment_by_author(P.sentiment_fact(silver), T.author_dim_latest(silver))
+
+
+# --- counts -------------------------------------------------------------------------------------
+
+@register("distinct_authors", O.with_(O.POSTS)
+          + "select distinct author from posts where author is not null and author <> '' "
+          "and author not in ('[deleted]', '[removed]', 'AutoModerator')")
+def q_distinct_authors(spark, sf_dir):
+    return P.real_authors(X.posts(spark, sf_dir)).select("author").distinct()
+
+
+@register("enrichment_coverage", O.with_(O.POSTS, O.AUTHORS)
+          + ", da as (select distinct author from posts where author is not null and author <> '' "
+          "and author not in ('[deleted]', '[removed]', 'AutoModerator')) "
+          "select count(*) filter (where a.author is not null) as fetched, "
+          "count(*) filter (where a.author is null) as failed from da left join authors a using (author)")
+def q_enrichment_coverage(spark, sf_dir):
+    """Distinct real authors with and without a profile."""
+    da = P.real_authors(X.posts(spark, sf_dir)).select("author").distinct()
+    a = X.authors(spark, sf_dir).select("author", F.lit(True).alias("_m"))
+    j = da.join(a, "author", "left")
+    return j.agg(F.count_if(F.col("_m").isNotNull()).alias("fetched"),
+                 F.count_if(F.col("_m").isNull()).alias("failed"))
+
+
+@register("scrape_summary", O.with_(O.POSTS)
+          + ", listed(subreddit) as (values " + ", ".join(f"('{s}')" for s in LISTED) + ") "
+          "select l.subreddit, coalesce(c.n, 0) as n_posts from listed l left join "
+          "(select subreddit, count(*) as n from posts group by subreddit) c using (subreddit) "
+          "union all select 'ALL', count(*) from posts")
+def q_scrape_summary(spark, sf_dir):
+    """Posts per listed community (zero included) plus the total."""
+    posts = X.posts(spark, sf_dir)
+    counts = posts.groupBy("subreddit").agg(F.count(F.lit(1)).alias("n"))
+    listed = spark.createDataFrame([(s,) for s in LISTED], "subreddit string")
+    per = (F.broadcast(listed).join(counts, "subreddit", "left")
+           .select("subreddit", F.coalesce(F.col("n"), F.lit(0)).alias("n_posts")))
+    total = posts.agg(F.count(F.lit(1)).alias("n_posts")).select(F.lit("ALL").alias("subreddit"), "n_posts")
+    return per.unionByName(total)
+
+
+@register("community_span", O.with_(O.POSTS)
+          + "select subreddit, make_timestamp(min(created_utc) * 1000000) as oldest, "
+          "make_timestamp(max(created_utc) * 1000000) as newest, count(*) as n_posts from posts "
+          "where not coalesce(stickied, false) and created_utc is not null and created_utc <> 0 group by subreddit")
+def q_community_span(spark, sf_dir):
+    p = P.valid_posts(X.posts(spark, sf_dir))
+    agg = p.groupBy("subreddit").agg(
+        F.timestamp_seconds(F.min("created_utc")).alias("oldest"),
+        F.timestamp_seconds(F.max("created_utc")).alias("newest"),
+        F.count(F.lit(1)).alias("n_posts"))
+    return _ntz(agg, ["oldest", "newest"])
+
+
+_INCOMING = """incoming as (
+  select id, subreddit, score, 0 as arrival from posts
+  union all select id, subreddit, score + 1, 1 from posts where id::bigint % 7 = 0),
+stored as (select id from posts where id::bigint % 3 = 0)"""
+
+
+@register("insert_new_posts", O.with_(O.POSTS, _INCOMING)
+          + "select id, subreddit, score from (select * from incoming qualify row_number() over "
+          "(partition by id order by arrival) = 1) n where not exists (select 1 from stored s where s.id = n.id)")
+def q_insert_new_posts(spark, sf_dir):
+    """Posts an insert-new load would append (key ``id``)."""
+    p = X.posts(spark, sf_dir).select("id", "subreddit", "score")
+    again = (p.filter(F.col("id").cast("long") % 7 == 0)
+             .withColumn("score", F.col("score") + 1).withColumn("arrival", F.lit(1)))
+    incoming = p.withColumn("arrival", F.lit(0)).unionByName(again)
+    stored = p.filter(F.col("id").cast("long") % 3 == 0)
+    return new_rows(incoming, stored, ["id"], ["arrival"]).select("id", "subreddit", "score")
