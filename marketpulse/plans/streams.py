@@ -1,3 +1,134 @@
-"""streams queries."""
+"""Streaming jobs registered as queries.
+
+Each callable stages its input (derived from the driver's tables) as files in
+time order, runs the streaming job with ``availableNow`` into a fresh
+directory under the shared checkpoint location, and returns the produced
+table. Windowed outputs equal the batch answer restricted to windows the
+watermark has closed (end <= max event time - 15 minutes).
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketpulse.operators import star as T
+from marketpulse.plans import oracle as O
+from marketpulse.plans.catalog import register
+from marketpulse.plans.social import SILVER_SELECT, SOCIAL, enriched_posts, silver_out
+from marketpulse.session import scratch_path
+from marketpulse.sources import fixtures as X
+from marketpulse.streaming import jobs as J
+
+N_FILES = 4
+_CLOSED = "datetime <= (select max(ts) from events) - interval 15 minute"
+_BARS_OUT = ("select ticker, datetime, open::double as open, high::double as high, low::double as low, "
+             "close::double as close, volume from bars_1h where " + _CLOSED)
+
+
+def _ticks_ts(spark, sf_dir):
+    return X.ticks(spark, sf_dir).withColumn("datetime", F.col("datetime").cast("timestamp"))
+
+
+def _prices_double(df):
+    return df.withColumns({c: F.col(c).cast("double") for c in ["open", "high", "low", "close"]})
+
+
+def run_bars_stream(spark, sf_dir):
+    """ticks files -> closed hourly bars (parquet). Returns (path, schema)."""
+    src, out = scratch_path(spark, "ticks-in"), scratch_path(spark, "bars-out")
+    ticks = _ticks_ts(spark, sf_dir)
+    J.stage_files(ticks, src, "datetime", N_FILES)
+    bars = J.bars_stream(J.read_stream(spark, src, ticks.schema))
+    J.append_stream(bars, out, scratch_path(spark, "bars-chk"))
+    return out, bars.schema
+
+
+@register("stream_bars_1h", O.with_(O.TICKS, O.BARS_1H) + _BARS_OUT)
+def q_stream_bars_1h(spark, sf_dir):
+    out, schema = run_bars_stream(spark, sf_dir)
+    b = J.read_output(spark, out, schema)
+    return _prices_double(b).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def run_silver_stream(spark, sf_dir):
+    """closed bars (as a stream) -> stateful previous close -> market silver."""
+    bars_path, schema = run_bars_stream(spark, sf_dir)
+    out = scratch_path(spark, "msilver-out")
+    silver = J.lag_stream(J.read_stream(spark, bars_path, schema, None))
+    J.append_stream(silver, out, scratch_path(spark, "msilver-chk"))
+    return out, silver.schema
+
+
+_PCT_SQL = (O.with_(O.TICKS, O.BARS_1H)
+            + ", b as (select *, lag(close) over (partition by ticker order by datetime) as prev from bars_1h where "
+            + _CLOSED + ") select ticker, datetime, open::double as open, close::double as close, "
+            "high::double as high, low::double as low, volume, "
+            "((close - prev)::double / nullif(prev::double, 0)) * 100 as PrctChange, "
+            "case when close > prev then 'Up' when close < prev then 'Down' else 'No Change' end as Direction from b")
+
+
+@register("stream_pct_change", _PCT_SQL)
+def q_stream_pct_change(spark, sf_dir):
+    """Percent change vs the previous closed bar, kept in per-ticker state."""
+    out, schema = run_silver_stream(spark, sf_dir)
+    s = J.read_output(spark, out, schema)
+    return _prices_double(s).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+@register("stream_financial_fact", _PCT_SQL)
+def q_stream_financial_fact(spark, sf_dir):
+    """Gold: the silver stream projected to the fact columns (a third query)."""
+    silver_path, schema = run_silver_stream(spark, sf_dir)
+    out = scratch_path(spark, "mgold-out")
+    fact = T.financial_fact_stream_shape(J.read_stream(spark, silver_path, schema, None))
+    J.append_stream(fact, out, scratch_path(spark, "mgold-chk"))
+    f = J.read_output(spark, out, fact.schema)
+    return _prices_double(f).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def run_posts_stream(spark, sf_dir):
+    """Enriched bronze posts (with re-sent copies) -> silver posts stream."""
+    src, out = scratch_path(spark, "posts-in"), scratch_path(spark, "psilver-out")
+    e = enriched_posts(spark, sf_dir).withColumn("_t", F.timestamp_seconds("created_utc"))
+    again = e.filter(F.col("id").cast("long") % 7 == 0)
+    bronze = e.unionByName(again)
+    J.stage_files(bronze, src, "_t", N_FILES)
+    stream = J.read_stream(spark, src, bronze.schema).drop("_t")
+    silver = J.posts_stream(stream)
+    J.append_stream(silver, out, scratch_path(spark, "psilver-chk"))
+    return out, silver.schema
+
+
+@register("stream_posts_silver", SOCIAL + SILVER_SELECT)
+def q_stream_posts_silver(spark, sf_dir):
+    """Silver posts from a stream with duplicate deliveries."""
+    out, schema = run_posts_stream(spark, sf_dir)
+    return silver_out(J.read_output(spark, out, schema))
+
+
+@register("stream_sentiment_fact", SOCIAL.rstrip() + ",\nsv as (" + SILVER_SELECT + ")\nselect "
+          + ", ".join(T.SENTIMENT_FACT_STREAM_COLUMNS) + " from sv")
+def q_stream_sentiment_fact(spark, sf_dir):
+    """Gold: the post silver stream projected to the ten fact columns."""
+    silver_path, schema = run_posts_stream(spark, sf_dir)
+    out = scratch_path(spark, "pgold-out")
+    fact = T.sentiment_fact_stream_shape(J.read_stream(spark, silver_path, schema, None))
+    J.append_stream(fact, out, scratch_path(spark, "pgold-chk"))
+    return silver_out(J.read_output(spark, out, fact.schema))
+
+
+@register("stream_insert_new", O.with_(O.TICKS)
+          + "select ticker, datetime, tie_key, price::double as price, volume from ticks")
+def q_stream_insert_new(spark, sf_dir):
+    """Idempotent streaming insert: ticks with duplicate deliveries, run twice
+    (second run from a fresh checkpoint replays everything and adds nothing)."""
+    src, target = scratch_path(spark, "dup-in"), scratch_path(spark, "ticks-target")
+    dup = X.ticks_dup(spark, sf_dir).withColumn("datetime", F.col("datetime").cast("timestamp"))
+    J.stage_files(dup, src, "datetime", N_FILES)
+    key, arrival = ["ticker", "datetime", "tie_key"], ["arrival"]
+    for attempt in range(2):
+        stream = J.read_stream(spark, src, dup.schema)
+        J.insert_new_stream(spark, stream, target, scratch_path(spark, f"ins-chk{attempt}"), key, arrival)
+    t = spark.read.schema(dup.schema).parquet(target)
+    return t.select("ticker", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "tie_key",
+                    F.col("price").cast("double").alias("price"), "volume")
