@@ -112,7 +112,9 @@ def route(messages: DataFrame, schemas: dict[str, StructType], topic: str = "top
     for name, schema in schemas.items():
         parsed = (messages.filter(F.col(topic) == name)
                   .select(F.from_json(F.col(value), schema, {"mode": "PERMISSIVE"}).alias("_m")))
-        out[name] = parsed.select("_m.*", F.col("_m").isNull().alias("_bad"))
+        # malformed text parses to null (or to a struct of nulls): counted as bad
+        bad = F.col("_m").isNull() | (F.to_json(F.col("_m")) == F.lit("{}"))
+        out[name] = parsed.select("_m.*", bad.alias("_bad"))
     return out
 
 

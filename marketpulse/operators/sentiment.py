@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,10 +87,7 @@ def pandas_scorer(fn: Callable[[str], float]):
     """Wrap a plain ``str -> float`` scorer as an Arrow-batched pandas UDF.
 
     Null text is scored as the empty string, as the reference does."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
+    @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         return text.fillna("").map(fn).astype("float64")
 
