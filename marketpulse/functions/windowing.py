@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 EXACT = "decimal(18,2)"
@@ -14,21 +14,31 @@ def series_window(partition_cols: Sequence[str], order_cols: Sequence[str]) -> W
     return Window.partitionBy(*partition_cols).orderBy(*order_cols)
 
 
-def trailing(w: WindowSpec, n: int) -> WindowSpec:
-    """The last ``n`` rows up to and including the current one."""
-    return w.rowsBetween(-(n - 1), Window.currentRow)
-
-
-def exact_mean(x: Column, w: WindowSpec, n: int) -> Column:
-    """Moving average over the trailing ``n`` rows, averaging whatever rows
-    exist during warm-up.
-
-    The sum is taken over a decimal, so the result does not depend on the
-    order in which the frame is added up (a double ``avg`` differs between
-    engines in the last bits); only the final division is floating point.
-    """
-    frame = trailing(w, n)
-    return F.sum(x).over(frame).cast("double") / F.count(x).over(frame)
+def add_means(df: DataFrame, w: WindowSpec, specs: Sequence[tuple[str, str, int]],
+              scale: int = 2) -> DataFrame:
+    """Trailing means ``out = mean(src over the last n rows)`` for every
+    ``(out, src, n)``, averaging whatever rows exist during warm-up.
+
+    Exact and O(rows) whatever the frame length: ``src`` (a decimal with
+    ``scale`` digits) is taken as an integer of its smallest unit, a running
+    sum S and running count C are formed once per source, and the frame sum is
+    ``S - lag(S, n)``. Only the final division is floating point, so the
+    result equals sum(decimal) / count over the frame bit for bit, and it
+    does not depend on the order the engine adds a frame up. The lag only
+    reaches n rows back, so halo-chunked evaluation stays exact."""
+    unit = 10 ** scale
+    sources = sorted({src for _, src, _ in specs})
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumns({f"_u_{s}": (F.col(s) * F.lit(unit)).cast("long") for s in sources})
+    df = df.withColumns({**{f"_S_{s}": F.sum(f"_u_{s}").over(run) for s in sources},
+                         **{f"_C_{s}": F.count(f"_u_{s}").over(run) for s in sources}})
+    means = {}
+    for out, src, n in specs:
+        total = F.col(f"_S_{src}") - F.lag(f"_S_{src}", n, 0).over(w)
+        count = F.col(f"_C_{src}") - F.lag(f"_C_{src}", n, 0).over(w)
+        means[out] = total.cast("double") / F.lit(float(unit)) / count
+    df = df.withColumns(means)
+    return df.drop(*[f"_{k}_{s}" for s in sources for k in "uSC"])
 
 
 def safe_div(a: Column, b: Column) -> Column:

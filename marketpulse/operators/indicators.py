@@ -28,7 +28,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.functions.windowing import EXACT, exact_mean, safe_div, series_window
+from marketpulse.functions.windowing import EXACT, add_means, safe_div, series_window
 
 # The indicator periods of the reference's silver job.
 SMA_PERIODS = (20, 50, 200)
@@ -72,8 +72,8 @@ def add_pct_change(df: DataFrame, partition_cols, order_cols, close: str = "clos
 def add_sma(df: DataFrame, partition_cols, order_cols, close: str = "close",
             periods: Sequence[int] = SMA_PERIODS) -> DataFrame:
     w = series_window(partition_cols, order_cols)
-    c = F.col(close).cast(EXACT)
-    return df.withColumns({f"SMA{n}": exact_mean(c, w, n) for n in periods})
+    df = df.withColumn("_close", F.col(close).cast(EXACT))
+    return add_means(df, w, [(f"SMA{n}", "_close", n) for n in periods]).drop("_close")
 
 
 def add_gain_loss(df: DataFrame, partition_cols, order_cols, close: str = "close") -> DataFrame:
@@ -82,11 +82,20 @@ def add_gain_loss(df: DataFrame, partition_cols, order_cols, close: str = "close
     w = series_window(partition_cols, order_cols)
     change = F.col(close).cast(EXACT) - _prev_close(close, w)
     df = df.withColumn("change", change)
+    return df.withColumns(_gain_loss_cols(F.col("change")))
+
+
+def _gain_loss_cols(change: Column) -> dict:
     zero = F.lit(0).cast(EXACT)
-    return df.withColumns({
-        "gain": F.when(F.col("change") > 0, F.col("change")).otherwise(zero),
-        "loss": F.when(F.col("change") < 0, -F.col("change")).otherwise(zero),
-    })
+    return {"gain": F.when(change > 0, change).otherwise(zero),
+            "loss": F.when(change < 0, -change).otherwise(zero)}
+
+
+def _rsi_col(avg_gain: Column, avg_loss: Column, zero_loss: float | None) -> Column:
+    rsi = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + safe_div(avg_gain, avg_loss))
+    if zero_loss is not None:
+        rsi = F.when(avg_loss == 0, F.lit(float(zero_loss))).otherwise(rsi)
+    return rsi
 
 
 def add_rsi(df: DataFrame, partition_cols, order_cols, close: str = "close",
@@ -97,20 +106,20 @@ def add_rsi(df: DataFrame, partition_cols, order_cols, close: str = "close",
     ``zero_loss=100`` gives the textbook value instead."""
     w = series_window(partition_cols, order_cols)
     df = add_gain_loss(df, partition_cols, order_cols, close)
-    avg_gain = exact_mean(F.col("gain"), w, period)
-    avg_loss = exact_mean(F.col("loss"), w, period)
-    rs = safe_div(avg_gain, avg_loss)
-    rsi = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)
-    if zero_loss is not None:
-        rsi = F.when(avg_loss == 0, F.lit(float(zero_loss))).otherwise(rsi)
-    return df.withColumns({"RS": rs, "RSI": rsi})
+    df = add_means(df, w, [("_avg_gain", "gain", period), ("_avg_loss", "loss", period)])
+    df = df.withColumns({"RS": safe_div(F.col("_avg_gain"), F.col("_avg_loss")),
+                         "RSI": _rsi_col(F.col("_avg_gain"), F.col("_avg_loss"), zero_loss)})
+    return df.drop("_avg_gain", "_avg_loss")
 
 
 def true_range_col(high: str, low: str, close: str, w) -> Column:
     """greatest(high - low, |high - prev|, |low - prev|); the first row falls
     back to high - low because greatest skips nulls."""
+    return _true_range(high, low, _prev_close(close, w))
+
+
+def _true_range(high: str, low: str, prev: Column) -> Column:
     h, lo = F.col(high).cast(EXACT), F.col(low).cast(EXACT)
-    prev = _prev_close(close, w)
     return F.greatest(h - lo, F.abs(h - prev), F.abs(lo - prev))
 
 
@@ -125,26 +134,41 @@ def add_atr(df: DataFrame, partition_cols, order_cols, high="high", low="low", c
             period: int = ATR_PERIOD) -> DataFrame:
     w = series_window(partition_cols, order_cols)
     df = df.withColumn("TR", true_range_col(high, low, close, w))
-    return df.withColumn("ATR", exact_mean(F.col("TR"), w, period))
+    return add_means(df, w, [("ATR", "TR", period)])
 
 
 def add_macd(df: DataFrame, partition_cols, order_cols, close: str = "close",
              short: int = MACD_SHORT, long: int = MACD_LONG) -> DataFrame:
     """Difference of two simple moving averages (not exponential)."""
     w = series_window(partition_cols, order_cols)
-    c = F.col(close).cast(EXACT)
-    return df.withColumn("MACD", exact_mean(c, w, short) - exact_mean(c, w, long))
+    df = df.withColumn("_close", F.col(close).cast(EXACT))
+    df = add_means(df, w, [("_ms", "_close", short), ("_ml", "_close", long)])
+    return df.withColumn("MACD", F.col("_ms") - F.col("_ml")).drop("_ms", "_ml", "_close")
 
 
 def add_all(df: DataFrame, partition_cols, order_cols, close="close", high="high", low="low",
             rsi_zero_loss: float | None = None) -> DataFrame:
-    """The whole silver indicator set, helper columns removed."""
-    df = add_pct_change(df, partition_cols, order_cols, close)
-    df = add_sma(df, partition_cols, order_cols, close)
-    df = add_rsi(df, partition_cols, order_cols, close, zero_loss=rsi_zero_loss)
-    df = add_atr(df, partition_cols, order_cols, high, low, close)
-    df = add_macd(df, partition_cols, order_cols, close)
-    return df.drop("change", "gain", "loss", "RS", "TR")
+    """The whole silver indicator set in three Window passes over one
+    partitioning: previous close; running sums; their lags."""
+    w = series_window(partition_cols, order_cols)
+    df = df.withColumns({"_close": F.col(close).cast(EXACT), "_prev": _prev_close(close, w)})
+    change = F.col("_close") - F.col("_prev")
+    df = df.withColumns({
+        "PrctChange": safe_div(change.cast("double"), F.col("_prev").cast("double")) * F.lit(100.0),
+        "_tr": _true_range(high, low, F.col("_prev")),
+        **{k: v for k, v in _gain_loss_cols(change).items()},
+    })
+    specs = ([(f"SMA{n}", "_close", n) for n in SMA_PERIODS]
+             + [("_avg_gain", "gain", RSI_PERIOD), ("_avg_loss", "loss", RSI_PERIOD),
+                ("ATR", "_tr", ATR_PERIOD), ("_ms", "_close", MACD_SHORT), ("_ml", "_close", MACD_LONG)])
+    df = add_means(df, w, specs)
+    df = df.withColumns({
+        "Direction": direction_col(F.col("PrctChange")),
+        "RSI": _rsi_col(F.col("_avg_gain"), F.col("_avg_loss"), rsi_zero_loss),
+        "MACD": F.col("_ms") - F.col("_ml"),
+    })
+    df = df.drop("_close", "_prev", "_tr", "gain", "loss", "_avg_gain", "_avg_loss", "_ms", "_ml")
+    return df.select(*[c for c in df.columns if c not in SILVER_COLUMNS], *SILVER_COLUMNS)
 
 
 # --- physical strategies -------------------------------------------------------

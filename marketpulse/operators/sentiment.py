@@ -48,19 +48,30 @@ def _lexicon_map(lexicon: dict[str, int]) -> Column:
     return F.create_map(*items)
 
 
-def valence_stats(text: Column, lexicon: dict[str, int] = LEXICON_TENTHS) -> Column:
-    """struct(sum, matched) of lexicon valences (tenths) over all tokens."""
+ALTERNATION_LIMIT = 64
+
+
+def matched_words(text: Column, lexicon: dict[str, int]) -> Column:
+    """Lexicon words occurring as whole tokens, in text order.
+
+    Small lexicons: one regex pass extracting only the lexicon words, each
+    bounded by non-letters (so a match is exactly a whole token). Large
+    lexicons: tokenise and keep tokens found in the map."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    if len(lexicon) <= ALTERNATION_LIMIT:
+        words = "|".join(sorted(lexicon, key=lambda w: (-len(w), w)))
+        return F.regexp_extract_all(low, F.lit(rf"(?<!\p{{L}})({words})(?!\p{{L}})"), 1)
     m = _lexicon_map(lexicon)
-    toks = tokens(text)
-    init = F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("n"))
+    return F.filter(tokens(text), lambda t: F.map_contains_key(m, t))
 
-    def step(acc, t):
-        v = F.try_element_at(m, t)
-        return F.struct(
-            (acc["s"] + F.coalesce(v, F.lit(0)).cast("long")).alias("s"),
-            (acc["n"] + F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")).alias("n"))
 
-    return F.aggregate(toks, init, step)
+def valence_stats(text: Column, lexicon: dict[str, int] = LEXICON_TENTHS) -> Column:
+    """struct(sum, matched) of lexicon valences (tenths) over all tokens."""
+    m = _lexicon_map(lexicon)
+    hits = matched_words(text, lexicon)
+    total = F.aggregate(hits, F.lit(0).cast("long"),
+                        lambda acc, t: acc + F.element_at(m, t).cast("long"))
+    return F.struct(total.alias("s"), F.size(hits).cast("long").alias("n"))
 
 
 def compound_from(s_tenths: Column, alpha: int = ALPHA) -> Column:
