@@ -31,11 +31,10 @@ def ticker_dim(fact: DataFrame) -> DataFrame:
 def time_dim(fact: DataFrame, col: str = "datetime") -> DataFrame:
     """Calendar parts of every distinct timestamp (ISO week)."""
     t = F.col(col)
-    return fact.select(col).distinct().withColumns({
-        "year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t),
-        "week": F.weekofyear(t), "quarter": F.quarter(t), "hour": F.hour(t),
-        "minute": F.minute(t), "second": F.second(t),
-    })
+    parts = {"year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t),
+             "week": F.weekofyear(t), "quarter": F.quarter(t), "hour": F.hour(t),
+             "minute": F.minute(t), "second": F.second(t)}
+    return fact.select(col).distinct().withColumns({k: v.cast("long") for k, v in parts.items()})
 
 
 def author_dim(silver: DataFrame) -> DataFrame:

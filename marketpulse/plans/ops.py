@@ -25,7 +25,7 @@ TICK_KEY = ["ticker", "datetime", "tie_key"]
 # --- star, market half ---------------------------------------------------------
 
 def market_fact(spark, sf_dir) -> DataFrame:
-    return I.with_indicators(bars_1h(spark, sf_dir), ["ticker"], ["datetime"])
+    return I.with_indicators(bars_1h(spark, sf_dir), ["ticker"], ["datetime"], strategy="partition")
 
 
 @register("ticker_dim", O.with_(O.TICKS) + "select distinct ticker from ticks")
@@ -57,7 +57,7 @@ def q_financial_fact_stream_shape(spark, sf_dir):
 @register("star_market_rollup", O.with_(O.TICKS, O.BARS_1H)
           + "select ticker, year(datetime) as year, quarter(datetime) as quarter, count(*) as n_bars, "
           "sum(close)::double / count(close) as avg_close, max(high)::double as max_high, "
-          "min(low)::double as min_low, sum(volume) as total_volume from bars_1h group by all")
+          "min(low)::double as min_low, sum(volume)::bigint as total_volume from bars_1h group by all")
 def q_star_market_rollup(spark, sf_dir):
     """Fact joined to the time dimension, rolled up by ticker/year/quarter."""
     fact = market_fact(spark, sf_dir)

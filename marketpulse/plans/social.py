@@ -280,7 +280,7 @@ def q_platform_dim(spark, sf_dir):
           + ", ad as (select author_fullname, arg_max(author_verified, (datetime, id)) as author_verified, "
           "arg_max(author_is_gold, (datetime, id)) as author_is_gold from sv where author is not null group by author, author_fullname) "
           "select author_verified, author_is_gold, count(*) as n_posts, " + _r("avg(VaderScore)")
-          + " as avg_vader, " + _r("avg(TextblobScore)") + " as avg_textblob, sum(score) as total_score "
+          + " as avg_vader, " + _r("avg(TextblobScore)") + " as avg_textblob, sum(score)::bigint as total_score "
           "from (select sv.VaderScore, sv.TextblobScore, sv.score, ad.author_verified, ad.author_is_gold "
           "from sv join ad using (author_fullname)) group by all")
 def q_star_sentiment_by_author(spark, sf_dir):
