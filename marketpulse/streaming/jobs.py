@@ -123,14 +123,34 @@ def lag_stream(bars: DataFrame) -> DataFrame:
 
 # --- posts ---------------------------------------------------------------------------
 
+INGEST_METRICS = "ingest"
+
+
 def posts_stream(posts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Silver posts from a bronze post stream: event time, watermark, de-dup
-    by id within the watermark, shared scoring."""
+    by id within the watermark, shared scoring.
+
+    Per micro-batch the consumed rows and the rows whose time does not parse
+    are observed as metrics ``ingest`` (see ``ingest_counters``)."""
     p = P.parse_created(posts)
+    p = p.observe(INGEST_METRICS, F.count(F.lit(1)).alias("consumed"),
+                  F.count_if(F.col("datetime").isNull()).alias("errors"))
     p = p.withWatermark("datetime", delay).dropDuplicatesWithinWatermark(["id"])
     return P.score_posts(p)
 
 
+def ingest_counters(query) -> dict:
+    """Totals of the observed ingest metrics over a query's recent progress."""
+    out = {"consumed": 0, "errors": 0, "batches": 0}
+    for prog in query.recentProgress:
+        m = (prog.observedMetrics or {}).get(INGEST_METRICS)
+        if m is not None:
+            out["consumed"] += int(m["consumed"])
+            out["errors"] += int(m["errors"])
+            out["batches"] += 1
+    return out
+
+
 # --- sinks ----------------------------------------------------------------------------
 
 def append_stream(df: DataFrame, out_path: str, checkpoint: str, **trigger):

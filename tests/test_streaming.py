@@ -37,3 +37,14 @@ def test_stateful_lag_survives_batches(spark):
     batch = entry.queries()["financial_fact_stream_shape"](spark, SF_SMALL)
     assert got.count() > 0
     assert got.exceptAll(batch.select(*got.columns)).count() == 0
+
+
+def test_post_stream_observes_ingest_counters(spark):
+    from marketpulse.plans.social import enriched_posts
+    src, out = scratch_path(spark, "t-posts"), scratch_path(spark, "t-posts-out")
+    e = enriched_posts(spark, SF_SMALL).withColumn("_t", F.timestamp_seconds("created_utc"))
+    J.stage_files(e, src, "_t", 2)
+    q = J.append_stream(J.posts_stream(J.read_stream(spark, src, e.schema).drop("_t")), out,
+                        scratch_path(spark, "t-posts-chk"))
+    c = J.ingest_counters(q)
+    assert c["consumed"] == e.count() and c["errors"] == 0 and c["batches"] >= 2
