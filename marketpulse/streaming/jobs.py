@@ -140,9 +140,12 @@ def posts_stream(posts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
 
 
 def ingest_counters(query) -> dict:
-    """Totals of the observed ingest metrics over a query's recent progress."""
-    out = {"consumed": 0, "errors": 0, "batches": 0}
+    """Totals of the observed ingest metrics over a query's recent progress,
+    plus rows the watermark dropped as late (state operator metrics)."""
+    out = {"consumed": 0, "errors": 0, "batches": 0, "late_dropped": 0}
     for prog in query.recentProgress:
+        for op in prog.stateOperators or []:
+            out["late_dropped"] += int(op.numRowsDroppedByWatermark or 0)
         m = (prog.observedMetrics or {}).get(INGEST_METRICS)
         if m is not None:
             out["consumed"] += int(m["consumed"])

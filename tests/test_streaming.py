@@ -48,3 +48,4 @@ def test_post_stream_observes_ingest_counters(spark):
                         scratch_path(spark, "t-posts-chk"))
     c = J.ingest_counters(q)
     assert c["consumed"] == e.count() and c["errors"] == 0 and c["batches"] >= 2
+    assert c["late_dropped"] == 0
