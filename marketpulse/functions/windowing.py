@@ -41,6 +41,20 @@ def add_means(df: DataFrame, w: WindowSpec, specs: Sequence[tuple[str, str, int]
     return df.drop(*[f"_{k}_{s}" for s in sources for k in "uSC"])
 
 
+def packed_order(ts: Column, tie: Column) -> Column:
+    """Order-preserving single value for (timestamp, signed long tie breaker).
+
+    decimal(38,0) = (epoch micros + 10^17) * 10^20 + (tie + 2^63). Decimals are
+    mutable aggregation buffers, so ``min_by``/``max_by`` over this key stay in
+    a hash aggregate (a struct key forces a sort-based aggregate). Valid for
+    times within about +-3000 years of 1970 and any long tie breaker."""
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(18,0)")
+    shift_t = F.lit(10 ** 17).cast("decimal(18,0)")
+    scale = F.expr("cast('100000000000000000000' as decimal(21,0))")
+    shift_k = F.expr("cast('9223372036854775808' as decimal(20,0))")
+    return ((micros + shift_t) * scale + (tie.cast("decimal(20,0)") + shift_k)).cast("decimal(38,0)")
+
+
 def safe_div(a: Column, b: Column) -> Column:
     """a / b, null when b is zero or null (ANSI-safe)."""
     return F.try_divide(a, b)

@@ -54,10 +54,13 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, key: Sequence[str]
         return fresh
     stored = existing.select(*key)
     if range_col:
-        bounds = incoming.agg(F.min(range_col).alias("lo"), F.max(range_col).alias("hi"))
-        stored = stored.filter(F.col(range_col).between(
-            bounds.select("lo").scalar(), bounds.select("hi").scalar()))
-    return fresh.join(stored, key, "left_anti")
+        # one scalar subquery for both bounds, evaluated once in the same plan
+        bounds = incoming.select(F.struct(F.min(range_col).alias("lo"),
+                                          F.max(range_col).alias("hi"))).scalar()
+        stored = stored.filter(F.col(range_col).between(bounds["lo"], bounds["hi"]))
+    # A stored key repeated many times collapses map-side; the aggregate's
+    # hash partitioning on the key is reused by the anti-join.
+    return fresh.join(stored.distinct(), key, "left_anti")
 
 
 def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequence[str],
