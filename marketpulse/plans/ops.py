@@ -323,3 +323,26 @@ def q_roundtrip_write(spark, sf_dir):
     write_table(b, path, partition_by=["day"])
     schema = b.schema
     return spark.read.schema(schema).parquet(path)
+
+
+@register("snapshot_quote", O.with_(O.TICKS, _DAILY)
+          + ", d as (select ticker, strftime(datetime, '%Y-%m') as month, strftime(datetime, '%Y-%m-%d') as date, "
+          "open, high, low, close, volume from bars_1d) "
+          "select ticker, month || '-28T00:00:00' as scraped_at, ticker as symbol, "
+          "arg_max(close, date)::double as price, arg_max(open, date)::double as open, "
+          "arg_max(high, date)::double as day_high, arg_max(low, date)::double as day_low, "
+          "arg_max(volume, date) as volume from d group by ticker, month")
+def q_snapshot_quote(spark, sf_dir):
+    """The ``current`` quote block of each snapshot document, flattened."""
+    path = scratch_path(spark, "snapshots")
+    write_snapshots(spark, sf_dir, path)
+    return quote(spark.read.schema(SNAPSHOT).json(path))
+
+
+@register("bars_5min_last_close", O.with_(O.TICKS)
+          + "select ticker, time_bucket(interval '5 minutes', datetime) + interval '5 minutes' as datetime, "
+          "arg_max(price, (datetime, tie_key))::double as close from ticks group by 1, 2")
+def q_bars_5min_last_close(spark, sf_dir):
+    """The reference's streaming bucket: last price per ticker and 5 minutes."""
+    b = B.last_close_bars(X.ticks(spark, sf_dir), "5 minutes")
+    return b.withColumn("close", F.col("close").cast("double"))

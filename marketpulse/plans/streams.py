@@ -132,3 +132,16 @@ def q_stream_insert_new(spark, sf_dir):
     t = spark.read.schema(dup.schema).parquet(target)
     return t.select("ticker", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "tie_key",
                     F.col("price").cast("double").alias("price"), "volume")
+
+
+@register("stream_bars_5min", O.with_(O.TICKS, O.bars_cte("bars_5m", "5 minutes"))
+          + _BARS_OUT.replace("bars_1h", "bars_5m"))
+def q_stream_bars_5min(spark, sf_dir):
+    """The reference's 5-minute streaming buckets (full OHLCV), closed ones."""
+    src, out = scratch_path(spark, "ticks5-in"), scratch_path(spark, "bars5-out")
+    ticks = _ticks_ts(spark, sf_dir)
+    J.stage_files(ticks, src, "datetime", N_FILES)
+    bars = J.bars_stream(J.read_stream(spark, src, ticks.schema), every="5 minutes")
+    J.append_stream(bars, out, scratch_path(spark, "bars5-chk"))
+    b = J.read_output(spark, out, bars.schema)
+    return _prices_double(b).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
