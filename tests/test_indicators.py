@@ -82,3 +82,24 @@ def test_market_silver_plan(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     # one shuffle for the bars aggregation, one shared by every indicator window
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_auto_chunks_a_hot_ticker(spark):
+    """One ticker with a third of all rows: auto switches to halo chunks once
+    the largest series passes the per-task limit, with identical results."""
+    import random
+    rnd = random.Random(7)
+    frames = [bars(spark, [round(rnd.uniform(1, 50), 2) for _ in range(n)], ticker=t)
+              for t, n in [("HOT", 600), ("a", 400), ("b", 400), ("c", 400)]]
+    df = frames[0]
+    for f in frames[1:]:
+        df = df.unionByName(f)
+    assert I.largest_series(df, ["ticker"]) == 600
+    plain = I.with_indicators(df, strategy="partition")
+    auto = I.with_indicators(df, strategy="auto", series_task_limit=500, chunk_rows=256,
+                             bucket=F.date_trunc("hour", "datetime"))
+    plan = auto._jdf.queryExecution().optimizedPlan().toString()
+    assert "_chunk" in plan
+    cols = ["ticker", "datetime"] + I.SILVER_COLUMNS
+    assert sorted(tuple(r) for r in plain.select(*cols).collect()) == \
+        sorted(tuple(r) for r in auto.select(*cols).collect())
