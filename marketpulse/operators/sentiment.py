@@ -86,12 +86,18 @@ def polarity_from(s_tenths: Column, n: Column) -> Column:
 
 def add_scores(df: DataFrame, text: str = "selftext", compound: str = "VaderScore",
                polarity: str = "TextblobScore", lexicon: dict[str, int] = LEXICON_TENTHS) -> DataFrame:
-    """Add both scores; the token pass runs once per row."""
-    df = df.withColumn("_sent", valence_stats(F.col(text), lexicon))
+    """Add both scores. The matched words are their own projection (the
+    optimizer does not inline a non-trivial expression used twice), so the
+    text is scanned once per row."""
+    m = _lexicon_map(lexicon)
+    df = df.withColumn("_hits", matched_words(F.col(text), lexicon))
+    total = F.aggregate("_hits", F.lit(0).cast("long"),
+                        lambda acc, t: acc + F.element_at(m, t).cast("long"))
+    df = df.withColumns({"_s": total, "_n": F.size("_hits").cast("long")})
     return df.withColumns({
-        compound: compound_from(F.col("_sent.s")),
-        polarity: polarity_from(F.col("_sent.s"), F.col("_sent.n")),
-    }).drop("_sent")
+        compound: compound_from(F.col("_s")),
+        polarity: polarity_from(F.col("_s"), F.col("_n")),
+    }).drop("_hits", "_s", "_n")
 
 
 def pandas_scorer(fn: Callable[[str], float]):
