@@ -29,14 +29,35 @@ SESSION_DEFAULTS = {
 }
 
 
+# Starting point for a large cluster (~100 TB inputs): many shuffle partitions
+# that AQE coalesces to the advisory size, large input splits, skew-join
+# splitting of oversized partitions, broadcast only for measured small sides,
+# and RocksDB for streaming state (keyed lag, de-duplication) that outgrows
+# executor heaps.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(master: str | None = None, app: str = "marketpulse",
                 shuffle_partitions: int | None = None,
                 driver_memory: str | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` adds ``CLUSTER_DEFAULTS``; explicit arguments win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if profile == "cluster":
+        conf.update(CLUSTER_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
