@@ -49,3 +49,17 @@ def test_post_stream_observes_ingest_counters(spark):
     c = J.ingest_counters(q)
     assert c["consumed"] == e.count() and c["errors"] == 0 and c["batches"] >= 2
     assert c["late_dropped"] == 0
+
+
+def test_stateful_lag_with_rocksdb_state(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        import __spark_entry__ as entry
+        got = entry.queries()["stream_pct_change"](spark, SF_SMALL)
+        batch = entry.queries()["financial_fact_stream_shape"](spark, SF_SMALL)
+        assert got.count() > 0
+        assert got.exceptAll(batch.select(*got.columns)).count() == 0
+    finally:
+        spark.conf.set(key, old)
