@@ -212,13 +212,16 @@ _MESSAGES = """messages as (
   select 'posts', to_json({'id': id, 'subreddit': subreddit, 'score': score}) from posts)"""
 
 
-@register("route_by_topic", O.with_(O.TICKS, O.POSTS, _MESSAGES)
-          + "select topic, json_extract_string(value, '$.ticker') as ticker, "
+ROUTE_SQL = (O.with_(O.TICKS, O.POSTS, _MESSAGES)
+             + "select topic, json_extract_string(value, '$.ticker') as ticker, "
           "json_extract(value, '$.price')::double as price, json_extract(value, '$.volume')::bigint as volume, "
           "null::varchar as id, null::varchar as subreddit, null::bigint as score from messages where topic = 'market' "
           "union all select topic, null, null, null, json_extract_string(value, '$.id'), "
           "json_extract_string(value, '$.subreddit'), json_extract(value, '$.score')::bigint "
           "from messages where topic = 'posts'")
+
+
+@register("route_by_topic", ROUTE_SQL)
 def q_route_by_topic(spark, sf_dir):
     """Each message parsed by its topic's schema, both targets in one frame."""
     routed = G.route(X.messages(spark, sf_dir), {"market": MARKET_MSG, "posts": POST_MSG})

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketpulse.operators import ingest as G
 from marketpulse.operators import star as T
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
+from marketpulse.plans.ops import MARKET_MSG, POST_MSG, ROUTE_SQL
 from marketpulse.plans.social import SILVER_SELECT, SOCIAL, enriched_posts, silver_out
 from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
@@ -145,3 +147,18 @@ def q_stream_bars_5min(spark, sf_dir):
     J.append_stream(bars, out, scratch_path(spark, "bars5-chk"))
     b = J.read_output(spark, out, bars.schema)
     return _prices_double(b).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+
+@register("stream_route_by_topic", ROUTE_SQL)
+def q_stream_route_by_topic(spark, sf_dir):
+    """Topic messages as a stream, routed to one table per topic inside
+    ``foreachBatch``; the union of both targets."""
+    src, chk = scratch_path(spark, "msg-in"), scratch_path(spark, "route-chk")
+    targets = {"market": scratch_path(spark, "route-market"), "posts": scratch_path(spark, "route-posts")}
+    msgs = X.messages(spark, sf_dir).withColumn("timestamp", F.current_timestamp())
+    msgs.write.parquet(src)
+    schemas = {"market": MARKET_MSG, "posts": POST_MSG}
+    J.route_stream(spark, J.read_stream(spark, src, msgs.schema), schemas, targets, chk)
+    parts = [J.read_output(spark, targets[t], schemas[t]).withColumn("topic", F.lit(t)) for t in schemas]
+    return G.union_sources(parts).select("topic", "ticker", "price", "volume", "id", "subreddit", "score")

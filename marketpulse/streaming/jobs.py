@@ -173,6 +173,26 @@ def insert_new_stream(spark: SparkSession, stream: DataFrame, target: str, check
     return run(w, **trigger)
 
 
+def route_stream(spark: SparkSession, messages: DataFrame, schemas: dict, targets: dict,
+                 checkpoint: str, **trigger):
+    """Topic stream -> one table per topic. Each micro-batch is persisted once
+    and split by topic inside ``foreachBatch`` (one read of the source per
+    batch, however many targets); malformed values are not written."""
+    from marketpulse.operators.ingest import route
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for topic, parsed in route(batch, schemas).items():
+                good = parsed.filter(~F.col("_bad")).drop("_bad")
+                good.write.mode("append").parquet(targets[topic])
+        finally:
+            batch.unpersist()
+
+    w = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return run(w, **trigger)
+
+
 def read_output(spark: SparkSession, path: str, schema) -> DataFrame:
     if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
