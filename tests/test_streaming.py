@@ -63,3 +63,26 @@ def test_stateful_lag_with_rocksdb_state(spark):
         assert got.exceptAll(batch.select(*got.columns)).count() == 0
     finally:
         spark.conf.set(key, old)
+
+
+def test_listener_collects_progress(spark):
+    import time
+    from marketpulse.plans.social import enriched_posts
+    from marketpulse.streaming.monitor import ProgressCollector
+    listener = ProgressCollector()
+    spark.streams.addListener(listener)
+    try:
+        src, out = scratch_path(spark, "l-posts"), scratch_path(spark, "l-out")
+        e = enriched_posts(spark, SF_SMALL).withColumn("_t", F.timestamp_seconds("created_utc"))
+        J.stage_files(e, src, "_t", 2)
+        q = J.append_stream(J.posts_stream(J.read_stream(spark, src, e.schema).drop("_t")), out,
+                            scratch_path(spark, "l-chk"))
+        n = e.count()
+        for _ in range(50):
+            if listener.summary(str(q.id))["input_rows"] >= n:
+                break
+            time.sleep(0.2)
+        s = listener.summary(str(q.id))
+        assert s["input_rows"] == n and s["observed"]["ingest"]["consumed"] == n
+    finally:
+        spark.streams.removeListener(listener)
