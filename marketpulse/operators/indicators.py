@@ -181,10 +181,28 @@ def largest_series(df: DataFrame, partition_cols: Sequence[str]) -> int:
     return int(row[0] or 0)
 
 
+BUCKET_LEVELS = ("day", "hour", "minute", "second")
+
+
+def choose_bucket(df: DataFrame, partition_cols: Sequence[str], time_col: str,
+                  bucket_row_limit: int) -> Column:
+    """The coarsest calendar bucket (day, hour, minute, second) whose fullest
+    (series, bucket) holds at most ``bucket_row_limit`` rows, so the
+    ``row_number`` that numbers rows inside a bucket never becomes one huge
+    task. One small aggregate per level tried."""
+    for level in BUCKET_LEVELS:
+        b = F.date_trunc(level, F.col(time_col))
+        top = (df.groupBy(*partition_cols, b.alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.max("n")).first()[0])
+        if top is None or top <= bucket_row_limit:
+            return b
+    return F.date_trunc(BUCKET_LEVELS[-1], F.col(time_col))
+
+
 def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
             compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int,
             chunk_rows: int = 8192, bucket: Column | None = None,
-            broadcast_limit: int = 2_000_000) -> DataFrame:
+            broadcast_limit: int = 2_000_000, bucket_row_limit: int = 2_000_000) -> DataFrame:
     """Run ``compute(df, partition_cols)`` on halo-extended row chunks.
 
     1. rows per (series, bucket) - a small partial aggregate - and their
@@ -196,15 +214,15 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
        the second copy marked as halo of the next chunk;
     4. ``compute`` runs with the chunk as an extra partition key; halo rows go.
 
-    ``bucket`` must be non-decreasing in the ordering (default: calendar day
-    of the first ordering column); a finer bucket bounds the row_number task
-    for very dense series.
+    ``bucket`` must be non-decreasing in the ordering; by default it is the
+    coarsest calendar unit of the first ordering column whose fullest bucket
+    has at most ``bucket_row_limit`` rows (``choose_bucket``).
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     pcols = list(partition_cols)
     if bucket is None:
-        bucket = F.to_date(F.col(order_cols[0]))
+        bucket = choose_bucket(df, pcols, order_cols[0], bucket_row_limit)
     with_b = df.withColumn("_bucket", bucket)
     counts = with_b.groupBy(*pcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

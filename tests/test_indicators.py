@@ -103,3 +103,17 @@ def test_auto_chunks_a_hot_ticker(spark):
     cols = ["ticker", "datetime"] + I.SILVER_COLUMNS
     assert sorted(tuple(r) for r in plain.select(*cols).collect()) == \
         sorted(tuple(r) for r in auto.select(*cols).collect())
+
+
+def test_dense_day_gets_a_finer_bucket(spark):
+    closes = [float(i % 17 + 1) for i in range(300)]           # 300 rows, 13 hours, one day
+    df = bars(spark, closes).withColumn(
+        "datetime", (F.col("datetime").cast("timestamp") - F.expr("interval 0 seconds")).cast("timestamp_ntz"))
+    df = df.withColumn("datetime", F.timestamp_seconds(
+        F.unix_seconds(F.col("datetime").cast("timestamp")) / 3600 * 150).cast("timestamp_ntz"))
+    b = I.choose_bucket(df, ["ticker"], "datetime", bucket_row_limit=100)
+    sizes = df.groupBy(b.alias("b")).count().agg(F.max("count")).first()[0]
+    assert sizes <= 100
+    plain = I.with_indicators(df, strategy="partition")
+    halo = I.with_indicators(df, strategy="chunked", chunk_rows=200)
+    assert _cmp(plain, halo)
