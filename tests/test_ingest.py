@@ -56,3 +56,14 @@ def test_route_counts_bad_messages(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [tuple(r) for r in G.duplicate_keys(df, ["k"]).collect()] == [(1, 2)]
+
+
+def test_keep_first_fixed_width_is_row_consistent(spark):
+    """Per-column min_by on the same arrival key never mixes two rows, even
+    when arrivals tie."""
+    rows = [(k, v, v * 10, a) for k in range(50) for v, a in [(1, 0), (2, 0), (3, 1), (4, 0)]]
+    df = spark.createDataFrame(rows, "k long, v long, w long, arrival int").repartition(7)
+    out = G.keep_first(df, ["k"], ["arrival"])
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        assert r.w == r.v * 10 and r.arrival == 0
