@@ -184,19 +184,32 @@ def largest_series(df: DataFrame, partition_cols: Sequence[str]) -> int:
 BUCKET_LEVELS = ("day", "hour", "minute", "second")
 
 
-def choose_bucket(df: DataFrame, partition_cols: Sequence[str], time_col: str,
-                  bucket_row_limit: int) -> Column:
-    """The coarsest calendar bucket (day, hour, minute, second) whose fullest
-    (series, bucket) holds at most ``bucket_row_limit`` rows, so the
-    ``row_number`` that numbers rows inside a bucket never becomes one huge
-    task. One small aggregate per level tried."""
+def bucket_counts(df: DataFrame, partition_cols: Sequence[str], time_col: str,
+                  bucket_row_limit: int) -> tuple[Column, DataFrame]:
+    """Rows per (series, calendar bucket) for the coarsest unit (day, hour,
+    minute, second) whose fullest bucket holds at most ``bucket_row_limit``
+    rows, so numbering rows inside a bucket never becomes one huge task.
+
+    Returns the bucket expression and its cached count table (one small
+    aggregate per level tried; the table is reused for the row offsets)."""
+    counts = None
     for level in BUCKET_LEVELS:
+        if counts is not None:
+            counts.unpersist()
         b = F.date_trunc(level, F.col(time_col))
-        top = (df.groupBy(*partition_cols, b.alias("_b")).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n")).first()[0])
+        counts = (df.groupBy(*partition_cols, b.alias("_bucket"))
+                  .agg(F.count(F.lit(1)).alias("_n")).cache())
+        top = counts.agg(F.max("_n")).first()[0]
         if top is None or top <= bucket_row_limit:
-            return b
-    return F.date_trunc(BUCKET_LEVELS[-1], F.col(time_col))
+            break
+    return b, counts
+
+
+def choose_bucket(df: DataFrame, partition_cols: Sequence[str], time_col: str,
+                  bucket_row_limit: int) -> Column:
+    b, counts = bucket_counts(df, partition_cols, time_col, bucket_row_limit)
+    counts.unpersist()
+    return b
 
 
 def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
@@ -205,8 +218,8 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
             broadcast_limit: int = 2_000_000, bucket_row_limit: int = 2_000_000) -> DataFrame:
     """Run ``compute(df, partition_cols)`` on halo-extended row chunks.
 
-    1. rows per (series, bucket) - a small partial aggregate - and their
-       running sum give each bucket's first row offset in the series;
+    1. rows per (series, bucket) - a small partial aggregate, cached - and
+       their running sum give each bucket's first row offset in the series;
     2. the offsets are joined back (broadcast only when the counted number of
        buckets is below ``broadcast_limit``, a shuffle join otherwise) and
        ``row_number`` within the bucket gives the row's global position;
@@ -216,19 +229,20 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
 
     ``bucket`` must be non-decreasing in the ordering; by default it is the
     coarsest calendar unit of the first ordering column whose fullest bucket
-    has at most ``bucket_row_limit`` rows (``choose_bucket``).
+    has at most ``bucket_row_limit`` rows (``bucket_counts``).
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     pcols = list(partition_cols)
     if bucket is None:
-        bucket = choose_bucket(df, pcols, order_cols[0], bucket_row_limit)
+        bucket, counts = bucket_counts(df, pcols, order_cols[0], bucket_row_limit)
+    else:
+        counts = (df.groupBy(*pcols, bucket.alias("_bucket"))
+                  .agg(F.count(F.lit(1)).alias("_n")).cache())
     with_b = df.withColumn("_bucket", bucket)
-    counts = with_b.groupBy(*pcols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*pcols, "_bucket",
-                            F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off")).cache()
-    n_buckets = offsets.count()
+    offsets = counts.select(*pcols, "_bucket", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+    n_buckets = counts.count()
     right = F.broadcast(offsets) if n_buckets <= broadcast_limit else offsets
     joined = with_b.join(right, [*pcols, "_bucket"])
     wr = Window.partitionBy(*pcols, "_bucket").orderBy(*order_cols)
