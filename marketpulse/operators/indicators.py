@@ -11,11 +11,11 @@ Two physical strategies give the same rows:
 * ``partition``: one window partition per series. Many series spread over
   many tasks.
 * ``chunked``: one very long series (or one hot ticker holding a large share
-  of all rows) is cut into chunks of ``chunk_rows`` consecutive rows; the last
-  ``lookback`` rows of each chunk are copied into the next one as read-only
-  context (a halo). Indicators are then computed per (series, chunk) and halo
-  rows dropped. Exact because no indicator looks further back than
-  ``lookback`` rows.
+  of all rows) is cut into chunks of consecutive calendar buckets; the
+  buckets covering the last ``lookback`` rows of each chunk are copied into
+  the next one as read-only context (a halo). Indicators are then computed
+  per (series, chunk) and halo rows dropped. Exact because no indicator looks
+  further back than ``lookback`` rows; the data is shuffled once.
 
 ``strategy="auto"`` measures the largest series (one small aggregate) and
 chooses.
@@ -185,75 +185,89 @@ BUCKET_LEVELS = ("day", "hour", "minute", "second")
 
 
 def bucket_counts(df: DataFrame, partition_cols: Sequence[str], time_col: str,
-                  bucket_row_limit: int) -> tuple[Column, DataFrame]:
-    """Rows per (series, calendar bucket) for the coarsest unit (day, hour,
+                  bucket_row_limit: int, max_buckets_per_series: int = 1_000_000):
+    """Rows per (series, calendar bucket), for the coarsest unit (day, hour,
     minute, second) whose fullest bucket holds at most ``bucket_row_limit``
-    rows, so numbering rows inside a bucket never becomes one huge task.
+    rows - unless going finer would give a series more than
+    ``max_buckets_per_series`` buckets, in which case the coarser unit stays.
 
-    Returns the bucket expression and its cached count table (one small
-    aggregate per level tried; the table is reused for the row offsets)."""
-    counts = None
+    Returns (bucket expression, cached count table, fullest bucket). One
+    small aggregate per level tried."""
+    chosen = None
     for level in BUCKET_LEVELS:
-        if counts is not None:
-            counts.unpersist()
         b = F.date_trunc(level, F.col(time_col))
         counts = (df.groupBy(*partition_cols, b.alias("_bucket"))
                   .agg(F.count(F.lit(1)).alias("_n")).cache())
-        top = counts.agg(F.max("_n")).first()[0]
-        if top is None or top <= bucket_row_limit:
+        stats = counts.groupBy(*partition_cols).agg(F.max("_n").alias("top"),
+                                                     F.count(F.lit(1)).alias("k"))
+        row = stats.agg(F.max("top"), F.max("k")).first()
+        top, k = int(row[0] or 0), int(row[1] or 0)
+        if chosen is not None and k > max_buckets_per_series:
+            counts.unpersist()
             break
-    return b, counts
-
-
-def choose_bucket(df: DataFrame, partition_cols: Sequence[str], time_col: str,
-                  bucket_row_limit: int) -> Column:
-    b, counts = bucket_counts(df, partition_cols, time_col, bucket_row_limit)
-    counts.unpersist()
-    return b
+        if chosen is not None:
+            chosen[1].unpersist()
+        chosen = (b, counts, top)
+        if top <= bucket_row_limit:
+            break
+    return chosen
 
 
 def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
             compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int,
             chunk_rows: int = 8192, bucket: Column | None = None,
-            broadcast_limit: int = 2_000_000, bucket_row_limit: int = 2_000_000) -> DataFrame:
-    """Run ``compute(df, partition_cols)`` on halo-extended row chunks.
-
-    1. rows per (series, bucket) - a small partial aggregate, cached - and
-       their running sum give each bucket's first row offset in the series;
-    2. the offsets are joined back (broadcast only when the counted number of
-       buckets is below ``broadcast_limit``, a shuffle join otherwise) and
-       ``row_number`` within the bucket gives the row's global position;
-    3. rows in the last ``lookback`` positions of a chunk are emitted twice,
-       the second copy marked as halo of the next chunk;
-    4. ``compute`` runs with the chunk as an extra partition key; halo rows go.
-
-    ``bucket`` must be non-decreasing in the ordering; by default it is the
-    coarsest calendar unit of the first ordering column whose fullest bucket
-    has at most ``bucket_row_limit`` rows (``bucket_counts``).
+            broadcast_limit: int = 2_000_000, bucket_row_limit: int = 1_000_000) -> DataFrame:
+    """Run ``compute(df, partition_cols)`` on halo-extended chunks of a series.
+
+    Work happens on the small (series, bucket) count table; the rows are
+    joined to it once and shuffled once, by (series, chunk):
+
+    1. counts per (series, bucket) and their running sum give each bucket's
+       first row offset ``off`` and end ``off + n`` within its series;
+    2. a bucket belongs to chunk ``floor(off / C)``; it is also sent to the
+       next chunk as halo when it overlaps the last ``lookback`` rows of its
+       chunk;
+    3. ``compute`` runs with the chunk as an extra partition key; halo rows
+       are dropped.
+
+    Exactness: with B the fullest bucket and ``C >= B + lookback`` every
+    chunk before the last has more than C - B >= lookback rows (its first
+    bucket starts before kC + B, the next chunk at or after (k+1)C), so the
+    rows any indicator reads before a chunk's first row all lie in the
+    previous chunk's halo buckets. ``C`` is ``chunk_rows`` when that holds,
+    else 8 * (B + lookback), which keeps halo copies under 1/8 of the rows.
+
+    ``bucket`` must be non-decreasing in the ordering; by default it is chosen
+    by ``bucket_counts``. The bucket table is broadcast only when its counted
+    size is under ``broadcast_limit`` rows; otherwise it is a shuffle join.
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     pcols = list(partition_cols)
     if bucket is None:
-        bucket, counts = bucket_counts(df, pcols, order_cols[0], bucket_row_limit)
+        bucket, counts, top = bucket_counts(df, pcols, order_cols[0], bucket_row_limit)
     else:
         counts = (df.groupBy(*pcols, bucket.alias("_bucket"))
                   .agg(F.count(F.lit(1)).alias("_n")).cache())
-    with_b = df.withColumn("_bucket", bucket)
-    wb = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*pcols, "_bucket", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+        top = int(counts.agg(F.max("_n")).first()[0] or 0)
+    size = chunk_rows if top + lookback <= chunk_rows else 8 * (top + lookback)
+    before = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    t = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    t = t.withColumns({"_chunk": F.floor(F.col("_off") / F.lit(size)),
+                       "_end": F.col("_off") + F.col("_n")})
+    t = t.withColumns({"_chunk_end": F.max("_end").over(Window.partitionBy(*pcols, "_chunk")),
+                       "_series_end": F.max("_end").over(Window.partitionBy(*pcols))})
+    # the last chunk of a series has no successor to feed
+    halo = ((F.col("_end") > F.col("_chunk_end") - F.lit(lookback))
+            & (F.col("_chunk_end") < F.col("_series_end")))
+    t = t.select(*pcols, "_bucket", F.when(halo, F.array(F.col("_chunk"), F.col("_chunk") + 1))
+                 .otherwise(F.array(F.col("_chunk"))).alias("_targets"))
     n_buckets = counts.count()
-    right = F.broadcast(offsets) if n_buckets <= broadcast_limit else offsets
-    joined = with_b.join(right, [*pcols, "_bucket"])
-    wr = Window.partitionBy(*pcols, "_bucket").orderBy(*order_cols)
-    idx = F.col("_off") + F.row_number().over(wr) - 1
-    pos = joined.withColumn("_idx", idx)
-    chunk = F.floor(F.col("_idx") / F.lit(chunk_rows))
-    in_halo = (F.col("_idx") % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    targets = F.when(in_halo, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = pos.select("*", F.posexplode(targets).alias("_copy", "_chunk"))
+    right = F.broadcast(t) if n_buckets <= broadcast_limit else t
+    joined = df.withColumn("_bucket", bucket).join(right, [*pcols, "_bucket"])
+    spread = joined.select("*", F.posexplode("_targets").alias("_copy", "_chunk")).drop("_targets")
     out = compute(spread, pcols + ["_chunk"])
-    return out.filter(F.col("_copy") == 0).drop("_bucket", "_off", "_idx", "_copy", "_chunk")
+    return out.filter(F.col("_copy") == 0).drop("_bucket", "_copy", "_chunk")
 
 
 def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),

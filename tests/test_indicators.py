@@ -111,9 +111,32 @@ def test_dense_day_gets_a_finer_bucket(spark):
         "datetime", (F.col("datetime").cast("timestamp") - F.expr("interval 0 seconds")).cast("timestamp_ntz"))
     df = df.withColumn("datetime", F.timestamp_seconds(
         F.unix_seconds(F.col("datetime").cast("timestamp")) / 3600 * 150).cast("timestamp_ntz"))
-    b = I.choose_bucket(df, ["ticker"], "datetime", bucket_row_limit=100)
+    b, counts, top = I.bucket_counts(df, ["ticker"], "datetime", bucket_row_limit=100)
     sizes = df.groupBy(b.alias("b")).count().agg(F.max("count")).first()[0]
-    assert sizes <= 100
+    assert sizes == top <= 100 and counts.count() > 1
     plain = I.with_indicators(df, strategy="partition")
     halo = I.with_indicators(df, strategy="chunked", chunk_rows=200)
     assert _cmp(plain, halo)
+    # a day bucket of 300 rows forces chunks of 8 * (300 + 199) rows: still exact
+    fine = I.chunked(df, ["ticker"], ["datetime"], lambda f, k: I.add_all(f, k, ["datetime"]),
+                     I.lookback_rows(), chunk_rows=256, bucket=F.to_date("datetime"))
+    assert _cmp(plain, fine)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(gaps=st.lists(st.integers(min_value=0, max_value=45), min_size=250, max_size=900),
+       chunk=st.sampled_from([200, 230, 300, 512]), seed=st.integers(min_value=0, max_value=999))
+def test_halo_with_uneven_buckets(spark, gaps, chunk, seed):
+    """Buckets with 0..many rows each (ticks minutes apart, hourly buckets)."""
+    import random
+    rnd = random.Random(seed)
+    rows, t = [], T0
+    for i, g in enumerate(gaps):
+        t = t + timedelta(minutes=g, seconds=1)
+        c = Decimal(str(round(rnd.uniform(1, 100), 2)))
+        rows.append(("T", t, c, c, c, c, 1))
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = I.with_indicators(df, strategy="partition")
+    halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk,
+                             bucket=F.date_trunc("hour", "datetime"))
+    assert _cmp(plain, halo)
