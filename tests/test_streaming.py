@@ -31,6 +31,14 @@ def test_bars_stream_restart_equals_batch(spark):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def test_stream_insert_target_has_unique_keys(spark):
+    import __spark_entry__ as entry
+    from marketpulse.operators.ingest import duplicate_keys
+    t = entry.queries()["stream_insert_new"](spark, SF_SMALL)
+    assert t.count() == X.ticks(spark, SF_SMALL).count()
+    assert duplicate_keys(t, ["ticker", "datetime", "tie_key"]).count() == 0
+
+
 def test_stateful_lag_survives_batches(spark):
     import __spark_entry__ as entry
     got = entry.queries()["stream_pct_change"](spark, SF_SMALL)
