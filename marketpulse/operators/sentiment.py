@@ -65,6 +65,14 @@ def matched_words(text: Column, lexicon: dict[str, int]) -> Column:
     return F.filter(tokens(text), lambda t: F.map_contains_key(m, t))
 
 
+def has_any_word(text: Column, words) -> Column:
+    """True when any of ``words`` occurs as a whole token (letters-only
+    tokens, case-insensitive): one regex test, no token array."""
+    alt = "|".join(sorted({w.lower() for w in words}, key=lambda w: (-len(w), w)))
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return low.rlike(rf"(?<!\p{{L}})({alt})(?!\p{{L}})")
+
+
 def valence_stats(text: Column, lexicon: dict[str, int] = LEXICON_TENTHS) -> Column:
     """struct(sum, matched) of lexicon valences (tenths) over all tokens."""
     m = _lexicon_map(lexicon)

@@ -85,8 +85,7 @@ def topic_posts(posts: DataFrame, topic_communities: Sequence[str], keywords: Se
     ``row_number() <= N`` lets Spark insert a per-partition group limit before
     the shuffle, so a community with a huge backlog ships only N rows per task."""
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
-    kw = F.array(*[F.lit(k.lower()) for k in keywords])
-    match = F.arrays_overlap(S.tokens(text), kw)
+    match = S.has_any_word(text, keywords)
     keep = posts.filter(F.col("subreddit").isin(list(topic_communities)) | match)
     w = F.row_number().over(Window.partitionBy("subreddit")
                             .orderBy(F.col("created_utc").desc(), F.col("id")))
