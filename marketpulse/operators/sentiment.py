@@ -73,15 +73,6 @@ def has_any_word(text: Column, words) -> Column:
     return low.rlike(rf"(?<!\p{{L}})({alt})(?!\p{{L}})")
 
 
-def valence_stats(text: Column, lexicon: dict[str, int] = LEXICON_TENTHS) -> Column:
-    """struct(sum, matched) of lexicon valences (tenths) over all tokens."""
-    m = _lexicon_map(lexicon)
-    hits = matched_words(text, lexicon)
-    total = F.aggregate(hits, F.lit(0).cast("long"),
-                        lambda acc, t: acc + F.element_at(m, t).cast("long"))
-    return F.struct(total.alias("s"), F.size(hits).cast("long").alias("n"))
-
-
 def compound_from(s_tenths: Column, alpha: int = ALPHA) -> Column:
     s = s_tenths.cast("double") / F.lit(10.0)
     return F.when(s_tenths == 0, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(float(alpha))))

@@ -63,8 +63,11 @@ def valid_posts(posts: DataFrame) -> DataFrame:
 
 
 def in_range(df: DataFrame, col: str, start, end) -> DataFrame:
-    """Inclusive [start, end] on a time column (pushed to the scan)."""
-    return df.filter(F.col(col).between(F.lit(start), F.lit(end)))
+    """Inclusive [start, end] on a time column (pushed to the scan when the
+    column is stored)."""
+    lo = start if isinstance(start, Column) else F.lit(start)
+    hi = end if isinstance(end, Column) else F.lit(end)
+    return df.filter(F.col(col).between(lo, hi))
 
 
 def created_ts(col: str = "created_utc") -> Column:
@@ -124,12 +127,13 @@ def enrich(posts: DataFrame, authors: DataFrame, author: str = "author",
     return j.select(*keep)
 
 
-def with_account_age(df: DataFrame, as_of_epoch: int, created: str = "author_created_utc") -> DataFrame:
-    """Whole days between the author's creation and ``as_of``; null when the
-    creation time is 0 or missing."""
+def with_account_age(df: DataFrame, as_of_epoch, created: str = "author_created_utc") -> DataFrame:
+    """Whole days between the author's creation and ``as_of`` (epoch seconds:
+    a number or a scalar Column such as ``posts.select(max(...)).scalar()``);
+    null when the creation time is 0 or missing."""
+    as_of = as_of_epoch if isinstance(as_of_epoch, Column) else F.lit(int(as_of_epoch))
     c = F.nullif(F.col(created), F.lit(0))
-    age = F.floor((F.lit(int(as_of_epoch)) - c) / F.lit(86400))
-    return df.withColumn("author_account_age_days", age)
+    return df.withColumn("author_account_age_days", F.floor((as_of - c) / F.lit(86400)))
 
 
 # --- features -------------------------------------------------------------------

@@ -93,9 +93,7 @@ from silver"""
 def enriched_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = X.posts(spark, sf_dir)
     e = P.enrich(posts, X.authors(spark, sf_dir))
-    as_of = posts.select(F.max("created_utc")).scalar()
-    return e.withColumn("author_account_age_days",
-                        F.floor((as_of - F.nullif(F.col("author_created_utc"), F.lit(0))) / F.lit(86400)))
+    return P.with_account_age(e, posts.select(F.max("created_utc")).scalar())
 
 
 def posts_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +121,7 @@ def q_posts_in_range(spark, sf_dir):
     p = X.posts(spark, sf_dir).withColumn("_ts", P.created_ts())
     start = F.lit(RANGE_START).cast("timestamp")
     end = F.lit(RANGE_END).cast("timestamp")
-    return p.filter(F.col("_ts").between(start, end)).select("id", "created_utc")
+    return P.in_range(p, "_ts", start, end).select("id", "created_utc")
 
 
 @register("real_authors", O.with_(O.POSTS)

@@ -67,3 +67,9 @@ def test_keep_first_fixed_width_is_row_consistent(spark):
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
     for r in out.collect():
         assert r.w == r.v * 10 and r.arrival == 0
+
+
+def test_parse_bar_time_text(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-02T03:04:05",), (None,)], "datetime string")
+    r = [x.datetime for x in G.parse_bar_time(df).collect()]
+    assert r[0] == datetime(2024, 1, 2, 3, 4, 5) and r[1] is None and r[2] is None
