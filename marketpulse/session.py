@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,9 +68,38 @@ def get_session(master: str | None = None, app: str = "marketpulse",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_runtime_defaults(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``marketpulse`` importable in the Python workers (pandas UDFs,
+    ``applyInPandasWithState``) by zipping it once per application and
+    adding it with ``addPyFile``; Spark distributes it to every executor."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    local_root = root[len("file:"):] if root.startswith("file:") else root
+    target_dir = local_root if "://" not in local_root else tempfile.mkdtemp(prefix="marketpulse-py-")
+    os.makedirs(target_dir, exist_ok=True)
+    path = os.path.join(target_dir, f"marketpulse-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def apply_runtime_defaults(spark: SparkSession) -> None:
     """Set the SQL defaults on an existing session (e.g. the driver's)."""
     for k, v in SESSION_DEFAULTS.items():

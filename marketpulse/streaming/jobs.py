@@ -89,7 +89,10 @@ LAG_STATE = "last_datetime timestamp, last_close_cents long"
 def _lag_step(key, frames, state):
     """Per ticker and micro-batch: order the new bars, attach the previous
     close (from state for the first one), remember the last bar."""
-    pdf = pd.concat(list(frames), ignore_index=True)
+    parts = [f for f in frames if not f.empty]
+    if not parts:
+        return
+    pdf = pd.concat(parts, ignore_index=True)
     if state.exists:
         last_dt, last_cents = state.get
     else:
@@ -111,6 +114,8 @@ def _lag_step(key, frames, state):
 def lag_stream(bars: DataFrame) -> DataFrame:
     """Previous close per ticker across micro-batches, then PrctChange and
     Direction with the batch expressions."""
+    from marketpulse.session import ship_package
+    ship_package(bars.sparkSession)      # the state function runs in Python workers
     b = bars.withColumn("close_cents", (F.col("close").cast(EXACT) * 100).cast("long"))
     out = b.groupBy("ticker").applyInPandasWithState(
         _lag_step, LAG_OUT, LAG_STATE, "append", GroupStateTimeout.NoTimeout)
