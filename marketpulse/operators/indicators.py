@@ -289,3 +289,16 @@ def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
     if strategy == "chunked":
         return chunked(df, pcols, ocols, compute, lookback_rows(), chunk_rows, bucket)
     raise ValueError(f"unknown strategy {strategy!r}")
+
+
+# Bronze metadata the silver job discards.
+BRONZE_ONLY = ["interval", "scraped_at"]
+
+
+def market_silver_from_bronze(bronze: DataFrame, strategy: str = "auto", **kwargs) -> DataFrame:
+    """The silver job on bronze bars as the ingest layer stores them: text
+    ``datetime`` parsed (malformed text becomes null and sorts first), bronze
+    metadata dropped, indicators added per ticker."""
+    from marketpulse.operators.ingest import drop_columns, parse_bar_time
+    bars = drop_columns(parse_bar_time(bronze), BRONZE_ONLY)
+    return with_indicators(bars, ["ticker"], ["datetime"], strategy=strategy, **kwargs)

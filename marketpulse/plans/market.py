@@ -175,3 +175,25 @@ def q_market_silver_long(spark, sf_dir):
                        "low": F.col("price"), "close": F.col("price")})
     df = I.with_indicators(t, [], ["datetime", "tie_key"], strategy="chunked")
     return _wide_out(df)
+
+
+def bronze_bars(spark, sf_dir) -> DataFrame:
+    """Daily bars stored the way the ingest layer writes them: text time,
+    2-decimal prices, integer volume, constant metadata."""
+    from marketpulse.operators.ingest import BAR_TIME_FORMAT, with_metadata
+    d = B.ohlcv_bars(X.ticks(spark, sf_dir), "1 day", label="start")
+    d = as_double(d).withColumn("datetime", F.date_format("datetime", BAR_TIME_FORMAT))
+    return with_metadata(d, {"scraped_at": "2025-12-28T16:43:10", "interval": "1d"})
+
+
+_DAILY_START = O.bars_cte("bars_1d", "1 day").replace(
+    "time_bucket(interval '1 day', datetime) + interval '1 day'", "time_bucket(interval '1 day', datetime)")
+
+
+@register("market_silver_bronze", _silver_oracle([O.TICKS, _DAILY_START], "bars_1d", ["ticker"],
+                                                 ["datetime"], _BAR_KEEP))
+def q_market_silver_bronze(spark, sf_dir):
+    """The reference's silver job shape: bronze daily bars (text time,
+    metadata) -> parsed, metadata dropped, all indicators per ticker."""
+    silver = I.market_silver_from_bronze(bronze_bars(spark, sf_dir), strategy="partition")
+    return as_double(silver).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
