@@ -43,21 +43,28 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame | None, key: Sequence[str],
-             arrival: Sequence[str] | None = None, range_col: str | None = None) -> DataFrame:
+             arrival: Sequence[str] | None = None, range_col: str | None = None,
+             partition_col: str | None = None) -> DataFrame:
     """Incoming rows whose key is not stored yet, one row per key.
 
     Duplicates inside the incoming batch are removed first (first arrival
-    wins); ``range_col`` bounds the stored side to the incoming min..max."""
+    wins); ``range_col`` bounds the stored side to the incoming min..max.
+    When the stored table is partitioned by the calendar date of
+    ``range_col`` (``partition_col``), the same bounds prune whole partitions
+    at scan time (scalar subqueries are evaluated before the file listing)."""
     key = list(key)
     fresh = keep_first(incoming, key, arrival or key)
     if existing is None:
         return fresh
-    stored = existing.select(*key)
+    stored = existing
     if range_col:
-        # one scalar subquery for both bounds, evaluated once in the same plan
         bounds = incoming.select(F.struct(F.min(range_col).alias("lo"),
                                           F.max(range_col).alias("hi"))).scalar()
+        if partition_col:
+            stored = stored.filter(F.col(partition_col).between(F.to_date(bounds["lo"]),
+                                                                F.to_date(bounds["hi"])))
         stored = stored.filter(F.col(range_col).between(bounds["lo"], bounds["hi"]))
+    stored = stored.select(*key)
     # A stored key repeated many times collapses map-side; the aggregate's
     # hash partitioning on the key is reused by the anti-join.
     return fresh.join(stored.distinct(), key, "left_anti")
@@ -67,9 +74,12 @@ def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequenc
                arrival: Sequence[str] | None = None, range_col: str | None = None,
                fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> int:
     """Append only rows with unseen keys to the table at ``path``; returns the
-    number inserted (0 when everything is already there)."""
+    number inserted (0 when everything is already there). With a single
+    ``partition_by`` column holding the date of ``range_col``, stored
+    partitions outside the incoming range are not read."""
     existing = spark.read.format(fmt).load(path) if table_exists(spark, path) else None
-    rows = new_rows(incoming, existing, key, arrival, range_col)
+    pcol = partition_by[0] if partition_by and len(partition_by) == 1 and range_col else None
+    rows = new_rows(incoming, existing, key, arrival, range_col, partition_col=pcol)
     obs = Observation("inserted")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     write_table(rows, path, fmt, "append", partition_by)

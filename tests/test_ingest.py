@@ -73,3 +73,23 @@ def test_parse_bar_time_text(spark):
     df = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-02T03:04:05",), (None,)], "datetime string")
     r = [x.datetime for x in G.parse_bar_time(df).collect()]
     assert r[0] == datetime(2024, 1, 2, 3, 4, 5) and r[1] is None and r[2] is None
+
+
+def test_insert_new_prunes_stored_partitions(spark):
+    from marketpulse.sources import fixtures as X
+    from marketpulse.sources.sinks import new_rows
+    t = X.ticks(spark, "/root/testdata/sf0.001").withColumn("day", F.to_date("datetime"))
+    path = scratch_path(spark, "t-pp")
+    t.filter(F.col("tie_key") % 2 == 0).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    incoming = t.withColumn("arrival", F.lit(0)).filter(F.col("datetime") >= F.lit("2024-01-03").cast("timestamp_ntz"))
+    key = ["ticker", "datetime", "tie_key"]
+    pruned = new_rows(incoming, stored, key, ["arrival"], range_col="datetime", partition_col="day")
+    plain = new_rows(incoming, stored, key, ["arrival"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "Subquery" in plan
+    assert sorted(map(tuple, pruned.select(*key).collect())) == sorted(map(tuple, plain.select(*key).collect()))
+    # appending through the partitioned path inserts nothing twice
+    target = scratch_path(spark, "t-pp2")
+    assert append_new(spark, incoming, target, key, ["arrival"], "datetime", partition_by=["day"]) == incoming.count()
+    assert append_new(spark, incoming, target, key, ["arrival"], "datetime", partition_by=["day"]) == 0
