@@ -356,3 +356,23 @@ def q_insert_new_posts(spark, sf_dir):
     incoming = p.withColumn("arrival", F.lit(0)).unionByName(again)
     stored = p.filter(F.col("id").cast("long") % 3 == 0)
     return new_rows(incoming, stored, ["id"], ["arrival"]).select("id", "subreddit", "score")
+
+
+def bronze_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched posts as the ingest layer stores them, with the descriptive
+    columns the silver step discards."""
+    e = enriched_posts(spark, sf_dir)
+    did = F.col("id").cast("long")
+    return e.withColumns({
+        "permalink": F.concat(F.lit("/r/"), F.col("subreddit"), F.lit("/comments/"), F.col("id")),
+        "url": F.concat(F.lit("https://example.invalid/"), F.col("id")),
+        "over_18": did % 13 == 0, "is_self": F.lit(True), "locked": did % 17 == 0,
+        "edited": F.lit(False), "gilded": (did % 5).cast("long"), "spoiler": F.lit(False),
+        "archived": did % 11 == 0, "total_awards": (did % 3).cast("long"),
+    })
+
+
+@register("posts_silver_bronze", SOCIAL + SILVER_SELECT)
+def q_posts_silver_bronze(spark, sf_dir):
+    """Post silver from reference-shaped bronze: descriptive columns dropped."""
+    return silver_out(P.score_posts(bronze_posts(spark, sf_dir)))
