@@ -182,7 +182,11 @@ def route_stream(spark: SparkSession, messages: DataFrame, schemas: dict, target
                  checkpoint: str, **trigger):
     """Topic stream -> one table per topic. Each micro-batch is persisted once
     and split by topic inside ``foreachBatch`` (one read of the source per
-    batch, however many targets); malformed values are not written."""
+    batch, however many targets); malformed values are not written.
+
+    Every batch overwrites its own ``batch_id=<n>`` directory, so a batch
+    replayed after a failure replaces its earlier output instead of adding
+    to it."""
     from marketpulse.operators.ingest import route
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -190,7 +194,7 @@ def route_stream(spark: SparkSession, messages: DataFrame, schemas: dict, target
         try:
             for topic, parsed in route(batch, schemas).items():
                 good = parsed.filter(~F.col("_bad")).drop("_bad")
-                good.write.mode("append").parquet(targets[topic])
+                good.write.mode("overwrite").parquet(f"{targets[topic]}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
