@@ -53,3 +53,15 @@ def test_pandas_hook(spark):
     df = spark.createDataFrame([("ab",), (None,)], "t string")
     assert [r.s for r in df.select(scorer("t").alias("s")).collect()] == [2.0, 0.0]
     assert F is not None
+
+
+def test_large_lexicon_path_matches_regex_path(spark):
+    """Above the alternation limit the scorer tokenises; both paths agree."""
+    from marketpulse.sources import fixtures as X
+    big = dict(S.LEXICON_TENTHS)
+    big.update({f"zz{i}q": (i % 9) - 4 for i in range(S.ALTERNATION_LIMIT)})   # never occur
+    assert len(big) > S.ALTERNATION_LIMIT
+    posts = X.posts(spark, "/root/testdata/sf0.001").select("id", "selftext")
+    a = S.add_scores(posts).select("id", "VaderScore", "TextblobScore")
+    b = S.add_scores(posts, lexicon=big).select("id", "VaderScore", "TextblobScore")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
