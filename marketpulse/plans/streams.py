@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketpulse.operators import ingest as G
+from marketpulse.operators import social as P
 from marketpulse.operators import star as T
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
@@ -35,14 +36,20 @@ def _prices_double(df):
     return df.withColumns({c: F.col(c).cast("double") for c in ["open", "high", "low", "close"]})
 
 
-def run_bars_stream(spark, sf_dir):
-    """ticks files -> closed hourly bars (parquet). Returns (path, schema)."""
+def run_bars_stream(spark, sf_dir, every: str = "1 hour"):
+    """ticks arriving in time order -> closed bars (parquet). Returns (path, schema)."""
     src, out = scratch_path(spark, "ticks-in"), scratch_path(spark, "bars-out")
+    chk = scratch_path(spark, "bars-chk")
     ticks = _ticks_ts(spark, sf_dir)
-    J.stage_files(ticks, src, "datetime", N_FILES)
-    bars = J.bars_stream(J.read_stream(spark, src, ticks.schema))
-    J.append_stream(bars, out, scratch_path(spark, "bars-chk"))
-    return out, bars.schema
+    seen = {}
+
+    def once():
+        bars = J.bars_stream(J.read_stream(spark, src, ticks.schema), every=every)
+        seen["schema"] = bars.schema
+        J.append_stream(bars, out, chk)
+
+    J.feed_in_order(ticks, src, "datetime", N_FILES, once)
+    return out, seen["schema"]
 
 
 @register("stream_bars_1h", O.with_(O.TICKS, O.BARS_1H) + _BARS_OUT)
@@ -89,16 +96,22 @@ def q_stream_financial_fact(spark, sf_dir):
 
 
 def run_posts_stream(spark, sf_dir):
-    """Enriched bronze posts (with re-sent copies) -> silver posts stream."""
+    """Enriched bronze posts (with re-sent copies) arriving in event-time
+    order -> silver posts stream."""
     src, out = scratch_path(spark, "posts-in"), scratch_path(spark, "psilver-out")
-    e = enriched_posts(spark, sf_dir).withColumn("_t", F.timestamp_seconds("created_utc"))
+    chk = scratch_path(spark, "psilver-chk")
+    e = P.parse_created(enriched_posts(spark, sf_dir), out="_t")
     again = e.filter(F.col("id").cast("long") % 7 == 0)
     bronze = e.unionByName(again)
-    J.stage_files(bronze, src, "_t", N_FILES)
-    stream = J.read_stream(spark, src, bronze.schema).drop("_t")
-    silver = J.posts_stream(stream)
-    J.append_stream(silver, out, scratch_path(spark, "psilver-chk"))
-    return out, silver.schema
+    seen = {}
+
+    def once():
+        silver = J.posts_stream(J.read_stream(spark, src, bronze.schema).drop("_t"))
+        seen["schema"] = silver.schema
+        J.append_stream(silver, out, chk)
+
+    J.feed_in_order(bronze, src, "_t", N_FILES, once)
+    return out, seen["schema"]
 
 
 @register("stream_posts_silver", SOCIAL + SILVER_SELECT)
@@ -140,12 +153,8 @@ def q_stream_insert_new(spark, sf_dir):
           + _BARS_OUT.replace("bars_1h", "bars_5m"))
 def q_stream_bars_5min(spark, sf_dir):
     """The reference's 5-minute streaming buckets (full OHLCV), closed ones."""
-    src, out = scratch_path(spark, "ticks5-in"), scratch_path(spark, "bars5-out")
-    ticks = _ticks_ts(spark, sf_dir)
-    J.stage_files(ticks, src, "datetime", N_FILES)
-    bars = J.bars_stream(J.read_stream(spark, src, ticks.schema), every="5 minutes")
-    J.append_stream(bars, out, scratch_path(spark, "bars5-chk"))
-    b = J.read_output(spark, out, bars.schema)
+    out, schema = run_bars_stream(spark, sf_dir, every="5 minutes")
+    b = J.read_output(spark, out, schema)
     return _prices_double(b).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 

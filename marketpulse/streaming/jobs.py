@@ -34,23 +34,40 @@ from marketpulse.sources.sinks import append_new, table_exists
 DEFAULT_DELAY = "15 minutes"
 
 
-def stage_files(df: DataFrame, path: str, order_col: str, n_files: int) -> None:
-    """Write ``df`` as ``n_files`` appends in ``order_col`` order, so a file
-    stream sees the rows arrive in time order, one file per trigger.
-
-    Cut points are approximate quantiles of the order column (one small
-    aggregate); each slice is one append job."""
-    probs = [i / n_files for i in range(1, n_files)]
-    secs = F.unix_micros(F.col(order_col).cast("timestamp"))
-    cuts = df.select(F.percentile_approx(secs, probs, 10000).alias("q")).first()["q"] if probs else []
+def time_slices(df: DataFrame, order_col: str, n: int) -> list[DataFrame]:
+    """``df`` cut into ``n`` consecutive time ranges (cut points are
+    approximate quantiles of ``order_col``: one small aggregate)."""
+    probs = [i / n for i in range(1, n)]
+    micros = F.unix_micros(F.col(order_col).cast("timestamp"))
+    cuts = df.select(F.percentile_approx(micros, probs, 10000).alias("q")).first()["q"] if probs else []
     bounds = [None] + list(cuts) + [None]
+    out = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (secs > F.lit(lo))
+            cond = cond & (micros > F.lit(lo))
         if hi is not None:
-            cond = cond & (secs <= F.lit(hi))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+            cond = cond & (micros <= F.lit(hi))
+        out.append(df.filter(cond))
+    return out
+
+
+def stage_files(df: DataFrame, path: str, order_col: str, n_files: int) -> None:
+    """Write ``df`` as ``n_files`` time-ordered appends (one file each). A
+    file source may pick files written within the same second in any order,
+    so use ``feed_in_order`` when the job depends on arrival order."""
+    for part in time_slices(df, order_col, n_files):
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def feed_in_order(df: DataFrame, path: str, order_col: str, n_slices: int, run_once) -> None:
+    """Simulate data arriving over time: append one time slice to ``path``,
+    then ``run_once()`` (a query restarted from the same checkpoint with
+    ``availableNow``), and repeat. Every slice is processed after the ones
+    before it, whatever the file modification times."""
+    for part in time_slices(df, order_col, n_slices):
+        part.coalesce(1).write.mode("append").parquet(path)
+        run_once()
 
 
 def run(query_builder, trigger_available_now: bool = True, processing_time: str | None = None):
@@ -208,5 +225,5 @@ def read_output(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["stage_files", "bars_stream", "lag_stream", "posts_stream", "append_stream",
+__all__ = ["time_slices", "stage_files", "feed_in_order", "bars_stream", "lag_stream", "posts_stream", "append_stream",
            "insert_new_stream", "read_output", "keep_first"]

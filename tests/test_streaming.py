@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketpulse.operators import bars as B
+from marketpulse.operators import social as P
 from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
 from marketpulse.streaming import jobs as J
@@ -11,18 +12,15 @@ from conftest import SF_SMALL
 
 
 def test_bars_stream_restart_equals_batch(spark):
+    """Ticks arrive in four slices; the query is restarted from its checkpoint
+    after each one (availableNow), and the closed bars equal batch."""
     ticks = X.ticks(spark, SF_SMALL).withColumn("datetime", F.col("datetime").cast("timestamp"))
-    first, second = scratch_path(spark, "t-a"), scratch_path(spark, "t-b")
-    cut = ticks.select(F.percentile_approx("tie_key", 0.5)).first()[0]
-    J.stage_files(ticks.filter(F.col("tie_key") <= cut), first, "datetime", 2)
-    J.stage_files(ticks.filter(F.col("tie_key") > cut), second, "datetime", 2)
     src, out, chk = scratch_path(spark, "t-src"), scratch_path(spark, "t-out"), scratch_path(spark, "t-chk")
-    # first run sees half of the files, the second run (same checkpoint) the rest
-    spark.read.parquet(first).write.parquet(src)
-    J.append_stream(J.bars_stream(J.read_stream(spark, src, ticks.schema)), out, chk)
-    spark.read.parquet(second).write.mode("append").parquet(src)
-    J.append_stream(J.bars_stream(J.read_stream(spark, src, ticks.schema)), out, chk)
 
+    def once():
+        J.append_stream(J.bars_stream(J.read_stream(spark, src, ticks.schema)), out, chk)
+
+    J.feed_in_order(ticks, src, "datetime", 4, once)
     got = spark.read.parquet(out)
     max_ts = ticks.agg(F.max("datetime")).first()[0]
     want = B.ohlcv_bars(ticks, "1 hour").filter(
@@ -50,12 +48,12 @@ def test_stateful_lag_survives_batches(spark):
 def test_post_stream_observes_ingest_counters(spark):
     from marketpulse.plans.social import enriched_posts
     src, out = scratch_path(spark, "t-posts"), scratch_path(spark, "t-posts-out")
-    e = enriched_posts(spark, SF_SMALL).withColumn("_t", F.timestamp_seconds("created_utc"))
-    J.stage_files(e, src, "_t", 2)
+    e = P.parse_created(enriched_posts(spark, SF_SMALL), out="_t")
+    J.stage_files(e, src, "_t", 1)
     q = J.append_stream(J.posts_stream(J.read_stream(spark, src, e.schema).drop("_t")), out,
                         scratch_path(spark, "t-posts-chk"))
     c = J.ingest_counters(q)
-    assert c["consumed"] == e.count() and c["errors"] == 0 and c["batches"] >= 2
+    assert c["consumed"] == e.count() and c["errors"] == 0 and c["batches"] >= 1
     assert c["late_dropped"] == 0
 
 
@@ -81,8 +79,8 @@ def test_listener_collects_progress(spark):
     spark.streams.addListener(listener)
     try:
         src, out = scratch_path(spark, "l-posts"), scratch_path(spark, "l-out")
-        e = enriched_posts(spark, SF_SMALL).withColumn("_t", F.timestamp_seconds("created_utc"))
-        J.stage_files(e, src, "_t", 2)
+        e = P.parse_created(enriched_posts(spark, SF_SMALL), out="_t")
+        J.stage_files(e, src, "_t", 1)
         q = J.append_stream(J.posts_stream(J.read_stream(spark, src, e.schema).drop("_t")), out,
                             scratch_path(spark, "l-chk"))
         n = e.count()
@@ -101,10 +99,6 @@ def test_stateful_lag_restart_from_checkpoint(spark):
     resume from their checkpoints with the rest: equal to batch."""
     import __spark_entry__ as entry
     ticks = X.ticks(spark, SF_SMALL).withColumn("datetime", F.col("datetime").cast("timestamp"))
-    cut = ticks.select(F.percentile_approx(F.unix_micros("datetime"), 0.5)).first()[0]
-    first, second = scratch_path(spark, "r-a"), scratch_path(spark, "r-b")
-    J.stage_files(ticks.filter(F.unix_micros("datetime") <= cut), first, "datetime", 2)
-    J.stage_files(ticks.filter(F.unix_micros("datetime") > cut), second, "datetime", 2)
     src = scratch_path(spark, "r-src")
     bars_out, bars_chk = scratch_path(spark, "r-bars"), scratch_path(spark, "r-bars-chk")
     lag_out, lag_chk = scratch_path(spark, "r-lag"), scratch_path(spark, "r-lag-chk")
@@ -114,10 +108,7 @@ def test_stateful_lag_restart_from_checkpoint(spark):
         J.append_stream(bars, bars_out, bars_chk)
         J.append_stream(J.lag_stream(J.read_stream(spark, bars_out, bars.schema, None)), lag_out, lag_chk)
 
-    spark.read.parquet(first).write.parquet(src)
-    run_both()
-    spark.read.parquet(second).write.mode("append").parquet(src)
-    run_both()
+    J.feed_in_order(ticks, src, "datetime", 3, run_both)
 
     got = spark.read.parquet(lag_out).select(
         "ticker", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "PrctChange", "Direction")
