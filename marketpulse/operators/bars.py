@@ -19,18 +19,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, ShortType
-
-from marketpulse.functions.windowing import packed_order
+from marketpulse.functions.picking import order_key
 
 
 def _order_key(ticks: DataFrame, ts: str, tie_cols: Sequence[str]) -> Column:
-    """(time, tie breakers) as one comparable value: a packed decimal when the
-    tie breaker is a single integer column (hash aggregate), else a struct."""
-    types = {f.name: f.dataType for f in ticks.schema.fields}
-    if len(tie_cols) == 1 and isinstance(types.get(tie_cols[0]), (LongType, IntegerType, ShortType)):
-        return packed_order(F.col(ts), F.col(tie_cols[0]))
-    return F.struct(F.col(ts), *[F.col(c) for c in tie_cols])
+    """(time, tie breakers) as one comparable value (``functions.picking``)."""
+    return order_key(ticks, [ts, *tie_cols])
 
 
 def ohlcv_bars(ticks: DataFrame, every: str = "1 hour", key: str = "ticker",

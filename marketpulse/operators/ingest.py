@@ -12,8 +12,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, NumericType, StructType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
+
+from marketpulse.functions.picking import pick
 
 # Vendor column names and the bronze names they map to.
 VENDOR_RENAMES = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Volume": "volume"}
@@ -76,9 +77,9 @@ def keep_first(df: DataFrame, key: Sequence[str], arrival: Sequence[str],
                drop_empty_key: bool = True) -> DataFrame:
     """First record per key in arrival order (later copies are dropped).
 
-    Implemented as ``min_by`` per key: partial aggregation removes copies
-    before the shuffle, so a key repeated in a large share of all rows ships
-    one row per map task."""
+    A ``min_by`` per key (``functions.picking.pick``): partial aggregation
+    removes copies before the shuffle, so a key repeated in a large share of
+    all rows ships one row per map task."""
     key = list(key)
     if drop_empty_key:
         for k in key:
@@ -86,21 +87,7 @@ def keep_first(df: DataFrame, key: Sequence[str], arrival: Sequence[str],
             if dict(df.dtypes)[k] == "string":
                 df = df.filter(F.col(k) != "")
     rest = [c for c in df.columns if c not in key]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if len(arrival) == 1 and all(_fixed_width(types[c]) for c in rest + list(arrival)):
-        # Every buffer is fixed-width, so the aggregate stays hash-based. All
-        # min_by's compare the same arrival values in the same order, so the
-        # columns they pick come from one row (ties included).
-        order = F.col(arrival[0])
-        agg = df.groupBy(*key).agg(*[F.min_by(c, order).alias(c) for c in rest])
-        return agg.select(*df.columns)
-    order = F.struct(*[F.col(c) for c in arrival])
-    agg = df.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return agg.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
-
-
-def _fixed_width(dt) -> bool:
-    return isinstance(dt, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))
+    return pick(df, key, list(arrival), rest, last=False).select(*df.columns)
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:

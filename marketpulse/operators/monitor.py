@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketpulse.functions.picking import order_key
+
 # The look-back windows (minutes), freshness limit (minutes) and
 # the number of communities in the top list.
 RECENT_MINUTES = (5, 15, 60)
@@ -50,7 +52,7 @@ def price_move(ticks: DataFrame, as_of, minutes: int = 60, key: str = "ticker",
     """Per ticker over the last ``minutes``: first, last, change, change %,
     high and low; only tickers with more than one row."""
     recent = ticks.filter(F.col(ts) >= _minutes_before(as_of, minutes))
-    order = F.struct(F.col(ts), F.col(tie))
+    order = order_key(recent, [ts, tie])
     p = F.col(price)
     agg = recent.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketpulse.functions.picking import pick
 from marketpulse.operators.social import AUTHOR_DIM_COLUMNS
 
 # The financial fact columns of the streaming gold layer.
@@ -49,10 +50,8 @@ def author_dim_latest(silver: DataFrame, time_col: str = "datetime") -> DataFram
     ``max_by`` per author aggregates map-side, so a prolific author does not
     gather all of its posts in one task."""
     cols = [c for c in AUTHOR_DIM_COLUMNS if c in silver.columns and c != "author"]
-    order = F.struct(F.col(time_col), F.col("id")) if "id" in silver.columns else F.col(time_col)
-    agg = (silver.filter(F.col("author").isNotNull())
-           .groupBy("author").agg(F.max_by(F.struct(*cols), order).alias("_p")))
-    return agg.select("author", *[F.col(f"_p.{c}").alias(c) for c in cols])
+    order = [time_col, "id"] if "id" in silver.columns else [time_col]
+    return pick(silver.filter(F.col("author").isNotNull()), ["author"], order, cols, last=True)
 
 
 def platform_dim(silver: DataFrame, platform: str = PLATFORM) -> DataFrame:
@@ -94,7 +93,5 @@ def sentiment_by_author(fact: DataFrame, adim: DataFrame) -> DataFrame:
 
 def latest_per_key(df: DataFrame, key: str, order_cols, cols) -> DataFrame:
     """Top-1 row per key by the ordering, without a global sort."""
-    order = F.struct(*[F.col(c) for c in order_cols])
-    agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r"))
-    return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    return pick(df, [key], list(order_cols), list(cols), last=True)
 
