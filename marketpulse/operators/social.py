@@ -26,6 +26,7 @@ AUTHOR_DEFAULTS = {
     "author_verified": False, "author_has_verified_email": False,
     "author_is_gold": False, "author_is_mod": False,
 }
+# Post creation text format and the zone of author creation times.
 CREATED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 AUTHOR_ZONE = "Africa/Casablanca"
 

@@ -22,6 +22,7 @@ FINANCIAL_FACT_STREAM_COLUMNS = ["ticker", "datetime", "open", "close", "high",
 SENTIMENT_FACT_STREAM_COLUMNS = ["subreddit", "datetime", "VaderScore", "TextblobScore",
                                  "SocialIndex", "VaderFullScore", "TextblobFullScore",
                                  "score", "num_comments", "upvote_ratio"]
+# The platform name of the platform dimension.
 PLATFORM = "Reddit"
 
 
