@@ -84,10 +84,8 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = checkpoint_root(spark)
-    local_root = root[len("file:"):] if root.startswith("file:") else root
-    target_dir = local_root if "://" not in local_root else tempfile.mkdtemp(prefix="marketpulse-py-")
-    os.makedirs(target_dir, exist_ok=True)
+    # a driver-local file: addPyFile copies it to every executor
+    target_dir = tempfile.mkdtemp(prefix="marketpulse-py-")
     path = os.path.join(target_dir, f"marketpulse-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, dirs, files in os.walk(pkg_dir):
@@ -108,21 +106,31 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory; created under /tmp only if unset."""
+    """The shared checkpoint directory, as the session names it.
+
+    Only a local master may run without one (a temporary folder is made
+    then); on a cluster a driver-local folder would not be seen by the
+    executors, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="marketpulse-chk-")
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver "
+                             "and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="marketpulse-chk-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def is_local(master: str) -> bool:
+    """True when driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint directory."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path (a URI as the session gives it) under the shared
+    checkpoint directory."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

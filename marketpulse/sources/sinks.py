@@ -11,7 +11,6 @@ write itself, not from a second job.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,10 +32,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    if "://" not in path:
-        return os.path.exists(path)
+    """Asks the path's Hadoop file system (``fs.defaultFS`` for a bare path)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
