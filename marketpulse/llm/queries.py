@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import decontaminate, substring_dedup
+from marketpulse.llm import (decontaminate, language_id, license_scan, line_dedup, merkle,
+                             substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
 QUERIES: dict = {}
@@ -75,3 +76,52 @@ def op7(spark, sf_dir):
     kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed",
                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op9_token_files")
+def op9(spark, sf_dir):
+    return token_files.read_documents(
+        token_files.write(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json")))
+
+
+@query("op8_merkle")
+def op8(spark, sf_dir):
+    return merkle.edit_fingerprints(documents(spark, sf_dir))
+
+
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+with doc as (select doc_id, case when coalesce(text, '') = '' then [] else string_split(text, chr(10)) end as l
+             from documents),
+line as (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as p from doc),
+seq as (select doc_id, list(trim(line, ' ') order by p) as s, list(p order by p) as ps
+        from line where trim(line, ' ') <> '' group by 1),
+wins as (select doc_id, s, ps, unnest(range(1, len(s) - 1)) as i from seq where len(s) >= 3),
+again as (select doc_id, ps, i from (select doc_id, ps, i, row_number() over (
+            partition by s[i: i + 2] order by doc_id, i) as nth from wins) where nth > 1),
+gone as (select distinct doc_id, unnest(ps[i: i + 2]) as p from again),
+rest as (select doc_id, string_agg(line, chr(10) order by p) as kept, count(*) as n
+         from line anti join gone using (doc_id, p) group by 1)
+select doc_id, len(l)::bigint as n_lines, (len(l) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from doc left join rest using (doc_id)"""
+
+
+@query("op1_line_dedup", OP1_SQL)
+def op1(spark, sf_dir):
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_license_scan", license_scan.sql())
+def op6(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir))
