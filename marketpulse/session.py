@@ -25,6 +25,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # what a Python worker holds at a time: rows of whole texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
