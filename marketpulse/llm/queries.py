@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import (decontaminate, language_id, license_scan, line_dedup, merkle,
+from marketpulse.llm import (decontaminate, html_text, language_id, license_scan, line_dedup, merkle,
                              substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
@@ -125,3 +125,8 @@ def op1(spark, sf_dir):
 @query("op6_license_scan", license_scan.sql())
 def op6(spark, sf_dir):
     return license_scan.scan(documents(spark, sf_dir))
+
+
+@query("op5_html_text")
+def op5(spark, sf_dir):
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
