@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import (decontaminate, html_text, language_id, license_scan, line_dedup, merkle,
+from marketpulse.llm import (decontaminate, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
                              substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
@@ -48,6 +48,34 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from doc left join words using (doc_id) left join items using (doc_id)"""
 
 
+OP2_SQL = r"""
+with recursive doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+         else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i: i + 3], ' ')) end) as s
+       from doc),
+sets as (select distinct doc_id, s from sh),
+size as (select doc_id, count(*) as n from sets group by 1),
+ordered as (select doc_id, s, row_number() over (partition by doc_id order by df, s) as r
+            from sets join (select s, count(*) as df from sets group by 1) using (s)),
+head as (select doc_id, s, n from ordered join size using (doc_id) where r <= n - (85 * n + 99) // 100 + 1),
+cand as (select distinct a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb from head a join head b
+         on a.s = b.s and a.doc_id < b.doc_id and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n),
+met as (select a, b, na, nb, count(*) as m from cand join sets x on x.doc_id = a
+        join sets y on y.doc_id = b and y.s = x.s group by all),
+link as (select a, b from met where 100 * m >= 85 * (na + nb - m)),
+both_ as (select a, b from link union all select b, a from link),
+reach as (select a, b from both_ union select r.a, e.b from reach r join both_ e on r.b = e.a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(c, doc_id))::bigint as component_id
+from documents left join size using (doc_id)
+left join (select a as doc_id, min(b) as c from reach group by 1) using (doc_id)"""
+
+
+@query("op2_jaccard_join", OP2_SQL)
+def op2(spark, sf_dir):
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op4_decontaminate", OP4_SQL)
 def op4(spark, sf_dir):
     hits = decontaminate.contamination(documents(spark, sf_dir),
