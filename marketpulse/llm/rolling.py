@@ -26,7 +26,7 @@ NOT_SPACE[[32, *range(9, 14)]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 class _Powers:

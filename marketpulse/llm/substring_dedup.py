@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from marketpulse.llm import rolling
 from marketpulse.llm.common import (int_array, keyed, partitions, stored, text_bytes, unkeyed)
 
-GROUP = 1 << 19
+GROUP = 1 << 20
 #: Windows that one slice gathers before it cuts them into blocks.
-SLICE_WINDOWS = 1 << 20
+SLICE_WINDOWS = 1 << 19
 
 _BLOCK = pa.schema([("range", pa.int32()), ("hash", pa.binary()), ("doc", pa.binary()),
                     ("start", pa.binary()), ("ids", pa.binary())])
