@@ -117,6 +117,8 @@ class Block:
         return cls(vocabulary, item, offset, queries, size)
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.vocabulary):
+            return np.zeros(len(hashes), np.int64)
         at = np.searchsorted(self.vocabulary, hashes)
         at[at == len(self.vocabulary)] = 0
         return np.where(self.vocabulary[at] == hashes, at + 1, 0)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.llm import (decontaminate, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
-                             substring_dedup, token_files)
+                             sentence_pieces, substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
 QUERIES: dict = {}
@@ -158,3 +158,10 @@ def op6(spark, sf_dir):
 @query("op5_html_text")
 def op5(spark, sf_dir):
     return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query("op10_sentence_pieces")
+def op10(spark, sf_dir):
+    coded = sentence_pieces.encode(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                        F.xxhash64("ids").alias("ids_xxhash64"), "round_trip")

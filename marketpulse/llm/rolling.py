@@ -135,7 +135,18 @@ def words(offsets: np.ndarray, data: np.ndarray, i: int, j: int,
     at = edges[1:][edges[1:] > 0] - 1
     closes[at] = inside[at]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    power, inverse = _BYTE_POWERS.upto(max(1, n))
+    return Words(b, start, end, hash_ranges(b, start, end), np.searchsorted(start, edges))
+
+
+def hash_ranges(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to its end."""
+    n = len(b)
+    power, inverse = _BYTE_POWERS.upto(n + 1)
     sums = _sums(_BYTE[b] * power[:n])
-    h = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
-    return Words(b, start, end, h, np.searchsorted(start, edges))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
