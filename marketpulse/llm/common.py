@@ -32,6 +32,15 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return d.groupBy("doc_id").agg(F.max("text").alias("text"))
 
 
+def one_row_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all its columns and one row for each id: the one whose text
+    ``keyed`` takes."""
+    if docs.groupBy(key).count().filter("count > 1").isEmpty():
+        return docs
+    row = F.max_by(F.struct(*docs.columns), F.struct(F.col(text).isNotNull(), F.col(text)))
+    return docs.groupBy(F.col(key).alias("key")).agg(row.alias("row")).select("row.*")
+
+
 def unkeyed(df: DataFrame) -> DataFrame:
     """NULL_ID becomes null again."""
     return df.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NULL_ID)))

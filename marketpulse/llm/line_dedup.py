@@ -28,7 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import again, keyed, stored, unkeyed
+from marketpulse.llm.common import (NULL_ID, again, free_name, keyed, one_row_each, stored,
+                                    unkeyed)
 
 RUN = 3
 
@@ -113,25 +114,48 @@ def runs(matches: DataFrame, run: int = RUN) -> DataFrame:
         .alias("runs"))
 
 
+def _kept(text: Column, runs_: Column) -> tuple[Column, Column, Column]:
+    """(number of lines, numbers of the deleted ones, text that is left)."""
+    lines = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
+    full = F.filter(numbered, lambda x: F.trim(x["line"]) != "")["pos"]
+    marked = F.array_distinct(F.flatten(F.transform(
+        runs_, lambda r: F.sequence(r["start"], r["stop"] - 1))))
+    # from numbers among the lines that are not blank to numbers among all
+    gone = F.when(runs_.isNull(), F.array().cast("array<int>")).otherwise(
+        F.transform(marked, lambda k: F.get(full, k)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    kept = F.when(runs_.isNull(), text).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    return F.size(lines), gone, kept
+
+
 def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """(doc_id, n_lines, n_removed, runs, kept): each document's lines, how many
     were deleted, the runs they lie in, and the text that is left."""
     d = keyed(docs).withColumn("text", F.coalesce("text", F.lit("")))
     found = runs(repeats(d, run), run).withColumnRenamed("doc_id", "marked")
     both = d.join(found, d.doc_id == found.marked, "left").select("doc_id", "text", "runs")
-    lines = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(
-        F.split("text", "\n"))
-    both = both.withColumn("lines", lines)
-    numbered = F.transform("lines", lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
-    full = F.filter(numbered, lambda x: F.trim(x["line"]) != "")["pos"]
-    marked = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["stop"] - 1))))
-    # from numbers among the lines that are not blank to numbers among all
-    gone = F.transform(marked, lambda k: F.get(full, k))
-    both = both.withColumn("gone", F.when(F.col("runs").isNull(), F.array().cast("array<int>"))
-                           .otherwise(gone))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    kept = F.when(F.size("gone") == 0, F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
-    return unkeyed(both.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
-                               F.size("gone").cast("long").alias("n_removed"), "runs",
+    n, gone, kept = _kept(F.col("text"), F.col("runs"))
+    return unkeyed(both.select("doc_id", n.cast("long").alias("n_lines"),
+                               F.size(gone).cast("long").alias("n_removed"), "runs",
                                kept.alias("kept")))
+
+
+def without_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """``docs``, one row for each id, with all its columns; the text is what is
+    left of it, and ``n_chars``, if there, its length. Documents of which only
+    blank lines are left go; a text without repeats stays as it is, null too."""
+    rows = one_row_each(docs)
+    d = keyed(rows).withColumn("text", F.coalesce("text", F.lit("")))
+    marked, found_runs = free_name(rows, "marked"), free_name(rows, "runs")
+    found = runs(repeats(d, run), run).toDF(marked, found_runs)
+    both = rows.join(found, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(marked), "left")
+    text = F.when(F.col(found_runs).isNull(), F.col("text")).otherwise(
+        _kept(F.col("text"), F.col(found_runs))[2])
+    both = both.withColumn("text", text).filter(
+        F.col(found_runs).isNull() | F.rlike("text", F.lit("[^ \\n]")))
+    if "n_chars" in rows.columns:
+        both = both.withColumn("n_chars", F.when(F.col(found_runs).isNull(), F.col("n_chars"))
+                               .otherwise(F.char_length("text").cast(rows.schema["n_chars"].dataType)))
+    return both.select(*rows.columns)
