@@ -6,8 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
-EXACT = "decimal(18,2)"
+#: Decimal places kept of floating-point prices (decimal prices keep their own).
+FLOAT_SCALE = 8
+
+
+def price_scale(df: DataFrame, column: str) -> int:
+    """Decimal places of a price column: its type's, 0 for integers,
+    FLOAT_SCALE for floating point and text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, DecimalType):
+        return kind.scale
+    return 0 if isinstance(kind, IntegralType) else FLOAT_SCALE
+
+
+def exact(column: str | Column, scale: int) -> Column:
+    """A price as a decimal of ``scale`` places."""
+    return (F.col(column) if isinstance(column, str) else column).cast(f"decimal(28,{scale})")
 
 
 def series_window(partition_cols: Sequence[str], order_cols: Sequence[str]) -> WindowSpec:
@@ -25,18 +41,20 @@ def add_means(df: DataFrame, w: WindowSpec, specs: Sequence[tuple[str, str, int]
     ``S - lag(S, n)``. Only the final division is floating point, so the
     result equals sum(decimal) / count over the frame bit for bit, and it
     does not depend on the order the engine adds a frame up. The lag only
-    reaches n rows back, so halo-chunked evaluation stays exact."""
+    reaches n rows back, so halo-chunked evaluation stays exact. Null values
+    are skipped; a frame of nulls only has no mean."""
     unit = 10 ** scale
+    whole = "long" if scale <= 4 else "decimal(38,0)"
     sources = sorted({src for _, src, _ in specs})
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumns({f"_u_{s}": (F.col(s) * F.lit(unit)).cast("long") for s in sources})
-    df = df.withColumns({**{f"_S_{s}": F.sum(f"_u_{s}").over(run) for s in sources},
+    df = df.withColumns({f"_u_{s}": (F.col(s) * F.lit(unit)).cast(whole) for s in sources})
+    df = df.withColumns({**{f"_S_{s}": F.coalesce(F.sum(f"_u_{s}").over(run), F.lit(0)) for s in sources},
                          **{f"_C_{s}": F.count(f"_u_{s}").over(run) for s in sources}})
     means = {}
     for out, src, n in specs:
         total = F.col(f"_S_{src}") - F.lag(f"_S_{src}", n, 0).over(w)
         count = F.col(f"_C_{src}") - F.lag(f"_C_{src}", n, 0).over(w)
-        means[out] = total.cast("double") / F.lit(float(unit)) / count
+        means[out] = F.try_divide(total.cast("double") / F.lit(float(unit)), count.cast("double"))
     df = df.withColumns(means)
     return df.drop(*[f"_{k}_{s}" for s in sources for k in "uSC"])
 

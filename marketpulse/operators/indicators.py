@@ -17,8 +17,9 @@ Two physical strategies give the same rows:
   per (series, chunk) and halo rows dropped. Exact because no indicator looks
   further back than ``lookback`` rows; the data is shuffled once.
 
-``strategy="auto"`` measures the largest series (one small aggregate) and
-chooses.
+``strategy="auto"`` measures the largest series (one aggregate, which the
+chunks are then planned from) and chooses. Both keep every row, with a null
+time or key too.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.functions.windowing import EXACT, add_means, safe_div, series_window
+from marketpulse.functions.windowing import (add_means, exact, price_scale, safe_div,
+                                             series_window)
+from marketpulse.session import materialise
 
 # The indicator periods of the reference's silver job.
 SMA_PERIODS = (20, 50, 200)
@@ -47,13 +50,7 @@ def lookback_rows(sma_periods: Sequence[int] = SMA_PERIODS, rsi_period: int = RS
 
 # --- single indicators (each returns df + new columns) -------------------------
 
-def _prev_close(close: str, w) -> Column:
-    return F.lag(F.col(close).cast(EXACT)).over(w)
-
-
-def pct_change_col(close: str, w) -> Column:
-    c = F.col(close).cast(EXACT)
-    prev = _prev_close(close, w)
+def _pct(c: Column, prev: Column) -> Column:
     return safe_div((c - prev).cast("double"), prev.cast("double")) * F.lit(100.0)
 
 
@@ -65,28 +62,30 @@ def direction_col(change: Column) -> Column:
 
 def add_pct_change(df: DataFrame, partition_cols, order_cols, close: str = "close") -> DataFrame:
     w = series_window(partition_cols, order_cols)
-    df = df.withColumn("PrctChange", pct_change_col(close, w))
+    c = exact(close, price_scale(df, close))
+    df = df.withColumn("PrctChange", _pct(c, F.lag(c).over(w)))
     return df.withColumn("Direction", direction_col(F.col("PrctChange")))
 
 
 def add_sma(df: DataFrame, partition_cols, order_cols, close: str = "close",
             periods: Sequence[int] = SMA_PERIODS) -> DataFrame:
     w = series_window(partition_cols, order_cols)
-    df = df.withColumn("_close", F.col(close).cast(EXACT))
-    return add_means(df, w, [(f"SMA{n}", "_close", n) for n in periods]).drop("_close")
+    scale = price_scale(df, close)
+    df = df.withColumn("_close", exact(close, scale))
+    return add_means(df, w, [(f"SMA{n}", "_close", n) for n in periods], scale).drop("_close")
 
 
 def add_gain_loss(df: DataFrame, partition_cols, order_cols, close: str = "close") -> DataFrame:
     """change = close - previous close; gain/loss its positive/negative part.
     The first row has no change, and gain = loss = 0."""
     w = series_window(partition_cols, order_cols)
-    change = F.col(close).cast(EXACT) - _prev_close(close, w)
-    df = df.withColumn("change", change)
+    c = exact(close, price_scale(df, close))
+    df = df.withColumn("change", c - F.lag(c).over(w))
     return df.withColumns(_gain_loss_cols(F.col("change")))
 
 
 def _gain_loss_cols(change: Column) -> dict:
-    zero = F.lit(0).cast(EXACT)
+    zero = F.lit(0)
     return {"gain": F.when(change > 0, change).otherwise(zero),
             "loss": F.when(change < 0, -change).otherwise(zero)}
 
@@ -105,44 +104,48 @@ def add_rsi(df: DataFrame, partition_cols, order_cols, close: str = "close",
     With no loss in the frame RS is undefined: null by default,
     ``zero_loss=100`` gives the textbook value instead."""
     w = series_window(partition_cols, order_cols)
+    scale = price_scale(df, close)
     df = add_gain_loss(df, partition_cols, order_cols, close)
-    df = add_means(df, w, [("_avg_gain", "gain", period), ("_avg_loss", "loss", period)])
+    df = add_means(df, w, [("_avg_gain", "gain", period), ("_avg_loss", "loss", period)], scale)
     df = df.withColumns({"RS": safe_div(F.col("_avg_gain"), F.col("_avg_loss")),
                          "RSI": _rsi_col(F.col("_avg_gain"), F.col("_avg_loss"), zero_loss)})
     return df.drop("_avg_gain", "_avg_loss")
 
 
-def true_range_col(high: str, low: str, close: str, w) -> Column:
+def _true_range(high: Column, low: Column, prev: Column) -> Column:
     """greatest(high - low, |high - prev|, |low - prev|); the first row falls
     back to high - low because greatest skips nulls."""
-    return _true_range(high, low, _prev_close(close, w))
+    return F.greatest(high - low, F.abs(high - prev), F.abs(low - prev))
 
 
-def _true_range(high: str, low: str, prev: Column) -> Column:
-    h, lo = F.col(high).cast(EXACT), F.col(low).cast(EXACT)
-    return F.greatest(h - lo, F.abs(h - prev), F.abs(lo - prev))
+def _bar_scale(df: DataFrame, *columns: str) -> int:
+    return max(price_scale(df, c) for c in columns)
 
 
 def add_true_range(df: DataFrame, partition_cols, order_cols, high="high", low="low",
                    close="close") -> DataFrame:
     w = series_window(partition_cols, order_cols)
-    return df.withColumns({"prev_close": _prev_close(close, w),
-                           "TR": true_range_col(high, low, close, w)})
+    scale = _bar_scale(df, high, low, close)
+    prev = F.lag(exact(close, scale)).over(w)
+    return df.withColumns({"prev_close": prev,
+                           "TR": _true_range(exact(high, scale), exact(low, scale), prev)})
 
 
 def add_atr(df: DataFrame, partition_cols, order_cols, high="high", low="low", close="close",
             period: int = ATR_PERIOD) -> DataFrame:
     w = series_window(partition_cols, order_cols)
-    df = df.withColumn("TR", true_range_col(high, low, close, w))
-    return add_means(df, w, [("ATR", "TR", period)])
+    scale = _bar_scale(df, high, low, close)
+    df = add_true_range(df, partition_cols, order_cols, high, low, close).drop("prev_close")
+    return add_means(df, w, [("ATR", "TR", period)], scale)
 
 
 def add_macd(df: DataFrame, partition_cols, order_cols, close: str = "close",
              short: int = MACD_SHORT, long: int = MACD_LONG) -> DataFrame:
     """Difference of two simple moving averages (not exponential)."""
     w = series_window(partition_cols, order_cols)
-    df = df.withColumn("_close", F.col(close).cast(EXACT))
-    df = add_means(df, w, [("_ms", "_close", short), ("_ml", "_close", long)])
+    scale = price_scale(df, close)
+    df = df.withColumn("_close", exact(close, scale))
+    df = add_means(df, w, [("_ms", "_close", short), ("_ml", "_close", long)], scale)
     return df.withColumn("MACD", F.col("_ms") - F.col("_ml")).drop("_ms", "_ml", "_close")
 
 
@@ -151,17 +154,19 @@ def add_all(df: DataFrame, partition_cols, order_cols, close="close", high="high
     """The whole silver indicator set in three Window passes over one
     partitioning: previous close; running sums; their lags."""
     w = series_window(partition_cols, order_cols)
-    df = df.withColumns({"_close": F.col(close).cast(EXACT), "_prev": _prev_close(close, w)})
+    scale = _bar_scale(df, close, high, low)
+    c = exact(close, scale)
+    df = df.withColumns({"_close": c, "_prev": F.lag(c).over(w)})
     change = F.col("_close") - F.col("_prev")
     df = df.withColumns({
-        "PrctChange": safe_div(change.cast("double"), F.col("_prev").cast("double")) * F.lit(100.0),
-        "_tr": _true_range(high, low, F.col("_prev")),
+        "PrctChange": _pct(F.col("_close"), F.col("_prev")),
+        "_tr": _true_range(exact(high, scale), exact(low, scale), F.col("_prev")),
         **{k: v for k, v in _gain_loss_cols(change).items()},
     })
     specs = ([(f"SMA{n}", "_close", n) for n in SMA_PERIODS]
              + [("_avg_gain", "gain", RSI_PERIOD), ("_avg_loss", "loss", RSI_PERIOD),
                 ("ATR", "_tr", ATR_PERIOD), ("_ms", "_close", MACD_SHORT), ("_ml", "_close", MACD_LONG)])
-    df = add_means(df, w, specs)
+    df = add_means(df, w, specs, scale)
     df = df.withColumns({
         "Direction": direction_col(F.col("PrctChange")),
         "RSI": _rsi_col(F.col("_avg_gain"), F.col("_avg_loss"), rsi_zero_loss),
@@ -173,50 +178,40 @@ def add_all(df: DataFrame, partition_cols, order_cols, close="close", high="high
 
 # --- physical strategies -------------------------------------------------------
 
-def largest_series(df: DataFrame, partition_cols: Sequence[str]) -> int:
-    """Row count of the biggest series (one aggregate over the key columns)."""
-    if not partition_cols:
-        return df.count()
-    row = df.groupBy(*partition_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+#: Calendar units of a bucket, coarse to fine.
+BUCKET_LEVELS = ("day", "hour", "minute", "second")
 
 
-BUCKET_LEVELS = ("day", "hour", "minute", "second")
+def second_counts(df: DataFrame, partition_cols: Sequence[str], time_col: str) -> DataFrame:
+    """Stored (series keys, _second, _n): rows per series and second, the one
+    scan from which everything else about the series' sizes is derived."""
+    second = F.date_trunc("second", F.col(time_col)).alias("_second")
+    return materialise(df.groupBy(*partition_cols, second).agg(F.count(F.lit(1)).alias("_n")),
+                       "second-counts")
+
 
+def largest_series(counts: DataFrame, partition_cols: Sequence[str]) -> int:
+    """Row count of the biggest series, from ``second_counts``."""
+    row = counts.groupBy(*partition_cols).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()
+    return int(row[0] or 0)
 
-def bucket_counts(df: DataFrame, partition_cols: Sequence[str], time_col: str,
-                  bucket_row_limit: int, max_buckets_per_series: int = 1_000_000):
-    """Rows per (series, calendar bucket), for the coarsest unit (day, hour,
-    minute, second) whose fullest bucket holds at most ``bucket_row_limit``
-    rows - unless going finer would give a series more than
-    ``max_buckets_per_series`` buckets, in which case the coarser unit stays.
 
-    Returns (bucket expression, cached count table, fullest bucket). One
-    small aggregate per level tried."""
-    chosen = None
+def bucket_counts(counts: DataFrame, partition_cols: Sequence[str], bucket_row_limit: int):
+    """(unit, rows per (series, bucket) as (keys, _bucket, _n), fullest bucket)
+    for the coarsest unit whose fullest bucket holds at most
+    ``bucket_row_limit`` rows, else the finest; rolled up from the seconds."""
     for level in BUCKET_LEVELS:
-        b = F.date_trunc(level, F.col(time_col))
-        counts = (df.groupBy(*partition_cols, b.alias("_bucket"))
-                  .agg(F.count(F.lit(1)).alias("_n")).cache())
-        stats = counts.groupBy(*partition_cols).agg(F.max("_n").alias("top"),
-                                                     F.count(F.lit(1)).alias("k"))
-        row = stats.agg(F.max("top"), F.max("k")).first()
-        top, k = int(row[0] or 0), int(row[1] or 0)
-        if chosen is not None and k > max_buckets_per_series:
-            counts.unpersist()
-            break
-        if chosen is not None:
-            chosen[1].unpersist()
-        chosen = (b, counts, top)
-        if top <= bucket_row_limit:
-            break
-    return chosen
+        rolled = (counts.groupBy(*partition_cols, F.date_trunc(level, "_second").alias("_bucket"))
+                  .agg(F.sum("_n").alias("_n")))
+        top = int(rolled.agg(F.max("_n")).first()[0] or 0)
+        if top <= bucket_row_limit or level == BUCKET_LEVELS[-1]:
+            return level, rolled, top
 
 
 def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
             compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int,
-            chunk_rows: int = 8192, bucket: Column | None = None,
-            broadcast_limit: int = 2_000_000, bucket_row_limit: int = 1_000_000) -> DataFrame:
+            chunk_rows: int = 8192, counts: DataFrame | None = None,
+            bucket_row_limit: int = 1_000_000) -> DataFrame:
     """Run ``compute(df, partition_cols)`` on halo-extended chunks of a series.
 
     Work happens on the small (series, bucket) count table; the rows are
@@ -237,19 +232,17 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
     previous chunk's halo buckets. ``C`` is ``chunk_rows`` when that holds,
     else 8 * (B + lookback), which keeps halo copies under 1/8 of the rows.
 
-    ``bucket`` must be non-decreasing in the ordering; by default it is chosen
-    by ``bucket_counts``. The bucket table is broadcast only when its counted
-    size is under ``broadcast_limit`` rows; otherwise it is a shuffle join.
+    Rows without a time form a bucket of their own, which sorts first, and
+    rows with a null key a series of their own: none is left out. The bucket
+    table is joined without a hint; Spark broadcasts it if its measured size
+    is small. ``counts`` is ``second_counts`` where it is known already.
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     pcols = list(partition_cols)
-    if bucket is None:
-        bucket, counts, top = bucket_counts(df, pcols, order_cols[0], bucket_row_limit)
-    else:
-        counts = (df.groupBy(*pcols, bucket.alias("_bucket"))
-                  .agg(F.count(F.lit(1)).alias("_n")).cache())
-        top = int(counts.agg(F.max("_n")).first()[0] or 0)
+    if counts is None:
+        counts = second_counts(df, pcols, order_cols[0])
+    level, counts, top = bucket_counts(counts, pcols, bucket_row_limit)
     size = chunk_rows if top + lookback <= chunk_rows else 8 * (top + lookback)
     before = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     t = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -262,9 +255,13 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
             & (F.col("_chunk_end") < F.col("_series_end")))
     t = t.select(*pcols, "_bucket", F.when(halo, F.array(F.col("_chunk"), F.col("_chunk") + 1))
                  .otherwise(F.array(F.col("_chunk"))).alias("_targets"))
-    n_buckets = counts.count()
-    right = F.broadcast(t) if n_buckets <= broadcast_limit else t
-    joined = df.withColumn("_bucket", bucket).join(right, [*pcols, "_bucket"])
+    keys = [f"_k{i}" for i in range(len(pcols))]
+    right = t.toDF(*keys, "_at", "_targets")
+    rows = df.withColumn("_bucket", F.date_trunc(level, F.col(order_cols[0])))
+    same = F.col("_bucket").eqNullSafe(F.col("_at"))
+    for c, k in zip(pcols, keys):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    joined = rows.join(right, same).drop(*keys, "_at")
     spread = joined.select("*", F.posexplode("_targets").alias("_copy", "_chunk")).drop("_targets")
     out = compute(spread, pcols + ["_chunk"])
     return out.filter(F.col("_copy") == 0).drop("_bucket", "_copy", "_chunk")
@@ -273,7 +270,7 @@ def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[s
 def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
                     order_cols: Sequence[str] = ("datetime",), strategy: str = "auto",
                     chunk_rows: int = 8192, series_task_limit: int = 1_000_000,
-                    bucket: Column | None = None, rsi_zero_loss: float | None = None,
+                    bucket_row_limit: int = 1_000_000, rsi_zero_loss: float | None = None,
                     close="close", high="high", low="low") -> DataFrame:
     """Market silver: the input columns plus PrctChange, Direction, SMA20/50/200,
     RSI, ATR and MACD."""
@@ -282,12 +279,15 @@ def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
     def compute(frame: DataFrame, keys: list[str]) -> DataFrame:
         return add_all(frame, keys, ocols, close, high, low, rsi_zero_loss)
 
+    counts = None
     if strategy == "auto":
-        strategy = "chunked" if largest_series(df, pcols) > series_task_limit else "partition"
+        counts = second_counts(df, pcols, ocols[0])
+        strategy = "chunked" if largest_series(counts, pcols) > series_task_limit else "partition"
     if strategy == "partition":
         return compute(df, pcols)
     if strategy == "chunked":
-        return chunked(df, pcols, ocols, compute, lookback_rows(), chunk_rows, bucket)
+        return chunked(df, pcols, ocols, compute, lookback_rows(), chunk_rows, counts,
+                       bucket_row_limit)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

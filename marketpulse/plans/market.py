@@ -197,3 +197,58 @@ def q_market_silver_bronze(spark, sf_dir):
     metadata) -> parsed, metadata dropped, all indicators per ticker."""
     silver = I.market_silver_from_bronze(bronze_bars(spark, sf_dir), strategy="partition")
     return as_double(silver).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+# --- dirty input: null times, keys and prices; fine prices ---------------------
+
+_TICK_ORDER = ["datetime nulls first", "tie_key"]
+_TICK_KEEP = ["ticker", "datetime", "tie_key", "close::double as price", "volume"]
+
+
+def _dirty_sql(cte: str, name: str):
+    base, final = O.silver_sql(name, ["ticker"], _TICK_ORDER, _TICK_KEEP)
+    return O.with_(O.TICKS, cte, base) + final
+
+
+def _tick_silver(ticks, **options):
+    bars = ticks.withColumns({c: F.col("price") for c in PRICES})
+    df = I.with_indicators(bars, ["ticker"], ["datetime", "tie_key"], **options)
+    return _wide_out(df)
+
+
+_LOOSE = """loose as (select case when tie_key % 60 = 11 then null else ticker end as ticker,
+  case when tie_key % 50 = 7 then null else datetime end as datetime, tie_key, volume,
+  price as open, price as high, price as low, price as close from ticks)"""
+
+
+@register("market_silver_auto", _dirty_sql(_LOOSE, "loose"))
+def q_market_silver_auto(spark, sf_dir):
+    """Ticks with null times and tickers, past the limit for one task a series:
+    ``auto`` takes the chunks, and every row comes out."""
+    k = F.col("tie_key")
+    t = X.ticks(spark, sf_dir).withColumns({
+        "ticker": F.when(k % 60 != 11, F.col("ticker")), "datetime": F.when(k % 50 != 7, F.col("datetime"))})
+    return _tick_silver(t, strategy="auto", series_task_limit=100, chunk_rows=512)
+
+
+_GAPS = """gaps as (select ticker, datetime, tie_key, volume, p as open, p as high, p as low, p as close
+  from (select *, case when (tie_key // 150) % 4 = 0 then null else price end as p from ticks))"""
+
+
+@register("market_silver_nulls", _dirty_sql(_GAPS, "gaps"))
+def q_market_silver_nulls(spark, sf_dir):
+    """Leading and long runs of ticks without a price."""
+    gap = F.floor(F.col("tie_key") / 150) % 4 == 0
+    t = X.ticks(spark, sf_dir).withColumn("price", F.when(~gap, F.col("price")))
+    return _tick_silver(t, strategy="partition")
+
+
+_FINE = """fine as (select ticker, datetime, tie_key, volume, p as open, p as high, p as low, p as close
+  from (select *, (price * 0.0001::decimal(5,4))::decimal(18,6) as p from ticks))"""
+
+
+@register("market_silver_fine", _dirty_sql(_FINE, "fine"))
+def q_market_silver_fine(spark, sf_dir):
+    """Prices of six decimal places keep them."""
+    small = (F.col("price") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,6)")
+    return _tick_silver(X.ticks(spark, sf_dir).withColumn("price", small), strategy="partition")

@@ -73,7 +73,7 @@ def _over(partition: Sequence[str], order: Sequence[str], n: int | None = None)
 
 def mean_sql(x: str, partition, order, n: int) -> str:
     o = _over(partition, order, n)
-    return f"(sum({x}) {o})::double / count({x}) {o}"
+    return f"(sum({x}) {o})::double / nullif(count({x}) {o}, 0)"
 
 
 def silver_sql(source: str, partition: Sequence[str], order: Sequence[str],

@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so event-time arithmetic is zone-free,
 # ANSI so bad casts fail loudly (operators use try_* where null is wanted),
@@ -137,3 +137,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path (a URI as the session gives it) under the shared
     checkpoint directory."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to a fresh table in the shared folder and reads it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

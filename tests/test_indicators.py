@@ -48,10 +48,10 @@ def test_sma_of_constant_is_constant(spark):
     assert all(x["SMA20"] == x["SMA50"] == x["SMA200"] == 7.25 for x in r)
 
 
-def _cmp(a, b):
-    cols = ["datetime"] + I.SILVER_COLUMNS
-    ra = [tuple(r[c] for c in cols) for r in a.orderBy("datetime").collect()]
-    rb = [tuple(r[c] for c in cols) for r in b.orderBy("datetime").collect()]
+def _cmp(a, b, key="datetime"):
+    cols = [key] + I.SILVER_COLUMNS
+    ra = [tuple(r[c] for c in cols) for r in a.orderBy(key).collect()]
+    rb = [tuple(r[c] for c in cols) for r in b.orderBy(key).collect()]
     return ra == rb
 
 
@@ -65,7 +65,7 @@ def test_halo_equals_plain(spark, n, chunk, seed):
     df = bars(spark, closes)
     plain = I.with_indicators(df, strategy="partition")
     halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk,
-                             bucket=F.date_trunc("hour", "datetime"))
+                             bucket_row_limit=10)
     assert _cmp(plain, halo)
 
 
@@ -94,10 +94,10 @@ def test_auto_chunks_a_hot_ticker(spark):
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f)
-    assert I.largest_series(df, ["ticker"]) == 600
+    assert I.largest_series(I.second_counts(df, ["ticker"], "datetime"), ["ticker"]) == 600
     plain = I.with_indicators(df, strategy="partition")
     auto = I.with_indicators(df, strategy="auto", series_task_limit=500, chunk_rows=256,
-                             bucket=F.date_trunc("hour", "datetime"))
+                             bucket_row_limit=10)
     plan = auto._jdf.queryExecution().optimizedPlan().toString()
     assert "_chunk" in plan
     cols = ["ticker", "datetime"] + I.SILVER_COLUMNS
@@ -111,15 +111,16 @@ def test_dense_day_gets_a_finer_bucket(spark):
         "datetime", (F.col("datetime").cast("timestamp") - F.expr("interval 0 seconds")).cast("timestamp_ntz"))
     df = df.withColumn("datetime", F.timestamp_seconds(
         F.unix_seconds(F.col("datetime").cast("timestamp")) / 3600 * 150).cast("timestamp_ntz"))
-    b, counts, top = I.bucket_counts(df, ["ticker"], "datetime", bucket_row_limit=100)
-    sizes = df.groupBy(b.alias("b")).count().agg(F.max("count")).first()[0]
+    seconds = I.second_counts(df, ["ticker"], "datetime")
+    level, counts, top = I.bucket_counts(seconds, ["ticker"], 100)
+    sizes = df.groupBy(F.date_trunc(level, "datetime").alias("b")).count().agg(F.max("count")).first()[0]
     assert sizes == top <= 100 and counts.count() > 1
     plain = I.with_indicators(df, strategy="partition")
     halo = I.with_indicators(df, strategy="chunked", chunk_rows=200)
     assert _cmp(plain, halo)
     # a day bucket of 300 rows forces chunks of 8 * (300 + 199) rows: still exact
     fine = I.chunked(df, ["ticker"], ["datetime"], lambda f, k: I.add_all(f, k, ["datetime"]),
-                     I.lookback_rows(), chunk_rows=256, bucket=F.to_date("datetime"))
+                     I.lookback_rows(), chunk_rows=256)
     assert _cmp(plain, fine)
 
 
@@ -138,5 +139,36 @@ def test_halo_with_uneven_buckets(spark, gaps, chunk, seed):
     df = spark.createDataFrame(rows, SCHEMA)
     plain = I.with_indicators(df, strategy="partition")
     halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk,
-                             bucket=F.date_trunc("hour", "datetime"))
+                             bucket_row_limit=10)
     assert _cmp(plain, halo)
+
+
+def test_null_times_and_keys_stay_in_chunks(spark):
+    import random
+    rnd = random.Random(5)
+    closes = [Decimal(str(round(rnd.uniform(1, 90), 2))) for _ in range(700)]
+    rows = [(None if k % 90 == 3 else "T", None if k % 50 == 7 else T0 + timedelta(seconds=40 * k),
+             c, c, c, c, k) for k, c in enumerate(closes)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = I.with_indicators(df, order_cols=["datetime", "volume"], strategy="partition")
+    auto = I.with_indicators(df, order_cols=["datetime", "volume"], series_task_limit=100, chunk_rows=256,
+                             bucket_row_limit=40)
+    assert plain.count() == auto.count() == 700
+    assert _cmp(plain, auto, "volume")
+
+
+def test_a_run_of_nulls_has_no_mean(spark):
+    closes = [None] * 3 + [Decimal(k) for k in range(1, 30)] + [None] * 30 + [Decimal(7)]
+    rows = [("T", T0 + timedelta(hours=k), c, c, c, c, 1) for k, c in enumerate(closes)]
+    got = [r.SMA20 for r in I.add_sma(spark.createDataFrame(rows, SCHEMA), ["ticker"], ["datetime"])
+           .orderBy("datetime").collect()]
+    for k in range(len(closes)):
+        have = [float(c) for c in closes[max(0, k - 19): k + 1] if c is not None]
+        assert got[k] == (sum(have) / len(have) if have else None)
+
+
+def test_small_prices_keep_their_places(spark):
+    rows = [("T", T0 + timedelta(hours=k), 0.0012 + k / 1e4) for k in range(5)]
+    df = spark.createDataFrame(rows, "ticker string, datetime timestamp_ntz, close double")
+    last = I.add_pct_change(I.add_sma(df, ["ticker"], ["datetime"]), ["ticker"], ["datetime"]).orderBy("datetime").collect()[-1]
+    assert abs(last.SMA20 - 0.0014) < 1e-12 and last.Direction == "Up"
