@@ -22,17 +22,18 @@ no files; extra columns are not read; for repeated and null ids see
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketpulse.llm import rolling
 from marketpulse.llm.common import NULL_ID, keyed, partitions, stored
 from marketpulse.llm.ordered import bounds, bucket, dealt
 from marketpulse.session import scratch_path
@@ -40,57 +41,79 @@ from marketpulse.session import scratch_path
 SEQ_LEN = 2048
 BATCH = 64
 #: Words whose ids a worker remembers.
-KNOWN_WORDS = 400_000
-#: White space for Python that is none for the tokenizer.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-
+KNOWN_WORDS = 1_000_000
 
 class Encoder:
     """Ids of whole texts, as the tokenizer gives them. Its pre-tokenizer never
-    joins what white space parts, so each distinct word is encoded once: new
-    words of a batch go to the tokenizer in one text, a special token between
-    them. Texts in which that does not hold are encoded as they are."""
+    joins what white space parts and it puts texts in lower case, so a slice's
+    distinct words are encoded once, many in one text, and the first
+    KNOWN_WORDS of a worker are remembered by their hash. Texts with a special
+    token's name are encoded as they are."""
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.gap, self.gap_id = next(iter(self.special.items()))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        self.kind).tobytes()
-
-    def learn(self, words: Iterable[str]) -> None:
-        words = list(words)
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known.clear()
-        for k in range(0, len(words), 5000):
-            part = words[k: k + 5000]
-            ids = np.array(self.tokenizer.encode(self.gap.join(part),
-                                                 add_special_tokens=False).ids, self.kind)
-            cut = np.flatnonzero(ids == self.gap_id).tolist()
-            for w, a, b in zip(part, [0, *(c + 1 for c in cut)], [*cut, len(ids)]):
-                self.known[w] = ids[a:b].tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _SEPARATORS.search(t) or any(s in t for s in self.special) else t.split()
-                 for t in texts]
-        new = {w for s in split if s for w in s}
-        new.difference_update(self.known)
-        if new:
-            self.learn(new)
-            lost = {w for s in split if s for w in s}.difference(self.known)
-            if lost:  # the memory was emptied
-                self.learn(lost)
-        known = self.known
-        return [self.whole(t) if s is None else b"".join([known[w] for w in s])
-                for t, s in zip(texts, split)]
+        [self.zero] = self.tokenizer.encode("0", add_special_tokens=False).ids
+        self.known: dict[int, bytes] = {}
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, many to a text. A zero stands between two: it is a
+        token of its own, which no other word without a zero contains."""
+        out = [self.whole(w).tobytes() if "0" in w else b"" for w in words]
+        plain = [k for k, w in enumerate(words) if "0" not in w]
+        parts = [plain[k: k + 1000] for k in range(0, len(plain), 1000)]
+        for part, coded in zip(parts, self.tokenizer.encode_batch_fast(
+                [" 0 ".join([words[k] for k in p]) for p in parts], add_special_tokens=False)):
+            ids = np.array(coded.ids, self.kind)
+            cut = np.flatnonzero(ids == self.zero).tolist()
+            for k, a, b in zip(part, [0, *(c + 1 for c in cut)], [*cut, len(ids)]):
+                out[k] = ids[a:b].tobytes()
+        return out
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each row of a string column."""
+        offsets, data = rolling.texts(column)
+        named = np.zeros(len(column), bool)
+        for s in self.special:
+            named |= pc.fill_null(pc.match_substring(column, s, ignore_case=True), False).to_numpy(
+                zero_copy_only=False)
+        for i, j in rolling.ranges(offsets, 2 * rolling.SLICE_BYTES):
+            w = rolling.words(offsets, data, i, j, lower=True)
+            value, at, back = np.unique(w.hash, return_index=True, return_inverse=True)
+            keys = value.tolist()
+            ids = list(map(self.known.get, keys))
+            new = [k for k, x in enumerate(ids) if x is None]
+            raw = w.data.tobytes()
+            found = self.learn([raw[w.start[k]: w.end[k]].decode() for k in at[new].tolist()])
+            for k, x in zip(new, found):
+                ids[k] = x
+            room = max(0, KNOWN_WORDS - len(self.known))
+            self.known.update((keys[k], x) for k, x in zip(new[:room], found))
+            size = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+            pool, n = np.frombuffer(b"".join(ids), self.kind), size[back]
+            flat = pool[rolling.places((np.cumsum(size) - size)[back], n)]
+            edge = np.append(0, np.cumsum(n))[w.first].tolist()
+            for row, (a, b) in enumerate(zip(edge, edge[1:]), i):
+                yield self.whole(column[row].as_py()) if named[row] else flat[a:b]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder; what it has learnt serves all its tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _open(path: str):
@@ -112,14 +135,14 @@ class _Writer:
         self.stream = pa.ipc.new_stream(self.out, self.schema)
         self.held, self.n = [], 0
 
-    def add(self, ids: bytes) -> None:
+    def add(self, ids: np.ndarray) -> None:
         self.held.append(ids)
         self.n += len(ids)
-        if self.n >= BATCH * self.seq_len * self.kind.itemsize:
+        if self.n >= BATCH * self.seq_len:
             self._write(False)
 
     def _write(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.held), self.kind)
+        ids = np.concatenate([np.zeros(0, self.kind), *self.held])
         row, full = self.seq_len, BATCH * self.seq_len
         while len(ids) >= full or last and len(ids):
             part, ids = ids[:full], ids[full:]
@@ -129,7 +152,7 @@ class _Writer:
             self.stream.write_batch(pa.RecordBatch.from_arrays(
                 [pa.FixedSizeListArray.from_arrays(pa.array(part), row),
                  pa.FixedSizeListArray.from_arrays(pa.array(mask), row)], schema=self.schema))
-        self.held, self.n = [ids.tobytes()], ids.nbytes
+        self.held, self.n = [ids], len(ids)
 
     def close(self) -> None:
         self._write(True)
@@ -144,7 +167,7 @@ _MANIFEST = pa.schema([("bucket", pa.int32()), ("path", pa.string()), ("n_ids",
 
 def _write_buckets(tokenizer: str, root: str, end_id: int, seq_len: int):
     def run(batches):
-        encoder, writer, at, docs, lengths = Encoder(tokenizer), None, None, [], []
+        own, writer, at, docs, lengths = encoder(tokenizer), None, None, [], []
 
         def closed():
             writer.close()
@@ -152,19 +175,18 @@ def _write_buckets(tokenizer: str, root: str, end_id: int, seq_len: int):
                 {"bucket": [at], "path": [writer.path], "n_ids": [sum(lengths)],
                  "doc_ids": [docs], "lengths": [lengths]}, schema=_MANIFEST)
 
-        end = np.array([end_id], encoder.kind).tobytes()
+        end = np.array([end_id], own.kind)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            coded = encoder.encode(texts)
-            for b, doc_id, ids in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), coded):
+            for b, doc_id, ids in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(),
+                                      own.encode(batch.column(1))):
                 if b != at:
                     if writer:
                         yield closed()
-                    writer, at, docs, lengths = _Writer(root, b, encoder.kind, seq_len), b, [], []
+                    writer, at, docs, lengths = _Writer(root, b, own.kind, seq_len), b, [], []
                 writer.add(ids)
                 writer.add(end)
                 docs.append(doc_id)
-                lengths.append(len(ids) // encoder.kind.itemsize + 1)
+                lengths.append(len(ids) + 1)
         if writer:
             yield closed()
     return run
