@@ -12,7 +12,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (DateType, StringType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from marketpulse.functions.picking import pick
 
@@ -30,7 +31,7 @@ def find_datetime_column(df: DataFrame) -> str:
     for f in df.schema.fields:
         if isinstance(f.dataType, (TimestampType, TimestampNTZType, DateType)):
             return f.name
-    raise ValueError(f"Could not find datetime column. Columns: {df.columns}")
+    raise ValueError(f"no date or time column among {df.columns}")
 
 
 def round_half_up(c: Column, scale: int = 2) -> Column:
@@ -38,14 +39,17 @@ def round_half_up(c: Column, scale: int = 2) -> Column:
     return F.round(c, scale)
 
 
-def normalise_ohlcv(df: DataFrame, metadata: dict | None = None) -> DataFrame:
-    """Vendor OHLCV frame -> bronze bar: ``datetime`` text, prices rounded to
-    2 decimals, integer volume, vendor-only columns dropped, metadata added."""
+def normalise_ohlcv(df: DataFrame, metadata: dict | None = None, date_only: bool = False) -> DataFrame:
+    """Vendor OHLCV frame -> bronze bar: ``datetime`` text (``date_only``: a day
+    in ``date``), prices rounded to 2 decimals, integer volume, vendor-only
+    columns dropped, metadata added."""
     ts = find_datetime_column(df)
+    text = (F.date_format(F.col(ts), DAY_FORMAT).alias("date") if date_only
+            else F.date_format(F.col(ts), BAR_TIME_FORMAT).alias("datetime"))
     cols = []
     for name in df.columns:
         if name == ts:
-            cols.append(F.date_format(F.col(ts), BAR_TIME_FORMAT).alias("datetime"))
+            cols.append(text)
         elif name in VENDOR_RENAMES:
             dst = VENDOR_RENAMES[name]
             c = F.col(f"`{name}`")
@@ -104,6 +108,22 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
+#: Column that holds the text of a message that does not parse.
+CORRUPT = "_corrupt"
+
+
+def parse_messages(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """``messages`` with ``_m`` (the parsed fields) and ``_bad``: true for null
+    and malformed text and for fields of another type; ``{}`` is a message
+    without fields."""
+    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_json(F.col(value), full, {"mode": "PERMISSIVE",
+                                              "columnNameOfCorruptRecord": CORRUPT})
+    with_fields = messages.withColumn("_m", parsed)
+    bad = F.col(value).isNull() | F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()
+    return with_fields.withColumn("_bad", bad)
+
+
 def route(messages: DataFrame, schemas: dict[str, StructType], topic: str = "topic",
           value: str = "value") -> dict[str, DataFrame]:
     """Split a topic table into one parsed frame per topic.
@@ -111,11 +131,20 @@ def route(messages: DataFrame, schemas: dict[str, StructType], topic: str = "top
     Each frame has the topic's fields plus ``_bad`` (value did not parse)."""
     out = {}
     for name, schema in schemas.items():
-        parsed = (messages.filter(F.col(topic) == name)
-                  .select(F.from_json(F.col(value), schema, {"mode": "PERMISSIVE"}).alias("_m")))
-        # malformed text parses to null (or to a struct of nulls): counted as bad
-        bad = F.col("_m").isNull() | (F.to_json(F.col("_m")) == F.lit("{}"))
-        out[name] = parsed.select("_m.*", bad.alias("_bad"))
+        parsed = parse_messages(messages.filter(F.col(topic) == name), schema, value)
+        out[name] = parsed.select(*[F.col(f"_m.{f}") for f in schema.fieldNames()], "_bad")
+    return out
+
+
+def rejects(messages: DataFrame, schemas: dict[str, StructType], topic: str = "topic",
+            value: str = "value") -> DataFrame:
+    """(topic, value) of the messages that no route takes: those that do not
+    parse, and those of a topic without a schema."""
+    known = F.coalesce(F.col(topic).isin(list(schemas)), F.lit(False))
+    out = messages.filter(~known).select(topic, value)
+    for name, schema in schemas.items():
+        parsed = parse_messages(messages.filter(F.col(topic) == name), schema, value)
+        out = out.unionByName(parsed.filter("_bad").select(topic, value))
     return out
 
 

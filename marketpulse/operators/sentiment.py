@@ -3,14 +3,16 @@
 The reference scores each post in a Python row UDF with two third-party
 analysers. Here a lexicon (word -> valence) is applied inside the JVM:
 
-* tokens = every run of letters in the lower-cased text (the whole text);
+* tokens = every run of letters, with apostrophes inside, in the lower-cased
+  text (the whole text);
 * ``compound`` = s / sqrt(s^2 + alpha) with s the summed valence of all
   matched tokens (the normalisation published with VADER, alpha = 15);
   0.0 for empty text or no match;
 * ``polarity`` = mean valence of matched tokens scaled to [-1, 1]; 0.0 when
   nothing matches.
 
-The lexicon is a literal map in the expression (a fixed, small constant), so
+The lexicon is part of the expression as hashed literal sets, one for each
+valence, so a lookup costs the same for sixteen words and for thousands, and
 scoring is a per-row projection: no explode, no shuffle, no Python worker, and
 the same function serves batch and streaming frames. ``pandas_scorer`` is the
 hook for plugging an arbitrary Python scorer through an Arrow-batched UDF.
@@ -18,6 +20,7 @@ hook for plugging an arbitrary Python scorer through an Arrow-batched UDF.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -34,43 +37,61 @@ LEXICON_TENTHS = {
 ALPHA = 15
 MAX_VALENCE_TENTHS = 40
 
-TOKEN_PATTERN = r"(\p{L}+)"
+#: A token: letters, with apostrophes between letters.
+TOKEN_PATTERN = r"(\p{L}+(?:['\u2019]\p{L}+)*)"
+_TOKEN = re.compile(r"[^\W\d_]+(?:['\u2019][^\W\d_]+)*")
+#: Up to this many words one regular expression finds the matches; beyond it the
+#: tokens are looked up in hash sets. Both take whole tokens only.
+ALTERNATION_LIMIT = 64
 
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), 1)
 
 
-def _lexicon_map(lexicon: dict[str, int]) -> Column:
-    items = []
-    for w, v in lexicon.items():
-        items += [F.lit(w), F.lit(int(v))]
-    return F.create_map(*items)
+def _bounded(words) -> str:
+    """A pattern for whole tokens among ``words``."""
+    alt = "|".join(sorted((re.escape(w) for w in words), key=lambda w: (-len(w), w)))
+    return rf"(?<!\p{{L}})(?<!\p{{L}}['\u2019])({alt})(?!['\u2019]?\p{{L}})"
 
 
-ALTERNATION_LIMIT = 64
+def checked(lexicon: dict[str, int]) -> dict[str, int]:
+    """The lexicon in lower case; an entry that is not one token is an error,
+    as it could never match."""
+    out = {w.lower(): int(v) for w, v in lexicon.items()}
+    wrong = [w for w in out if not _TOKEN.fullmatch(w)]
+    if wrong:
+        raise ValueError(f"not single words: {wrong[:5]}")
+    return out
 
 
 def matched_words(text: Column, lexicon: dict[str, int]) -> Column:
-    """Lexicon words occurring as whole tokens, in text order.
-
-    Small lexicons: one regex pass extracting only the lexicon words, each
-    bounded by non-letters (so a match is exactly a whole token). Large
-    lexicons: tokenise and keep tokens found in the map."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+    """Lexicon words occurring as whole tokens, in text order."""
+    if not lexicon:
+        return F.array().cast("array<string>")
     if len(lexicon) <= ALTERNATION_LIMIT:
-        words = "|".join(sorted(lexicon, key=lambda w: (-len(w), w)))
-        return F.regexp_extract_all(low, F.lit(rf"(?<!\p{{L}})({words})(?!\p{{L}})"), 1)
-    m = _lexicon_map(lexicon)
-    return F.filter(tokens(text), lambda t: F.map_contains_key(m, t))
+        low = F.lower(F.coalesce(text, F.lit("")))
+        return F.regexp_extract_all(low, F.lit(_bounded(lexicon)), 1)
+    return F.filter(tokens(text), lambda t: t.isin(list(lexicon)))
+
+
+def valence(word: Column, lexicon: dict[str, int]) -> Column:
+    """The valence of a lexicon word: the value whose set of words holds it
+    (few values, each set hashed), so the cost does not grow with the lexicon."""
+    by_value: dict[int, list[str]] = {}
+    for w, v in lexicon.items():
+        by_value.setdefault(v, []).append(w)
+    out = F.lit(0)
+    for v, words in sorted(by_value.items(), key=lambda x: len(x[1])):
+        out = F.when(word.isin(words), F.lit(v)).otherwise(out)
+    return out
 
 
 def has_any_word(text: Column, words) -> Column:
     """True when any of ``words`` occurs as a whole token (letters-only
     tokens, case-insensitive): one regex test, no token array."""
-    alt = "|".join(sorted({w.lower() for w in words}, key=lambda w: (-len(w), w)))
     low = F.lower(F.coalesce(text, F.lit("")))
-    return low.rlike(rf"(?<!\p{{L}})({alt})(?!\p{{L}})")
+    return low.rlike(_bounded({w.lower() for w in words}))
 
 
 def compound_from(s_tenths: Column, alpha: int = ALPHA) -> Column:
@@ -88,10 +109,9 @@ def add_scores(df: DataFrame, text: str = "selftext", compound: str = "VaderScor
     """Add both scores. The matched words are their own projection (the
     optimizer does not inline a non-trivial expression used twice), so the
     text is scanned once per row."""
-    m = _lexicon_map(lexicon)
+    lexicon = checked(lexicon)
     df = df.withColumn("_hits", matched_words(F.col(text), lexicon))
-    total = F.aggregate("_hits", F.lit(0).cast("long"),
-                        lambda acc, t: acc + F.element_at(m, t).cast("long"))
+    total = F.aggregate("_hits", F.lit(0).cast("long"), lambda acc, t: acc + valence(t, lexicon))
     df = df.withColumns({"_s": total, "_n": F.size("_hits").cast("long")})
     return df.withColumns({
         compound: compound_from(F.col("_s")),

@@ -64,16 +64,26 @@ def q_star_market_rollup(spark, sf_dir):
     return T.market_rollup(fact, T.time_dim(fact))
 
 
-@register("latest_bar", O.with_(O.TICKS)
-          + "select ticker, arg_max(datetime, (datetime, tie_key)) as datetime, "
-          "arg_max(price, (datetime, tie_key))::double as close, arg_max(volume, (datetime, tie_key)) as volume, "
-          "'events' as data_source, 60 as interval_minutes from ticks group by ticker")
+_CYCLE = 7
+
+
+@register("latest_bar", O.with_(O.TICKS, O.BARS_1H)
+          + "select ticker, strftime(datetime, '%Y-%m-%d %H:%M:%S') as datetime, "
+          "strftime(datetime, '%Y-%m-%dT%H:%M:%S') as timestamp, open::double as open, high::double as high, "
+          "low::double as low, close::double as close, volume, strftime((select max(datetime) from ticks), "
+          f"'%Y-%m-%dT%H:%M:%S') as scraped_at, 'events' as data_source, {_CYCLE} as cycle, 60 as interval_minutes "
+          "from bars_1h qualify row_number() over (partition by ticker order by datetime desc) = 1")
 def q_latest_bar(spark, sf_dir):
-    """Latest tick per ticker as a message, with constant metadata."""
-    t = X.ticks(spark, sf_dir)
-    latest = T.latest_per_key(t, "ticker", ["datetime", "tie_key"], ["datetime", "price", "volume"])
-    out = latest.select("ticker", "datetime", F.col("price").cast("double").alias("close"), "volume")
-    return G.with_metadata(out, {"data_source": "events", "interval_minutes": 60})
+    """The latest bar of each ticker as a message: times as texts, prices, and
+    when, from where and in which cycle it was taken."""
+    bars = as_double(bars_1h(spark, sf_dir))
+    latest = T.latest_per_key(bars, "ticker", ["datetime"], [c for c in bars.columns if c != "ticker"])
+    now = X.ticks(spark, sf_dir).select(F.max("datetime")).scalar()
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    out = latest.select("ticker", F.date_format("datetime", G.BAR_TIME_FORMAT).alias("datetime"),
+                        F.date_format("datetime", iso).alias("timestamp"),
+                        "open", "high", "low", "close", "volume", F.date_format(now, iso).alias("scraped_at"))
+    return G.with_metadata(out, {"data_source": "events", "cycle": _CYCLE, "interval_minutes": 60})
 
 
 @register("series_span", O.with_(O.TICKS)
@@ -190,12 +200,12 @@ _BAR_JSON = ("to_json({'datetime': strftime(datetime, '%Y-%m-%d %H:%M:%S'), 'ope
 
 
 @register("to_kafka_value", O.with_(O.TICKS, O.BARS_1H)
-          + f"select ticker as key, {_BAR_JSON} as value, 'btc-market-data' as topic from bars_1h")
+          + f"select ticker as key, {_BAR_JSON} as value, 'market-data' as topic from bars_1h")
 def q_to_kafka_value(spark, sf_dir):
     """Bars as broker messages: key, JSON value, topic."""
     b = as_double(bars_1h(spark, sf_dir)).withColumn(
         "datetime", F.date_format("datetime", G.BAR_TIME_FORMAT))
-    return G.to_message(b, "ticker", "btc-market-data",
+    return G.to_message(b, "ticker", "market-data",
                         ["datetime", "open", "high", "low", "close", "volume"])
 
 
@@ -206,16 +216,19 @@ MARKET_MSG = StructType([StructField("ticker", StringType()), StructField("price
 POST_MSG = StructType([StructField("id", StringType()), StructField("subreddit", StringType()),
                        StructField("score", LongType())])
 
-_MESSAGES = """messages as (
-  select 'market' as topic, to_json({'ticker': ticker, 'price': price::double, 'volume': volume}) as value from ticks
+# every 97th market message is broken in one of four ways, and some have no topic
+MESSAGES_SQL = """messages as (
+  select case when tie_key % 97 = 9 then 'other' else 'market' end as topic,
+         case tie_key % 97 when 5 then 'not json' when 6 then '{"ticker": "' when 7 then null when 8 then '{}'
+              else to_json({'ticker': ticker, 'price': price::double, 'volume': volume})::varchar end as value from ticks
   union all
-  select 'posts', to_json({'id': id, 'subreddit': subreddit, 'score': score}) from posts)"""
+  select 'posts', to_json({'id': id, 'subreddit': subreddit, 'score': score})::varchar from posts)"""
 
 
-ROUTE_SQL = (O.with_(O.TICKS, O.POSTS, _MESSAGES)
+ROUTE_SQL = (O.with_(O.TICKS, O.POSTS, MESSAGES_SQL)
              + "select topic, json_extract_string(value, '$.ticker') as ticker, "
           "json_extract(value, '$.price')::double as price, json_extract(value, '$.volume')::bigint as volume, "
-          "null::varchar as id, null::varchar as subreddit, null::bigint as score from messages where topic = 'market' "
+          "null::varchar as id, null::varchar as subreddit, null::bigint as score from messages where topic = 'market' and json_valid(value) "
           "union all select topic, null, null, null, json_extract_string(value, '$.id'), "
           "json_extract_string(value, '$.subreddit'), json_extract(value, '$.score')::bigint "
           "from messages where topic = 'posts'")
@@ -231,18 +244,26 @@ def q_route_by_topic(spark, sf_dir):
                                          "subreddit", "score")
 
 
-@register("ingest_counters", O.with_(O.TICKS, O.POSTS, _MESSAGES)
+_SCHEMAS = {"market": MARKET_MSG, "posts": POST_MSG}
+
+
+@register("route_rejects", O.with_(O.TICKS, O.POSTS, MESSAGES_SQL)
+          + "select topic, value from messages where value is null or not json_valid(value) "
+          "or topic not in ('market', 'posts')")
+def q_route_rejects(spark, sf_dir):
+    """The messages that no route takes."""
+    return G.rejects(X.messages(spark, sf_dir), _SCHEMAS)
+
+
+@register("ingest_counters", O.with_(O.TICKS, O.POSTS, MESSAGES_SQL)
           + "select topic, count(*) as consumed, count(*) filter (where json_valid(value)) as parsed, "
           "count(*) filter (where not json_valid(value) or value is null) as errors from messages group by topic")
 def q_ingest_counters(spark, sf_dir):
     """Consumed / parsed / error counts per topic in one aggregate."""
-    m = X.messages(spark, sf_dir)
-    schema = StructType([StructField("_any", StringType())])
-    ok = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE"}).isNotNull() & \
-        F.col("value").isNotNull()
+    m = G.parse_messages(X.messages(spark, sf_dir), StructType([]))
     return m.groupBy("topic").agg(F.count(F.lit(1)).alias("consumed"),
-                                  F.count_if(ok).alias("parsed"),
-                                  F.count_if(~ok).alias("errors"))
+                                  F.count_if(~F.col("_bad")).alias("parsed"),
+                                  F.count_if("_bad").alias("errors"))
 
 
 @register("json_roundtrip", O.with_(O.TICKS)
@@ -264,8 +285,10 @@ DAY_BAR = StructType([StructField(c, t) for c, t in [
     ("date", StringType()), ("open", DoubleType()), ("high", DoubleType()), ("low", DoubleType()),
     ("close", DoubleType()), ("volume", LongType())]])
 QUOTE = StructType([StructField(c, t) for c, t in [
-    ("symbol", StringType()), ("price", DoubleType()), ("open", DoubleType()),
-    ("day_high", DoubleType()), ("day_low", DoubleType()), ("volume", LongType())]])
+    ("symbol", StringType()), ("price", DoubleType()), ("previous_close", DoubleType()),
+    ("open", DoubleType()), ("day_high", DoubleType()), ("day_low", DoubleType()),
+    ("volume", LongType()), ("market_cap", DoubleType()), ("52_week_high", DoubleType()),
+    ("52_week_low", DoubleType())]])
 SNAPSHOT = StructType([StructField("scraped_at", StringType()), StructField("ticker", StringType()),
                        StructField("current", QUOTE), StructField("history", ArrayType(DAY_BAR))])
 
@@ -287,8 +310,12 @@ def write_snapshots(spark, sf_dir, path: str) -> None:
     docs = docs.select(
         F.concat(F.col("month"), F.lit("-28T00:00:00")).alias("scraped_at"), "ticker",
         F.struct(F.col("ticker").alias("symbol"), last["close"].alias("price"),
+                 F.when(F.size("history") > 1, F.element_at("history", -2)["close"]).alias("previous_close"),
                  last["open"].alias("open"), last["high"].alias("day_high"),
-                 last["low"].alias("day_low"), last["volume"].alias("volume")).alias("current"),
+                 last["low"].alias("day_low"), last["volume"].alias("volume"),
+                 (last["close"] * last["volume"]).alias("market_cap"),
+                 F.array_max(F.transform("history", lambda h: h["high"])).alias("52_week_high"),
+                 F.array_min(F.transform("history", lambda h: h["low"])).alias("52_week_low")).alias("current"),
         "history")
     docs.write.mode("overwrite").json(path)
 
@@ -334,9 +361,13 @@ def q_roundtrip_write(spark, sf_dir):
           "select ticker, month || '-28T00:00:00' as scraped_at, ticker as symbol, "
           "arg_max(close, date)::double as price, arg_max(open, date)::double as open, "
           "arg_max(high, date)::double as day_high, arg_max(low, date)::double as day_low, "
-          "arg_max(volume, date) as volume from d group by ticker, month")
+          "arg_max(volume, date) as volume, arg_max(close, date, 2)[2]::double as previous_close, "
+          "arg_max(close, date)::double * arg_max(volume, date) as market_cap, "
+          "max(high)::double as \"52_week_high\", min(low)::double as \"52_week_low\" from d group by ticker, month")
 def q_snapshot_quote(spark, sf_dir):
-    """The ``current`` quote block of each snapshot document, flattened."""
+    """The ``current`` quote block of each snapshot document, flattened: ten
+    fields. The year's range is that of the document's history, and the market
+    value price times volume, for want of either in the tables."""
     path = scratch_path(spark, "snapshots")
     write_snapshots(spark, sf_dir, path)
     return quote(spark.read.schema(SNAPSHOT).json(path))
@@ -349,3 +380,14 @@ def q_bars_5min_last_close(spark, sf_dir):
     """The reference's streaming bucket: last price per ticker and 5 minutes."""
     b = B.last_close_bars(X.ticks(spark, sf_dir), "5 minutes")
     return b.withColumn("close", F.col("close").cast("double"))
+
+
+@register("ohlcv_normalise_daily",
+          "with v as (select l_orderkey, l_linenumber, l_partkey, l_shipdate, "
+          "l_extendedprice / l_quantity as u, l_quantity from lineitem) "
+          "select l_orderkey, l_linenumber, l_partkey, strftime(l_shipdate, '%Y-%m-%d') as date, "
+          f"{_r2('u')} as open, trunc(l_quantity * 1000.5::double)::bigint as volume from v")
+def q_ohlcv_normalise_daily(spark, sf_dir):
+    """The date-only form of the normalised vendor frame."""
+    d = G.normalise_ohlcv(vendor_frame(spark, sf_dir), date_only=True)
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "date", "open", "volume")

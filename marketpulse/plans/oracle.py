@@ -58,7 +58,7 @@ POSTS = """posts as (
          case when d.doc_id % 200 = 3 then 0 else epoch(o.o_orderdate)::bigint end as created_utc,
          strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') as created_datetime,
          d.doc_id % 60 = 5 as stickied
-  from documents d join orders o on o.o_orderkey = d.doc_id)"""
+  from documents d left join orders o on o.o_orderkey = d.doc_id)"""
 
 
 def with_(*ctes: str) -> str:

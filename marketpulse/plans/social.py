@@ -56,7 +56,7 @@ ENRICHED = """enriched as (
   from posts p left join authors a on p.author = a.author)"""
 
 SENT = _LEX + """,
-toks as (select id, unnest(regexp_extract_all(lower(coalesce(selftext, '')), '(\\p{L}+)', 1)) as t from posts),
+toks as (select id, unnest(regexp_extract_all(lower(coalesce(selftext, '')), '(\\p{L}+(?:[''\u2019]\\p{L}+)*)', 1)) as t from posts),
 sent as (select toks.id, sum(lex.v) as s, count(lex.v) as n from toks join lex on toks.t = lex.word group by toks.id)"""
 
 

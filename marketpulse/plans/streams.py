@@ -1,10 +1,11 @@
 """Streaming jobs registered as queries.
 
-Each callable stages its input (derived from the driver's tables) as files in
-time order, runs the streaming job with ``availableNow`` into a fresh
-directory under the shared checkpoint location, and returns the produced
-table. Windowed outputs equal the batch answer restricted to windows the
-watermark has closed (end <= max event time - 15 minutes).
+Each callable stages its input (derived from the driver's tables) in slices,
+runs the streaming job with ``availableNow`` after each slice, restarted from
+its checkpoint, into a fresh directory under the shared checkpoint location,
+and returns the produced table. Windowed outputs equal the batch answer
+restricted to windows the watermark has closed (end <= max event time - 15
+minutes).
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from marketpulse.operators import social as P
 from marketpulse.operators import star as T
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
-from marketpulse.plans.ops import MARKET_MSG, POST_MSG, ROUTE_SQL
+from marketpulse.plans.ops import MARKET_MSG, MESSAGES_SQL, POST_MSG, ROUTE_SQL
 from marketpulse.plans.social import SILVER_SELECT, SOCIAL, enriched_posts, silver_out
 from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
 from marketpulse.streaming import jobs as J
 
-N_FILES = 4
+N_SLICES = 4
 _CLOSED = "datetime <= (select max(ts) from events) - interval 15 minute"
 _BARS_OUT = ("select ticker, datetime, open::double as open, high::double as high, low::double as low, "
              "close::double as close, volume from bars_1h where " + _CLOSED)
@@ -48,7 +49,7 @@ def run_bars_stream(spark, sf_dir, every: str = "1 hour"):
         seen["schema"] = bars.schema
         J.append_stream(bars, out, chk)
 
-    J.feed_in_order(ticks, src, "datetime", N_FILES, once)
+    J.feed_in_order(ticks, src, J.time_slice(ticks, "datetime", N_SLICES), N_SLICES, once)
     return out, seen["schema"]
 
 
@@ -60,12 +61,14 @@ def q_stream_bars_1h(spark, sf_dir):
 
 
 def run_silver_stream(spark, sf_dir):
-    """closed bars (as a stream) -> stateful previous close -> market silver."""
+    """closed bars (as a stream) -> previous close by batch -> market silver.
+    Returns (path of the batches, schema)."""
     bars_path, schema = run_bars_stream(spark, sf_dir)
-    out = scratch_path(spark, "msilver-out")
-    silver = J.lag_stream(J.read_stream(spark, bars_path, schema, None))
-    J.append_stream(silver, out, scratch_path(spark, "msilver-chk"))
-    return out, silver.schema
+    out, state = scratch_path(spark, "msilver-out"), scratch_path(spark, "msilver-last")
+    J.append_lagged(spark, J.read_stream(spark, bars_path, schema), out, state,
+                    scratch_path(spark, "msilver-chk"))
+    silver = spark.read.parquet(out).drop("batch_id")
+    return f"{out}/*", silver.schema
 
 
 _PCT_SQL = (O.with_(O.TICKS, O.BARS_1H)
@@ -78,9 +81,9 @@ _PCT_SQL = (O.with_(O.TICKS, O.BARS_1H)
 
 @register("stream_pct_change", _PCT_SQL)
 def q_stream_pct_change(spark, sf_dir):
-    """Percent change vs the previous closed bar, kept in per-ticker state."""
+    """Percent change vs the previous closed bar across micro-batches."""
     out, schema = run_silver_stream(spark, sf_dir)
-    s = J.read_output(spark, out, schema)
+    s = spark.read.schema(schema).parquet(out)
     return _prices_double(s).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
@@ -89,35 +92,42 @@ def q_stream_financial_fact(spark, sf_dir):
     """Gold: the silver stream projected to the fact columns (a third query)."""
     silver_path, schema = run_silver_stream(spark, sf_dir)
     out = scratch_path(spark, "mgold-out")
-    fact = T.financial_fact_stream_shape(J.read_stream(spark, silver_path, schema, None))
+    fact = T.financial_fact_stream_shape(J.read_stream(spark, silver_path, schema))
     J.append_stream(fact, out, scratch_path(spark, "mgold-chk"))
     f = J.read_output(spark, out, fact.schema)
     return _prices_double(f).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
-def run_posts_stream(spark, sf_dir):
-    """Enriched bronze posts (with re-sent copies) arriving in event-time
-    order -> silver posts stream."""
+def run_posts_stream(spark, sf_dir, slice_of=None):
+    """Enriched bronze posts (with re-sent copies) arriving in slices -> silver
+    posts. Returns (path, schema, path of the counts)."""
     src, out = scratch_path(spark, "posts-in"), scratch_path(spark, "psilver-out")
-    chk = scratch_path(spark, "psilver-chk")
-    e = P.parse_created(enriched_posts(spark, sf_dir), out="_t")
-    again = e.filter(F.col("id").cast("long") % 7 == 0)
-    bronze = e.unionByName(again)
-    seen = {}
+    chk, counts = scratch_path(spark, "psilver-chk"), scratch_path(spark, "psilver-counts")
+    e = enriched_posts(spark, sf_dir)
+    bronze = e.unionByName(e.filter(F.col("id").cast("long") % 7 == 0))
+    if slice_of is None:
+        bronze = P.parse_created(bronze, out="_t")
+        slice_of = J.time_slice(bronze, "_t", N_SLICES)
 
     def once():
-        silver = J.posts_stream(J.read_stream(spark, src, bronze.schema).drop("_t"))
-        seen["schema"] = silver.schema
-        J.append_stream(silver, out, chk)
+        stream = J.read_stream(spark, src, bronze.schema)
+        J.score_posts_stream(spark, stream.drop("_t"), out, chk, counts)
 
-    J.feed_in_order(bronze, src, "_t", N_FILES, once)
-    return out, seen["schema"]
+    J.feed_in_order(bronze, src, slice_of, N_SLICES, once)
+    return out, spark.read.parquet(out).schema, counts
 
 
 @register("stream_posts_silver", SOCIAL + SILVER_SELECT)
 def q_stream_posts_silver(spark, sf_dir):
     """Silver posts from a stream with duplicate deliveries."""
-    out, schema = run_posts_stream(spark, sf_dir)
+    out, schema, _ = run_posts_stream(spark, sf_dir)
+    return silver_out(J.read_output(spark, out, schema))
+
+
+@register("stream_posts_unordered", SOCIAL + SILVER_SELECT)
+def q_stream_posts_unordered(spark, sf_dir):
+    """The same with posts arriving in no order of time, copies days apart."""
+    out, schema, _ = run_posts_stream(spark, sf_dir, F.pmod(F.xxhash64("id", "score"), F.lit(N_SLICES)).cast("int"))
     return silver_out(J.read_output(spark, out, schema))
 
 
@@ -125,30 +135,57 @@ def q_stream_posts_silver(spark, sf_dir):
           + ", ".join(T.SENTIMENT_FACT_STREAM_COLUMNS) + " from sv")
 def q_stream_sentiment_fact(spark, sf_dir):
     """Gold: the post silver stream projected to the ten fact columns."""
-    silver_path, schema = run_posts_stream(spark, sf_dir)
+    silver_path, schema, _ = run_posts_stream(spark, sf_dir)
     out = scratch_path(spark, "pgold-out")
-    fact = T.sentiment_fact_stream_shape(J.read_stream(spark, silver_path, schema, None))
+    fact = T.sentiment_fact_stream_shape(J.read_stream(spark, silver_path, schema))
     J.append_stream(fact, out, scratch_path(spark, "pgold-chk"))
     return silver_out(J.read_output(spark, out, fact.schema))
 
 
-@register("stream_insert_new", O.with_(O.TICKS)
-          + "select ticker, datetime, tie_key, price::double as price, volume from ticks")
-def q_stream_insert_new(spark, sf_dir):
-    """Idempotent streaming insert: ticks with duplicate deliveries, run twice
-    (second run from a fresh checkpoint replays everything and adds nothing)."""
+def run_insert_stream(spark, sf_dir):
+    """Ticks with duplicate deliveries inserted by key into a table partitioned
+    by day, in slices, then all again from a fresh checkpoint. Returns (table
+    path, counts paths of both runs, schema)."""
     src, target = scratch_path(spark, "dup-in"), scratch_path(spark, "ticks-target")
     dup = X.ticks_dup(spark, sf_dir).withColumn("datetime", F.col("datetime").cast("timestamp"))
-    J.stage_files(dup, src, "datetime", N_FILES)
+    dup = dup.withColumn("day", F.to_date("datetime"))
     key, arrival = ["ticker", "datetime", "tie_key"], ["arrival"]
-    for attempt in range(2):
-        stream = J.read_stream(spark, src, dup.schema)
-        J.insert_new_stream(spark, stream, target, scratch_path(spark, f"ins-chk{attempt}"), key, arrival)
-    t = spark.read.schema(dup.schema).parquet(target)
+    counts = [scratch_path(spark, f"ins-counts{k}") for k in range(2)]
+    chk = scratch_path(spark, "ins-chk")
+
+    def once(chk=chk, counted=counts[0]):
+        J.insert_new_stream(spark, J.read_stream(spark, src, dup.schema), target, chk, key, arrival,
+                            range_col="datetime", partition_by=["day"], counts=counted, topic="market")
+
+    J.feed_in_order(dup, src, J.time_slice(dup, "datetime", N_SLICES), N_SLICES, once)
+    once(scratch_path(spark, "ins-chk-again"), counts[1])
+    return target, counts, dup.schema
+
+
+@register("stream_insert_new", O.with_(O.TICKS)
+          + "select ticker, datetime, tie_key, price::double as price, volume from ticks")
+def q_stream_insert_new(spark, sf_dir):
+    """Idempotent streaming insert: the second run replays everything and adds
+    nothing."""
+    target, _, schema = run_insert_stream(spark, sf_dir)
+    t = spark.read.schema(schema).parquet(target)
     return t.select("ticker", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "tie_key",
                     F.col("price").cast("double").alias("price"), "volume")
 
 
+@register("stream_insert_counts", O.with_(O.TICKS, O.TICKS_DUP)
+          + "select 'first' as run, 'market' as topic, (select count(*) from ticks_dup) as consumed, "
+          "(select count(*) from ticks) as inserted, 0::bigint as errors union all "
+          "select 'again', 'market', (select count(*) from ticks_dup), 0, 0")
+def q_stream_insert_counts(spark, sf_dir):
+    """What the batches of both runs consumed and inserted, added up."""
+    _, counts, _ = run_insert_stream(spark, sf_dir)
+    parts = [spark.read.parquet(c).groupBy("topic").agg(
+        *[F.sum(k).alias(k) for k in ("consumed", "inserted", "errors")]).withColumn("run", F.lit(name))
+        for name, c in zip(("first", "again"), counts)]
+    return parts[0].unionByName(parts[1]).select("run", "topic", "consumed", "inserted", "errors")
+
+
 @register("stream_bars_5min", O.with_(O.TICKS, O.bars_cte("bars_5m", "5 minutes"))
           + _BARS_OUT.replace("bars_1h", "bars_5m"))
 def q_stream_bars_5min(spark, sf_dir):
@@ -168,6 +205,32 @@ def q_stream_route_by_topic(spark, sf_dir):
     msgs = X.messages(spark, sf_dir).withColumn("timestamp", F.current_timestamp())
     msgs.write.parquet(src)
     schemas = {"market": MARKET_MSG, "posts": POST_MSG}
-    J.route_stream(spark, J.read_stream(spark, src, msgs.schema), schemas, targets, chk)
+    J.route_stream(spark, J.read_stream(spark, src, msgs.schema), schemas, targets, chk,
+                   scratch_path(spark, "route-rejected"))
     parts = [J.read_output(spark, targets[t], schemas[t]).withColumn("topic", F.lit(t)) for t in schemas]
     return G.union_sources(parts).select("topic", "ticker", "price", "volume", "id", "subreddit", "score")
+
+
+@register("stream_topic_counts", O.with_(O.TICKS, O.POSTS, MESSAGES_SQL)
+          + "select topic, count(*) as consumed, "
+          "count(distinct case when json_valid(value) then coalesce(json_extract_string(value, '$.id'), "
+          "json_extract_string(value, '$.ticker') || '|' || json_extract_string(value, '$.volume')) end) as inserted, "
+          "count(*) filter (where not coalesce(json_valid(value), false) or value = '{}') as errors "
+          "from messages where topic in ('market', 'posts') group by topic")
+def q_stream_topic_counts(spark, sf_dir):
+    """Consumed, inserted and failed messages per topic of a stream that is
+    routed, parsed and inserted by each topic's key."""
+    src, chk = scratch_path(spark, "msg-in"), scratch_path(spark, "topic-chk")
+    schemas = {"market": MARKET_MSG, "posts": POST_MSG}
+    targets = {t: scratch_path(spark, f"topic-{t}") for t in schemas}
+    counts = scratch_path(spark, "topic-counts")
+    msgs = X.messages(spark, sf_dir)
+
+    def once():
+        J.ingest_topics(spark, J.read_stream(spark, src, msgs.schema), schemas,
+                        {"market": ["ticker", "volume"], "posts": ["id"]}, targets,
+                        scratch_path(spark, "topic-rejected"), counts, chk)
+
+    J.feed_in_order(msgs, src, F.pmod(F.xxhash64("value"), F.lit(N_SLICES)).cast("int"), N_SLICES, once)
+    return spark.read.parquet(counts).groupBy("topic").agg(
+        *[F.sum(k).alias(k) for k in ("consumed", "inserted", "errors")])

@@ -88,7 +88,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    j = d.join(o, d.doc_id == o.o_orderkey)
+    j = d.join(o, d.doc_id == o.o_orderkey, "left")
     did = F.col("doc_id")
     author = (F.when(did % 25 == 0, F.lit("[deleted]"))
               .when(did % 40 == 1, F.lit("AutoModerator"))
@@ -112,11 +112,14 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic messages of two shapes in one table, as a broker would hold them."""
+    """Topic messages of two shapes in one table, as a broker would hold them;
+    some are malformed, cut off, null or empty, and some of an unknown topic."""
     t = ticks(spark, sf_dir)
-    m = t.select(F.lit("market").alias("topic"),
-                 F.to_json(F.struct("ticker", F.col("price").cast("double").alias("price"),
-                                    "volume")).alias("value"))
+    k = F.col("tie_key") % 97
+    good = F.to_json(F.struct("ticker", F.col("price").cast("double").alias("price"), "volume"))
+    m = t.select(F.when(k == 9, F.lit("other")).otherwise(F.lit("market")).alias("topic"),
+                 F.when(k == 5, F.lit("not json")).when(k == 6, F.lit('{"ticker": "'))
+                 .when(k == 7, F.lit(None)).when(k == 8, F.lit("{}")).otherwise(good).alias("value"))
     p = posts(spark, sf_dir).select(
         F.lit("posts").alias("topic"),
         F.to_json(F.struct("id", "subreddit", "score")).alias("value"))

@@ -11,16 +11,21 @@ write itself, not from a second job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from marketpulse.operators.ingest import keep_first
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, **options) -> None:
+    """With ``partition_by`` the rows are brought together by partition first
+    (large partitions stay split), so a task does not write into every one."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -38,17 +43,32 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def without_key(df: DataFrame, key: Sequence[str]) -> Column:
+    """True for rows with a null or empty part in their key."""
+    out = F.lit(False)
+    for k in key:
+        out = out | F.col(k).isNull()
+        if isinstance(df.schema[k].dataType, StringType):
+            out = out | (F.col(k) == "")
+    return out
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame | None, key: Sequence[str],
              arrival: Sequence[str] | None = None, range_col: str | None = None,
              partition_col: str | None = None) -> DataFrame:
     """Incoming rows whose key is not stored yet, one row per key.
 
     Duplicates inside the incoming batch are removed first (first arrival
-    wins); ``range_col`` bounds the stored side to the incoming min..max.
-    When the stored table is partitioned by the calendar date of
-    ``range_col`` (``partition_col``), the same bounds prune whole partitions
-    at scan time (scalar subqueries are evaluated before the file listing)."""
+    wins). Rows without a key cannot be told apart and are left out; see
+    ``insert_new``, which counts them. ``range_col``, a part of the key, bounds
+    the stored side to the incoming min..max. When the stored table is
+    partitioned by the calendar date of ``range_col`` (``partition_col``), the
+    same bounds prune whole partitions at scan time (scalar subqueries are
+    evaluated before the file listing)."""
     key = list(key)
+    if range_col and range_col not in key:
+        raise ValueError(f"{range_col!r} is not part of the key {key}: a stored row of the same "
+                         "key may lie outside the incoming range")
     fresh = keep_first(incoming, key, arrival or key)
     if existing is None:
         return fresh
@@ -66,17 +86,28 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, key: Sequence[str]
     return fresh.join(stored.distinct(), key, "left_anti")
 
 
-def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequence[str],
+def insert_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequence[str],
                arrival: Sequence[str] | None = None, range_col: str | None = None,
-               fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> int:
-    """Append only rows with unseen keys to the table at ``path``; returns the
-    number inserted (0 when everything is already there). With a single
-    ``partition_by`` column holding the date of ``range_col``, stored
-    partitions outside the incoming range are not read."""
+               fmt: str = "parquet", partition_by: Sequence[str] | None = None,
+               transform: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, int]:
+    """Appends only rows with unseen keys to the table at ``path``; returns the
+    counts ``consumed``, ``inserted`` and ``keyless`` (rows without a key, which
+    are not inserted). With a single ``partition_by`` column holding the date
+    of ``range_col``, stored partitions outside the incoming range are not
+    read. ``transform`` is applied to the new rows before they are written (it
+    keeps the key)."""
     existing = spark.read.format(fmt).load(path) if table_exists(spark, path) else None
     pcol = partition_by[0] if partition_by and len(partition_by) == 1 and range_col else None
-    rows = new_rows(incoming, existing, key, arrival, range_col, partition_col=pcol)
-    obs = Observation("inserted")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
-    write_table(rows, path, fmt, "append", partition_by)
-    return int(obs.get.get("n", 0))
+    seen = incoming.agg(F.count(F.lit(1)), F.count_if(without_key(incoming, key))).first()
+    done = Observation("inserted")
+    rows = new_rows(incoming, existing, key, arrival, range_col, pcol)
+    rows = rows.observe(done, F.count(F.lit(1)).alias("n"))
+    write_table(transform(rows) if transform else rows, path, fmt, "append", partition_by)
+    return {"consumed": seen[0], "inserted": int(done.get.get("n", 0)), "keyless": seen[1]}
+
+
+def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequence[str],
+               arrival: Sequence[str] | None = None, range_col: str | None = None,
+               fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> int:
+    """``insert_new``; returns the number inserted (0 when all is there)."""
+    return insert_new(spark, incoming, path, key, arrival, range_col, fmt, partition_by)["inserted"]

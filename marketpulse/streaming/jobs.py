@@ -2,13 +2,13 @@
 
 * ``bars_stream``: event-time watermark + tumbling OHLCV bars, append mode
   (a bar is emitted once the watermark passes its end).
-* ``lag_stream``: previous close per ticker across micro-batches, kept in
-  keyed state (``applyInPandasWithState``); the change and direction are
-  then computed with the same expressions as the batch job.
-* ``posts_stream``: de-duplication by post id within the watermark, then the
-  shared post scoring function.
+* ``append_lagged``: previous close per ticker across micro-batches: each
+  batch is a window over its new bars and the last stored bar of each ticker.
+* ``score_posts_stream``: post silver by id: a post is stored the first time
+  it arrives, however old it is; nothing is dropped for lateness.
 * ``insert_new_stream``: ``foreachBatch`` sink that appends only unseen keys,
   so a replayed micro-batch (after a failure) inserts nothing twice.
+* ``route_stream``: topic messages to one table per topic, and rejects.
 
 Every job writes its checkpoint and output under the shared checkpoint
 directory and can be run with ``availableNow`` (bounded catch-up) or a
@@ -17,56 +17,47 @@ processing-time trigger (continuous).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from marketpulse.functions.windowing import exact, price_scale, safe_div
 from marketpulse.operators import bars as B
 from marketpulse.operators import indicators as I
 from marketpulse.operators import social as P
-from marketpulse.operators.ingest import keep_first
-from marketpulse.sources.sinks import append_new, table_exists
+from marketpulse.operators.ingest import parse_messages, rejects, route
+from marketpulse.session import scratch_path
+from marketpulse.sources.sinks import insert_new, table_exists
 
-EXACT = "decimal(18,2)"
 DEFAULT_DELAY = "15 minutes"
 
 
-def time_slices(df: DataFrame, order_col: str, n: int) -> list[DataFrame]:
-    """``df`` cut into ``n`` consecutive time ranges (cut points are
-    approximate quantiles of ``order_col``: one small aggregate)."""
-    probs = [i / n for i in range(1, n)]
+# --- feeding a stream from a table ---------------------------------------------
+
+def time_slice(df: DataFrame, order_col: str, n: int):
+    """Column: which of ``n`` consecutive time ranges a row lies in (the cuts are
+    approximate quantiles: one small aggregate); 0 for rows without a time."""
     micros = F.unix_micros(F.col(order_col).cast("timestamp"))
-    cuts = df.select(F.percentile_approx(micros, probs, 10000).alias("q")).first()["q"] if probs else []
-    bounds = [None] + list(cuts) + [None]
-    out = []
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (micros > F.lit(lo))
-        if hi is not None:
-            cond = cond & (micros <= F.lit(hi))
-        out.append(df.filter(cond))
+    probs = [i / n for i in range(1, n)]
+    cuts = (df.select(F.percentile_approx(micros, probs, 10000).alias("q")).first()["q"] or []) if probs else []
+    out = F.lit(0)
+    for cut in cuts:
+        out = out + F.coalesce((micros > F.lit(cut)).cast("int"), F.lit(0))
     return out
 
 
-def stage_files(df: DataFrame, path: str, order_col: str, n_files: int) -> None:
-    """Write ``df`` as ``n_files`` time-ordered appends (one file each). A
-    file source may pick files written within the same second in any order,
-    so use ``feed_in_order`` when the job depends on arrival order."""
-    for part in time_slices(df, order_col, n_files):
-        part.coalesce(1).write.mode("append").parquet(path)
-
-
-def feed_in_order(df: DataFrame, path: str, order_col: str, n_slices: int, run_once) -> None:
-    """Simulate data arriving over time: append one time slice to ``path``,
-    then ``run_once()`` (a query restarted from the same checkpoint with
-    ``availableNow``), and repeat. Every slice is processed after the ones
-    before it, whatever the file modification times."""
-    for part in time_slices(df, order_col, n_slices):
-        part.coalesce(1).write.mode("append").parquet(path)
+def feed_in_order(df: DataFrame, path: str, slice_of, n_slices: int, run_once) -> None:
+    """Simulate data arriving over time: append one slice (column ``slice_of``,
+    0 to n - 1) to ``path``, then ``run_once()`` (a query restarted from the same
+    checkpoint with ``availableNow``), and repeat. The table is read once and
+    staged by slice, in as many files as it has partitions."""
+    spark = df.sparkSession
+    staged = scratch_path(spark, "slices")
+    df.withColumn("_slice", slice_of).write.partitionBy("_slice").parquet(staged)
+    for i in range(n_slices):
+        spark.read.parquet(staged).filter(F.col("_slice") == i).select(*df.columns).write.mode(
+            "append").parquet(path)
         run_once()
 
 
@@ -81,14 +72,13 @@ def run(query_builder, trigger_available_now: bool = True, processing_time: str
     return query_builder.trigger(processingTime=processing_time or "1 minute").start()
 
 
-def read_stream(spark: SparkSession, path: str, schema,
-                max_files_per_trigger: int | None = 1) -> DataFrame:
-    """File stream. Between layers pass ``None``: a file-sink directory is read
-    through its commit log, so every trigger sees whole upstream batches."""
-    r = spark.readStream.schema(schema)
+def read_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                fmt: str = "parquet", **options) -> DataFrame:
+    """File stream of any format; ``max_files_per_trigger`` bounds a batch."""
+    r = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    return r.load(path)
 
 
 # --- market ------------------------------------------------------------------------
@@ -98,49 +88,57 @@ def bars_stream(ticks: DataFrame, every: str = "1 hour", delay: str = DEFAULT_DE
     return B.ohlcv_bars(ticks.withWatermark("datetime", delay), every)
 
 
-LAG_OUT = ("ticker string, datetime timestamp, open decimal(18,2), high decimal(18,2), "
-           "low decimal(18,2), close decimal(18,2), volume long, prev_close_cents long")
-LAG_STATE = "last_datetime timestamp, last_close_cents long"
-
-
-def _lag_step(key, frames, state):
-    """Per ticker and micro-batch: order the new bars, attach the previous
-    close (from state for the first one), remember the last bar."""
-    parts = [f for f in frames if not f.empty]
-    if not parts:
-        return
-    pdf = pd.concat(parts, ignore_index=True)
-    if state.exists:
-        last_dt, last_cents = state.get
+def _batch_dirs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished ``batch_id=<n>`` directories under ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id=")
+                  and table_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def with_previous_close(bars: DataFrame, last: DataFrame | None, key: str = "ticker",
+                        ts: str = "datetime", close: str = "close") -> DataFrame:
+    """``bars`` with PrctChange and Direction against the bar before, the first
+    of a series against its row in ``last`` (key, ts, close). Bars that are not
+    later than the last one are repeats of what was processed and left out."""
+    scale = price_scale(bars, close)
+    if last is not None:
+        seen = last.select(F.col(key).alias("_key"), F.col(ts).alias("_seen"),
+                           F.col(close).alias("_close"))
+        bars = bars.join(seen, F.col(key).eqNullSafe(F.col("_key")), "left").filter(
+            F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_key", "_seen")
     else:
-        last_dt, last_cents = None, None
-    if last_dt is not None:
-        pdf = pdf[pdf["datetime"] > pd.Timestamp(last_dt)]
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values("datetime", kind="mergesort").reset_index(drop=True)
-    cents = pdf["close_cents"].astype("int64")
-    prev = cents.shift(1).astype("Int64")
-    prev.iloc[0] = pd.NA if last_cents is None else int(last_cents)
-    pdf["prev_close_cents"] = prev
-    last = pdf.iloc[-1]
-    state.update((last["datetime"].to_pydatetime(), int(last["close_cents"])))
-    yield pdf[["ticker", "datetime", "open", "high", "low", "close", "volume", "prev_close_cents"]]
-
-
-def lag_stream(bars: DataFrame) -> DataFrame:
-    """Previous close per ticker across micro-batches, then PrctChange and
-    Direction with the batch expressions."""
-    from marketpulse.session import ship_package
-    ship_package(bars.sparkSession)      # the state function runs in Python workers
-    b = bars.withColumn("close_cents", (F.col("close").cast(EXACT) * 100).cast("long"))
-    out = b.groupBy("ticker").applyInPandasWithState(
-        _lag_step, LAG_OUT, LAG_STATE, "append", GroupStateTimeout.NoTimeout)
-    prev = (F.col("prev_close_cents").cast("decimal(20,0)") / F.lit(100)).cast(EXACT)
-    c = F.col("close").cast(EXACT)
-    pct = F.try_divide((c - prev).cast("double"), prev.cast("double")) * F.lit(100.0)
-    return out.withColumn("PrctChange", pct).withColumn(
-        "Direction", I.direction_col(F.col("PrctChange"))).drop("prev_close_cents")
+        bars = bars.withColumn("_close", F.lit(None).cast(bars.schema[close].dataType))
+    w = Window.partitionBy(key).orderBy(ts)
+    c = exact(close, scale)
+    # the stored close stands before the first new bar only
+    prev = F.when(F.row_number().over(w) == 1, exact("_close", scale)).otherwise(F.lag(c).over(w))
+    pct = safe_div((c - prev).cast("double"), prev.cast("double")) * F.lit(100.0)
+    return bars.withColumn("PrctChange", pct).drop("_close").withColumn(
+        "Direction", I.direction_col(F.col("PrctChange")))
+
+
+def append_lagged(spark: SparkSession, bars: DataFrame, out: str, state: str, checkpoint: str, **trigger):
+    """Stream of closed bars -> ``out/batch_id=<n>`` with PrctChange and
+    Direction; ``state/batch_id=<n>`` holds the last bar of each ticker after
+    batch n. A batch found finished is not written again, so a replay after a
+    failure changes nothing; only the state of the batch before is read."""
+    def write_batch(batch: DataFrame, n: int) -> None:
+        if n in _batch_dirs(spark, out):
+            return
+        before = [k for k in _batch_dirs(spark, state) if k < n]
+        last = spark.read.parquet(f"{state}/batch_id={before[-1]}") if before else None
+        slim = batch.select("ticker", "datetime", "close")
+        both = slim if last is None else last.unionByName(slim)
+        now = both.groupBy("ticker").agg(F.max("datetime").alias("datetime"),
+                                         F.max_by("close", "datetime").alias("close"))
+        now.write.mode("overwrite").parquet(f"{state}/batch_id={n}")
+        with_previous_close(batch, last).write.mode("overwrite").parquet(f"{out}/batch_id={n}")
+
+    return run(bars.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), **trigger)
 
 
 # --- posts ---------------------------------------------------------------------------
@@ -148,70 +146,102 @@ def lag_stream(bars: DataFrame) -> DataFrame:
 INGEST_METRICS = "ingest"
 
 
-def posts_stream(posts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Silver posts from a bronze post stream: event time, watermark, de-dup
-    by id within the watermark, shared scoring.
-
-    Per micro-batch the consumed rows and the rows whose time does not parse
-    are observed as metrics ``ingest`` (see ``ingest_counters``)."""
-    p = P.parse_created(posts)
+def posts_stream(posts: DataFrame) -> DataFrame:
+    """A bronze post stream with the figures ``ingest`` observed in every
+    micro-batch: consumed rows, and rows whose time does not parse."""
+    p = P.parse_created(posts, out="_parsed")
     p = p.observe(INGEST_METRICS, F.count(F.lit(1)).alias("consumed"),
-                  F.count_if(F.col("datetime").isNull()).alias("errors"))
-    p = p.withWatermark("datetime", delay).dropDuplicatesWithinWatermark(["id"])
-    return P.score_posts(p)
-
-
-def ingest_counters(query) -> dict:
-    """Totals of the observed ingest metrics over a query's recent progress,
-    plus rows the watermark dropped as late (state operator metrics)."""
-    out = {"consumed": 0, "errors": 0, "batches": 0, "late_dropped": 0}
-    for prog in query.recentProgress:
-        for op in prog.stateOperators or []:
-            out["late_dropped"] += int(op.numRowsDroppedByWatermark or 0)
-        m = (prog.observedMetrics or {}).get(INGEST_METRICS)
-        if m is not None:
-            out["consumed"] += int(m["consumed"])
-            out["errors"] += int(m["errors"])
-            out["batches"] += 1
-    return out
+                  F.count_if(F.col("_parsed").isNull()).alias("errors"))
+    return p.drop("_parsed")
+
+
+def score_posts_stream(spark: SparkSession, posts: DataFrame, target: str, checkpoint: str,
+                       counts: str | None = None, **trigger):
+    """Bronze posts -> silver table of unique ids. A post counts as new when its
+    id is not stored, whatever its time, as posts of quiet communities arrive
+    days after they were written; repeats add nothing. New posts are scored."""
+    return insert_new_stream(spark, posts_stream(posts), target, checkpoint, ["id"], None,
+                             counts=counts, transform=P.score_posts, **trigger)
 
 
 # --- sinks ----------------------------------------------------------------------------
 
-def append_stream(df: DataFrame, out_path: str, checkpoint: str, **trigger):
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", out_path))
-    return run(w, **trigger)
+def append_stream(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
+                  options: dict | None = None, **trigger):
+    w = (df.writeStream.format(fmt).outputMode("append").options(**(options or {}))
+         .option("checkpointLocation", checkpoint))
+    return run(w.option("path", out_path) if out_path else w, **trigger)
+
+
+def _write_counts(spark: SparkSession, counts: str, batch_id: int, rows: list[tuple]) -> None:
+    """A batch's figures, in a directory of its own (a replay replaces them)."""
+    spark.createDataFrame(rows, "topic string, consumed long, inserted long, errors long").coalesce(1).write.mode(
+        "overwrite").parquet(f"{counts}/batch_id={batch_id}")
 
 
 def insert_new_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
-                      key: Sequence[str], arrival: Sequence[str], **trigger):
+                      key: Sequence[str], arrival: Sequence[str] | None, range_col: str | None = None,
+                      partition_by: Sequence[str] | None = None, counts: str | None = None,
+                      topic: str | None = None, transform: Callable | None = None, **trigger):
     """Each micro-batch appends only keys not yet in ``target`` (first arrival
-    within the batch wins). Replaying a batch inserts nothing."""
+    within the batch wins). Replaying a batch inserts nothing. ``counts`` is a
+    table of (topic, consumed, inserted, errors) per batch; rows without a key
+    are its errors."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new(spark, batch, target, key, arrival)
+        batch = batch.persist()
+        try:
+            n = insert_new(spark, batch, target, key, arrival, range_col, "parquet", partition_by, transform)
+        finally:
+            batch.unpersist()
+        if counts:
+            _write_counts(spark, counts, batch_id, [(topic, n["consumed"], n["inserted"], n["keyless"])])
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return run(w, **trigger)
 
 
+def ingest_topics(spark: SparkSession, messages: DataFrame, schemas: dict, keys: dict, targets: dict,
+                  rejected: str, counts: str, checkpoint: str, **trigger):
+    """Topic messages -> one table of unique keys per topic (``keys[topic]``),
+    the messages that no route takes to ``rejected``, and (topic, consumed,
+    inserted, errors) of each batch to ``counts``."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            figures = []
+            for topic, schema in schemas.items():
+                parsed = parse_messages(batch.filter(F.col("topic") == topic), schema)
+                bad = parsed.filter("_bad").count()
+                good = parsed.filter("not _bad").select("_m.*").select(*schema.fieldNames())
+                n = insert_new(spark, good, targets[topic], keys[topic])
+                figures.append((topic, n["consumed"] + bad, n["inserted"], bad + n["keyless"]))
+            rejects(batch, schemas).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+            _write_counts(spark, counts, batch_id, figures)
+        finally:
+            batch.unpersist()
+
+    w = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return run(w, **trigger)
+
+
 def route_stream(spark: SparkSession, messages: DataFrame, schemas: dict, targets: dict,
-                 checkpoint: str, **trigger):
+                 checkpoint: str, rejected: str | None = None, **trigger):
     """Topic stream -> one table per topic. Each micro-batch is persisted once
     and split by topic inside ``foreachBatch`` (one read of the source per
-    batch, however many targets); malformed values are not written.
+    batch, however many targets); messages that do not parse or have no table
+    go to ``rejected``, if given.
 
     Every batch overwrites its own ``batch_id=<n>`` directory, so a batch
     replayed after a failure replaces its earlier output instead of adding
     to it."""
-    from marketpulse.operators.ingest import route
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             for topic, parsed in route(batch, schemas).items():
                 good = parsed.filter(~F.col("_bad")).drop("_bad")
                 good.write.mode("overwrite").parquet(f"{targets[topic]}/batch_id={batch_id}")
+            if rejected:
+                rejects(batch, schemas).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
@@ -223,7 +253,3 @@ def read_output(spark: SparkSession, path: str, schema) -> DataFrame:
     if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
-
-
-__all__ = ["time_slices", "stage_files", "feed_in_order", "bars_stream", "lag_stream", "posts_stream", "append_stream",
-           "insert_new_stream", "read_output", "keep_first"]

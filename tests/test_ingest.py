@@ -51,6 +51,32 @@ def test_route_counts_bad_messages(spark):
     out = G.route(msgs, {"m": schema})["m"]
     rows = sorted(((r.a, r.n, r._bad) for r in out.collect()), key=lambda t: t[2], reverse=True)
     assert rows == [(None, None, True), ("x", 1, False)]
+    assert [tuple(r) for r in G.rejects(msgs, {"m": schema}).orderBy("topic").collect()] == [
+        ("m", "not json"), ("p", '{"a": "y"}')]
+
+
+def test_messages_that_do_not_parse(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    schema = StructType([StructField("a", StringType()), StructField("n", LongType())])
+    texts = ['{"a": "x", "n": 1}', "{}", '{"a": "x"', "not json", None, '{"n": "text"}', '{"n": null}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = {r.i: r._bad for r in G.parse_messages(df, schema).collect()}
+    assert got == {0: False, 1: False, 2: True, 3: True, 4: True, 5: True, 6: False}
+
+
+def test_insert_counts_rows_without_a_key(spark):
+    from marketpulse.sources.sinks import insert_new
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "id long, v string")
+    path = scratch_path(spark, "t-keyless")
+    assert insert_new(spark, df, path, ["id"]) == {"consumed": 4, "inserted": 2, "keyless": 1}
+    assert insert_new(spark, df, path, ["id"]) == {"consumed": 4, "inserted": 0, "keyless": 1}
+
+
+def test_the_range_column_is_part_of_the_key(spark):
+    from marketpulse.sources.sinks import new_rows
+    df = spark.createDataFrame([(1, 2)], "id long, scraped_at long")
+    with pytest.raises(ValueError, match="scraped_at"):
+        new_rows(df, df, ["id"], range_col="scraped_at")
 
 
 def test_duplicate_keys(spark):

@@ -59,9 +59,24 @@ def test_large_lexicon_path_matches_regex_path(spark):
     """Above the alternation limit the scorer tokenises; both paths agree."""
     from marketpulse.sources import fixtures as X
     big = dict(S.LEXICON_TENTHS)
-    big.update({f"zz{i}q": (i % 9) - 4 for i in range(S.ALTERNATION_LIMIT)})   # never occur
+    big.update({f"zz{chr(97 + i % 26)}{chr(97 + i // 26)}q": (i % 9) - 4 for i in range(S.ALTERNATION_LIMIT)})   # never occur
     assert len(big) > S.ALTERNATION_LIMIT
     posts = X.posts(spark, "/root/testdata/sf0.001").select("id", "selftext")
     a = S.add_scores(posts).select("id", "VaderScore", "TextblobScore")
     b = S.add_scores(posts, lexicon=big).select("id", "VaderScore", "TextblobScore")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_words_with_apostrophes_in_any_size_of_lexicon(spark):
+    """One meaning for every size; entries that are not one word are an error."""
+    import pytest
+    texts = ["I can't go", "can t", "cant can'ts", "ain't it? CAN'T!", "x'can't", "can'", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, selftext string")
+    small = {"can't": -20, "ain't": -11, "can": 7}
+    large = small | {f"never{chr(97 + k % 26)}{chr(97 + k // 26)}": k % 9 for k in range(100)}
+    a, b = (S.add_scores(df, lexicon=x).select("i", "VaderScore", "TextblobScore") for x in (small, large))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    scores = {r.i: r.VaderScore for r in a.collect()}
+    assert scores[0] < 0 < scores[1] and scores[2] == 0 == scores[4] and scores[5] > 0 and scores[6] == 0
+    with pytest.raises(ValueError, match="not single words"):
+        S.add_scores(df, lexicon={"c++": 3})
