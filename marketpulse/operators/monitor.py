@@ -39,8 +39,10 @@ def totals(streams: dict[str, DataFrame]) -> DataFrame:
 def recent_activity(df: DataFrame, ts: str, name: str,
                     minutes: Sequence[int] = RECENT_MINUTES) -> DataFrame:
     """Rows in the last m minutes before the latest row, for each m, in one
-    pass (``as_of`` = the latest time, a scalar subquery in the same plan)."""
+    pass (``as_of`` = the latest time, a scalar subquery in the same plan) over
+    the rows of the longest look-back only."""
     as_of = df.select(F.max(ts)).scalar()
+    df = df.filter(F.col(ts) >= _minutes_before(as_of, max(minutes)))
     aggs = [F.count_if(F.col(ts) >= _minutes_before(as_of, m)).alias(f"last_{m}_min")
             for m in minutes]
     return df.agg(*aggs).withColumn("stream", F.lit(name)).select(

@@ -99,17 +99,19 @@ def topic_posts(posts: DataFrame, topic_communities: Sequence[str], keywords: Se
 # --- enrichment -----------------------------------------------------------------
 
 def enrich(posts: DataFrame, authors: DataFrame, author: str = "author",
-           defaults: dict | None = None) -> DataFrame:
+           defaults: dict | None = None, id_col: str = "id") -> DataFrame:
     """Left-join author profiles; profile values overwrite same-named post
     values when the author is known, otherwise the post stays unchanged.
-    Known profiles missing a field get its default (0 / false)."""
+    Known profiles missing a field get its default (0 / false). ``posts`` may be
+    a stream. Posts of placeholder authors get a key made from ``id_col``, which
+    matches nothing and spreads them."""
     defaults = AUTHOR_DEFAULTS if defaults is None else defaults
     a_cols = [c for c in authors.columns if c != author]
     prof = authors.filter(is_real_author(F.col(author))).select(
         F.col(author).alias("_akey"), F.lit(True).alias("_matched"),
         *[F.col(c).alias(f"_a_{c}") for c in a_cols])
     key = F.when(is_real_author(F.col(author)), F.col(author)).otherwise(
-        F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string")))
+        F.concat(F.lit("\u0000"), F.xxhash64(id_col).cast("string")))
     j = posts.withColumn("_pkey", key).join(prof, F.col("_pkey") == F.col("_akey"), "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = {}

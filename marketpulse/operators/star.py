@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.picking import pick
+from marketpulse.functions.windowing import exact, price_scale
 from marketpulse.operators.social import AUTHOR_DIM_COLUMNS
 
 # The financial fact columns of the streaming gold layer.
@@ -70,7 +71,7 @@ def sentiment_fact_stream_shape(silver: DataFrame) -> DataFrame:
 def market_rollup(fact: DataFrame, tdim: DataFrame) -> DataFrame:
     """Per ticker, year and quarter: bars, exact mean close, high, low, volume."""
     j = fact.join(tdim, "datetime")
-    close = F.col("close").cast("decimal(18,2)")
+    close = exact("close", price_scale(fact, "close"))
     return j.groupBy("ticker", "year", "quarter").agg(
         F.count(F.lit(1)).alias("n_bars"),
         (F.sum(close).cast("double") / F.count(close)).alias("avg_close"),
@@ -81,9 +82,10 @@ def market_rollup(fact: DataFrame, tdim: DataFrame) -> DataFrame:
 
 
 def sentiment_by_author(fact: DataFrame, adim: DataFrame) -> DataFrame:
-    """Per verified flag and gold flag of the author: posts, mean scores."""
+    """Per verified flag and gold flag of the author: posts, mean scores. Every
+    post of the fact counts; unknown authors have null flags."""
     j = fact.join(adim.select("author_fullname", "author_verified", "author_is_gold"),
-                  "author_fullname")
+                  "author_fullname", "left")
     return j.groupBy("author_verified", "author_is_gold").agg(
         F.count(F.lit(1)).alias("n_posts"),
         F.round(F.avg("VaderScore"), 6).alias("avg_vader"),

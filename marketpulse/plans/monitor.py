@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketpulse.operators import monitor as M
-from marketpulse.operators import star as T
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
 from marketpulse.plans.social import _r
@@ -67,18 +66,44 @@ def q_monitor_top_communities(spark, sf_dir):
     return M.top_communities(p, p.select(F.max("datetime")).scalar())
 
 
-@register("monitor_freshness", O.with_(O.TICKS, O.POSTS) + _PTIME
-          + ", l as (select 'market' as stream, (select max(datetime) from ticks) as latest "
-          "union all select 'posts', (select max(datetime) from pt)), "
+# when a row was taken in: some time after the event
+_TAKEN = (", tk as (select *, datetime + interval (tie_key % 5) second as scraped_at from ticks), "
+          "ps as (select *, datetime + interval (id::bigint % 7) minute as scraped_at from pt)")
+
+
+def _taken(spark, sf_dir):
+    """The market and post streams with the time at which each row was taken in,
+    and a stream without rows."""
+    t = X.ticks(spark, sf_dir)
+    t = t.withColumn("scraped_at", t.datetime + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), t.tie_key % 5))
+    p = post_stream(spark, sf_dir)
+    minutes = (F.col("id").cast("long") % 7).cast("int")
+    p = p.withColumn("scraped_at", F.col("datetime") + F.make_dt_interval(F.lit(0), F.lit(0), minutes))
+    return {"market": t, "posts": p, "alerts": t.filter(F.col("volume").isNull() & F.col("volume").isNotNull())}
+
+
+@register("monitor_recent_ingest", O.with_(O.TICKS, O.POSTS) + _PTIME + _TAKEN + " "
+          + " union all ".join(
+              _recent_sql(t, n).replace("datetime", "scraped_at") for t, n in (("tk", "market"), ("ps", "posts"))))
+def q_monitor_recent_ingest(spark, sf_dir):
+    """Rows taken in during the last 5 / 15 / 60 minutes of each stream."""
+    streams = _taken(spark, sf_dir)
+    return M.recent_activity(streams["market"], "scraped_at", "market").unionByName(
+        M.recent_activity(streams["posts"], "scraped_at", "posts"))
+
+
+@register("monitor_freshness", O.with_(O.TICKS, O.POSTS) + _PTIME + _TAKEN
+          + ", l as (select 'market' as stream, (select max(scraped_at) from tk) as latest "
+          "union all select 'posts', (select max(scraped_at) from ps) union all select 'alerts', null), "
           "a as (select max(latest) as as_of from l) "
           "select stream, " + _r("(epoch_us(as_of) - epoch_us(latest))::double / 60e6", 3)
           + " as age_minutes, case when latest is null then 'NO DATA' "
           "when (epoch_us(as_of) - epoch_us(latest))::double / 60e6 < 10 then 'OK' else 'STALE' end as status from l, a")
 def q_monitor_freshness(spark, sf_dir):
-    """Minutes since each stream's latest row, as of the latest row overall."""
-    market = X.ticks(spark, sf_dir).agg(F.max("datetime").alias("latest")).withColumn("stream", F.lit("market"))
-    posts = post_stream(spark, sf_dir).agg(F.max("datetime").alias("latest")).withColumn("stream", F.lit("posts"))
-    latest = market.unionByName(posts)
+    """Minutes since each stream took in its latest row, as of the latest of all."""
+    parts = [df.agg(F.max("scraped_at").alias("latest")).withColumn("stream", F.lit(name))
+             for name, df in _taken(spark, sf_dir).items()]
+    latest = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return M.freshness(latest, latest.select(F.max("latest")).scalar())
 
 
@@ -87,8 +112,9 @@ def q_monitor_freshness(spark, sf_dir):
           "substring(coalesce(arg_max(title, (datetime, id)), ''), 1, 60) as title, "
           "arg_max(score, (datetime, id)) as score, max(datetime) as datetime from pt")
 def q_latest_post(spark, sf_dir):
-    """The newest post: community, title prefix, score, time."""
-    p = post_stream(spark, sf_dir).withColumn("_k", F.lit(1))
-    latest = T.latest_per_key(p, "_k", ["datetime", "id"], ["subreddit", "title", "score", "datetime"])
+    """The newest post: community, title prefix, score, time. The top row of
+    each task, then of those."""
+    p = post_stream(spark, sf_dir).select("id", "subreddit", "title", "score", "datetime")
+    latest = p.orderBy(F.col("datetime").desc(), F.col("id").desc()).limit(1)
     return latest.select("subreddit", F.substring(F.coalesce(F.col("title"), F.lit("")), 1, 60).alias("title"),
                          "score", "datetime")

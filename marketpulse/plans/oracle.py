@@ -38,12 +38,12 @@ TICKS_DUP = """ticks_dup as (
 STORED_TICKS = """stored_ticks as (select * from ticks where tie_key % 2 = 0)"""
 
 AUTHORS = """authors as (
-  select c_custkey::varchar as author, floor(c_acctbal)::bigint as author_total_karma,
+  select case when c_custkey % 10 <> 9 then c_custkey::varchar end as author, floor(c_acctbal)::bigint as author_total_karma,
          floor(c_acctbal / 2)::bigint as author_comment_karma,
          floor(c_acctbal / 4)::bigint as author_link_karma,
          case when c_custkey % 50 = 0 then 0 else 1100000000 + c_custkey * 3600 end::bigint as author_created_utc,
          c_custkey % 3 = 0 as author_verified, c_custkey % 7 = 0 as author_is_gold
-  from customer where c_custkey % 10 <> 9)"""
+  from customer)"""
 
 POSTS = """posts as (
   select d.doc_id::varchar as id,

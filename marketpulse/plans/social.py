@@ -14,6 +14,7 @@ from marketpulse.operators import social as P
 from marketpulse.operators import star as T
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
+from marketpulse.session import materialise
 from marketpulse.sources import fixtures as X
 from marketpulse.sources.sinks import new_rows
 
@@ -117,11 +118,10 @@ def q_posts_valid(spark, sf_dir):
 @register("posts_in_range", O.with_(O.POSTS)
           + f"select id, created_utc from posts where created_utc between {_epoch(RANGE_START)} and {_epoch(RANGE_END)}")
 def q_posts_in_range(spark, sf_dir):
-    """Posts created in an inclusive time range."""
-    p = X.posts(spark, sf_dir).withColumn("_ts", P.created_ts())
-    start = F.lit(RANGE_START).cast("timestamp")
-    end = F.lit(RANGE_END).cast("timestamp")
-    return P.in_range(p, "_ts", start, end).select("id", "created_utc")
+    """Posts created in an inclusive time range: the bounds become epoch
+    seconds, so the stored column itself is compared."""
+    return P.in_range(X.posts(spark, sf_dir), "created_utc", _epoch(RANGE_START),
+                      _epoch(RANGE_END)).select("id", "created_utc")
 
 
 @register("real_authors", O.with_(O.POSTS)
@@ -228,6 +228,28 @@ def q_sentiment_polarity(spark, sf_dir):
     return S.add_scores(X.posts(spark, sf_dir)).select("id", "TextblobScore")
 
 
+def large_lexicon() -> dict[str, int]:
+    """All two-letter words and the three-letter words that begin with a to g,
+    valences by rule."""
+    az = [chr(97 + k) for k in range(26)]
+    words = [a + b for a in az for b in az] + [a + b + c for a in az[:7] for b in az for c in az]
+    return {w: (7 * k) % 81 - 40 for k, w in enumerate(words)}
+
+
+_LARGE = """lex(word, v) as (
+  select chr(97 + (k // 26)::int) || chr(97 + (k % 26)::int), (7 * k) % 81 - 40 from range(676) r(k)
+  union all select chr(97 + (k // 676)::int) || chr(97 + ((k // 26) % 26)::int) || chr(97 + (k % 26)::int),
+    (7 * (676 + k)) % 81 - 40 from range(4732) r(k))"""
+
+
+@register("sentiment_large_lexicon", O.with_(O.POSTS, O.AUTHORS, ENRICHED, SENT.replace(_LEX, _LARGE), SCORED)
+          + "select id, VaderScore, TextblobScore from silver")
+def q_sentiment_large_lexicon(spark, sf_dir):
+    """Both scores with a lexicon of 5,408 words."""
+    return S.add_scores(X.posts(spark, sf_dir), lexicon=large_lexicon()).select(
+        "id", "VaderScore", "TextblobScore")
+
+
 @register("posts_silver", SOCIAL + SILVER_SELECT)
 def q_posts_silver(spark, sf_dir):
     """The post silver table: enrichment, sentiment, engagement, event time."""
@@ -280,10 +302,13 @@ def q_platform_dim(spark, sf_dir):
           "select author_verified, author_is_gold, count(*) as n_posts, " + _r("avg(VaderScore)")
           + " as avg_vader, " + _r("avg(TextblobScore)") + " as avg_textblob, sum(score)::bigint as total_score "
           "from (select sv.VaderScore, sv.TextblobScore, sv.score, ad.author_verified, ad.author_is_gold "
-          "from sv join ad using (author_fullname)) group by all")
+          "from sv left join ad using (author_fullname)) group by all")
 def q_star_sentiment_by_author(spark, sf_dir):
-    """Sentiment fact joined to the author dimension, by author flags."""
-    silver = silver_out(posts_silver(spark, sf_dir))
+    """Sentiment fact joined to the author dimension, by author flags; posts
+    without a known author count under null flags. Silver is made once."""
+    used = ["id", "author", "author_fullname", "author_verified", "author_is_gold", "datetime",
+            "VaderScore", "TextblobScore", "score"]
+    silver = materialise(silver_out(posts_silver(spark, sf_dir)).select(*used), "posts-silver")
     return T.sentiment_by_author(P.sentiment_fact(silver), T.author_dim_latest(silver))
 
 
@@ -314,15 +339,16 @@ def q_enrichment_coverage(spark, sf_dir):
           + ", listed(subreddit) as (values " + ", ".join(f"('{s}')" for s in LISTED) + ") "
           "select l.subreddit, coalesce(c.n, 0) as n_posts from listed l left join "
           "(select subreddit, count(*) as n from posts group by subreddit) c using (subreddit) "
-          "union all select 'ALL', count(*) from posts")
+          "union all select 'ALL', count(*) from posts where subreddit in (select subreddit from listed)")
 def q_scrape_summary(spark, sf_dir):
-    """Posts per listed community (zero included) plus the total."""
+    """Posts per listed community (zero included) plus the total of the listed."""
     posts = X.posts(spark, sf_dir)
     counts = posts.groupBy("subreddit").agg(F.count(F.lit(1)).alias("n"))
     listed = spark.createDataFrame([(s,) for s in LISTED], "subreddit string")
     per = (F.broadcast(listed).join(counts, "subreddit", "left")
            .select("subreddit", F.coalesce(F.col("n"), F.lit(0)).alias("n_posts")))
-    total = posts.agg(F.count(F.lit(1)).alias("n_posts")).select(F.lit("ALL").alias("subreddit"), "n_posts")
+    total = posts.filter(F.col("subreddit").isin(LISTED)).agg(F.count(F.lit(1)).alias("n_posts")).select(
+        F.lit("ALL").alias("subreddit"), "n_posts")
     return per.unionByName(total)
 
 

@@ -64,11 +64,12 @@ def stored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Author profiles; one in ten authors has no profile."""
+    """Author profiles; one in ten is without its author's name, so that those
+    authors' posts find no profile."""
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return c.filter(k % 10 != 9).select(
-        k.cast("string").alias("author"),
+    return c.select(
+        F.when(k % 10 != 9, k.cast("string")).alias("author"),
         F.floor("c_acctbal").cast("long").alias("author_total_karma"),
         F.floor(F.col("c_acctbal") / 2).cast("long").alias("author_comment_karma"),
         F.floor(F.col("c_acctbal") / 4).cast("long").alias("author_link_karma"),

@@ -42,14 +42,17 @@ def read_collection(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path) if path else reader.load()
 
 
-def read_collection_stream(spark: SparkSession, path: str, schema: StructType,
+def read_collection_stream(spark: SparkSession, path: str | None, schema: StructType | None = None,
                            fmt: str = "parquet", max_files_per_trigger: int | None = None,
                            **options) -> DataFrame:
-    """Streaming scan of a collection; file sources need the schema up front."""
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    """Streaming scan of a collection; file sources need the schema up front,
+    sources with a schema of their own take none."""
+    reader = spark.readStream.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    return reader.load(path) if path else reader.load()
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: StructType,
