@@ -11,8 +11,7 @@ analysers. Here a lexicon (word -> valence) is applied inside the JVM:
 * ``polarity`` = mean valence of matched tokens scaled to [-1, 1]; 0.0 when
   nothing matches.
 
-The lexicon is part of the expression as hashed literal sets, one for each
-valence, so a lookup costs the same for sixteen words and for thousands, and
+The lexicon is part of the expression as hashed literal sets (see ``valence_sql``), so a lookup costs the same for sixteen words and for thousands, and
 scoring is a per-row projection: no explode, no shuffle, no Python worker, and
 the same function serves batch and streaming frames. ``pandas_scorer`` is the
 hook for plugging an arbitrary Python scorer through an Arrow-batched UDF.
@@ -65,26 +64,29 @@ def checked(lexicon: dict[str, int]) -> dict[str, int]:
     return out
 
 
-def matched_words(text: Column, lexicon: dict[str, int]) -> Column:
-    """Lexicon words occurring as whole tokens, in text order."""
-    if not lexicon:
-        return F.array().cast("array<string>")
+def _literals(words) -> str:
+    """SQL literals of words (one parse is far cheaper than a call for each)."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
+def with_matches(df: DataFrame, text: str, lexicon: dict[str, int], out: str) -> DataFrame:
+    """Adds the lexicon words that occur as whole tokens, in text order."""
     if len(lexicon) <= ALTERNATION_LIMIT:
-        low = F.lower(F.coalesce(text, F.lit("")))
-        return F.regexp_extract_all(low, F.lit(_bounded(lexicon)), 1)
-    return F.filter(tokens(text), lambda t: t.isin(list(lexicon)))
-
-
-def valence(word: Column, lexicon: dict[str, int]) -> Column:
-    """The valence of a lexicon word: the value whose set of words holds it
-    (few values, each set hashed), so the cost does not grow with the lexicon."""
-    by_value: dict[int, list[str]] = {}
-    for w, v in lexicon.items():
-        by_value.setdefault(v, []).append(w)
-    out = F.lit(0)
-    for v, words in sorted(by_value.items(), key=lambda x: len(x[1])):
-        out = F.when(word.isin(words), F.lit(v)).otherwise(out)
-    return out
+        low = F.lower(F.coalesce(F.col(text), F.lit("")))
+        return df.withColumn(out, F.regexp_extract_all(low, F.lit(_bounded(lexicon)), 1))
+    df = df.withColumn("_tokens", tokens(F.col(text)))
+    return df.withColumn(out, F.expr(f"filter(_tokens, t -> t in ({_literals(lexicon)}))")).drop("_tokens")
+
+
+def valence_sql(word: str, lexicon: dict[str, int]) -> str:
+    """SQL for the valence of a lexicon word, bit by bit: for each bit of the
+    distance to the least valence one hashed set holds the words that have it,
+    so the cost grows with the valences' range and not with the lexicon."""
+    low = min(lexicon.values())
+    bits = range((max(lexicon.values()) - low).bit_length())
+    words = {b: [w for w, v in lexicon.items() if (v - low) >> b & 1] for b in bits}
+    return " + ".join([str(low), *(f"if({word} in ({_literals(words[b])}), {1 << b}, 0)"
+                                   for b in bits if words[b])])
 
 
 def has_any_word(text: Column, words) -> Column:
@@ -110,8 +112,10 @@ def add_scores(df: DataFrame, text: str = "selftext", compound: str = "VaderScor
     optimizer does not inline a non-trivial expression used twice), so the
     text is scanned once per row."""
     lexicon = checked(lexicon)
-    df = df.withColumn("_hits", matched_words(F.col(text), lexicon))
-    total = F.aggregate("_hits", F.lit(0).cast("long"), lambda acc, t: acc + valence(t, lexicon))
+    if not lexicon:
+        return df.withColumns({compound: F.lit(0.0), polarity: F.lit(0.0)})
+    df = with_matches(df, text, lexicon, "_hits")
+    total = F.expr(f"aggregate(_hits, 0L, (acc, t) -> acc + {valence_sql('t', lexicon)})")
     df = df.withColumns({"_s": total, "_n": F.size("_hits").cast("long")})
     return df.withColumns({
         compound: compound_from(F.col("_s")),
