@@ -131,6 +131,8 @@ class Tree:
     def text(self, t: str) -> None:
         if t.strip() and len(self.open) == 2 and self.open[-1].tag == "head":
             self.open.pop()  # text begins the body
+        if self.open[-1].tag in ("pre", "textarea") and not self.open[-1].children:
+            t = t.removeprefix("\n")
         self.open[-1].children.append(t)
 
     def _close(self, tags: set | frozenset, barriers: set | frozenset) -> None:
@@ -221,7 +223,8 @@ class Flow:
 
     def block(self, spaced: bool = False, squeeze: bool = True) -> None:
         """Ends the line, if one has begun; ``spaced`` asks for a blank line."""
-        if self.now and (not squeeze or "".join(self.now).strip()):
+        line = "".join(self.now)
+        if line.strip() if squeeze else line:
             self.newline(squeeze)
         self.now = []
         self.gap = self.gap or spaced
