@@ -8,6 +8,9 @@ own that sorts before all others.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -86,11 +89,15 @@ def int_array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
-    """``mapInArrow`` function that applies ``fn`` to each batch."""
+def tidy(fn: Callable) -> Callable:
+    """``mapInArrow`` function that gives freed memory back to the system at its
+    end: a worker waits for its next task with little."""
+    @functools.wraps(fn)
     def run(batches):
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield out
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
     return run

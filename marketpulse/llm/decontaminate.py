@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import int_array, keyed, unkeyed
+from marketpulse.llm.common import int_array, keyed, tidy, unkeyed
 
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 class SuffixArray:
@@ -187,23 +188,26 @@ def _shards(block_var, shard_bytes: int):
     return run
 
 
+def _block_vars(docs: DataFrame, benchmark: DataFrame, size: int, block_bytes: int) -> list:
+    """The benchmark's blocks as broadcast variables; one empty block at least."""
+    sc = docs.sparkSession.sparkContext
+    return ([sc.broadcast(b) for b in blocks(benchmark, size, block_bytes)]
+            or [sc.broadcast(Block.of([], [], size))])
+
+
+def _all_matches(d: DataFrame, block_vars: list, shard_bytes: int) -> DataFrame:
+    parts = [d.mapInArrow(tidy(_shards(b, shard_bytes)), _FOUND_SQL) for b in block_vars]
+    if len(parts) == 1:
+        return parts[0]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame, size: int = 10,
                     block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_words, matches): for each document its longest verbatim
-    matches with benchmark items (item, word offsets, length), ids as ``keyed``."""
-    spark, d = docs.sparkSession, keyed(docs)
-    parts = [d.mapInArrow(_shards(spark.sparkContext.broadcast(b), shard_bytes), _FOUND_SQL)
-             for b in blocks(benchmark, size, block_bytes)]
-    if not parts:
-        parts = [d.mapInArrow(_shards(spark.sparkContext.broadcast(Block.of([], [], size)),
-                                      shard_bytes), _FOUND_SQL)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if len(parts) > 1:
-        out = out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"),
-                                        F.flatten(F.collect_list("matches")).alias("matches"))
-    return out
+    matches with benchmark items (item, word offsets, length)."""
+    return unkeyed(_all_matches(keyed(docs), _block_vars(docs, benchmark, size, block_bytes), shard_bytes))
 
 
 _HITS_SQL = "doc_id long, n_words long, n_hit long, n_items long, item_ids array<string>"
@@ -228,8 +232,11 @@ def _count(batches):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, item_ids) of each document: how many
     of its words lie in a match, and the items matched, sorted as strings."""
-    return unkeyed(longest_matches(docs, benchmark, size, block_bytes)
-                   .mapInArrow(_count, _HITS_SQL))
+    d, block_vars = keyed(docs), _block_vars(docs, benchmark, size, block_bytes)
+    if len(block_vars) == 1:  # counted where they are found
+        search = _shards(block_vars[0], shard_bytes)
+        return unkeyed(d.mapInArrow(tidy(lambda batches: _count(search(batches))), _HITS_SQL))
+    return unkeyed(_all_matches(d, block_vars, shard_bytes).mapInArrow(tidy(_count), _HITS_SQL))

@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import (NULL_ID, again, int_array, keyed, partitions, stored, text_bytes,
-                                    unkeyed)
+from marketpulse.llm.common import (NULL_ID, again, int_array, keyed, partitions, stored,
+                                    text_bytes, tidy, unkeyed)
 from marketpulse.llm.graph import components
 
 SHINGLE, NUM, DEN = 4, 85, 100
@@ -367,12 +367,12 @@ def verified(d: DataFrame, pairs: DataFrame, k: int, name: str) -> DataFrame:
     """Stored (a, b, jaccard, linked) of the pairs, on whole sets."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     chosen = d.join(ids, again(F.col("doc_id")) == again(F.col("id")), "left_semi")
-    sets = stored(chosen.mapInArrow(_whole_sets(k), "doc_id long, set binary"), "sets")
+    sets = stored(chosen.mapInArrow(tidy(_whole_sets(k)), "doc_id long, set binary"), "sets")
     one = sets.select(again(F.col("doc_id")).alias("ka"), F.col("set").alias("x"))
     two = sets.select(again(F.col("doc_id")).alias("kb"), F.col("set").alias("y"))
     rows = (pairs.join(one, again(F.col("a")) == F.col("ka"))
             .join(two, again(F.col("b")) == F.col("kb")).select("a", "b", "x", "y"))
-    return stored(rows.mapInArrow(_compare, _LINK_SQL), name)
+    return stored(rows.mapInArrow(tidy(_compare), _LINK_SQL), name)
 
 
 def _bins(dense: DataFrame) -> DataFrame:
@@ -429,11 +429,11 @@ def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, Data
     classes of equal sets with their smallest id, and the components of those
     ids (ids without a link have no label)."""
     spark = docs.sparkSession
-    sets = stored(docs.mapInArrow(_sets(k), _SETS_SQL), "set-sizes")
+    sets = stored(docs.mapInArrow(tidy(_sets(k)), _SETS_SQL), "set-sizes")
     classes = stored(sets.filter("n_shingles > 0").groupBy("n_shingles", "sig_a", "sig_b")
                      .agg(F.min("doc_id").alias("rep")), "classes")
     n_ranges = max(4 * partitions(spark), text_bytes(docs) // (6 * RANGE_ENTRIES))
-    told = stored(docs.mapInArrow(_all_shingles(k, n_ranges), _BLOCK_SQL)
+    told = stored(docs.mapInArrow(tidy(_all_shingles(k, n_ranges)), _BLOCK_SQL)
                   .groupBy("range").applyInArrow(_frequencies, _TOLD_SQL), "frequencies")
     squares, entries = told.filter("doc_id is null").agg(F.sum("squares"), F.sum("entries")).first()
     small = boundary((squares or 0) / (entries or 1))
@@ -442,7 +442,7 @@ def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, Data
            .withColumnRenamed("doc_id", "rep"))
     chosen = (docs.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
               .join(own, F.col("doc_id") == F.col("rep"), "left").select("doc_id", "text", "told"))
-    keys = stored(chosen.mapInArrow(_keys(k, n_ranges, small), _KEYS_SQL), "keys")
+    keys = stored(chosen.mapInArrow(tidy(_keys(k, n_ranges, small)), _KEYS_SQL), "keys")
     found = stored(keys.filter("range is not null").select(*_BLOCK.names).groupBy("range")
                    .applyInArrow(_pairs(n_ranges), _PAIR_SQL), "pairs")
     dense = keys.filter("list is not null").select("list", "doc_id", "size", "place")

@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import keyed, stored, unkeyed
+from marketpulse.llm.common import keyed, stored, tidy, unkeyed
 
 DIMS = 4096
 SAMPLE = 300
 CENTROIDS = 4
 NEAREST = 0.2
 UNKNOWN = "und"
-SLICE_CHARS = 1 << 19
+SLICE_CHARS = 1 << 17
 
 
 def _letters() -> np.ndarray:
@@ -88,7 +88,7 @@ def counts(texts: list[str]) -> Iterator[np.ndarray]:
     for t in texts:
         held.append(t)
         n += len(t)
-        if n >= SLICE_CHARS or len(held) >= 512:
+        if n >= SLICE_CHARS or len(held) >= 128:
             yield _count_slice(held)
             held, n = [], 0
     if held:
@@ -180,7 +180,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         share = F.when(F.col(lang) == name, F.lit(min(1.0, sample / n))).otherwise(share)
     spot = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
     taught = stored(rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
-                                (spot < share).alias("chosen")).mapInArrow(_teach, _TAUGHT_SQL), "languages")
+                                (spot < share).alias("chosen")).mapInArrow(tidy(_teach), _TAUGHT_SQL), "languages")
     frequency = np.zeros(DIMS)
     for dim, n in taught.filter("dim is not null").groupBy("dim").agg(F.sum("n")).collect():
         frequency[dim] = n

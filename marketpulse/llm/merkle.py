@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import NULL_ID, keyed, unkeyed
+from marketpulse.llm.common import NULL_ID, keyed, tidy, unkeyed
 from marketpulse.llm.ordered import bounds, bucket, dealt
 
 LEAF_WORDS = 4
@@ -166,7 +166,7 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     d = keyed(docs)
     if d.isEmpty():
         return docs.sparkSession.createDataFrame([], _PRINT_SQL)
-    return with_next(d).mapInArrow(_edit_all, _PRINT_SQL)
+    return with_next(d).mapInArrow(tidy(_edit_all), _PRINT_SQL)
 
 
 _OWN_SQL = "doc_id long, fingerprint string"
@@ -182,4 +182,4 @@ def _own(batches):
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint) of each document."""
-    return unkeyed(keyed(docs).mapInArrow(_own, _OWN_SQL))
+    return unkeyed(keyed(docs).mapInArrow(tidy(_own), _OWN_SQL))

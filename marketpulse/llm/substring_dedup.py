@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import (int_array, keyed, partitions, stored, text_bytes, unkeyed)
+from marketpulse.llm.common import int_array, keyed, partitions, stored, text_bytes, tidy, unkeyed
 
 GROUP = 1 << 20
 #: Windows that one slice gathers before it cuts them into blocks.
@@ -128,7 +128,7 @@ def repeated_windows(docs: DataFrame, size: int = 20) -> DataFrame:
     too; ``docs`` as ``keyed`` gives it. The rows are in a stored table."""
     spark = docs.sparkSession
     n_ranges = max(4 * partitions(spark), text_bytes(docs) // (5 * GROUP))
-    blocks = docs.mapInArrow(_blocks(size, n_ranges), _BLOCK_SQL)
+    blocks = docs.mapInArrow(tidy(_blocks(size, n_ranges)), _BLOCK_SQL)
     # the slice's own repeats go on beside the ranges, dealt out evenly
     own = F.when(F.col("range") < 0, -1 - F.pmod(F.xxhash64("ids"), F.lit(n_ranges)))
     dealt = blocks.withColumn("g", F.coalesce(own, F.col("range").cast("long")))
@@ -194,5 +194,5 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
               .agg(F.collect_list("start").alias("starts"))
               .withColumnRenamed("doc_id", "marked"))
     joined = d.join(starts, d.doc_id == starts.marked, "left").select("doc_id", "text", "starts")
-    return unkeyed(joined.mapInArrow(_cut(size), _KEPT_SQL))
+    return unkeyed(joined.mapInArrow(tidy(_cut(size)), _KEPT_SQL))
 

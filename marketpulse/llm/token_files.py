@@ -22,6 +22,7 @@ no files; extra columns are not read; for repeated and null ids see
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,11 +31,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import NULL_ID, keyed, partitions, stored
+from marketpulse.llm.common import NULL_ID, keyed, partitions, stored, tidy
 from marketpulse.llm.ordered import bounds, bucket, dealt
 from marketpulse.session import scratch_path
 
@@ -192,16 +193,22 @@ def _write_buckets(tokenizer: str, root: str, end_id: int, seq_len: int):
     return run
 
 
+def _uri(spark: SparkSession, path: str) -> str:
+    """``path`` as the cluster's file system names it, in full."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub("^file:/+", "file:///", full)
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int = SEQ_LEN,
           root: str | None = None) -> DataFrame:
     """Encodes and writes ``docs``; returns the stored manifest, a row for each
     file: (bucket, path, n_ids, doc_ids, lengths). ``root`` is a URI all tasks
     can write; by default a new folder in the shared one."""
     spark, d = docs.sparkSession, keyed(docs)
-    root = root or scratch_path(spark, "tokens")
-    root = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    root = _uri(spark, root or scratch_path(spark, "tokens"))
     d = d.withColumn("bucket", bucket(F.col("doc_id"), bounds(d.select("doc_id"))))
-    return stored(dealt(d, "doc_id").mapInArrow(_write_buckets(tokenizer, root, end_id, seq_len),
+    return stored(dealt(d, "doc_id").mapInArrow(tidy(_write_buckets(tokenizer, root, end_id, seq_len)),
                                       MANIFEST_SQL), "manifest")
 
 
@@ -251,4 +258,4 @@ def read_documents(manifest: DataFrame) -> DataFrame:
         base[b] = total
         total += n
     spread = manifest.repartition(partitions(spark))
-    return spread.mapInArrow(_read_docs(spark.sparkContext.broadcast(base)), _DOCS_SQL)
+    return spread.mapInArrow(tidy(_read_docs(spark.sparkContext.broadcast(base))), _DOCS_SQL)
