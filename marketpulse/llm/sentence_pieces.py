@@ -32,6 +32,7 @@ and null ids see ``common``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,12 +43,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import again, int_array, keyed, stored, unkeyed
+from marketpulse.llm.common import again, int_array, keyed, partitions, stored, tidy, unkeyed
 
 SPACE = "\u2581"
 MOST = 64
 #: Most frequent words that are sent to every task.
 HOT = 7_000_000
+#: Bytes of text whose words a task counts together.
+COUNTED = 16 << 20
+#: Words in a partition of lattices.
+LATTICES = 1 << 15
 _WORD = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 #: Groups that are gathered in memory before Spark sorts instead.
 GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -80,6 +85,20 @@ class Model:
     def longest(self) -> int:
         return max(len(p) for p, _, _ in self.pieces)
 
+    def useful(self) -> list[tuple[str, int, float]]:
+        """The pieces that a best path can hold: those whose own score is not
+        beaten by smaller pieces of the same text."""
+        score = {p: s for p, _, s in self.pieces}
+        out = []
+        for piece in self.pieces:
+            text, best = piece[0], [0.0]
+            for end in range(1, len(text) + 1):
+                best.append(max((best[a] + score[text[a:end]] for a in range(end)
+                                 if (a or end < len(text)) and text[a:end] in score), default=-np.inf))
+            if best[-1] <= piece[2] + 1e-9 * abs(piece[2]):
+                out.append(piece)
+        return out
+
     def ids(self, codes: list[int]) -> list[int]:
         """Ids for a path's codes, characters without a piece by their bytes."""
         out: list[int] = []
@@ -136,20 +155,42 @@ _COUNT = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
 
 def _count_words(batches):
+    """The distinct words of every COUNTED bytes of text and their counts."""
+    held: list[tuple] = []
+
+    def told():
+        value = np.concatenate([v for v, *_ in held])
+        value, first, back = np.unique(value, return_index=True, return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([x[1] for x in held])).astype(np.int64)
+        edge = np.cumsum([0, *(len(x[0]) for x in held)])
+        order = np.argsort(first)
+        cut = np.searchsorted(first[order], edge)
+        out = []
+        for k, (_, _, raw, start, end) in enumerate(held):
+            at = first[order[cut[k]: cut[k + 1]]] - edge[k]
+            out += [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string()),
+                                           pa.array(n[order], pa.int64())], schema=_COUNT)
+
+    size = 0
     for batch in batches:
         offsets, data = _column(batch.column(0))
-        for i, j in rolling.ranges(offsets, 4 * rolling.SLICE_BYTES):
+        for i, j in rolling.ranges(offsets, 2 * rolling.SLICE_BYTES):
             s = _split(offsets, data, i, j)
-            _, at, n = np.unique(s.hash, return_index=True, return_counts=True)
-            raw = s.data.tobytes()
-            found = [raw[a:b] for a, b in zip(s.start[at].tolist(), s.end[at].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()).cast(pa.string()),
-                                              pa.array(n, pa.int64())], schema=_COUNT)
+            value, at, n = np.unique(s.hash, return_index=True, return_counts=True)
+            held.append((value, n, s.data.tobytes(), s.start[at].astype(np.int32), s.end[at].astype(np.int32)))
+            size += len(s.data)
+            if size >= COUNTED:
+                yield told()
+                held.clear()
+                size = 0
+    if held:
+        yield told()
 
 
 def vocabulary(d: DataFrame) -> DataFrame:
     """(word, n): the distinct words of the texts and how often they occur."""
-    return (d.select("text").mapInArrow(_count_words, "word string, n long")
+    return (d.select("text").mapInArrow(tidy(_count_words), "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -159,13 +200,15 @@ BYTES = 1 << 24
 
 
 def edges(vocab: DataFrame, model: Model) -> DataFrame:
-    """(word, n, edge): the lattice of each word."""
+    """(word, edge): the lattice of each word."""
     spark = vocab.sparkSession
-    table = spark.createDataFrame([(p, i) for p, i, _ in model.pieces], "piece string, id int")
+    pieces = model.useful()
+    longest = max(len(p) for p, _, _ in pieces)
+    table = spark.createDataFrame([(p, i) for p, i, _ in pieces], "piece string, id int")
     size = F.char_length("word")
-    cut = (vocab.select("word", "n", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-           .select("word", "n", "at", F.explode(F.sequence(F.lit(1), F.least(
-               F.lit(model.longest), size - F.col("at") + 1))).alias("long"))
+    cut = (vocab.select("word", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+           .select("word", "at", F.explode(F.sequence(F.lit(1), F.least(
+               F.lit(longest), size - F.col("at") + 1))).alias("long"))
            .withColumn("part", F.substring("word", F.col("at"), F.col("long"))))
     met = cut.join(F.broadcast(table), F.col("part") == F.col("piece"), "left")
     met = met.filter("id is not null or long = 1")
@@ -173,11 +216,11 @@ def edges(vocab: DataFrame, model: Model) -> DataFrame:
     code = F.coalesce("id", F.ascii("part") + BYTES)
     edge = (F.shiftleft(end.cast("long"), 40).bitwiseOR(F.shiftleft(start.cast("long"), 32))
             .bitwiseOR(code.cast("long")))
-    return met.select("word", "n", edge.alias("edge"))
+    return met.select("word", edge.alias("edge"))
 
 
 def fold(lattice: DataFrame, model: Model) -> DataFrame:
-    """(word, n, codes): the best path through each word's lattice."""
+    """(word, codes): the best path through each word's lattice."""
     score_of = [0.0] * len(model.raw)
     for _, i, s in model.pieces:
         score_of[i] = s
@@ -195,16 +238,18 @@ def fold(lattice: DataFrame, model: Model) -> DataFrame:
                 .when(score > F.get(best, end)["score"], F.concat(F.slice(best, F.lit(1), end), now))
                 .otherwise(best))
 
-    group = lattice.groupBy("word").agg(F.first("n").alias("n"),
-                                        F.sort_array(F.collect_list("edge")).alias("e"))
-    return group.select("word", "n", F.aggregate("e", start.cast(kind), step, lambda best: F.get(
+    group = lattice.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("e"))
+    return group.select("word", F.aggregate("e", start.cast(kind), step, lambda best: F.get(
         best, F.size(best) - 1)["codes"]).alias("codes"))
 
 
-def encoded_words(vocab: DataFrame, model: Model) -> DataFrame:
-    """(word, n, codes) of a vocabulary."""
-    vocab.sparkSession.conf.set(GROUPS, "100000")
-    return fold(edges(vocab, model), model)
+def encoded_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
+    """(word, codes) of a vocabulary of about ``size`` words. Words are dealt
+    out before they explode, so their edges are grouped where they arise."""
+    spark = vocab.sparkSession
+    spark.conf.set(GROUPS, str(4 * LATTICES))
+    dealt = vocab.repartition(max(partitions(spark), size // LATTICES), "word")
+    return fold(edges(dealt, model), model)
 
 
 _PACK = pa.schema([("hash", pa.binary()), ("size", pa.binary()), ("ids", pa.binary())])
@@ -221,9 +266,16 @@ def _pack(model_var):
     def run(batches):
         model = model_var.value
         for batch in batches:
-            ids = [model.ids(c) for c in batch.column(1).to_pylist()]
-            sizes = np.array([len(x) for x in ids], np.uint16)
-            flat = np.array([k for x in ids for k in x], np.uint32)
+            codes, edge = batch.column(1).flatten().to_numpy(), batch.column(1).offsets.to_numpy()
+            rare = np.flatnonzero(codes >= BYTES)
+            parts = [model.ids([c]) for c in codes[rare].tolist()]
+            n = np.ones(len(codes), np.int64)
+            n[rare] = [len(x) for x in parts]
+            flat, at = np.repeat(codes, n).astype(np.uint32), (np.cumsum(n) - n)[rare].tolist()
+            for a, x in zip(at, parts):
+                flat[a: a + len(x)] = x
+            total = np.append(0, np.cumsum(n))
+            sizes = np.diff(total[edge - edge[0]]).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.tobytes()], pa.binary()) for x in (_hash_rows(batch.column(0)), sizes, flat)],
                 schema=_PACK)
@@ -232,24 +284,25 @@ def _pack(model_var):
 
 @dataclass
 class Table:
-    """Ids by a word's hash: ids[at[k]: at[k + 1]] for hash[k], in order of hash."""
+    """Ids by a word's hash (in order): size[k] of them from ids[start[k]]."""
     hash: np.ndarray
-    at: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
     ids: np.ndarray
 
     @classmethod
-    def of(cls, packs: list[tuple[bytes, bytes, bytes]], n_ids: int) -> Table:
+    def of(cls, packs: Iterable[tuple[bytes, bytes, bytes]], n_ids: int) -> Table:
         kind = np.uint16 if n_ids <= 1 << 16 else np.uint32
-        h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(p[0], np.uint64) for p in packs)])
-        size = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(p[1], np.uint16) for p in packs)])
-        ids = np.concatenate([np.zeros(0, kind), *(np.frombuffer(p[2], np.uint32).astype(kind) for p in packs)])
+        h, size, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)], [np.zeros(0, kind)]
+        for a, b, c in packs:
+            h.append(np.frombuffer(a, np.uint64))
+            size.append(np.frombuffer(b, np.uint16))
+            ids.append(np.frombuffer(c, np.uint32).astype(kind))
+        h, size, ids = (np.concatenate(x) for x in (h, size, ids))
         order = np.argsort(h)
-        start = (np.cumsum(size, dtype=np.int64) - size)[order]
-        table = cls(h, np.append(np.cumsum(size[order], dtype=np.int64) - size[order], len(ids)), ids)
-        table.ids = ids[rolling.places(start, size[order].astype(np.int64))]
-        table.hash = h[order]
-        table.at = table.at.astype(np.uint32 if len(ids) < 1 << 32 else np.int64)
-        return table
+        start = np.cumsum(size, dtype=np.uint32 if len(ids) < 1 << 32 else np.uint64)
+        start -= size
+        return cls(h[order], start[order], size[order], ids)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Place of each hash, or -1."""
@@ -258,12 +311,14 @@ class Table:
         k = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
         return np.where(self.hash[k] == h, k, -1)
 
-    def spans(self, place: np.ndarray) -> np.ndarray:
+    def starts(self, place: np.ndarray) -> np.ndarray:
         """Where the ids at each place begin (0 for -1)."""
-        return np.where(place < 0, 0, self.at[np.maximum(place, 0)]).astype(np.int64)
+        return np.array([0], np.int64)[place] if not len(self.hash) else np.where(
+            place < 0, 0, self.start[place]).astype(np.int64)
 
     def sizes(self, place: np.ndarray) -> np.ndarray:
-        return np.where(place < 0, 0, self.at[place + 1] - self.at[np.maximum(place, 0)]).astype(np.int64)
+        return np.array([0], np.int64)[place] if not len(self.hash) else np.where(
+            place < 0, 0, self.size[place]).astype(np.int64)
 
 
 _RARE = pa.schema([("doc_id", pa.int64()), ("word", pa.string())])
@@ -312,12 +367,12 @@ def _assemble(table_var, model_var):
                 value, back = np.unique(s.hash, return_inverse=True)
                 place = table.find(value)
                 lost = place < 0
-                begin, length, pool = table.spans(place), table.sizes(place), table.ids
+                begin, length, pool = table.starts(place), table.sizes(place), table.ids
                 if rare is not None and lost.any():
                     packs = [(c["hash"], c["size"], c["ids"]) for c in rare[i:j].to_pylist() if c]
                     more = Table.of(packs, len(model.raw))
                     k = more.find(value[lost])
-                    begin[lost], length[lost] = len(pool) + more.spans(k), more.sizes(k)
+                    begin[lost], length[lost] = len(pool) + more.starts(k), more.sizes(k)
                     lost[np.flatnonzero(lost)[k >= 0]] = False
                     pool = np.concatenate([pool, more.ids])
                 if lost.any():
@@ -343,27 +398,27 @@ def encode(docs: DataFrame, model_path: str, hot: int = HOT) -> DataFrame:
     model_var = sc.broadcast(model)
     vocab = stored(vocabulary(d), "words")
     # the least count with which a word is hot, from how many words have each count
-    room, least = hot, 1
+    size, least, n_hot = vocab.count(), 1, 0
     for n, many in vocab.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
-        if many > room:
+        if n_hot + many > hot:
             least = n + 1
             break
-        room -= many
+        n_hot += many
     pack_sql = "hash binary, size binary, ids binary"
-    often = encoded_words(vocab.filter(F.col("n") >= least), model).select("word", "codes")
-    packs = stored(often.mapInArrow(_pack(model_var), pack_sql), "hot-words").collect()
-    table = sc.broadcast(Table.of([tuple(map(bytes, p)) for p in packs], len(model.raw)))
+    often = encoded_words(vocab.filter(F.col("n") >= least), model, n_hot)
+    packs = stored(often.mapInArrow(tidy(_pack(model_var)), pack_sql), "hot-words").toLocalIterator()
+    table = sc.broadcast(Table.of(packs, len(model.raw)))
     if least == 1:
-        return unkeyed(d.mapInArrow(_assemble(table, model_var), _IDS_SQL))
-    seldom = encoded_words(vocab.filter(F.col("n") < least), model).select(
+        return unkeyed(d.mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
+    seldom = encoded_words(vocab.filter(F.col("n") < least), model, size - n_hot).select(
         again(F.xxhash64("word")).alias("k"), F.col("word").alias("w"), "codes")
-    held = d.mapInArrow(_rare_words(table), "doc_id long, word string")
+    held = d.mapInArrow(tidy(_rare_words(table)), "doc_id long, word string")
     met = held.join(seldom, (again(F.xxhash64("word")) == F.col("k")) & (F.col("word") == F.col("w")))
     packed = (met.groupBy("doc_id").agg(F.collect_list(F.struct("word", "codes")).alias("found"))
-              .mapInArrow(_pack_rows(model_var), "marked long, rare struct<hash: binary, size: binary, ids: binary>"))
+              .mapInArrow(tidy(_pack_rows(model_var)), "marked long, rare struct<hash: binary, size: binary, ids: binary>"))
     rare = stored(packed, "rare-words")
     both = d.join(rare, F.col("doc_id") == F.col("marked"), "left").select("doc_id", "text", "rare")
-    return unkeyed(both.mapInArrow(_assemble(table, model_var), _IDS_SQL))
+    return unkeyed(both.mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
 
 
 _ROWS = pa.schema([("marked", pa.int64()), ("rare", pa.struct(list(_PACK)))])
