@@ -17,10 +17,11 @@ first, whose smallest id stands for it.
 
 Lists of shingles in more than ``DENSE`` documents (a passage, a group of near
 copies) are never paired among themselves: each set is compared with one centre
-of its list and size bin, then components are formed, and only the sets that
-are outside their list's largest component are compared with the others, where
-the distances to the centre allow a link (Jaccard distance is a metric). Pairs
-within a component need no comparing, so components stay exact.
+of its list and size bin, and components are formed. Sets outside their list's
+largest component then meet a few pivots of it, one a round, and what is still
+outside is compared with all others of the list where the distances to the
+centre allow a link (Jaccard distance is a metric). Pairs within a component
+need no comparing, so components stay exact.
 
 Defined cases: null and empty texts and texts without words have the empty
 set, are linked with nothing, and are components of their own; a text of fewer
@@ -51,6 +52,8 @@ COMMON = 3
 DENSE = 16
 #: Largest size considered for enumeration.
 MOST_SMALL = 24
+#: Rounds in which sets outside their list's largest component meet a pivot.
+PIVOTS = 3
 RANGE_ENTRIES = 1 << 20
 SLICE_ENTRIES = 1 << 18
 
@@ -363,16 +366,19 @@ def _compare(batches):
                                           pa.array(linked, pa.bool_())], schema=_LINK)
 
 
-def verified(d: DataFrame, pairs: DataFrame, k: int, name: str) -> DataFrame:
-    """Stored (a, b, jaccard, linked) of the pairs, on whole sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def whole_sets(d: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Stored (doc_id, set) of the documents in ``ids`` (id, distinct)."""
     chosen = d.join(ids, again(F.col("doc_id")) == again(F.col("id")), "left_semi")
-    sets = stored(chosen.mapInArrow(tidy(_whole_sets(k)), "doc_id long, set binary"), "sets")
+    return stored(chosen.mapInArrow(tidy(_whole_sets(k)), "doc_id long, set binary"), "sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Stored (a, b, jaccard, linked) of the pairs, on whole sets."""
     one = sets.select(again(F.col("doc_id")).alias("ka"), F.col("set").alias("x"))
     two = sets.select(again(F.col("doc_id")).alias("kb"), F.col("set").alias("y"))
     rows = (pairs.join(one, again(F.col("a")) == F.col("ka"))
             .join(two, again(F.col("b")) == F.col("kb")).select("a", "b", "x", "y"))
-    return stored(rows.mapInArrow(tidy(_compare), _LINK_SQL), name)
+    return stored(rows.mapInArrow(tidy(_compare), _LINK_SQL), "verified")
 
 
 def _bins(dense: DataFrame) -> DataFrame:
@@ -394,10 +400,10 @@ def centre_pairs(dense: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, own
 
 
-def cross_pairs(own: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of dense lists that are still open: different components, at least
-    one set outside its list's largest component, and sizes, places and
-    distances to a common centre that allow a link. Not yet compared ones."""
+def open_entries(own: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored entries of the dense lists that hold several components, with
+    each set's component, distance to its centre (``far``), and the list's
+    largest component (``most``)."""
     lab = labels.select(again(F.col("id")).alias("kl"), "component")
     x = own.join(lab, again(F.col("doc_id")) == F.col("kl"), "left").select(
         own["*"], F.coalesce("component", "doc_id").alias("component"))
@@ -411,7 +417,29 @@ def cross_pairs(own: DataFrame, known: DataFrame, labels: DataFrame) -> DataFram
     most = (parts.groupBy("list").agg(F.max_by("component", F.struct("count", "component")).alias("most"),
                                       F.count(F.lit(1)).alias("n"))
             .filter("n > 1").select(again(F.col("list")).alias("k"), "most"))
-    open_ = stored(x.join(most, again(F.col("list")) == F.col("k")).drop("k"), "open")
+    return stored(x.join(most, again(F.col("list")) == F.col("k")).drop("k"), "open")
+
+
+def _fresh(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    return stored(pairs.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+
+
+def pivot_pairs(open_: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    """Sets outside their list's largest component, each with one pivot of it:
+    a set near the centre, another one each turn. Sets that were only far from
+    the centre find their component so, a pair for each."""
+    order = F.struct(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(4)), "far", "doc_id")
+    pivot = (open_.filter("component = most and far is not null").groupBy("list")
+             .agg(F.min_by("doc_id", order).alias("pivot")).select(again(F.col("list")).alias("k"), "pivot"))
+    met = open_.filter("component <> most").join(pivot, again(F.col("list")) == F.col("k"))
+    return _fresh(met.select(F.least("doc_id", "pivot").alias("a"),
+                             F.greatest("doc_id", "pivot").alias("b")), known)
+
+
+def cross_pairs(open_: DataFrame, known: DataFrame) -> DataFrame:
+    """All pairs that are still open: different components, at least one set
+    outside its list's largest component, and sizes, places and distances to a
+    common centre that allow a link. Not yet compared ones."""
     out = open_.filter("component <> most").select(*[F.col(c).alias(f"o_{c}") for c in open_.columns])
     may = ((F.col("list") == F.col("o_list")) & (F.col("component") != F.col("o_component"))
            & (NUM * F.greatest("size", "o_size") <= DEN * F.least("size", "o_size"))
@@ -419,9 +447,8 @@ def cross_pairs(own: DataFrame, known: DataFrame, labels: DataFrame) -> DataFram
               >= NUM * (F.col("size") + F.col("o_size")))
            & ((F.col("centre") != F.col("o_centre")) | F.col("far").isNull() | F.col("o_far").isNull()
               | (F.abs(F.col("far") - F.col("o_far")) <= 1 - NUM / DEN + 1e-9)))
-    pairs = open_.join(out, may).select(F.least("doc_id", "o_doc_id").alias("a"),
-                                        F.greatest("doc_id", "o_doc_id").alias("b")).distinct()
-    return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    return _fresh(open_.join(out, may).select(F.least("doc_id", "o_doc_id").alias("a"),
+                                              F.greatest("doc_id", "o_doc_id").alias("b")), known)
 
 
 def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -447,17 +474,25 @@ def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, Data
                    .applyInArrow(_pairs(n_ranges), _PAIR_SQL), "pairs")
     dense = keys.filter("list is not null").select("list", "doc_id", "size", "place")
     centred, entries_ = centre_pairs(dense)
-    open_pairs = found.filter("not sure").select("a", "b").union(centred).distinct()
-    first = verified(docs, stored(open_pairs, "candidates"), k, "verified")
-    sure = found.filter("sure").select("a", "b")
-    linked = first.filter("linked").select("a", "b").union(sure)
+    candidates = stored(found.filter("not sure").select("a", "b").union(centred).distinct(), "candidates")
+    ids = (candidates.select(F.explode(F.array("a", "b")).alias("id"))
+           .union(dense.select("doc_id")).distinct())
+    whole = whole_sets(docs, ids, k)
+    known = verified(whole, candidates)
+    linked = known.filter("linked").select("a", "b").union(found.filter("sure").select("a", "b"))
     labels = components(linked)
-    rest = stored(cross_pairs(entries_, first, labels), "cross")
-    if not rest.isEmpty():
-        second = verified(docs, rest, k, "verified")
-        more = second.filter("linked").select("a", "b")
-        if not more.isEmpty():
-            labels = components(linked.union(more))
+    for turn in range(PIVOTS + 1):
+        open_ = open_entries(entries_, known, labels)
+        if open_.isEmpty():
+            break
+        rest = pivot_pairs(open_, known, turn) if turn < PIVOTS else cross_pairs(open_, known)
+        if rest.isEmpty():
+            continue
+        more = verified(whole, rest)
+        known = known.union(more)
+        if not more.filter("linked").isEmpty():
+            linked = linked.union(more.filter("linked").select("a", "b"))
+            labels = components(linked)
     return sets, classes, labels
 
 
