@@ -176,7 +176,8 @@ def _unpack(table: pa.Table, key_type):
 
 
 def _all_shingles(k: int, n_ranges: int):
-    """Blocks of all shingles; of equal sets in a slice the first only."""
+    """Blocks of all shingles; of equal sets in a slice the smallest id only, as
+    the class's representative has to be told its shingles' frequencies."""
     def run(batches):
         held, n = [], 0
 
@@ -186,10 +187,12 @@ def _all_shingles(k: int, n_ranges: int):
 
         base = 0
         for _, _, ids, row, h in _slices(batches, k):
-            sig = np.stack([x.astype(np.uint64) for x in _signatures(row, h, len(ids))], axis=1)
-            _, first = np.unique(sig, axis=0, return_index=True)
+            sig = np.stack([x.astype(np.uint64) for x in _signatures(row, h, len(ids))])
+            order = np.lexsort((ids, *sig))
+            new = np.ones(len(ids), bool)
+            new[1:] = (sig[:, order[1:]] != sig[:, order[:-1]]).any(axis=0)
             keep = np.zeros(len(ids), bool)
-            keep[first] = True
+            keep[order[new]] = True
             held.append((ids, row[keep[row]] + base, h[keep[row]]))
             base += len(ids)
             n += len(held[-1][1])

@@ -74,6 +74,17 @@ def test_jaccard_on_dense_lists(spark):
     assert got == brute.components(rows)
 
 
+def test_jaccard_exact_copies_in_any_order(spark):
+    """Exact copies inside a large group of near copies, larger ids first."""
+    core = [f"c{k}" for k in range(80)]
+    rows = [(k, " ".join([*core[:k], f"own{k}", *core[k + 1:]])) for k in range(10, 40)]
+    rows += [(k, " ".join([*core[:60], "same", *core[61:]])) for k in (3, 50, 51)]
+    rows += [(k, f"{' '.join(core)} tail") for k in (2, 60)]
+    d = spark.createDataFrame(rows[::-1], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(d).collect()}
+    assert got == brute.components(rows)
+
+
 def test_jaccard_bounds():
     for a in range(1, 60):
         for b in range(a, 60):
