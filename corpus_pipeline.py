@@ -22,6 +22,9 @@ from marketpulse.llm.common import free_name, one_row_each, stored
 from marketpulse.session import apply_runtime_defaults, ship_package
 from marketpulse.sources.tables import read_table
 
+#: Near duplicates: words in a shingle and least similarity (80 of 100).
+NEAR = 5, 80, 100
+
 
 def _ready(spark: SparkSession) -> None:
     apply_runtime_defaults(spark)
@@ -47,7 +50,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the smallest id of each group of near duplicates."""
     _ready(spark)
     rows = one_row_each(docs)
-    groups = jaccard_join.near_duplicates(rows)
+    groups = jaccard_join.near_duplicates(rows, *NEAR)
     go = (groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
           .select(F.col("doc_id").alias(free_name(rows, "copy"))))
     return rows.join(go, F.col("doc_id").eqNullSafe(F.col(go.columns[0])), "left_anti")

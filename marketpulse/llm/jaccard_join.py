@@ -68,18 +68,18 @@ def prefix(n, num: int = NUM, den: int = DEN):
     return n + (num * n) // -den + 1
 
 
-def subset_sizes(n: int, most: int) -> list[int]:
+def subset_sizes(n: int, most: int, num: int = NUM, den: int = DEN) -> list[int]:
     """Sizes of the subsets that a set of n emits to meet sets of up to ``most``."""
-    low, high = -(-NUM * n // DEN), min(most, DEN * n // NUM)
-    return sorted({overlap(n, m) for m in range(low, high + 1)})
+    low, high = -(-num * n // den), min(most, den * n // num)
+    return sorted({overlap(n, m, num, den) for m in range(low, high + 1)})
 
 
-def boundary(scan: float) -> int:
+def boundary(scan: float, num: int = NUM, den: int = DEN) -> int:
     """Greatest size (up to MOST_SMALL) for which enumerating subsets emits no
     more entries than scanning the prefix's lists of mean length ``scan``."""
     size = 0
     for n in range(1, MOST_SMALL + 1):
-        if sum(comb(n, c) for c in subset_sizes(n, n)) <= prefix(n) * (1 + scan):
+        if sum(comb(n, c) for c in subset_sizes(n, n, num, den)) <= prefix(n, num, den) * (1 + scan):
             size = n
         else:
             break
@@ -263,10 +263,10 @@ def _with_nulls(batch: pa.RecordBatch | None, dense) -> pa.RecordBatch:
          *(pa.array(x, f.type) for x, f in zip(dense, list(_KEYS)[-4:]))], schema=_KEYS)
 
 
-def _keys(k: int, n_ranges: int, small: int):
+def _keys(k: int, n_ranges: int, small: int, num: int, den: int):
     """Prefix entries of the sets as blocks (light lists) and as rows (dense
     lists); subsets of the small sets as blocks of the ranges from n_ranges."""
-    least_met = -(-NUM * (small + 1) // DEN)  # smaller sets meet no large one
+    least_met = -(-num * (small + 1) // den)  # smaller sets meet no large one
 
     def run(batches):
         for batch, i, ids, row, h in _slices(batches, k):
@@ -277,7 +277,7 @@ def _keys(k: int, n_ranges: int, small: int):
                             if x.is_valid and len(x.values) else None)
             row, h, place, df = _ordered(row, h, n, told, n_ranges)
             size = n[row]
-            head = (place < prefix(size)) & (size >= least_met)
+            head = (place < prefix(size, num, den)) & (size >= least_met)
             thin, thick = head & (df <= DENSE), head & (df > DENSE)
             if thin.any():
                 yield _with_nulls(_pack(ids, n, row[thin], h[thin], place[thin], n_ranges, np.uint64), None)
@@ -288,7 +288,7 @@ def _keys(k: int, n_ranges: int, small: int):
             end = np.cumsum(n)
             for r in np.flatnonzero((n > 0) & (n <= small)).tolist():
                 own = np.sort(rolling.mix(h[end[r] - n[r]: end[r]]))
-                for c in subset_sizes(int(n[r]), small):
+                for c in subset_sizes(int(n[r]), small, num, den):
                     for part in combinations(range(int(n[r])), c):
                         rows.append(r)
                         keys.append(own[list(part)].sum(dtype=np.uint64) + np.uint64(c))
@@ -303,7 +303,7 @@ _PAIR_SQL = "a long, b long, sure boolean"
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
 
 
-def _pairs(n_ranges: int):
+def _pairs(n_ranges: int, num: int, den: int):
     """Pairs of a range's lists that sizes and places leave possible; pairs
     with a subset of the size they need in common are sure."""
     def run(table: pa.Table) -> pa.Table:
@@ -316,7 +316,7 @@ def _pairs(n_ranges: int):
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             x, y = np.flatnonzero(new)[np.cumsum(new) - 1], np.arange(len(key))
-            good = (x != y) & (at >= overlap(size[x], size[y]))
+            good = (x != y) & (at >= overlap(size[x], size[y], num, den))
             a.append(np.minimum(doc[x], doc[y])[good])
             b.append(np.maximum(doc[x], doc[y])[good])
         while not sure and shift < len(key):  # lists are of DENSE entries at most
@@ -325,7 +325,7 @@ def _pairs(n_ranges: int):
                 break
             y = x + shift
             left = np.minimum(size[x] - at[x], size[y] - at[y])
-            good = (DEN * size[x] >= NUM * size[y]) & (left >= overlap(size[x], size[y]))
+            good = (den * size[x] >= num * size[y]) & (left >= overlap(size[x], size[y], num, den))
             a.append(np.minimum(doc[x], doc[y])[good])
             b.append(np.maximum(doc[x], doc[y])[good])
             shift += 1
@@ -354,19 +354,21 @@ _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("jaccard", pa.float64(
                    ("linked", pa.bool_())])
 
 
-def _compare(batches):
-    for batch in batches:
-        jaccard, linked = [], []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x = np.frombuffer(x.as_buffer(), np.uint64)
-            y = np.frombuffer(y.as_buffer(), np.uint64)
-            at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-            met = int(np.count_nonzero(x[at] == y))
-            union = len(x) + len(y) - met
-            jaccard.append(met / union)
-            linked.append(DEN * met >= NUM * union)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(jaccard, pa.float64()),
-                                          pa.array(linked, pa.bool_())], schema=_LINK)
+def _compare(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            jaccard, linked = [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                y = np.frombuffer(y.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                met = int(np.count_nonzero(x[at] == y))
+                union = len(x) + len(y) - met
+                jaccard.append(met / union)
+                linked.append(den * met >= num * union)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(jaccard, pa.float64()),
+                                              pa.array(linked, pa.bool_())], schema=_LINK)
+    return run
 
 
 def whole_sets(d: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -375,24 +377,24 @@ def whole_sets(d: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     return stored(chosen.mapInArrow(tidy(_whole_sets(k)), "doc_id long, set binary"), "sets")
 
 
-def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(sets: DataFrame, pairs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Stored (a, b, jaccard, linked) of the pairs, on whole sets."""
     one = sets.select(again(F.col("doc_id")).alias("ka"), F.col("set").alias("x"))
     two = sets.select(again(F.col("doc_id")).alias("kb"), F.col("set").alias("y"))
     rows = (pairs.join(one, again(F.col("a")) == F.col("ka"))
             .join(two, again(F.col("b")) == F.col("kb")).select("a", "b", "x", "y"))
-    return stored(rows.mapInArrow(tidy(_compare), _LINK_SQL), "verified")
+    return stored(rows.mapInArrow(tidy(_compare(num, den)), _LINK_SQL), "verified")
 
 
-def _bins(dense: DataFrame) -> DataFrame:
+def _bins(dense: DataFrame, num: int, den: int) -> DataFrame:
     """Size bins so wide that linked sets lie in the same or the next one."""
-    return dense.withColumn("bin", F.floor(F.log("size") / F.log(F.lit(DEN / NUM))).cast("int"))
+    return dense.withColumn("bin", F.floor(F.log("size") / F.log(F.lit(den / num))).cast("int"))
 
 
-def centre_pairs(dense: DataFrame) -> tuple[DataFrame, DataFrame]:
+def centre_pairs(dense: DataFrame, num: int = NUM, den: int = DEN) -> tuple[DataFrame, DataFrame]:
     """Pairs of each set of a dense list with the centres (smallest ids) of its
     bin and the one below; and the list's entries with the own bin's centre."""
-    binned = _bins(dense)
+    binned = _bins(dense, num, den)
     centre = (binned.groupBy("list", "bin").agg(F.min("doc_id").alias("centre"))
               .select(again(F.col("list")).alias("k"), F.col("bin").alias("of"), "centre"))
     two = binned.withColumn("of_bin", F.explode(F.array(F.col("bin"), F.col("bin") - 1)))
@@ -439,22 +441,23 @@ def pivot_pairs(open_: DataFrame, known: DataFrame, turn: int) -> DataFrame:
                              F.greatest("doc_id", "pivot").alias("b")), known)
 
 
-def cross_pairs(open_: DataFrame, known: DataFrame) -> DataFrame:
+def cross_pairs(open_: DataFrame, known: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """All pairs that are still open: different components, at least one set
     outside its list's largest component, and sizes, places and distances to a
     common centre that allow a link. Not yet compared ones."""
     out = open_.filter("component <> most").select(*[F.col(c).alias(f"o_{c}") for c in open_.columns])
     may = ((F.col("list") == F.col("o_list")) & (F.col("component") != F.col("o_component"))
-           & (NUM * F.greatest("size", "o_size") <= DEN * F.least("size", "o_size"))
-           & ((NUM + DEN) * F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
-              >= NUM * (F.col("size") + F.col("o_size")))
+           & (num * F.greatest("size", "o_size") <= den * F.least("size", "o_size"))
+           & ((num + den) * F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
+              >= num * (F.col("size") + F.col("o_size")))
            & ((F.col("centre") != F.col("o_centre")) | F.col("far").isNull() | F.col("o_far").isNull()
-              | (F.abs(F.col("far") - F.col("o_far")) <= 1 - NUM / DEN + 1e-9)))
+              | (F.abs(F.col("far") - F.col("o_far")) <= 1 - num / den + 1e-9)))
     return _fresh(open_.join(out, may).select(F.least("doc_id", "o_doc_id").alias("a"),
                                               F.greatest("doc_id", "o_doc_id").alias("b")), known)
 
 
-def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+def links(docs: DataFrame, k: int = SHINGLE, num: int = NUM,
+          den: int = DEN) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, classes, labels) of keyed ``docs``: every document's set, the
     classes of equal sets with their smallest id, and the components of those
     ids (ids without a link have no label)."""
@@ -466,32 +469,33 @@ def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, Data
     told = stored(docs.mapInArrow(tidy(_all_shingles(k, n_ranges)), _BLOCK_SQL)
                   .groupBy("range").applyInArrow(_frequencies, _TOLD_SQL), "frequencies")
     squares, entries = told.filter("doc_id is null").agg(F.sum("squares"), F.sum("entries")).first()
-    small = boundary((squares or 0) / (entries or 1))
+    scan = (squares or 0) / (entries or 1)
+    small = boundary(scan) if (num, den) == (NUM, DEN) else boundary(scan, num, den)
     own = (told.filter("doc_id is not null").groupBy("doc_id")
            .agg(F.collect_list(F.struct("shingle", "df")).alias("told"))
            .withColumnRenamed("doc_id", "rep"))
     chosen = (docs.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
               .join(own, F.col("doc_id") == F.col("rep"), "left").select("doc_id", "text", "told"))
-    keys = stored(chosen.mapInArrow(tidy(_keys(k, n_ranges, small)), _KEYS_SQL), "keys")
+    keys = stored(chosen.mapInArrow(tidy(_keys(k, n_ranges, small, num, den)), _KEYS_SQL), "keys")
     found = stored(keys.filter("range is not null").select(*_BLOCK.names).groupBy("range")
-                   .applyInArrow(_pairs(n_ranges), _PAIR_SQL), "pairs")
+                   .applyInArrow(_pairs(n_ranges, num, den), _PAIR_SQL), "pairs")
     dense = keys.filter("list is not null").select("list", "doc_id", "size", "place")
-    centred, entries_ = centre_pairs(dense)
+    centred, entries_ = centre_pairs(dense, num, den)
     candidates = stored(found.filter("not sure").select("a", "b").union(centred).distinct(), "candidates")
     ids = (candidates.select(F.explode(F.array("a", "b")).alias("id"))
            .union(dense.select("doc_id")).distinct())
     whole = whole_sets(docs, ids, k)
-    known = verified(whole, candidates)
+    known = verified(whole, candidates, num, den)
     linked = known.filter("linked").select("a", "b").union(found.filter("sure").select("a", "b"))
     labels = components(linked)
     for turn in range(PIVOTS + 1):
         open_ = open_entries(entries_, known, labels)
         if open_.isEmpty():
             break
-        rest = pivot_pairs(open_, known, turn) if turn < PIVOTS else cross_pairs(open_, known)
+        rest = pivot_pairs(open_, known, turn) if turn < PIVOTS else cross_pairs(open_, known, num, den)
         if rest.isEmpty():
             continue
-        more = verified(whole, rest)
+        more = verified(whole, rest, num, den)
         known = known.union(more)
         if not more.filter("linked").isEmpty():
             linked = linked.union(more.filter("linked").select("a", "b"))
@@ -499,9 +503,9 @@ def links(docs: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, Data
     return sets, classes, labels
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document."""
-    sets, classes, labels = links(keyed(docs), k)
+    sets, classes, labels = links(keyed(docs), k, num, den)
     named = classes.join(labels, F.col("rep") == F.col("id"), "left").select(
         again(F.col("sig_a")).alias("ka"), F.col("sig_b").alias("kb"), F.col("n_shingles").alias("kn"),
         F.coalesce("component", "rep").alias("component_id"))

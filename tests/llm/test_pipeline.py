@@ -60,6 +60,14 @@ def test_near_duplicates(stages):
     assert sorted(i for i, _ in rows(after)) == sorted(i for i, (_, c) in groups.items() if i == c)
 
 
+def test_near_duplicates_of_five_words(spark):
+    """A copy with 20 % of text appended is a near duplicate."""
+    core = [f"w{k}" for k in range(104)]
+    d = spark.createDataFrame([(1, " ".join(core)), (2, " ".join(core + [f"x{k}" for k in range(20)])),
+                               (3, "another text")], "doc_id long, text string")
+    assert sorted(i for i, _ in rows(corpus_pipeline.dedup_documents(spark, d, SF_SMALL))) == [1, 3]
+
+
 def test_benchmark(spark, stages):
     _, before, after = stages[3]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]

@@ -1,5 +1,7 @@
 """Text operators against plain Python on rows with every kind of trouble."""
 
+from itertools import combinations
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +87,38 @@ def test_jaccard_exact_copies_in_any_order(spark):
     assert got == brute.components(rows)
 
 
+def test_jaccard_with_other_shingles_and_threshold(spark, trouble, pairs):
+    import random
+    rng = random.Random(8)
+    rows = [(i, t) for i, t in pairs]
+    for g in range(6):
+        core = [f"g{g}w{k}" for k in range(100)]
+        for k in range(24):
+            tail = [f"t{g}x{k}y{x}" for x in range(rng.choice([0, 5, 12, 20, 23, 24, 25, 30]))]
+            rows.append((1000 + 100 * g + k, " ".join(core + tail)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jaccard_join.near_duplicates(d, 5, 80, 100).collect()}
+    assert got == brute_components(rows, 5, 80)
+
+
+def brute_components(rows, k, num):
+    sets = [(i, brute.shingles(t, k)) for i, t in brute.by_id(rows)]
+    top = {i: i for i, _ in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for (a, x), (b, y) in combinations(sets, 2):
+        if x and y and 100 * len(x & y) >= num * len(x | y):
+            low, high = sorted((find(a), find(b)), key=lambda v: (v is not None, v or 0))
+            if low != high:
+                top[high] = low
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
 def test_jaccard_bounds():
     for a in range(1, 60):
         for b in range(a, 60):
