@@ -5,9 +5,11 @@ ends included): counts damped by a square root, times inverse document
 frequency, at unit length. Each language has several centroids, found by
 spherical k-means over a sample of its training rows. A text gets the
 language of the centroid with the greatest cosine. It is rejected when it has
-no letters, or when its cosine distance to that centroid is far beyond the
-farthest training row of the language: when its cosine is less than
-``NEAREST`` of that row's. Short texts of a language stay.
+no letters, or when its cosine is less than ``NEAREST`` of what all but a
+``TAIL`` of the language's training texts of its length reach. Lengths are
+counts of n-grams; the cosines of the starts of the sample's texts, of
+``STARTS`` characters, tell what a length reaches, so short texts of a
+language stay while other languages and gibberish of some length go.
 
 Document frequencies come from all training rows. The centroids come from
 about ``sample`` rows of each language, chosen by a hash of the id, so what
@@ -35,7 +37,10 @@ from marketpulse.llm.common import keyed, stored, tidy, unkeyed
 DIMS = 4096
 SAMPLE = 300
 CENTROIDS = 4
-NEAREST = 0.2
+NEAREST = 0.55
+TAIL = 0.05
+#: Characters of the starts of training texts whose cosines are taken.
+STARTS = (10, 20, 40, 80, 160, 320, 640, 1280)
 UNKNOWN = "und"
 SLICE_CHARS = 1 << 17
 
@@ -100,13 +105,21 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     language: list[str]     # of each centroid
-    radius: np.ndarray      # distance beyond which a text is rejected, of each centroid
+    least: dict[str, tuple[np.ndarray, np.ndarray]]  # of a language: log n-gram counts, least cosines
 
     def vectors(self, count: np.ndarray) -> np.ndarray:
         x = np.sqrt(count).astype(np.float32) * self.idf
         size = np.linalg.norm(x, axis=1, keepdims=True)
         return np.divide(x, size, out=np.zeros_like(x), where=size > 0)
 
+    def far(self, count: np.ndarray, best: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Whether each row's cosine is too small for its language and length."""
+        size, out = np.log(np.maximum(count.sum(axis=1), 1)), np.zeros(len(count), bool)
+        for name, (at, least) in self.least.items():
+            own = np.array([self.language[k] == name for k in best.tolist()], bool)
+            out[own] = near[own] < np.interp(size[own], at, least)
+        return out
+
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         lang, score, rejected = [], [], []
         for count in counts([t or "" for t in texts]):
@@ -117,7 +130,7 @@ class Model:
             else:
                 cosine = self.vectors(count) @ self.centroids.T
                 best, near = cosine.argmax(axis=1), np.clip(cosine.max(axis=1), 0, 1)
-                far = 1 - near > self.radius[best]
+                far = self.far(count, best, near)
             for k, some in enumerate(known.tolist()):
                 lang.append(self.language[best[k]] if some else UNKNOWN)
                 score.append(float(near[k]) if some else 0.0)
@@ -144,31 +157,45 @@ def is_held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-_TAUGHT_SQL = "lang string, vector binary, dim int, n long"
-_TAUGHT = pa.schema([("lang", pa.string()), ("vector", pa.binary()), ("dim", pa.int32()),
+_TAUGHT_SQL = "lang string, vector binary, start string, dim int, n long"
+_TAUGHT = pa.schema([("lang", pa.string()), ("vector", pa.binary()), ("start", pa.string()), ("dim", pa.int32()),
                      ("n", pa.int64())])
 
 
 def _teach(batches):
-    """The sample rows' counts, and each task's document frequencies."""
+    """The sample rows' counts and starts, and each task's document frequencies."""
     frequency = np.zeros(DIMS, np.int64)
     for batch in batches:
         texts = [t or "" for t in batch.column(0).to_pylist()]
         langs, chosen, at = batch.column(1).to_pylist(), batch.column(2).to_pylist(), 0
         for count in counts(texts):
             frequency += (count > 0).sum(axis=0)
-            rows = [(langs[at + k], count[k].astype("<i4").tobytes()) for k in range(len(count))
+            rows = [(langs[at + k], count[k].astype("<i4").tobytes(), texts[at + k][:STARTS[-1]]) for k in range(len(count))
                     if chosen[at + k] and count[k].any()]
             at += len(count)
             if rows:
                 yield pa.RecordBatch.from_pydict(
-                    {"lang": [r[0] for r in rows], "vector": [r[1] for r in rows],
+                    {"lang": [r[0] for r in rows], "vector": [r[1] for r in rows], "start": [r[2] for r in rows],
                      "dim": [None] * len(rows), "n": [None] * len(rows)}, schema=_TAUGHT)
-    yield pa.RecordBatch.from_pydict({"lang": [None] * DIMS, "vector": [None] * DIMS,
+    yield pa.RecordBatch.from_pydict({"lang": [None] * DIMS, "vector": [None] * DIMS, "start": [None] * DIMS,
                                       "dim": list(range(DIMS)), "n": frequency.tolist()},
                                      schema=_TAUGHT)
 
 
+def _least(model: Model, c: np.ndarray, starts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Log n-gram counts, and the least cosine of a text of so many."""
+    at, least = [], []
+    for size in STARTS:
+        texts = [t[:size] for t in starts if len(t) >= size] or (starts if size == STARTS[0] else [])
+        count = np.concatenate([*counts(texts)]) if texts else np.zeros((0, DIMS))
+        count = count[count.any(axis=1)]
+        if len(count):
+            at.append(float(np.log(np.median(count.sum(axis=1)))))
+            least.append(NEAREST * float(np.quantile(np.max(model.vectors(count) @ c.T, axis=1), TAIL)))
+    order = np.argsort(at)
+    return np.array(at)[order], np.array(least)[order]
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
           sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
     """Learns from the rows of ``docs`` with a language (the caller leaves out
@@ -186,16 +213,15 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         frequency[dim] = n
     total = sum(sizes.values())
     idf = (np.log((1 + total) / (1 + frequency)) + 1).astype(np.float32)
-    model = Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros(0))
-    found = taught.filter("vector is not null").select("lang", "vector").collect()
+    model = Model(idf, np.zeros((0, DIMS), np.float32), [], {})
+    found = taught.filter("vector is not null").select("lang", "vector", "start").collect()
     for name in sorted({r[0] for r in found}):
-        own = sorted(bytes(r[1]) for r in found if r[0] == name)  # in any order of arrival
-        x = model.vectors(np.stack([np.frombuffer(v, "<i4") for v in own]))
+        own = sorted((bytes(r[1]), r[2]) for r in found if r[0] == name)  # in any order of arrival
+        x = model.vectors(np.stack([np.frombuffer(v, "<i4") for v, _ in own]))
         c = _centroids(x, centroids)
-        farthest = float(np.max(1 - np.max(x @ c.T, axis=1)))
         model.centroids = np.concatenate([model.centroids, c.astype(np.float32)])
         model.language += [name] * len(c)
-        model.radius = np.append(model.radius, [1 - (1 - farthest) * NEAREST] * len(c))
+        model.least[name] = _least(model, c, [t for _, t in own])
     return model
 
 

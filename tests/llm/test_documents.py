@@ -33,6 +33,29 @@ def test_language_corner_cases(spark, trouble, empty):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_other_languages_and_gibberish_are_rejected(spark):
+    import base64
+    import random
+    rng = random.Random(1)
+    letters = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(120))
+    other = [
+        "La storia della città comincia molto tempo fa, quando i primi abitanti arrivarono nella valle e costruirono "
+        "le loro case vicino al fiume. Oggi la gente lavora nelle fabbriche e nei campi, e la sera si ritrova nelle "
+        "piazze per parlare e bere un bicchiere di vino con gli amici di sempre.",
+        "Historia miasta zaczyna się bardzo dawno temu, kiedy pierwsi mieszkańcy przybyli do doliny i zbudowali swoje "
+        "domy nad rzeką. Dzisiaj ludzie pracują w fabrykach i na polach, a wieczorem spotykają się na placach.",
+        "Kaupungin historia alkaa kauan sitten, kun ensimmäiset asukkaat saapuivat laaksoon ja rakensivat talonsa "
+        "joen rannalle. Nykyään ihmiset työskentelevät tehtaissa ja pelloilla, ja illalla he tapaavat toreilla.",
+        letters, letters[:80], base64.b64encode(rng.randbytes(400)).decode(), "Это совсем другой язык и письмо"]
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
+    short = [r.text[:n] for r in docs.filter("length(text) > 400").orderBy("doc_id").limit(40).collect() for n in (30, 100)]
+    rows = [(10 ** 6 + k, t, None) for k, t in enumerate(other + short)]
+    got = {r.doc_id: r for r in language_id.identify(docs.union(spark.createDataFrame(rows, docs.schema)))
+           .filter("doc_id >= 1000000").collect()}
+    assert [got[10 ** 6 + k].rejected for k in range(len(other))] == [True] * len(other)
+    assert sum(got[10 ** 6 + len(other) + k].rejected for k in range(len(short))) == 0   # short clean texts stay
+
+
 def test_held_out_is_by_checksum(spark):
     import zlib
     got = spark.range(200).select("id", language_id.is_held_out(F.col("id")).alias("h")).collect()
