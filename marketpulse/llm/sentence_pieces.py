@@ -3,8 +3,7 @@
 A text is escaped as SentencePiece does: a space goes before it, and spaces
 are U+2581 to the pieces. It is cut into words: a run of spaces with what
 follows up to the next space or line end, and line ends alone; no piece
-reaches over such a cut. (What is longer than ``MOST`` characters is cut every
-``MOST``, so that a lattice stays bounded.) Distinct words are encoded once:
+reaches over such a cut. Distinct words are encoded once:
 
 1. each explodes into its substrings of up to the longest piece's length,
 2. which are joined to the piece table by equality; characters that no piece
@@ -13,6 +12,10 @@ reaches over such a cut. (What is longer than ``MOST`` characters is cut every
 4. folded from left to right with ``aggregate``: of the edges that end at a
    place the best by summed score stays (of equals the longest piece).
 
+Words of more than ``MOST`` characters (unspaced scripts, encoded data) take
+the same path over the same pieces, place by place in ``_long_words``: an edge
+row would hold the word, so rows would grow with the square of its length.
+
 The piece table is the model's, so its size is fixed and it is broadcast.
 Texts are put together from their words' ids by hash (64 bits). The ``hot``
 most frequent words go to all tasks as packed arrays of about 20 bytes a word
@@ -46,6 +49,7 @@ from marketpulse.llm import rolling
 from marketpulse.llm.common import again, int_array, keyed, partitions, stored, tidy, unkeyed
 
 SPACE = "\u2581"
+#: Characters of the longest word whose lattice is made of rows.
 MOST = 64
 #: Most frequent words that are sent to every task.
 HOT = 7_000_000
@@ -109,8 +113,7 @@ class Model:
 
 def words(text: str) -> list[str]:
     """The words of one text (what ``_split`` finds in many)."""
-    found = _WORD.findall(" " + text.replace(SPACE, " ")) if text else []
-    return [w[k: k + MOST] for w in found for k in range(0, len(w), MOST)]
+    return _WORD.findall(" " + text.replace(SPACE, " ")) if text else []
 
 
 @dataclass
@@ -132,13 +135,7 @@ def _split(offsets: np.ndarray, data: np.ndarray, i: int, j: int) -> _Split:
     starts = line.copy()
     starts[1:] |= line[:-1] | (space[1:] & ~space[:-1])
     starts[begin] = True
-    place = np.cumsum((b & 0xC0) != 0x80)  # characters up to here
     at = np.flatnonzero(starts)
-    length = np.diff(place[at] - 1, append=place[-1] if n else 0)
-    if n and length.max() > MOST:
-        since = place - 1 - np.repeat(place[at] - 1, np.diff(at, append=n))
-        starts |= ((b & 0xC0) != 0x80) & (since % MOST == 0)
-        at = np.flatnonzero(starts)
     end = np.append(at[1:], n) if n else at
     rows = np.zeros(j - i + 1, np.int64)
     rows[full + 1] = np.diff(np.append(np.searchsorted(at, begin), len(at)))
@@ -243,9 +240,51 @@ def fold(lattice: DataFrame, model: Model) -> DataFrame:
         best, F.size(best) - 1)["codes"]).alias("codes"))
 
 
+def _long_words(model: Model):
+    """(word, codes) of long words: the best path as ``fold`` finds it."""
+    score_of = {i: s for _, i, s in model.pieces}
+    pieces = {p: (i, score_of[i]) for p, i, _ in model.useful()}
+    longest, unknown = max(map(len, pieces), default=1), model.unknown
+
+    def path(word: str) -> list[int]:
+        best, back = [0.0], [(0, 0)]
+        for end in range(1, len(word) + 1):
+            top = None
+            for start in range(max(0, end - longest), end):
+                found = pieces.get(word[start:end])
+                if found is None:
+                    if end - start > 1:
+                        continue
+                    found = BYTES + ord(word[start]), unknown
+                score = best[start] + found[1]
+                if top is None or score > top:
+                    top, last = score, (start, found[0])
+            best.append(top)
+            back.append(last)
+        codes, end = [], len(word)
+        while end:
+            end, code = back[end]
+            codes.append(code)
+        return codes[::-1]
+
+    def run(batches):
+        for batch in batches:
+            found = [path(w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.string()), pa.array(found, pa.list_(pa.int32()))], names=["word", "codes"])
+    return run
+
+
 def encoded_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
     """(word, codes) of a vocabulary of about ``size`` words. Words are dealt
     out before they explode, so their edges are grouped where they arise."""
+    wide = F.char_length("word") > MOST
+    apart = vocab.filter(wide).select("word").repartition(partitions(vocab.sparkSession), "word")
+    return _lattice_words(vocab.filter(~wide), model, size).union(
+        apart.mapInArrow(tidy(_long_words(model)), "word string, codes array<int>"))
+
+
+def _lattice_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
     spark = vocab.sparkSession
     spark.conf.set(GROUPS, str(4 * LATTICES))
     dealt = vocab.repartition(max(partitions(spark), size // LATTICES), "word")
@@ -275,7 +314,7 @@ def _pack(model_var):
             for a, x in zip(at, parts):
                 flat[a: a + len(x)] = x
             total = np.append(0, np.cumsum(n))
-            sizes = np.diff(total[edge - edge[0]]).astype(np.uint16)
+            sizes = np.diff(total[edge - edge[0]]).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.tobytes()], pa.binary()) for x in (_hash_rows(batch.column(0)), sizes, flat)],
                 schema=_PACK)
@@ -296,7 +335,8 @@ class Table:
         h, size, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)], [np.zeros(0, kind)]
         for a, b, c in packs:
             h.append(np.frombuffer(a, np.uint64))
-            size.append(np.frombuffer(b, np.uint16))
+            wide = np.frombuffer(b, np.uint32)
+            size.append(wide.astype(np.uint16) if wide.max(initial=0) < 1 << 16 else wide)
             ids.append(np.frombuffer(c, np.uint32).astype(kind))
         h, size, ids = (np.concatenate(x) for x in (h, size, ids))
         order = np.argsort(h)
@@ -433,7 +473,7 @@ def _pack_rows(model_var):
             for found in batch.column(1).to_pylist():
                 ids = [model.ids(f["codes"]) for f in found]
                 h = _hash_rows(pa.array([f["word"] for f in found], pa.string()))
-                out.append({"hash": h.tobytes(), "size": np.array([len(x) for x in ids], np.uint16).tobytes(),
+                out.append({"hash": h.tobytes(), "size": np.array([len(x) for x in ids], np.uint32).tobytes(),
                             "ids": np.array([k for x in ids for k in x], np.uint32).tobytes()})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _ROWS.field(1).type)], schema=_ROWS)
     return run

@@ -246,3 +246,26 @@ def test_sentence_pieces(spark, trouble, pairs):
         assert {r.doc_id: r.ids for r in rows} == want
         assert all(r.round_trip for r in rows)
         assert {r.doc_id: r.decoded for r in rows} == {i: t or "" for i, t in brute.by_id(pairs)}
+
+
+def test_long_words_are_not_cut(spark):
+    """Unspaced text and words of more than 64 characters, of more than 65,535 ids too."""
+    import base64
+    import random
+    path = tokenizer("piece_bpe_32k.model")
+    model = sentence_pieces.Model.load(path)
+    score = {p: (i, s) for p, i, s in model.pieces}
+    rng = random.Random(5)
+    long = ["https://example.org/" + "international-information/" * 11, base64.b64encode(rng.randbytes(225)).decode(),
+            "understanding" * 23, "東京都の天気は晴れです" * 28, "x" * 64, "y" * 65]
+    best = {w: brute.viterbi(w, score, model.unknown, model.longest) for w in (" " + x for x in long)}
+    cut = {w: [c for k in range(0, len(w), 64)
+               for c in brute.viterbi(w[k: k + 64], score, model.unknown, model.longest)] for w in best}
+    assert sum(best[w] != cut[w] for w in best) >= 3   # cuts would show
+    rows = list(enumerate(long)) + [(90, "".join(rng.choice("東京都の天気") for _ in range(70_000)))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (sentence_pieces.HOT, 0):
+        got = {r.doc_id: r for r in sentence_pieces.encode(d, path, hot=hot).collect()}
+        assert all(r.round_trip for r in got.values()) and len(got[90].ids) > 65_535
+        for i, x in enumerate(long):
+            assert got[i].ids == model.ids(best[" " + x])
