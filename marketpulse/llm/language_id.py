@@ -37,7 +37,7 @@ from marketpulse.llm.common import keyed, stored, tidy, unkeyed
 DIMS = 4096
 SAMPLE = 300
 CENTROIDS = 4
-NEAREST = 0.55
+NEAREST = 0.48
 TAIL = 0.05
 #: Characters of the starts of training texts whose cosines are taken.
 STARTS = (10, 20, 40, 80, 160, 320, 640, 1280)
