@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketpulse.llm import (decontaminate, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
+from marketpulse.llm import (decontaminate, hard_negatives, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
                              sentence_pieces, substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
@@ -165,3 +165,27 @@ def op10(spark, sf_dir):
     coded = sentence_pieces.encode(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                         F.xxhash64("ids").alias("ids_xxhash64"), "round_trip")
+
+
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings where label is not null and embedding is not null
+           and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+met as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+               list_inner_product(a.v, b.v)::bigint as score
+        from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+pos as (select * from (select anchor_id, id, score, row_number() over (
+          partition by anchor_id order by score desc, id) as nth from met where same) where nth <= 5)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+from (select p.anchor_id, p.id as positive_id, m.id as negative_id, p.score as positive_score, m.score as negative_score,
+             row_number() over (partition by p.anchor_id, p.id order by m.score desc, m.id) as rank
+      from pos p join met m on m.anchor_id = p.anchor_id and not m.same
+      and 80 * p.score <= 100 * m.score and m.score <= p.score) where rank <= 5"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark, sf_dir):
+    key, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"),
+                               label=F.when(key % 7 == 0, (label + 1) % 10).otherwise(label), anchors=key % 100 == 0)
