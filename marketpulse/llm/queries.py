@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.llm import (decontaminate, hard_negatives, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
-                             sentence_pieces, substring_dedup, token_files)
+                             sentence_pieces, spelling_variants, substring_dedup, token_files)
 from marketpulse.sources.tables import read_table
 
 QUERIES: dict = {}
@@ -189,3 +189,36 @@ def op13(spark, sf_dir):
     key, label = F.col("vec_id"), F.col("label")
     return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"),
                                label=F.when(key % 7 == 0, (label + 1) % 10).otherwise(label), anchors=key % 100 == 0)
+
+
+OP12_SQL = r"""
+with recursive crc as (select i, 0 as k, i as c from (select unnest(range(256)) as i)
+       union all select i, k + 1, case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from crc where k < 8),
+tab as (select list(c order by i) as t from crc where k = 8),
+run as (select doc_id, w, count(*) as n from (select doc_id, unnest(regexp_extract_all(translate(text,
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as w
+          from documents) group by all),
+named as (select w, n, hex(encode(doc_id || ':' || w)) as x from run),
+hashed as (select w, n, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(
+          range(len(x) // 2), lambda j: ('0x' || x[2 * j + 1: 2 * j + 2])::bigint)),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h from named, tab),
+word as (select case when h % 97 = 0 then w[: h % len(w)] || w[h % len(w) + 2:] else w end as word, sum(n)::bigint as n
+         from hashed group by 1 having len(word) >= 5 and sum(n) >= 3),
+cut as (select word, n, i, word[: i - 1] || word[i + 1:] as rest
+        from (select word, n, unnest(range(1, len(word) + 1)) as i from word)),
+pair as (select a.word, b.word as other, b.n as m from cut a join cut b
+           on a.i = b.i and a.rest = b.rest and a.word <> b.word
+         union select a.word, b.word, b.n from cut a join word b on a.rest = b.word
+         union select b.word, a.word, a.n from cut a join word b on a.rest = b.word),
+best as (select word, count(*) as n_near, first(other order by m desc, other) as other, max(m) as m from pair group by 1),
+form as (select word, n, coalesce(n_near, 0) as n_near, case when m >= 2 * n then other end as form,
+                case when m >= 2 * n then m end as form_n from word left join best using (word)),
+walk as (select word, word as at from form union all
+         select walk.word, form.form from walk join form on form.word = walk.at where form.form is not null),
+last_ as (select walk.word, walk.at as root from walk join form on form.word = walk.at where form.form is null)
+select word, form, root, n, n_near, form_n from form join last_ using (word)"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12(spark, sf_dir):
+    return spelling_variants.group(documents(spark, sf_dir))
