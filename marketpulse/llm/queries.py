@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.llm import (decontaminate, hard_negatives, html_text, jaccard_join, language_id, license_scan, line_dedup, merkle,
-                             sentence_pieces, spelling_variants, substring_dedup, token_files)
+                             sentence_pieces, spelling_variants, substring_dedup, token_files, toxicity)
 from marketpulse.sources.tables import read_table
 
 QUERIES: dict = {}
@@ -222,3 +222,8 @@ select word, form, root, n, n_near, form_n from form join last_ using (word)"""
 @query("op12_spelling_variants", OP12_SQL)
 def op12(spark, sf_dir):
     return spelling_variants.group(documents(spark, sf_dir))
+
+
+@query("op11_toxicity")
+def op11(spark, sf_dir):
+    return toxicity.judge(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
