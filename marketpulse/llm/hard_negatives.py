@@ -139,10 +139,10 @@ class Block:
         part = np.zeros(len(at), exact)
         for k in range(0, many + 1, STEP):
             for d in order[k - STEP: k] if k else ():
-                part += q[d] * self.dims[d][at]
+                part += q[d] * self.dims[d][at].astype(exact)
             at, part, low = self._fewer(at, part, int(rest[0][k]), int(rest[1][k]), low, high, keep)
         for d in order[many - many % STEP:]:
-            part += q[d] * self.dims[d][at]
+            part += q[d] * self.dims[d][at].astype(exact)
         at, part, _ = self._fewer(at, part, 0, 0, low, high, keep)
         return at, part
 
