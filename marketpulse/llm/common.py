@@ -64,7 +64,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes ``stored`` tables whose rows no later step reads: what came of them
+    is stored itself."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

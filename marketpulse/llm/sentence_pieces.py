@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 A text is escaped as SentencePiece does: a space goes before it, and spaces
-are U+2581 to the pieces. It is cut into words: a run of spaces with what
-follows up to the next space or line end, and line ends alone; no piece
-reaches over such a cut. Distinct words are encoded once:
+are U+2581 to the pieces. It is cut into words wherever no piece can reach
+over the cut: before a run of spaces, around line ends, and between two ASCII
+characters that stand side by side in no piece (a letter and a comma, say). The
+best path of a text is that of its words in turn. Distinct words are encoded
+once:
 
 1. each explodes into its substrings of up to the longest piece's length,
 2. which are joined to the piece table by equality; characters that no piece
@@ -12,16 +14,16 @@ reaches over such a cut. Distinct words are encoded once:
 4. folded from left to right with ``aggregate``: of the edges that end at a
    place the best by summed score stays (of equals the longest piece).
 
-Words of more than ``MOST`` characters (unspaced scripts, encoded data) take
-the same path over the same pieces, place by place in ``_long_words``: an edge
-row would hold the word, so rows would grow with the square of its length.
+Words of more than ``MOST`` characters (unspaced texts, encoded data) take
+the same path over the same pieces, place by place in ``_long_words``: what the
+fold holds would grow with the square of their length.
 
 The piece table is the model's, so its size is fixed and it is broadcast.
-Texts are put together from their words' ids by hash (64 bits). The ``hot``
-most frequent words go to all tasks as packed arrays of about 20 bytes a word
-(so at most some 150 MB); the ids of all other words reach the documents that
-hold them by a shuffle. No word is left out either way, and none that is
-frequent travels.
+Words are known by 64 bits of hash, and texts are put together from their
+words' ids by hash. The ``hot`` most frequent words, a fixed number, go to all
+tasks as packed arrays of about 20 bytes a word. All other words reach their
+documents by a join of (document, hash), once for each document that holds
+them, so none that is frequent travels and no word is left out.
 
 Decoding maps ids to pieces, joins them, puts byte pieces together as UTF-8
 and takes the escapes back. A text with U+2581 comes back with spaces for it,
@@ -42,17 +44,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm import rolling
-from marketpulse.llm.common import again, int_array, keyed, partitions, stored, tidy, unkeyed
+from marketpulse.llm.common import int_array, keyed, partitions, removed, stored, tidy, unkeyed
 
 SPACE = "\u2581"
 #: Characters of the longest word whose lattice is made of rows.
-MOST = 64
+MOST = 1024
 #: Most frequent words that are sent to every task.
-HOT = 7_000_000
+HOT = 300_000
 #: Bytes of text whose words a task counts together.
 COUNTED = 16 << 20
 #: Words in a partition of lattices.
@@ -103,6 +106,17 @@ class Model:
                 out.append(piece)
         return out
 
+    def joins(self) -> np.ndarray:
+        """For two bytes (256 * first + second), whether a piece may hold them side
+        by side; for bytes that are not ASCII always true."""
+        out = np.zeros((256, 256), bool)
+        out[128:], out[:, 128:] = True, True
+        for text, _, _ in self.pieces:
+            for a, b in zip(text, text[1:]):
+                if ord(a) < 128 and ord(b) < 128:
+                    out[ord(a), ord(b)] = True
+        return out.ravel()
+
     def ids(self, codes: list[int]) -> list[int]:
         """Ids for a path's codes, characters without a piece by their bytes."""
         out: list[int] = []
@@ -112,7 +126,7 @@ class Model:
 
 
 def words(text: str) -> list[str]:
-    """The words of one text (what ``_split`` finds in many)."""
+    """The words of one text as spaces and line ends cut it."""
     return _WORD.findall(" " + text.replace(SPACE, " ")) if text else []
 
 
@@ -125,7 +139,7 @@ class _Split:
     first: np.ndarray   # index of each row's first word, one more for the end
 
 
-def _split(offsets: np.ndarray, data: np.ndarray, i: int, j: int) -> _Split:
+def _split(offsets: np.ndarray, data: np.ndarray, i: int, j: int, joins: np.ndarray) -> _Split:
     edges = offsets[i: j + 1] - offsets[i]
     full = np.flatnonzero(np.diff(edges))
     b = np.insert(data[offsets[i]: offsets[j]], edges[full], 32)  # a space before each text
@@ -133,7 +147,7 @@ def _split(offsets: np.ndarray, data: np.ndarray, i: int, j: int) -> _Split:
     n = len(b)
     space, line = b == 32, b == 10
     starts = line.copy()
-    starts[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    starts[1:] |= line[:-1] | (space[1:] & ~space[:-1]) | ~joins[b[:-1].astype(np.uint16) << 8 | b[1:]]
     starts[begin] = True
     at = np.flatnonzero(starts)
     end = np.append(at[1:], n) if n else at
@@ -148,14 +162,12 @@ def _column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rolling.texts(column)
 
 
-_COUNT = pa.schema([("word", pa.string()), ("n", pa.int64())])
+_COUNT = pa.schema([("hash", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
 
 
-def _count_words(batches):
+def _count_words(model_var):
     """The distinct words of every COUNTED bytes of text and their counts."""
-    held: list[tuple] = []
-
-    def told():
+    def told(held):
         value = np.concatenate([v for v, *_ in held])
         value, first, back = np.unique(value, return_index=True, return_inverse=True)
         n = np.bincount(back, weights=np.concatenate([x[1] for x in held])).astype(np.int64)
@@ -166,58 +178,62 @@ def _count_words(batches):
         for k, (_, _, raw, start, end) in enumerate(held):
             at = first[order[cut[k]: cut[k + 1]]] - edge[k]
             out += [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
-        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string()),
-                                           pa.array(n[order], pa.int64())], schema=_COUNT)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(value[order].view(np.int64)), pa.array(out, pa.binary()).cast(pa.string()),
+             pa.array(n[order], pa.int64())], schema=_COUNT)
 
-    size = 0
-    for batch in batches:
-        offsets, data = _column(batch.column(0))
-        for i, j in rolling.ranges(offsets, 2 * rolling.SLICE_BYTES):
-            s = _split(offsets, data, i, j)
-            value, at, n = np.unique(s.hash, return_index=True, return_counts=True)
-            held.append((value, n, s.data.tobytes(), s.start[at].astype(np.int32), s.end[at].astype(np.int32)))
-            size += len(s.data)
-            if size >= COUNTED:
-                yield told()
-                held.clear()
-                size = 0
-    if held:
-        yield told()
-
-
-def vocabulary(d: DataFrame) -> DataFrame:
-    """(word, n): the distinct words of the texts and how often they occur."""
-    return (d.select("text").mapInArrow(tidy(_count_words), "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
-
-
-#: An edge is one number: end << 40 | start << 32 | code; the code is a piece's
-#: id, or BYTES + a character's code point.
+    def run(batches):
+        joins, held, size = model_var.value.joins(), [], 0
+        for batch in batches:
+            offsets, data = _column(batch.column(0))
+            for i, j in rolling.ranges(offsets, 2 * rolling.SLICE_BYTES):
+                s = _split(offsets, data, i, j, joins)
+                value, at, n = np.unique(s.hash, return_index=True, return_counts=True)
+                held.append((value, n, s.data.tobytes(), s.start[at].astype(np.int32), s.end[at].astype(np.int32)))
+                size += len(s.data)
+                if size >= COUNTED:
+                    yield told(held)
+                    held, size = [], 0
+        if held:
+            yield told(held)
+    return run
+
+
+def vocabulary(d: DataFrame, model_var) -> DataFrame:
+    """(hash, word, n): the distinct words of the texts and how often they occur."""
+    return (d.select("text").mapInArrow(tidy(_count_words(model_var)), "hash long, word string, n long")
+            .groupBy("hash", "word").agg(F.sum("n").alias("n")))
+
+
+#: An edge is one number: end << PLACE + CODE | start << CODE | code; the code is
+#: a piece's id, or BYTES + a character's code point.
 BYTES = 1 << 24
+CODE, PLACE = 25, 19
 
 
 def edges(vocab: DataFrame, model: Model) -> DataFrame:
-    """(word, edge): the lattice of each word."""
+    """(hash, edge): the lattice of each word."""
     spark = vocab.sparkSession
     pieces = model.useful()
     longest = max(len(p) for p, _, _ in pieces)
     table = spark.createDataFrame([(p, i) for p, i, _ in pieces], "piece string, id int")
     size = F.char_length("word")
-    cut = (vocab.select("word", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-           .select("word", "at", F.explode(F.sequence(F.lit(1), F.least(
-               F.lit(longest), size - F.col("at") + 1))).alias("long"))
-           .withColumn("part", F.substring("word", F.col("at"), F.col("long"))))
+    at = F.transform(F.sequence(F.lit(1), size), lambda k: F.struct(
+        k.alias("at"), F.substring(F.col("word"), k, F.lit(longest)).alias("rest")))
+    cut = (vocab.select("hash", F.inline(at))
+           .select("hash", "at", "rest", F.explode(F.sequence(F.lit(1), F.char_length("rest"))).alias("long"))
+           .withColumn("part", F.substring("rest", F.lit(1), F.col("long"))))
     met = cut.join(F.broadcast(table), F.col("part") == F.col("piece"), "left")
     met = met.filter("id is not null or long = 1")
     end, start = F.col("at") + F.col("long") - 1, F.col("at") - 1
     code = F.coalesce("id", F.ascii("part") + BYTES)
-    edge = (F.shiftleft(end.cast("long"), 40).bitwiseOR(F.shiftleft(start.cast("long"), 32))
+    edge = (F.shiftleft(end.cast("long"), PLACE + CODE).bitwiseOR(F.shiftleft(start.cast("long"), CODE))
             .bitwiseOR(code.cast("long")))
-    return met.select("word", edge.alias("edge"))
+    return met.select("hash", edge.alias("edge"))
 
 
 def fold(lattice: DataFrame, model: Model) -> DataFrame:
-    """(word, codes): the best path through each word's lattice."""
+    """(hash, codes): the best path through each word's lattice."""
     score_of = [0.0] * len(model.raw)
     for _, i, s in model.pieces:
         score_of[i] = s
@@ -226,22 +242,22 @@ def fold(lattice: DataFrame, model: Model) -> DataFrame:
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("codes")))
 
     def step(best: Column, e: Column) -> Column:
-        end = F.shiftright(e, 40).cast("int")
-        before = F.get(best, F.shiftright(e, 32).bitwiseAND(255).cast("int"))
-        code = e.bitwiseAND((1 << 32) - 1).cast("int")
+        end = F.shiftright(e, PLACE + CODE).cast("int")
+        before = F.get(best, F.shiftright(e, CODE).bitwiseAND((1 << PLACE) - 1).cast("int"))
+        code = e.bitwiseAND((1 << CODE) - 1).cast("int")
         score = before["score"] + F.coalesce(F.get(scores, code), F.lit(model.unknown))
         now = F.array(F.struct(score.alias("score"), F.concat(before["codes"], F.array(code)).alias("codes")))
         return (F.when(end == F.size(best), F.concat(best, now))
                 .when(score > F.get(best, end)["score"], F.concat(F.slice(best, F.lit(1), end), now))
                 .otherwise(best))
 
-    group = lattice.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("e"))
-    return group.select("word", F.aggregate("e", start.cast(kind), step, lambda best: F.get(
+    group = lattice.groupBy("hash").agg(F.sort_array(F.collect_list("edge")).alias("e"))
+    return group.select("hash", F.aggregate("e", start.cast(kind), step, lambda best: F.get(
         best, F.size(best) - 1)["codes"]).alias("codes"))
 
 
 def _long_words(model: Model):
-    """(word, codes) of long words: the best path as ``fold`` finds it."""
+    """(hash, codes) of long words: the best path as ``fold`` finds it."""
     score_of = {i: s for _, i, s in model.pieces}
     pieces = {p: (i, score_of[i]) for p, i, _ in model.useful()}
     longest, unknown = max(map(len, pieces), default=1), model.unknown
@@ -269,56 +285,58 @@ def _long_words(model: Model):
 
     def run(batches):
         for batch in batches:
-            found = [path(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), pa.array(found, pa.list_(pa.int32()))], names=["word", "codes"])
+            found = [path(w) for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))],
+                                             names=["hash", "codes"])
     return run
 
 
-def encoded_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
-    """(word, codes) of a vocabulary of about ``size`` words. Words are dealt
-    out before they explode, so their edges are grouped where they arise."""
-    wide = F.char_length("word") > MOST
-    apart = vocab.filter(wide).select("word").repartition(partitions(vocab.sparkSession), "word")
-    return _lattice_words(vocab.filter(~wide), model, size).union(
-        apart.mapInArrow(tidy(_long_words(model)), "word string, codes array<int>"))
+def piece_ids(codes: Column, model: Model) -> Column:
+    """Ids for a path's codes, characters without a piece by their UTF-8 bytes."""
+    table = F.array(*[F.lit(i) for i in model.byte_ids])
+
+    def of(c: Column) -> Column:
+        u = c - BYTES
+        tail = [F.shiftright(u, 6 * k).bitwiseAND(63) + 128 for k in range(3)]
+        utf8 = (F.when(u < 0x80, F.array(u)).when(u < 0x800, F.array(F.shiftright(u, 6) + 0xC0, tail[0]))
+                .when(u < 0x10000, F.array(F.shiftright(u, 12) + 0xE0, tail[1], tail[0]))
+                .otherwise(F.array(F.shiftright(u, 18) + 0xF0, tail[2], tail[1], tail[0])))
+        return F.when(c < BYTES, F.array(c)).otherwise(F.transform(utf8, lambda b: F.get(table, b)))
+
+    return F.when(F.exists(codes, lambda c: c >= BYTES), F.flatten(F.transform(codes, of))).otherwise(codes)
 
 
-def _lattice_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
+def encoded_words(vocab: DataFrame, model: Model, size: int) -> DataFrame:
+    """(hash, ids) of a vocabulary of about ``size`` words, as a stored table.
+    Words are dealt out before they explode, so their edges are grouped where
+    they arise."""
     spark = vocab.sparkSession
+    wide = F.char_length("word") > MOST
+    apart = vocab.filter(wide).select("hash", "word").repartition(partitions(spark), "hash")
+    dealt = vocab.filter(~wide).select("hash", "word").repartition(max(partitions(spark), size // LATTICES), "hash")
+    both = fold(edges(dealt, model), model).union(
+        apart.mapInArrow(tidy(_long_words(model)), "hash long, codes array<int>"))
+    before = spark.conf.get(GROUPS, None)
     spark.conf.set(GROUPS, str(4 * LATTICES))
-    dealt = vocab.repartition(max(partitions(spark), size // LATTICES), "word")
-    return fold(edges(dealt, model), model)
+    try:
+        return stored(both.select("hash", piece_ids(F.col("codes"), model).alias("ids")), "word-ids")
+    finally:
+        if before is None:
+            spark.conf.unset(GROUPS)
+        else:
+            spark.conf.set(GROUPS, before)
 
 
 _PACK = pa.schema([("hash", pa.binary()), ("size", pa.binary()), ("ids", pa.binary())])
 
 
-def _hash_rows(column: pa.Array) -> np.ndarray:
-    offsets, data = rolling.texts(column)
-    return rolling.hash_ranges(data[offsets[0]: offsets[-1]], offsets[:-1] - offsets[0],
-                               offsets[1:] - offsets[0])
-
-
-def _pack(model_var):
-    """Each batch of (word, codes) as one row of arrays."""
-    def run(batches):
-        model = model_var.value
-        for batch in batches:
-            codes, edge = batch.column(1).flatten().to_numpy(), batch.column(1).offsets.to_numpy()
-            rare = np.flatnonzero(codes >= BYTES)
-            parts = [model.ids([c]) for c in codes[rare].tolist()]
-            n = np.ones(len(codes), np.int64)
-            n[rare] = [len(x) for x in parts]
-            flat, at = np.repeat(codes, n).astype(np.uint32), (np.cumsum(n) - n)[rare].tolist()
-            for a, x in zip(at, parts):
-                flat[a: a + len(x)] = x
-            total = np.append(0, np.cumsum(n))
-            sizes = np.diff(total[edge - edge[0]]).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes()], pa.binary()) for x in (_hash_rows(batch.column(0)), sizes, flat)],
-                schema=_PACK)
-    return run
+def _pack(batches):
+    """Each batch of (hash, ids) as one row of arrays."""
+    for batch in batches:
+        size = np.diff(batch.column(1).offsets.to_numpy()).astype(np.uint32)
+        flat = batch.column(1).flatten().to_numpy().astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
+            int_array(batch.column(0)), size, flat)], schema=_PACK)
 
 
 @dataclass
@@ -361,28 +379,26 @@ class Table:
             place < 0, 0, self.size[place]).astype(np.int64)
 
 
-_RARE = pa.schema([("doc_id", pa.int64()), ("word", pa.string())])
+_RARE = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64())])
 
 
-def _rare_words(table_var):
-    """(doc_id, word) of each document's distinct words that are not hot."""
+def _rare_words(table_var, model_var):
+    """(doc_id, hash) of each document's distinct words that are not hot."""
     def run(batches):
-        table = table_var.value
+        table, joins = table_var.value, model_var.value.joins()
         for batch in batches:
             ids = int_array(batch.column(0))
             offsets, data = _column(batch.column(1))
             for i, j in rolling.ranges(offsets):
-                s = _split(offsets, data, i, j)
-                value, back = np.unique(s.hash, return_inverse=True)
-                at = np.flatnonzero((table.find(value) < 0)[back])
-                row = np.repeat(np.arange(j - i), np.diff(s.first))[at]
-                _, one = np.unique(np.stack([row.astype(np.uint64), s.hash[at]], axis=1), axis=0,
-                                   return_index=True)
-                at, row, raw = at[one], row[one], s.data.tobytes()
-                found = [raw[a:b] for a, b in zip(s.start[at].tolist(), s.end[at].tolist())]
+                s = _split(offsets, data, i, j, joins)
+                row, h = np.repeat(np.arange(j - i), np.diff(s.first)), s.hash
+                rare = table.find(h) < 0
+                order = np.lexsort((h[rare], row[rare]))
+                row, h = row[rare][order], h[rare][order]
+                new = np.ones(len(h), bool)
+                new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j][row], pa.int64()), pa.array(found, pa.binary()).cast(pa.string())],
-                    schema=_RARE)
+                    [pa.array(ids[i:j][row[new]], pa.int64()), pa.array(h[new].view(np.int64))], schema=_RARE)
     return run
 
 
@@ -390,27 +406,47 @@ _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round
 _IDS_SQL = "doc_id long, ids array<int>, round_trip boolean"
 
 
+def _small(batches):
+    """Texts on their way to their rare words, compressed."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        texts = [None if t is None else pack(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+
+
+def _large(column: pa.Array) -> pa.Array:
+    if not pa.types.is_binary(column.type):
+        return column
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if t is None else unpack(t) for t in column.to_pylist()], pa.large_binary()).cast(pa.large_string())
+
+
 def _assemble(table_var, model_var):
-    """Documents' ids from the hot table and (third column, if any) the packed
-    rare words; and whether decoding them gives the text."""
+    """Documents' ids from the hot table and (third column, if any) the rare
+    words; and whether decoding them gives the text."""
     def run(batches):
         table, model = table_var.value, model_var.value
+        joins = model.joins()
         raw = np.frombuffer(b"".join(model.raw), np.uint8)
         size = np.array([len(x) for x in model.raw], np.int64)
         start = np.cumsum(size) - size
         for batch in batches:
             ids = int_array(batch.column(0))
-            offsets, data = _column(batch.column(1))
-            rare = batch.column(2) if batch.num_columns > 2 else None
+            offsets, data = _column(_large(batch.column(1)))
+            if batch.num_columns > 2:
+                rare = batch.column(2)
             for i, j in rolling.ranges(offsets):
-                s = _split(offsets, data, i, j)
+                s = _split(offsets, data, i, j, joins)
                 value, back = np.unique(s.hash, return_inverse=True)
                 place = table.find(value)
                 lost = place < 0
                 begin, length, pool = table.starts(place), table.sizes(place), table.ids
-                if rare is not None and lost.any():
-                    packs = [(c["hash"], c["size"], c["ids"]) for c in rare[i:j].to_pylist() if c]
-                    more = Table.of(packs, len(model.raw))
+                if batch.num_columns > 2 and lost.any():
+                    found = rare.slice(i, j - i).flatten()
+                    lists = found.field("ids")
+                    more = Table.of([(int_array(found.field("hash")).tobytes(),
+                                      np.diff(lists.offsets.to_numpy()).astype(np.uint32).tobytes(),
+                                      lists.flatten().to_numpy().astype(np.uint32).tobytes())], len(model.raw))
                     k = more.find(value[lost])
                     begin[lost], length[lost] = len(pool) + more.starts(k), more.sizes(k)
                     lost[np.flatnonzero(lost)[k >= 0]] = False
@@ -436,7 +472,7 @@ def encode(docs: DataFrame, model_path: str, hot: int = HOT) -> DataFrame:
     spark, d = docs.sparkSession, keyed(docs)
     sc, model = spark.sparkContext, Model.load(model_path)
     model_var = sc.broadcast(model)
-    vocab = stored(vocabulary(d), "words")
+    vocab = stored(vocabulary(d, model_var), "words")
     # the least count with which a word is hot, from how many words have each count
     size, least, n_hot = vocab.count(), 1, 0
     for n, many in vocab.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
@@ -444,39 +480,21 @@ def encode(docs: DataFrame, model_path: str, hot: int = HOT) -> DataFrame:
             least = n + 1
             break
         n_hot += many
-    pack_sql = "hash binary, size binary, ids binary"
-    often = encoded_words(vocab.filter(F.col("n") >= least), model, n_hot)
-    packs = stored(often.mapInArrow(tidy(_pack(model_var)), pack_sql), "hot-words").toLocalIterator()
+    coded = encoded_words(vocab, model, size)
+    often = coded.join(vocab.filter(F.col("n") >= least).select("hash"), "hash", "left_semi") if least > 1 else coded
+    packs = often.mapInArrow(tidy(_pack), "hash binary, size binary, ids binary").toLocalIterator()
     table = sc.broadcast(Table.of(packs, len(model.raw)))
-    if least == 1:
+    if n_hot == size:
+        removed(vocab, coded)
         return unkeyed(d.mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
-    seldom = encoded_words(vocab.filter(F.col("n") < least), model, size - n_hot).select(
-        again(F.xxhash64("word")).alias("k"), F.col("word").alias("w"), "codes")
-    held = d.mapInArrow(tidy(_rare_words(table)), "doc_id long, word string")
-    met = held.join(seldom, (again(F.xxhash64("word")) == F.col("k")) & (F.col("word") == F.col("w")))
-    packed = (met.groupBy("doc_id").agg(F.collect_list(F.struct("word", "codes")).alias("found"))
-              .mapInArrow(tidy(_pack_rows(model_var)), "marked long, rare struct<hash: binary, size: binary, ids: binary>"))
-    rare = stored(packed, "rare-words")
-    both = d.join(rare, F.col("doc_id") == F.col("marked"), "left").select("doc_id", "text", "rare")
-    return unkeyed(both.mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
-
-
-_ROWS = pa.schema([("marked", pa.int64()), ("rare", pa.struct(list(_PACK)))])
-
-
-def _pack_rows(model_var):
-    """Packs the rare words of each document."""
-    def run(batches):
-        model = model_var.value
-        for batch in batches:
-            out = []
-            for found in batch.column(1).to_pylist():
-                ids = [model.ids(f["codes"]) for f in found]
-                h = _hash_rows(pa.array([f["word"] for f in found], pa.string()))
-                out.append({"hash": h.tobytes(), "size": np.array([len(x) for x in ids], np.uint32).tobytes(),
-                            "ids": np.array([k for x in ids for k in x], np.uint32).tobytes()})
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _ROWS.field(1).type)], schema=_ROWS)
-    return run
+    held = d.mapInArrow(tidy(_rare_words(table, model_var)), "doc_id long, hash long")
+    met = held.join(coded, "hash").groupBy(F.col("doc_id").alias("marked")).agg(
+        F.collect_list(F.struct("hash", "ids")).alias("rare"))
+    rare = stored(met, "rare-words")
+    removed(vocab, coded)
+    both = d.mapInArrow(tidy(_small), "doc_id long, text binary").join(rare, F.col("doc_id") == F.col("marked"), "left")
+    words = F.coalesce("rare", F.array().cast("array<struct<hash: bigint, ids: array<int>>>"))
+    return unkeyed(both.select("doc_id", "text", words.alias("rare")).mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
