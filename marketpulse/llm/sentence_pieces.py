@@ -55,7 +55,7 @@ SPACE = "\u2581"
 #: Characters of the longest word whose lattice is made of rows.
 MOST = 1024
 #: Most frequent words that are sent to every task.
-HOT = 300_000
+HOT = 500_000
 #: Bytes of text whose words a task counts together.
 COUNTED = 16 << 20
 #: Words in a partition of lattices.
@@ -484,14 +484,15 @@ def encode(docs: DataFrame, model_path: str, hot: int = HOT) -> DataFrame:
     often = coded.join(vocab.filter(F.col("n") >= least).select("hash"), "hash", "left_semi") if least > 1 else coded
     packs = often.mapInArrow(tidy(_pack), "hash binary, size binary, ids binary").toLocalIterator()
     table = sc.broadcast(Table.of(packs, len(model.raw)))
+    removed(vocab)
     if n_hot == size:
-        removed(vocab, coded)
+        removed(coded)
         return unkeyed(d.mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
     held = d.mapInArrow(tidy(_rare_words(table, model_var)), "doc_id long, hash long")
     met = held.join(coded, "hash").groupBy(F.col("doc_id").alias("marked")).agg(
         F.collect_list(F.struct("hash", "ids")).alias("rare"))
     rare = stored(met, "rare-words")
-    removed(vocab, coded)
+    removed(coded)
     both = d.mapInArrow(tidy(_small), "doc_id long, text binary").join(rare, F.col("doc_id") == F.col("marked"), "left")
     words = F.coalesce("rare", F.array().cast("array<struct<hash: bigint, ids: array<int>>>"))
     return unkeyed(both.select("doc_id", "text", words.alias("rare")).mapInArrow(tidy(_assemble(table, model_var)), _IDS_SQL))
