@@ -22,25 +22,39 @@ from pyspark.sql import functions as F
 from marketpulse.functions.picking import order_key
 
 
-def _order_key(ticks: DataFrame, ts: str, tie_cols: Sequence[str]) -> Column:
+def _order_key(ticks: DataFrame, ts: str, tie_cols: Sequence[str], last: bool) -> Column:
     """(time, tie breakers) as one comparable value (``functions.picking``)."""
-    return order_key(ticks, [ts, *tie_cols])
+    return order_key(ticks, [ts, *tie_cols], last)
+
+
+def _buckets(ticks: DataFrame, ts: str, every: str) -> list[Column]:
+    """Grouping columns: the bucket, and whether there is no time. A window has
+    no row for a null time; in a batch those ticks make a bucket of their own.
+    (A stream needs the bare column for its watermark; see ``streaming.late``
+    for what becomes of such ticks there.)"""
+    if ticks.isStreaming:
+        return [F.window(ts, every).alias("_w"), F.lit(False).alias("_none")]
+    some = F.coalesce(F.col(ts), F.lit(0).cast("timestamp").cast(ticks.schema[ts].dataType))
+    return [F.window(some, every).alias("_w"), F.col(ts).isNull().alias("_none")]
+
+
+def _label(label: str) -> Column:
+    return F.when(~F.col("_none"), F.col(f"_w.{label}")).alias("datetime")
 
 
 def ohlcv_bars(ticks: DataFrame, every: str = "1 hour", key: str = "ticker",
                ts: str = "datetime", price: str = "price", volume: str = "volume",
                tie_cols: Sequence[str] = ("tie_key",), label: str = "end") -> DataFrame:
-    """One bar per (key, bucket); the bucket is labelled by its end (or start)."""
-    order = _order_key(ticks, ts, tie_cols)
-    bucket = F.window(ts, every)
-    agg = ticks.groupBy(F.col(key), bucket.alias("_w")).agg(
-        F.min_by(price, order).alias("open"),
+    """One bar per (key, bucket); the bucket is labelled by its end (or start).
+    Ticks without a time make one bar per key, without a label (batch only)."""
+    agg = ticks.groupBy(F.col(key), *_buckets(ticks, ts, every)).agg(
+        F.min_by(price, _order_key(ticks, ts, tie_cols, False)).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, order).alias("close"),
+        F.max_by(price, _order_key(ticks, ts, tie_cols, True)).alias("close"),
         F.sum(volume).alias("volume"),
     )
-    return agg.select(key, F.col(f"_w.{label}").alias("datetime"),
+    return agg.select(key, _label(label),
                       "open", "high", "low", "close", "volume")
 
 
@@ -48,7 +62,6 @@ def last_close_bars(ticks: DataFrame, every: str = "5 minutes", key: str = "tick
                     ts: str = "datetime", price: str = "price",
                     tie_cols: Sequence[str] = ("tie_key",)) -> DataFrame:
     """The reference's streaming bucket: only the last price per bucket."""
-    order = _order_key(ticks, ts, tie_cols)
-    agg = ticks.groupBy(F.col(key), F.window(ts, every).alias("_w")).agg(
-        F.max_by(price, order).alias("close"))
-    return agg.select(key, F.col("_w.end").alias("datetime"), "close")
+    agg = ticks.groupBy(F.col(key), *_buckets(ticks, ts, every)).agg(
+        F.max_by(price, _order_key(ticks, ts, tie_cols, True)).alias("close"))
+    return agg.select(key, _label("end"), "close")

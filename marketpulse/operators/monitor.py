@@ -54,11 +54,11 @@ def price_move(ticks: DataFrame, as_of, minutes: int = 60, key: str = "ticker",
     """Per ticker over the last ``minutes``: first, last, change, change %,
     high and low; only tickers with more than one row."""
     recent = ticks.filter(F.col(ts) >= _minutes_before(as_of, minutes))
-    order = order_key(recent, [ts, tie])
+    first, last = (order_key(recent, [ts, tie], side) for side in (False, True))
     p = F.col(price)
     agg = recent.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by(p, order).alias("start_price"), F.max_by(p, order).alias("end_price"),
+        F.min_by(p, first).alias("start_price"), F.max_by(p, last).alias("end_price"),
         F.max(p).alias("high_price"), F.min(p).alias("low_price"))
     change = F.col("end_price") - F.col("start_price")
     return agg.filter(F.col("n") > 1).select(

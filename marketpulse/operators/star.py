@@ -70,7 +70,8 @@ def sentiment_fact_stream_shape(silver: DataFrame) -> DataFrame:
 
 def market_rollup(fact: DataFrame, tdim: DataFrame) -> DataFrame:
     """Per ticker, year and quarter: bars, exact mean close, high, low, volume."""
-    j = fact.join(tdim, "datetime")
+    parts = tdim.withColumnRenamed("datetime", "_time")   # facts without a time stay, with null parts
+    j = fact.join(parts, F.col("datetime").eqNullSafe(F.col("_time")), "left")
     close = exact("close", price_scale(fact, "close"))
     return j.groupBy("ticker", "year", "quarter").agg(
         F.count(F.lit(1)).alias("n_bars"),
@@ -83,9 +84,12 @@ def market_rollup(fact: DataFrame, tdim: DataFrame) -> DataFrame:
 
 def sentiment_by_author(fact: DataFrame, adim: DataFrame) -> DataFrame:
     """Per verified flag and gold flag of the author: posts, mean scores. Every
-    post of the fact counts; unknown authors have null flags."""
-    j = fact.join(adim.select("author_fullname", "author_verified", "author_is_gold"),
-                  "author_fullname", "left")
+    post of the fact counts, and counts once: an account (``author_fullname``)
+    with several rows in the dimension, as after a change of name, has the flags
+    of the row with the greatest name. Unknown authors have null flags."""
+    one = pick(adim.filter(F.col("author_fullname").isNotNull()), ["author_fullname"], ["author"],
+               ["author_verified", "author_is_gold"])
+    j = fact.join(one, "author_fullname", "left")
     return j.groupBy("author_verified", "author_is_gold").agg(
         F.count(F.lit(1)).alias("n_posts"),
         F.round(F.avg("VaderScore"), 6).alias("avg_vader"),

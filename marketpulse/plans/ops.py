@@ -100,25 +100,25 @@ def q_series_span(spark, sf_dir):
 _TICK_OUT = "ticker, datetime, tie_key, price::double as price, volume"
 
 
-@register("dedup_keep_first", O.with_(O.TICKS, O.TICKS_DUP)
-          + f"select {_TICK_OUT} from ticks_dup qualify row_number() over "
-          "(partition by ticker, datetime, tie_key order by arrival) = 1")
+@register("dedup_keep_first", O.with_(O.TICKS, O.TICKS_DUP, O.TICKS_DUP_NULL)
+          + f"select {_TICK_OUT} from ticks_dup_null qualify row_number() over "
+          "(partition by ticker, datetime, tie_key order by arrival nulls last) = 1")
 def q_dedup_keep_first(spark, sf_dir):
     """First arrival per key wins, result sorted by time."""
-    d = G.keep_first(X.ticks_dup(spark, sf_dir), TICK_KEY, ["arrival"])
+    d = G.keep_first(X.ticks_dup_null(spark, sf_dir), TICK_KEY, ["arrival"])
     return (d.select("ticker", "datetime", "tie_key", F.col("price").cast("double").alias("price"),
                      "volume").orderBy("datetime", "tie_key"))
 
 
-@register("insert_new_bars", O.with_(O.TICKS, O.TICKS_DUP, O.STORED_TICKS)
-          + f"select {_TICK_OUT} from (select * from ticks_dup qualify row_number() over "
-          "(partition by ticker, datetime, tie_key order by arrival) = 1) n "
+@register("insert_new_bars", O.with_(O.TICKS, O.TICKS_DUP, O.TICKS_DUP_NULL, O.STORED_TICKS)
+          + f"select {_TICK_OUT} from (select * from ticks_dup_null qualify row_number() over "
+          "(partition by ticker, datetime, tie_key order by arrival nulls last) = 1) n "
           "where not exists (select 1 from stored_ticks s where s.ticker = n.ticker "
           "and s.datetime = n.datetime and s.tie_key = n.tie_key)")
 def q_insert_new_bars(spark, sf_dir):
     """Rows an insert-new load would append (stored side pruned to the
     incoming time range)."""
-    rows = new_rows(X.ticks_dup(spark, sf_dir), X.stored_ticks(spark, sf_dir), TICK_KEY,
+    rows = new_rows(X.ticks_dup_null(spark, sf_dir), X.stored_ticks(spark, sf_dir), TICK_KEY,
                     ["arrival"], range_col="datetime")
     return rows.select("ticker", "datetime", "tie_key",
                        F.col("price").cast("double").alias("price"), "volume")

@@ -35,6 +35,10 @@ TICKS_DUP = """ticks_dup as (
   union all
   select ticker, datetime, tie_key, (price + 1)::decimal(18,2), volume, 1 from ticks where tie_key % 7 = 0)"""
 
+TICKS_DUP_NULL = """ticks_dup_null as (
+  select ticker, datetime, tie_key, price, volume,
+         case when not (arrival = 0 and tie_key % 5 = 0) then arrival end as arrival from ticks_dup)"""
+
 STORED_TICKS = """stored_ticks as (select * from ticks where tie_key % 2 = 0)"""
 
 AUTHORS = """authors as (

@@ -21,7 +21,10 @@ from marketpulse.plans.ops import MARKET_MSG, MESSAGES_SQL, POST_MSG, ROUTE_SQL
 from marketpulse.plans.social import SILVER_SELECT, SOCIAL, enriched_posts, silver_out
 from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
+from marketpulse.sources import key_index as K
+from marketpulse.streaming import freshness as W
 from marketpulse.streaming import jobs as J
+from marketpulse.streaming import late as L
 
 N_SLICES = 4
 _CLOSED = "datetime <= (select max(ts) from events) - interval 15 minute"
@@ -234,3 +237,101 @@ def q_stream_topic_counts(spark, sf_dir):
     J.feed_in_order(msgs, src, F.pmod(F.xxhash64("value"), F.lit(N_SLICES)).cast("int"), N_SLICES, once)
     return spark.read.parquet(counts).groupBy("topic").agg(
         *[F.sum(k).alias(k) for k in ("consumed", "inserted", "errors")])
+
+
+# --- unique inserts by a key index ---------------------------------------------------
+
+def run_indexed_insert(spark, sf_dir, bucket_keys: int = 2000):
+    """Ticks with duplicate deliveries inserted into an indexed table, in slices,
+    then all again from a fresh checkpoint. Returns (table, figures by batch)."""
+    src = scratch_path(spark, "idx-in")
+    dup = X.ticks_dup_null(spark, sf_dir).withColumn("datetime", F.col("datetime").cast("timestamp"))
+    table = K.IndexedTable(spark, scratch_path(spark, "idx-table"), ["ticker", "datetime", "tie_key"], bucket_keys)
+    chk, counts = scratch_path(spark, "idx-chk"), []
+
+    def once(chk=chk):
+        K.insert_indexed_stream(spark, J.read_stream(spark, src, dup.schema), table, chk, ["arrival"], counts)
+
+    J.feed_in_order(dup, src, J.time_slice(dup, "datetime", N_SLICES), N_SLICES, once)
+    once(scratch_path(spark, "idx-chk-again"))
+    return table, counts
+
+
+@register("stream_insert_indexed", O.with_(O.TICKS, O.TICKS_DUP, O.TICKS_DUP_NULL)
+          + "select ticker, datetime, tie_key, price::double as price, volume from ticks_dup_null qualify row_number() "
+          "over (partition by ticker, datetime, tie_key order by arrival nulls last) = 1")
+def q_stream_insert_indexed(spark, sf_dir):
+    """Streaming insert of unique keys that reads only the index buckets of a
+    batch's own keys."""
+    table, _ = run_indexed_insert(spark, sf_dir)
+    return table.read().select("ticker", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "tie_key",
+                               F.col("price").cast("double").alias("price"), "volume")
+
+
+# --- late ticks -------------------------------------------------------------------------
+
+def run_late_bars(spark, sf_dir):
+    """Ticks in time order, but every 10th in the last slice and every 15th
+    without a time. Returns the store of bars and the ticks."""
+    src = scratch_path(spark, "late-in")
+    ticks = _ticks_ts(spark, sf_dir).withColumn("datetime", F.when(F.col("tie_key") % 15 != 4, F.col("datetime")))
+    store = L.BarStore(spark, scratch_path(spark, "late-bars"))
+    chk = scratch_path(spark, "late-chk")
+    slice_of = F.when(F.col("tie_key") % 10 == 3, N_SLICES - 1).otherwise(J.time_slice(ticks, "datetime", N_SLICES))
+    J.feed_in_order(ticks, src, slice_of, N_SLICES, lambda: L.bars_with_late_ticks(
+        spark, J.read_stream(spark, src, ticks.schema), store, chk))
+    return store, ticks
+
+
+_TIMED = "timed as (select * from ticks where tie_key % 15 <> 4)"
+
+
+@register("stream_bars_late", O.with_(O.TICKS, _TIMED, O.bars_cte(source="timed"))
+          + "select ticker, datetime, open::double as open, high::double as high, low::double as low, "
+          "close::double as close, volume from bars_1h "
+          "where datetime <= (select max(datetime) from timed) - interval 15 minute")
+def q_stream_bars_late(spark, sf_dir):
+    """Closed bars that late ticks have corrected: those of all ticks with a time."""
+    store, _ = run_late_bars(spark, sf_dir)
+    bars = store.closed().select("ticker", "datetime", "open", "high", "low", "close", "volume")
+    return _prices_double(bars).withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+# --- freshness --------------------------------------------------------------------------
+
+#: One stream for each of two event types, one that falls silent half way, one without rows.
+_SILENT = "select min(ts) + (max(ts) - min(ts)) / 2 from events"
+
+
+def run_freshness(spark, sf_dir):
+    """Updates of the sources' freshness, and the time as of which they hold."""
+    src, out, chk = (scratch_path(spark, f"fresh-{k}") for k in ("in", "out", "chk"))
+    t = _ticks_ts(spark, sf_dir)
+    ends = t.agg(F.min("datetime"), F.max("datetime")).first()
+    half = ends[0] + (ends[1] - ends[0]) / 2
+    beat = t.select(F.concat(F.lit("market-"), "ticker").alias("stream"), "datetime")
+    posts = t.filter(F.col("datetime") <= F.lit(half)).select(F.lit("posts").alias("stream"), "datetime")
+    names = t.agg(F.lit("authors").alias("stream"), F.lit(None).cast("timestamp").alias("datetime"), F.count("*")).select(
+        "stream", "datetime")
+    rows = beat.unionByName(posts).unionByName(names)
+
+    def once():
+        updates = W.freshness_stream(J.read_stream(spark, src, rows.schema))
+        W.follow_freshness(spark, updates, out, chk)
+
+    J.feed_in_order(rows, src, J.time_slice(rows, "datetime", N_SLICES), N_SLICES, once)
+    return spark.read.schema("stream string, latest timestamp, status string, n long").parquet(out), ends[1]
+
+
+@register("stream_freshness", f"""
+with beat as (select 'market-' || event_type as stream, ts from events
+              union all select 'posts', ts from events where ts <= ({_SILENT})
+              union all select 'authors', null),
+last_ as (select stream, max(ts) as latest from beat group by 1),
+age as (select stream, latest, epoch_us((select max(ts) from events)) - epoch_us(latest) as us from last_)
+select stream, round(us / 60e6, 3) as age_minutes,
+       case when latest is null then 'NO DATA' when us < 600e6 then 'OK' else 'STALE' end as status from age""")
+def q_stream_freshness(spark, sf_dir):
+    """Status of each source at the end; the silent one turned STALE by a timer."""
+    updates, as_of = run_freshness(spark, sf_dir)
+    return W.current(updates, as_of)

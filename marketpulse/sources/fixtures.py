@@ -58,6 +58,12 @@ def ticks_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def ticks_dup_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ticks_dup`` where every 5th event does not say when it arrived first."""
+    unknown = (F.col("arrival") == 0) & (F.col("tie_key") % 5 == 0)
+    return ticks_dup(spark, sf_dir).withColumn("arrival", F.when(~unknown, F.col("arrival")))
+
+
 def stored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an earlier load already stored: every second event."""
     return ticks(spark, sf_dir).filter(F.col("tie_key") % 2 == 0)

@@ -17,6 +17,7 @@ processing-time trigger (continuous).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,6 +29,7 @@ from marketpulse.operators import indicators as I
 from marketpulse.operators import social as P
 from marketpulse.operators.ingest import parse_messages, rejects, route
 from marketpulse.session import scratch_path
+from marketpulse.sources.files import Files
 from marketpulse.sources.sinks import insert_new, table_exists
 
 DEFAULT_DELAY = "15 minutes"
@@ -88,15 +90,10 @@ def bars_stream(ticks: DataFrame, every: str = "1 hour", delay: str = DEFAULT_DE
     return B.ohlcv_bars(ticks.withWatermark("datetime", delay), every)
 
 
-def _batch_dirs(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished ``batch_id=<n>`` directories under ``path``."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id=")
-                  and table_exists(spark, f"{path}/{n}/_SUCCESS"))
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps for its query; a new checkpoint has another.
+    Batch numbers start at 0 again with a new checkpoint, the pair never repeats."""
+    return json.loads(Files(spark).read(f"{checkpoint}/metadata"))["id"]
 
 
 def with_previous_close(bars: DataFrame, last: DataFrame | None, key: str = "ticker",
@@ -122,21 +119,30 @@ def with_previous_close(bars: DataFrame, last: DataFrame | None, key: str = "tic
 
 
 def append_lagged(spark: SparkSession, bars: DataFrame, out: str, state: str, checkpoint: str, **trigger):
-    """Stream of closed bars -> ``out/batch_id=<n>`` with PrctChange and
-    Direction; ``state/batch_id=<n>`` holds the last bar of each ticker after
-    batch n. A batch found finished is not written again, so a replay after a
-    failure changes nothing; only the state of the batch before is read."""
+    """Stream of closed bars -> ``out/batch_id=<query>-<n>`` with PrctChange and
+    Direction; ``state`` holds the last bar of each ticker and a pointer to it,
+    which is moved when a batch is whole. A batch that the pointer names is done
+    and not written again; one that was cut off is written over, from the state
+    before it. A new checkpoint sends all bars again under a new query's name:
+    those not later than the stored last bar are left out, the others are kept.
+    No directory is listed."""
+    files, pointer = Files(spark), f"{state}/last.json"
+
     def write_batch(batch: DataFrame, n: int) -> None:
-        if n in _batch_dirs(spark, out):
+        token = f"{query_id(spark, checkpoint)}-{n}"
+        at = json.loads(files.read_safe(pointer) or "{}")
+        if at.get("token") == token:
             return
-        before = [k for k in _batch_dirs(spark, state) if k < n]
-        last = spark.read.parquet(f"{state}/batch_id={before[-1]}") if before else None
+        last = spark.read.parquet(f"{state}/batch={at['token']}") if at else None
         slim = batch.select("ticker", "datetime", "close")
         both = slim if last is None else last.unionByName(slim)
         now = both.groupBy("ticker").agg(F.max("datetime").alias("datetime"),
                                          F.max_by("close", "datetime").alias("close"))
-        now.write.mode("overwrite").parquet(f"{state}/batch_id={n}")
-        with_previous_close(batch, last).write.mode("overwrite").parquet(f"{out}/batch_id={n}")
+        now.write.mode("overwrite").parquet(f"{state}/batch={token}")
+        with_previous_close(batch, last).write.mode("overwrite").parquet(f"{out}/batch_id={token}")
+        files.write(pointer, json.dumps({"token": token}))
+        if at:
+            files.delete(f"{state}/batch={at['token']}")
 
     return run(bars.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), **trigger)
 

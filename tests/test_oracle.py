@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from marketpulse.operators import ingest as G
 from marketpulse.operators import social as P
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 Q = entry.queries()
 

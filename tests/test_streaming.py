@@ -8,7 +8,7 @@ from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
 from marketpulse.streaming import jobs as J
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 def test_bars_stream_restart_equals_batch(spark):
