@@ -193,3 +193,20 @@ def sentiment_fact(silver: DataFrame) -> DataFrame:
     """The fact: silver minus author attributes (author_fullname stays as key)."""
     return drop_columns(silver, [c for c in AUTHOR_DIM_COLUMNS if c != "author_fullname"]
                         + ["author_created_ts"])
+
+
+def run_summary(posts: DataFrame, listed: Sequence[str], start: int | None = None, end: int | None = None) -> DataFrame:
+    """(subreddit, n_posts) of a crawl: each listed community, zero included, and
+    ``ALL``, their total, from one scan by grouping sets. ``start`` and ``end``
+    (epoch seconds, both included) bound ``created_utc``; posts without one are
+    in no range."""
+    some = posts.filter(F.col("subreddit").isin(list(listed)))
+    if start is not None:
+        some = some.filter(F.col("created_utc") >= start)
+    if end is not None:
+        some = some.filter(F.col("created_utc") <= end)
+    names = posts.sparkSession.createDataFrame([(s,) for s in listed], "subreddit string")
+    rows = some.select("subreddit", F.lit(1).alias("n")).unionByName(names.withColumn("n", F.lit(0)))
+    return (rows.groupingSets([["subreddit"], []], "subreddit")
+            .agg(F.sum("n").alias("n_posts"), F.grouping("subreddit").alias("all"))
+            .select(F.when(F.col("all") == 1, "ALL").otherwise(F.col("subreddit")).alias("subreddit"), "n_posts"))

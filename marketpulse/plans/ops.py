@@ -17,6 +17,7 @@ from marketpulse.plans.catalog import register
 from marketpulse.plans.market import as_double, bars_1h
 from marketpulse.session import scratch_path
 from marketpulse.sources import fixtures as X
+from marketpulse.sources import topics
 from marketpulse.sources.sinks import new_rows, write_table
 
 TICK_KEY = ["ticker", "datetime", "tie_key"]
@@ -209,6 +210,33 @@ def q_to_kafka_value(spark, sf_dir):
                         ["datetime", "open", "high", "low", "close", "volume"])
 
 
+#: Bytes of the largest message of ``publish_outcomes``.
+SMALL_MESSAGE = 42
+
+
+@register("publish_outcomes", O.with_(O.POSTS)
+          + ", m as (select case when id::bigint % 11 <> 0 then id end as key, case when id::bigint % 13 <> 0 then "
+          "to_json({'id': id, 'subreddit': subreddit, 'score': coalesce(score, 0)}) end as value from posts), "
+          "r as (select case when key is null then 'no key' when value is null then 'not encoded' "
+          f"when octet_length(encode(value)) + octet_length(encode(key)) > {SMALL_MESSAGE} then 'too large' else 'sent' end as outcome from m) "
+          "select outcome, count(r.outcome) as n from (values ('sent'), ('no key'), ('not encoded'), ('too large')) o(outcome) "
+          "left join r using (outcome) group by 1")
+def q_publish_outcomes(spark, sf_dir):
+    """Posts published as messages: sent, and rejected by reason, as the writes
+    observed them; both tables hold what was counted."""
+    there = F.col("id").cast("long") % 13 != 0
+    p = X.posts(spark, sf_dir).withColumn("key", F.when(F.col("id").cast("long") % 11 != 0, F.col("id")))
+    p = p.select("key", F.when(there, F.col("id")).alias("id"), F.when(there, F.col("subreddit")).alias("subreddit"),
+                 F.when(there, F.coalesce("score", F.lit(0))).alias("score"))
+    sent, dead = scratch_path(spark, "published"), scratch_path(spark, "dead-letters")
+    told = topics.publish_batch(p, dead, "key", "posts", ["id", "subreddit", "score"], "parquet", {"path": sent}, SMALL_MESSAGE)
+    stored = spark.read.parquet(sent).select(F.lit("sent").alias("outcome")).unionByName(
+        spark.read.parquet(dead).select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("stored"))
+    said = spark.createDataFrame(list(told.items()), "outcome string, n long")
+    met = said.join(stored, "outcome", "left").withColumn("stored", F.coalesce("stored", F.lit(0)))
+    return met.select("outcome", F.when(F.col("n") == F.col("stored"), F.col("n")).alias("n"))
+
+
 # --- routing and JSON -------------------------------------------------------------
 
 MARKET_MSG = StructType([StructField("ticker", StringType()), StructField("price", DoubleType()),

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.operators import sentiment as S
+from marketpulse.operators import sketches as K
 from marketpulse.operators import social as P
 from marketpulse.operators import star as T
+from marketpulse.operators import versions as V
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
 from marketpulse.session import materialise
@@ -342,14 +344,17 @@ def q_enrichment_coverage(spark, sf_dir):
           "union all select 'ALL', count(*) from posts where subreddit in (select subreddit from listed)")
 def q_scrape_summary(spark, sf_dir):
     """Posts per listed community (zero included) plus the total of the listed."""
-    posts = X.posts(spark, sf_dir)
-    counts = posts.groupBy("subreddit").agg(F.count(F.lit(1)).alias("n"))
-    listed = spark.createDataFrame([(s,) for s in LISTED], "subreddit string")
-    per = (F.broadcast(listed).join(counts, "subreddit", "left")
-           .select("subreddit", F.coalesce(F.col("n"), F.lit(0)).alias("n_posts")))
-    total = posts.filter(F.col("subreddit").isin(LISTED)).agg(F.count(F.lit(1)).alias("n_posts")).select(
-        F.lit("ALL").alias("subreddit"), "n_posts")
-    return per.unionByName(total)
+    return P.run_summary(X.posts(spark, sf_dir), LISTED)
+
+
+@register("scrape_summary_range", O.with_(O.POSTS)
+          + "select coalesce(l.subreddit, 'ALL') as subreddit, count(p.id) as n_posts from (values "
+          + ", ".join(f"('{s}')" for s in LISTED) + ") l(subreddit) left join posts p on p.subreddit = l.subreddit "
+          f"and p.created_utc between epoch(timestamp '{RANGE_START}') and epoch(timestamp '{RANGE_END}') "
+          "group by grouping sets ((l.subreddit), ())")
+def q_scrape_summary_range(spark, sf_dir):
+    """The same for the posts of a requested range of time."""
+    return P.run_summary(X.posts(spark, sf_dir), LISTED, _epoch(RANGE_START), _epoch(RANGE_END))
 
 
 @register("community_span", O.with_(O.POSTS)
@@ -402,3 +407,55 @@ def bronze_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_posts_silver_bronze(spark, sf_dir):
     """Post silver from reference-shaped bronze: descriptive columns dropped."""
     return silver_out(P.score_posts(bronze_posts(spark, sf_dir)))
+
+
+# --- profile versions, mergeable distinct counts ---------------------------------------------
+
+_SNAPSHOTS = """seen as (select unnest([timestamp '1990-01-01', timestamp '1994-06-01', timestamp '1995-06-17']) as seen_at),
+profile as (select 't2_' || c_custkey as author_fullname, seen_at,
+  case when c_custkey % 4 = 0 and seen_at = timestamp '1995-06-17' then 'new-' else '' end || c_custkey as profile_name,
+  (c_custkey % 3 = 0) <> (c_custkey % 4 = 0 and seen_at = timestamp '1995-06-17') as author_verified,
+  c_custkey % 7 = 0 as author_is_gold
+  from customer, seen where c_custkey % 10 <> 9)"""
+
+
+@register("star_sentiment_as_of", O.with_(O.POSTS, _SNAPSHOTS)
+          + "select f.author_verified, f.author_is_gold, count(*) as n_posts, count(distinct p.author_fullname) as n_accounts, "
+          "count(distinct f.profile_name) as n_names, sum(p.score) as total_score "
+          "from (select *, to_timestamp(created_utc)::timestamp as at from posts) p asof left join profile f "
+          "on f.author_fullname = p.author_fullname and f.seen_at <= p.at group by 1, 2")
+def q_star_sentiment_as_of(spark, sf_dir):
+    """Posts by the flags their authors had at the time of the post."""
+    cols = ["profile_name", "author_verified", "author_is_gold"]
+    history = V.versions(X.author_snapshots(spark, sf_dir), "author_fullname", "seen_at", cols)
+    posts = X.posts(spark, sf_dir).withColumn("at", F.timestamp_seconds("created_utc"))
+    found = V.as_of(posts.select("id", "author_fullname", "score", "at"), history, "author_fullname", "at", cols)
+    return found.groupBy("author_verified", "author_is_gold").agg(
+        F.count(F.lit(1)).alias("n_posts"), F.countDistinct("author_fullname").alias("n_accounts"),
+        F.countDistinct("profile_name").alias("n_names"), F.sum("score").alias("total_score"))
+
+
+@register("author_versions", O.with_(_SNAPSHOTS)
+          + "select author_fullname, profile_name, author_verified, author_is_gold, min(seen_at) as valid_from, "
+          "case when author_fullname[4:]::bigint % 4 = 0 and profile_name not like 'new-%' then timestamp '1995-06-17' end "
+          "as valid_to from profile group by all")
+def q_author_versions(spark, sf_dir):
+    """Validity intervals of author profiles."""
+    cols = ["profile_name", "author_verified", "author_is_gold"]
+    history = V.versions(X.author_snapshots(spark, sf_dir), "author_fullname", "seen_at", cols)
+    return _ntz(history, ["valid_from", "valid_to"])
+
+
+@register("distinct_authors_sketch", O.with_(O.POSTS)
+          + "select subreddit, count(distinct author) as n_authors, true as within from posts where author is not null "
+          "group by 1 union all select null, count(distinct author), true from posts where author is not null")
+def q_distinct_authors_sketch(spark, sf_dir):
+    """Authors by community and in all, exactly, and whether the union of stored
+    daily sketches is within four standard errors of it."""
+    posts = X.posts(spark, sf_dir).withColumn("at", F.timestamp_seconds("created_utc")).filter("author is not null")
+    stored = materialise(K.daily(posts, ["subreddit"], "author", "at"), "author-sketches")
+    by = K.exact(posts, ["subreddit"], "author").join(K.estimated(stored, ["subreddit"], "about"), "subreddit", "left")
+    total = posts.select(F.lit(None).cast("string").alias("subreddit"), "author")
+    whole = K.exact(total, ["subreddit"], "author").withColumn("about", K.estimated(stored, (), "about").scalar())
+    near = F.abs(F.col("about") - F.col("n")) <= F.greatest(F.lit(1.0), 4 * K.error() * F.col("n"))
+    return by.unionByName(whole).select("subreddit", F.col("n").alias("n_authors"), near.alias("within"))

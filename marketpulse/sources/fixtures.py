@@ -118,6 +118,19 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def author_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Author profiles as seen at three times; every 4th author has another name
+    and another flag from the third on, the second repeats the first."""
+    c = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 9)
+    seen = F.explode(F.array(*[F.lit(t) for t in ("1990-01-01", "1994-06-01", "1995-06-17")])).alias("seen_at")
+    key = F.col("c_custkey")
+    new = (key % 4 == 0) & (F.col("seen_at") == "1995-06-17")
+    return c.select("c_custkey", seen).select(
+        F.concat(F.lit("t2_"), key.cast("string")).alias("author_fullname"), F.col("seen_at").cast("timestamp").alias("seen_at"),
+        F.concat(F.when(new, F.lit("new-")).otherwise(F.lit("")), key.cast("string")).alias("profile_name"),
+        ((key % 3 == 0) != new).alias("author_verified"), (key % 7 == 0).alias("author_is_gold"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages of two shapes in one table, as a broker would hold them;
     some are malformed, cut off, null or empty, and some of an unknown topic."""

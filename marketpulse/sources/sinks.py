@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -111,3 +111,22 @@ def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequenc
                fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> int:
     """``insert_new``; returns the number inserted (0 when all is there)."""
     return insert_new(spark, incoming, path, key, arrival, range_col, fmt, partition_by)["inserted"]
+
+
+def append_unique(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str], fmt: str = "parquet") -> None:
+    """Appends ``df`` with ``key`` enforced: a row without a key, a key twice in
+    ``df`` or one that is stored already fails the write, in the job that writes,
+    and the table stays as it was (tasks' files become visible only when the
+    whole job commits)."""
+    key = list(key)
+    rows = df.withColumn("_stored", F.lit(0))
+    if table_exists(spark, path):
+        old = spark.read.format(fmt).load(path).select(*key, F.lit(1).alias("_stored"))
+        rows = rows.unionByName(old, allowMissingColumns=True)
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("_stored")))
+    name = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key])
+    bad = (F.when(without_key(df, key) & (F.col("_stored") == 0), F.raise_error(F.concat(F.lit("no key: "), name)))
+           .when((F.col("_nth") > 1) & (F.col("_stored") == 0), F.raise_error(F.concat(F.lit("key occurs twice: "), name)))
+           .otherwise(F.lit(True)))
+    checked = rows.withColumn("_nth", nth).filter("_stored = 0").filter(bad).select(*df.columns)
+    checked.write.format(fmt).mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "1").save(path)

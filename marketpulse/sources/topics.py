@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketpulse.operators.ingest import to_message
@@ -59,3 +59,38 @@ def publish(df: DataFrame, options: dict[str, str], checkpoint: str, key: str |
     rows = to_message(df, key, topic, fields)
     return (rows.writeStream.format(FORMAT).options(**options)
             .option("checkpointLocation", checkpoint).outputMode("append"))
+
+
+#: Bytes of the largest message (key and value) that a broker takes by default.
+LARGEST = 1_000_000
+
+
+def outcomes(df: DataFrame, key: str, topic: str, fields: Sequence[str] | None = None,
+             largest: int = LARGEST) -> DataFrame:
+    """``to_message`` rows with ``reason``: null for a message that can be sent,
+    else ``no key``, ``not encoded`` (no field has a value) or ``too large``."""
+    rows = to_message(df, key, topic, fields)
+    size = F.octet_length("value") + F.octet_length(F.coalesce("key", F.lit("")))
+    return rows.withColumn("reason", F.when(F.col("key").isNull() | (F.col("key") == ""), "no key")
+                           .when(F.col("value").isNull() | (F.col("value") == "{}"), "not encoded")
+                           .when(size > largest, "too large"))
+
+
+def publish_batch(df: DataFrame, dead: str, key: str, topic: str, fields: Sequence[str] | None = None,
+                  fmt: str = FORMAT, options: dict[str, str] | None = None, largest: int = LARGEST) -> dict[str, int]:
+    """Sends a batch (or micro-batch) to a topic; what cannot be sent is appended to
+    the dead-letter table ``dead`` with its reason. Returns the number ``sent``
+    and of each reason, observed on the writes themselves. The dead letters are
+    written first: a failed send fails the call, and the batch again sends all."""
+    rows = outcomes(df, key, topic, fields, largest).persist()
+    reasons = ("no key", "not encoded", "too large")
+    try:
+        rejected, sent = Observation("rejected"), Observation("sent")
+        bad = rows.filter("reason is not null").observe(
+            rejected, *[F.count_if(F.col("reason") == r).alias(r) for r in reasons])
+        bad.write.mode("append").parquet(dead)
+        good = rows.filter("reason is null").drop("reason").observe(sent, F.count(F.lit(1)).alias("sent"))
+        good.write.format(fmt).options(**(options or {})).mode("append").save()
+        return {"sent": int(sent.get["sent"])} | {r: int(rejected.get[r]) for r in reasons}
+    finally:
+        rows.unpersist()
