@@ -14,7 +14,11 @@ what a closed ``details`` holds beside its summary.
 
 Every row is its own: null and empty pages give the empty text, repeated rows
 and ids repeat their result, an empty table gives an empty result, and other
-columns are not read. Nesting may be of any depth (nothing recurses).
+columns are not read. Nesting may be of any depth (nothing recurses), and time
+and output grow with the page: open elements are found by their name, items and
+cells more than ``DEEP`` deep are plain blocks without a further indent, and the
+columns of a table wider than ``LINE`` characters are padded only up to their
+share of it (longer cells stay whole and push the rest of their line aside).
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Levels of items and cells that are laid out, characters of a table's line.
+DEEP, LINE = 40, 400
+
 #: Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -43,6 +50,7 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template "
                     "title head html".split())
 GROUPS = frozenset("thead tbody tfoot".split())
+FRAMED = frozenset("td th li dd blockquote".split())
 #: A start tag ends the nearest open one of these, unless a barrier comes first.
 ENDS = {
     "li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -82,6 +90,7 @@ class Tree:
     def __init__(self, source: str):
         self.root = Node("html", {})
         self.open = [self.root]
+        self.at: dict[str, list[int]] = {}   # of each open tag its places in ``open``
         self._read(source)
 
     def _read(self, s: str) -> None:
@@ -130,19 +139,26 @@ class Tree:
 
     def text(self, t: str) -> None:
         if t.strip() and len(self.open) == 2 and self.open[-1].tag == "head":
-            self.open.pop()  # text begins the body
+            self._cut(1)  # text begins the body
         if self.open[-1].tag in ("pre", "textarea") and not self.open[-1].children:
             t = t.removeprefix("\n")
         self.open[-1].children.append(t)
 
-    def _close(self, tags: set | frozenset, barriers: set | frozenset) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            tag = self.open[k].tag
-            if tag in tags:
-                del self.open[k:]
-                return
-            if tag in barriers:
-                return
+    def _last(self, tags: set | frozenset) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def _cut(self, k: int) -> None:
+        for node in self.open[k:]:
+            self.at[node.tag].pop()
+        del self.open[k:]
+
+    def _close(self, tags: set | frozenset, barriers: set | frozenset) -> bool:
+        """Closes the innermost of ``tags`` unless one of ``barriers`` is further in."""
+        k = self._last(tags)
+        if not k or k < self._last(barriers):
+            return False
+        self._cut(k)
+        return True
 
     def start(self, tag: str, attrs: dict[str, str], closed: bool) -> None:
         if tag in ("html", "body"):
@@ -151,7 +167,7 @@ class Tree:
             self.open[0].attrs |= attrs if tag == "body" else {}
             return
         if len(self.open) > 1 and self.open[1].tag == "head" and tag not in IN_HEAD:
-            del self.open[1:]
+            self._cut(1)
         if tag in ENDS_P:
             self._close({"p"}, SCOPE)
         if tag in ENDS:
@@ -170,6 +186,7 @@ class Tree:
 
     def _push(self, node: Node) -> None:
         self.open[-1].children.append(node)
+        self.at.setdefault(node.tag, []).append(len(self.open))
         self.open.append(node)
 
     def end(self, tag: str) -> None:
@@ -179,13 +196,7 @@ class Tree:
         barriers = SCOPE - {tag}
         if tag in ("table", "tr", *GROUPS):
             barriers = {"table"} - {tag}
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
-            if self.open[k].tag in barriers:
-                break
-        if tag == "p":
+        if not self._close({tag}, barriers) and tag == "p":
             self.open[-1].children.append(Node("p", {}))
 
 
@@ -254,6 +265,8 @@ class Table:
             for k, cell in out.items():
                 widths[k] = max([widths.get(k, 0), *map(len, cell)])
         columns = sorted(k for k, w in widths.items() if w)
+        if sum(widths[k] for k in columns) > LINE:
+            widths = {k: min(widths[k], max(1, LINE // len(columns))) for k in columns}
         result = []
         for out in grid:
             for k in range(max((len(c) for c in out.values()), default=0)):
@@ -283,9 +296,16 @@ class Page:
         self.lists: list[int | None] = []   # of each open list the next number
         self.tables: list[Table] = []
         self.pre = 0
+        self.deep = 0                        # open items and cells beyond DEEP
 
     def enter(self, node: Node) -> None:
         tag, flow = node.tag, self.flows[-1]
+        if tag in FRAMED and (self.deep or len(self.flows) > DEEP):
+            self.deep += 1
+            flow.block(False, not self.pre)
+            if tag == "li":
+                flow.text(self._mark())
+            return
         if tag == "br":
             flow.newline(not self.pre)
         elif tag == "input":
@@ -310,8 +330,19 @@ class Page:
         if tag in ("pre", "textarea", "xmp"):
             self.pre += 1
 
+    def _mark(self) -> str:
+        """What goes before an item."""
+        if not self.lists or self.lists[-1] is None:
+            return "- "
+        self.lists[-1] += 1
+        return f"{self.lists[-1] - 1}. "
+
     def leave(self, node: Node) -> None:
         tag, flow = node.tag, self.flows[-1]
+        if tag in FRAMED and self.deep:
+            self.deep -= 1
+            flow.block(False, not self.pre)
+            return
         if tag in ("td", "th"):
             lines = self._inner()
             if self.tables and self.tables[-1].rows:
@@ -324,10 +355,7 @@ class Page:
         elif tag in ("li", "dd", "blockquote"):
             mark = "  "
             if tag == "li":
-                mark = "- "
-                if self.lists and self.lists[-1] is not None:
-                    mark = f"{self.lists[-1]}. "
-                    self.lists[-1] += 1
+                mark = self._mark()
             lines = self._inner()
             pad = " " * len(mark)
             if tag != "li":

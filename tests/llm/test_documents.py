@@ -140,3 +140,40 @@ def test_licence_scan(spark):
     assert got == {i: (w, ",".join(found)) for i, t, *_ in rows for w, found in [licences(t)]}
     assert got[0] == ("MIT", "MIT") == got[1] and got[2] == (None, "Apache-2.0") and got[6] == (None, "")
     assert license_scan.scan(df.limit(0)).count() == 0
+
+
+def test_hostile_pages_take_time_and_space_in_proportion():
+    import time
+    pages = {"nested": "<div>" * 200_000 + "deep", "lists": "<ul><li>x" * 20_000, "behind a barrier": "<p><table><td>" + "<div>" * 100_000 + "y",
+             "cells": "<table><tr><td>z" * 10_000, "quotes": "<blockquote>q" * 20_000, "inline": "<p>" + "<span><div>" * 50_000 + "w",
+             "wide": "<table><tr>" + "".join(f"<td>{'v' * 300}" for _ in range(40)) + "".join("<tr><td colspan=39>a<td>b" for _ in range(2000))}
+    for name, page in pages.items():
+        began = time.time()
+        text = html_text.render(page)
+        assert time.time() - began < 20, name
+        assert len(text) <= 100 * len(page), name
+        assert text.rstrip()[-1] in "deepxyzqwb", name
+
+
+def test_open_elements_are_found_as_by_a_walk():
+    """The tree of random markup against a walk over all open elements."""
+    import random
+
+    class Walk(html_text.Tree):
+        def _close(self, tags, barriers):
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.open[k].tag in tags:
+                    self._cut(k)
+                    return True
+                if self.open[k].tag in barriers:
+                    return False
+            return False
+
+    def shape(node):
+        return node if isinstance(node, str) else (node.tag, [shape(c) for c in node.children])
+
+    rng = random.Random(6)
+    tags = "p div table tr td th tbody ul li dl dd dt button span b option select h1 br body head".split()
+    for _ in range(400):
+        page = "".join(rng.choice([f"<{t}>", f"</{t}>", "x"]) for t in rng.choices(tags, k=60))
+        assert shape(html_text.Tree(page).root) == shape(Walk(page).root)
