@@ -11,15 +11,15 @@ Two physical strategies give the same rows:
 * ``partition``: one window partition per series. Many series spread over
   many tasks.
 * ``chunked``: one very long series (or one hot ticker holding a large share
-  of all rows) is cut into chunks of consecutive calendar buckets; the
-  buckets covering the last ``lookback`` rows of each chunk are copied into
-  the next one as read-only context (a halo). Indicators are then computed
-  per (series, chunk) and halo rows dropped. Exact because no indicator looks
-  further back than ``lookback`` rows; the data is shuffled once.
-
-``strategy="auto"`` measures the largest series (one aggregate, which the
-chunks are then planned from) and chooses. Both keep every row, with a null
-time or key too.
+  of all rows) is cut into chunks of an equal number of rows; the last
+  ``lookback`` rows of each chunk are copied into the next one as read-only
+  context (a halo). Indicators are then computed per (series, chunk) and halo
+  rows dropped. Exact because no indicator looks further back than
+  ``lookback`` rows. Where a row stands in its series comes from a range
+  partitioning by (series, order), so the times' distribution is of no matter.
+
+``strategy="auto"`` measures the largest series (one aggregate) and chooses.
+Both keep every row, with a null time or key too.
 """
 
 from __future__ import annotations
@@ -118,8 +118,9 @@ def _true_range(high: Column, low: Column, prev: Column) -> Column:
     return F.greatest(high - low, F.abs(high - prev), F.abs(low - prev))
 
 
-def _bar_scale(df: DataFrame, *columns: str) -> int:
-    return max(price_scale(df, c) for c in columns)
+def _bar_scale(df: DataFrame, *columns: str) -> int | None:
+    scales = [price_scale(df, c) for c in columns]
+    return None if None in scales else max(scales)
 
 
 def add_true_range(df: DataFrame, partition_cols, order_cols, high="high", low="low",
@@ -178,116 +179,95 @@ def add_all(df: DataFrame, partition_cols, order_cols, close="close", high="high
 
 # --- physical strategies -------------------------------------------------------
 
-#: Calendar units of a bucket, coarse to fine.
-BUCKET_LEVELS = ("day", "hour", "minute", "second")
+def largest_series(df: DataFrame, partition_cols: Sequence[str]) -> int:
+    """Row count of the biggest series."""
+    sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n"))
+    return int(sizes.agg(F.max("n")).first()[0] or 0)
 
 
-def second_counts(df: DataFrame, partition_cols: Sequence[str], time_col: str) -> DataFrame:
-    """Stored (series keys, _second, _n): rows per series and second, the one
-    scan from which everything else about the series' sizes is derived."""
-    second = F.date_trunc("second", F.col(time_col)).alias("_second")
-    return materialise(df.groupBy(*partition_cols, second).agg(F.count(F.lit(1)).alias("_n")),
-                       "second-counts")
+def placed(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """``df`` stored in the order of (series, order columns), with ``_part`` (its
+    range) and ``_place``, which grows in that order throughout the table.
 
-
-def largest_series(counts: DataFrame, partition_cols: Sequence[str]) -> int:
-    """Row count of the biggest series, from ``second_counts``."""
-    row = counts.groupBy(*partition_cols).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
-
-
-def bucket_counts(counts: DataFrame, partition_cols: Sequence[str], bucket_row_limit: int):
-    """(unit, rows per (series, bucket) as (keys, _bucket, _n), fullest bucket)
-    for the coarsest unit whose fullest bucket holds at most
-    ``bucket_row_limit`` rows, else the finest; rolled up from the seconds."""
-    for level in BUCKET_LEVELS:
-        rolled = (counts.groupBy(*partition_cols, F.date_trunc(level, "_second").alias("_bucket"))
-                  .agg(F.sum("_n").alias("_n")))
-        top = int(rolled.agg(F.max("_n")).first()[0] or 0)
-        if top <= bucket_row_limit or level == BUCKET_LEVELS[-1]:
-            return level, rolled, top
+    The ranges are cut at quantiles of (series, order columns, hash of the row),
+    so a long series takes many tasks, whether its rows are years or microseconds
+    apart, and rows of equal order too unless they are equal throughout. They
+    come from a sample, which only decides how even the ranges are; the table is
+    stored, so a task that is run again finds the places as they were."""
+    ties = F.xxhash64(*[F.col(c) for c in df.columns])
+    keys = [*[F.col(c) for c in [*partition_cols, *order_cols]], F.col("_ties")]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (df.withColumn("_ties", ties).repartitionByRange(n, *keys)
+            .sortWithinPartitions(*keys).drop("_ties"))
+    return materialise(rows.withColumns({"_part": F.spark_partition_id(),
+                                         "_place": F.monotonically_increasing_id()}), "placed")
 
 
 def chunked(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-            compute: Callable[[DataFrame, list[str]], DataFrame], lookback: int,
-            chunk_rows: int = 8192, counts: DataFrame | None = None,
-            bucket_row_limit: int = 1_000_000) -> DataFrame:
-    """Run ``compute(df, partition_cols)`` on halo-extended chunks of a series.
-
-    Work happens on the small (series, bucket) count table; the rows are
-    joined to it once and shuffled once, by (series, chunk):
-
-    1. counts per (series, bucket) and their running sum give each bucket's
-       first row offset ``off`` and end ``off + n`` within its series;
-    2. a bucket belongs to chunk ``floor(off / C)``; it is also sent to the
-       next chunk as halo when it overlaps the last ``lookback`` rows of its
-       chunk;
-    3. ``compute`` runs with the chunk as an extra partition key; halo rows
-       are dropped.
-
-    Exactness: with B the fullest bucket and ``C >= B + lookback`` every
-    chunk before the last has more than C - B >= lookback rows (its first
-    bucket starts before kC + B, the next chunk at or after (k+1)C), so the
-    rows any indicator reads before a chunk's first row all lie in the
-    previous chunk's halo buckets. ``C`` is ``chunk_rows`` when that holds,
-    else 8 * (B + lookback), which keeps halo copies under 1/8 of the rows.
-
-    Rows without a time form a bucket of their own, which sorts first, and
-    rows with a null key a series of their own: none is left out. The bucket
-    table is joined without a hint; Spark broadcasts it if its measured size
-    is small. ``counts`` is ``second_counts`` where it is known already.
+            compute: Callable[[DataFrame, list[str], list[str]], DataFrame], lookback: int,
+            chunk_rows: int = 8192) -> DataFrame:
+    """Run ``compute(df, partition_cols, order_cols)`` on halo-extended chunks of
+    exactly ``chunk_rows`` rows (the last of a series: what is left).
+
+    1. ``placed`` stores the rows in order. Within a range the rows of a series
+       are consecutive, so a row's place less the first one of its (series,
+       range) counts the rows before it there;
+    2. one aggregate of at most (series + ranges) rows gives the rows of each
+       series in each range, and their running sum the offset of the range. With
+       it every row knows its position ``p`` in its series;
+    3. a row belongs to chunk ``floor(p / C)``, and is also sent to the next one
+       when it is among the last ``lookback`` of its chunk;
+    4. the rows are shuffled by (series, chunk), ``compute`` runs with the chunk
+       as a further key and the place as the last ordering, so that ties come
+       alike in both copies, and halo rows are dropped.
+
+    Rows without a time sort first, and rows with a null key are a series of
+    their own: none is left out. The offsets are joined without a hint.
     """
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     pcols = list(partition_cols)
-    if counts is None:
-        counts = second_counts(df, pcols, order_cols[0])
-    level, counts, top = bucket_counts(counts, pcols, bucket_row_limit)
-    size = chunk_rows if top + lookback <= chunk_rows else 8 * (top + lookback)
-    before = Window.partitionBy(*pcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    t = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    t = t.withColumns({"_chunk": F.floor(F.col("_off") / F.lit(size)),
-                       "_end": F.col("_off") + F.col("_n")})
-    t = t.withColumns({"_chunk_end": F.max("_end").over(Window.partitionBy(*pcols, "_chunk")),
-                       "_series_end": F.max("_end").over(Window.partitionBy(*pcols))})
-    # the last chunk of a series has no successor to feed
-    halo = ((F.col("_end") > F.col("_chunk_end") - F.lit(lookback))
-            & (F.col("_chunk_end") < F.col("_series_end")))
-    t = t.select(*pcols, "_bucket", F.when(halo, F.array(F.col("_chunk"), F.col("_chunk") + 1))
-                 .otherwise(F.array(F.col("_chunk"))).alias("_targets"))
+    rows = placed(df, pcols, order_cols)
+    before = Window.partitionBy(*pcols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    t = rows.groupBy(*pcols, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    t = t.withColumns({"_off": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+                       "_rows": F.sum("_n").over(Window.partitionBy(*pcols))})
     keys = [f"_k{i}" for i in range(len(pcols))]
-    right = t.toDF(*keys, "_at", "_targets")
-    rows = df.withColumn("_bucket", F.date_trunc(level, F.col(order_cols[0])))
-    same = F.col("_bucket").eqNullSafe(F.col("_at"))
+    right = t.select(*[F.col(c).alias(k) for c, k in zip(pcols, keys)],
+                     F.col("_part").alias("_at"), F.col("_off") - F.col("_first"), "_rows"
+                     ).toDF(*keys, "_at", "_shift", "_rows")
+    same = F.col("_part") == F.col("_at")
     for c, k in zip(pcols, keys):
         same = same & F.col(c).eqNullSafe(F.col(k))
-    joined = rows.join(right, same).drop(*keys, "_at")
-    spread = joined.select("*", F.posexplode("_targets").alias("_copy", "_chunk")).drop("_targets")
-    out = compute(spread, pcols + ["_chunk"])
-    return out.filter(F.col("_copy") == 0).drop("_bucket", "_copy", "_chunk")
+    size = F.lit(chunk_rows)
+    j = rows.join(right, same).withColumn("_p", F.col("_place") + F.col("_shift"))
+    own = F.floor(F.col("_p") / size)
+    halo = (F.col("_p") % size >= size - F.lit(lookback)) & ((own + 1) * size < F.col("_rows"))
+    j = j.withColumn("_targets", F.when(halo, F.array(own, own + 1)).otherwise(F.array(own)))
+    spread = j.drop(*keys, "_at", "_part", "_shift", "_rows", "_p").select(
+        "*", F.posexplode("_targets").alias("_copy", "_chunk")).drop("_targets")
+    out = compute(spread, pcols + ["_chunk"], [*order_cols, "_place"])
+    return out.filter(F.col("_copy") == 0).drop("_place", "_copy", "_chunk")
 
 
 def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
                     order_cols: Sequence[str] = ("datetime",), strategy: str = "auto",
                     chunk_rows: int = 8192, series_task_limit: int = 1_000_000,
-                    bucket_row_limit: int = 1_000_000, rsi_zero_loss: float | None = None,
+                    rsi_zero_loss: float | None = None,
                     close="close", high="high", low="low") -> DataFrame:
     """Market silver: the input columns plus PrctChange, Direction, SMA20/50/200,
     RSI, ATR and MACD."""
     pcols, ocols = list(partition_cols), list(order_cols)
 
-    def compute(frame: DataFrame, keys: list[str]) -> DataFrame:
-        return add_all(frame, keys, ocols, close, high, low, rsi_zero_loss)
+    def compute(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        return add_all(frame, keys, order, close, high, low, rsi_zero_loss)
 
-    counts = None
     if strategy == "auto":
-        counts = second_counts(df, pcols, ocols[0])
-        strategy = "chunked" if largest_series(counts, pcols) > series_task_limit else "partition"
+        strategy = "chunked" if largest_series(df, pcols) > series_task_limit else "partition"
     if strategy == "partition":
-        return compute(df, pcols)
+        return compute(df, pcols, ocols)
     if strategy == "chunked":
-        return chunked(df, pcols, ocols, compute, lookback_rows(), chunk_rows, counts,
-                       bucket_row_limit)
+        return chunked(df, pcols, ocols, compute, lookback_rows(), chunk_rows)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

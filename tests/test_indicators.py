@@ -64,8 +64,7 @@ def test_halo_equals_plain(spark, n, chunk, seed):
     closes = [round(rnd.uniform(1, 100), 2) for _ in range(n)]
     df = bars(spark, closes)
     plain = I.with_indicators(df, strategy="partition")
-    halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk,
-                             bucket_row_limit=10)
+    halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk)
     assert _cmp(plain, halo)
 
 
@@ -94,10 +93,9 @@ def test_auto_chunks_a_hot_ticker(spark):
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f)
-    assert I.largest_series(I.second_counts(df, ["ticker"], "datetime"), ["ticker"]) == 600
+    assert I.largest_series(df, ["ticker"]) == 600
     plain = I.with_indicators(df, strategy="partition")
-    auto = I.with_indicators(df, strategy="auto", series_task_limit=500, chunk_rows=256,
-                             bucket_row_limit=10)
+    auto = I.with_indicators(df, strategy="auto", series_task_limit=500, chunk_rows=256)
     plan = auto._jdf.queryExecution().optimizedPlan().toString()
     assert "_chunk" in plan
     cols = ["ticker", "datetime"] + I.SILVER_COLUMNS
@@ -105,23 +103,49 @@ def test_auto_chunks_a_hot_ticker(spark):
         sorted(tuple(r) for r in auto.select(*cols).collect())
 
 
-def test_dense_day_gets_a_finer_bucket(spark):
-    closes = [float(i % 17 + 1) for i in range(300)]           # 300 rows, 13 hours, one day
-    df = bars(spark, closes).withColumn(
-        "datetime", (F.col("datetime").cast("timestamp") - F.expr("interval 0 seconds")).cast("timestamp_ntz"))
-    df = df.withColumn("datetime", F.timestamp_seconds(
-        F.unix_seconds(F.col("datetime").cast("timestamp")) / 3600 * 150).cast("timestamp_ntz"))
-    seconds = I.second_counts(df, ["ticker"], "datetime")
-    level, counts, top = I.bucket_counts(seconds, ["ticker"], 100)
-    sizes = df.groupBy(F.date_trunc(level, "datetime").alias("b")).count().agg(F.max("count")).first()[0]
-    assert sizes == top <= 100 and counts.count() > 1
-    plain = I.with_indicators(df, strategy="partition")
-    halo = I.with_indicators(df, strategy="chunked", chunk_rows=200)
-    assert _cmp(plain, halo)
-    # a day bucket of 300 rows forces chunks of 8 * (300 + 199) rows: still exact
-    fine = I.chunked(df, ["ticker"], ["datetime"], lambda f, k: I.add_all(f, k, ["datetime"]),
-                     I.lookback_rows(), chunk_rows=256)
-    assert _cmp(plain, fine)
+def test_one_second_is_split_into_equal_chunks(spark):
+    """A series with all its rows in one second, told apart by a tie breaker."""
+    df = bars(spark, [float(i * 37 % 101 + 1) for i in range(1500)]).withColumn(
+        "tie", F.unix_seconds(F.col("datetime").cast("timestamp"))).withColumn("datetime", F.lit(T0).cast("timestamp_ntz"))
+    order = ["datetime", "tie"]
+    sizes = []
+
+    def compute(frame, keys, cols):
+        sizes.extend(r["n"] for r in frame.filter("_copy = 0").groupBy("_chunk").agg(
+            F.count(F.lit(1)).alias("n")).orderBy("_chunk").collect())
+        return I.add_all(frame, keys, cols)
+
+    got = I.chunked(df, ["ticker"], order, compute, I.lookback_rows(), chunk_rows=400)
+    assert sizes == [400, 400, 400, 300]
+    placed = I.placed(df, ["ticker"], order)
+    assert placed.select("_part").distinct().count() > 1
+    assert [r["tie"] for r in placed.orderBy("_place").collect()] == sorted(r["tie"] for r in df.collect())
+    assert _cmp(I.with_indicators(df, order_cols=order, strategy="partition"), got, "tie")
+
+
+def test_full_ties_keep_every_row(spark):
+    """Rows that the order does not tell apart: none lost, none doubled."""
+    df = bars(spark, [5.0] * 900).withColumn("datetime", F.lit(T0).cast("timestamp_ntz"))
+    got = I.with_indicators(df, strategy="chunked", chunk_rows=200)
+    assert got.count() == 900 and got.agg(F.min("SMA200"), F.max("SMA200")).first() == (5.0, 5.0)
+    assert got.filter("PrctChange is null").count() == 1
+
+
+def test_prices_of_any_magnitude_in_doubles(spark):
+    """Floating prices against means added up in Python, nulls skipped, also
+    far from 1 and side by side with very large ones."""
+    import math
+    prices = [None if i % 23 == 7 else (1e-10 if i < 260 else 1e15) * (1 + i % 13) for i in range(520)]
+    df = spark.createDataFrame([("T", i, p) for i, p in enumerate(prices)], "ticker string, at long, close double")
+    df = df.withColumns({"high": F.col("close"), "low": F.col("close")})
+    plain = I.with_indicators(df, order_cols=["at"], strategy="partition").orderBy("at").collect()
+    assert plain[1]["PrctChange"] == pytest.approx(100.0)
+    for n, name in ((20, "SMA20"), (50, "SMA50"), (200, "SMA200")):
+        for i, r in enumerate(plain):
+            seen = [p for p in prices[max(0, i - n + 1): i + 1] if p is not None]
+            assert r[name] == pytest.approx(math.fsum(seen) / len(seen), rel=1e-12), (name, i)
+    chunks = I.with_indicators(df, order_cols=["at"], strategy="chunked", chunk_rows=200)
+    assert _cmp(I.with_indicators(df, order_cols=["at"], strategy="partition"), chunks, "at")
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -138,8 +162,7 @@ def test_halo_with_uneven_buckets(spark, gaps, chunk, seed):
         rows.append(("T", t, c, c, c, c, 1))
     df = spark.createDataFrame(rows, SCHEMA)
     plain = I.with_indicators(df, strategy="partition")
-    halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk,
-                             bucket_row_limit=10)
+    halo = I.with_indicators(df, strategy="chunked", chunk_rows=chunk)
     assert _cmp(plain, halo)
 
 
@@ -151,8 +174,7 @@ def test_null_times_and_keys_stay_in_chunks(spark):
              c, c, c, c, k) for k, c in enumerate(closes)]
     df = spark.createDataFrame(rows, SCHEMA)
     plain = I.with_indicators(df, order_cols=["datetime", "volume"], strategy="partition")
-    auto = I.with_indicators(df, order_cols=["datetime", "volume"], series_task_limit=100, chunk_rows=256,
-                             bucket_row_limit=40)
+    auto = I.with_indicators(df, order_cols=["datetime", "volume"], series_task_limit=100, chunk_rows=256)
     assert plain.count() == auto.count() == 700
     assert _cmp(plain, auto, "volume")
 
