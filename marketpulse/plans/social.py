@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketpulse.operators import phrases as W
 from marketpulse.operators import sentiment as S
 from marketpulse.operators import sketches as K
 from marketpulse.operators import social as P
@@ -16,9 +17,10 @@ from marketpulse.operators import star as T
 from marketpulse.operators import versions as V
 from marketpulse.plans import oracle as O
 from marketpulse.plans.catalog import register
-from marketpulse.session import materialise
+from marketpulse.session import materialise, scratch_path
 from marketpulse.sources import fixtures as X
-from marketpulse.sources.sinks import new_rows
+from marketpulse.sources.arrays import read_json_array
+from marketpulse.sources.sinks import new_rows, write_json_arrays
 
 # Query parameters (our own community names and keywords).
 ALLOWLIST = [f"src{i}" for i in range(16)]
@@ -252,6 +254,48 @@ def q_sentiment_large_lexicon(spark, sf_dir):
         "id", "VaderScore", "TextblobScore")
 
 
+# The words that the phrase filter's 5,000 phrases are made of.
+PHRASE_WORDS = """
+the of de and to in a la der is that en it for was on die with que le be as des und by this et er are at re an
+from th les un es el nd ha rewh den ou he von orre st thatin ononst ed inoran orantion hehely ti ing or tion ea
+nt ly du zu y ble das une los sh wh ther mit""".split()
+
+
+def phrase_list() -> list[str]:
+    """All pairs of 70 words, and a b a for the first ten."""
+    few = PHRASE_WORDS[:10]
+    return ([f"{a} {b}" for a in PHRASE_WORDS for b in PHRASE_WORDS]
+            + [f"{a} {b} {a}" for a in few for b in few])
+
+
+@register("posts_phrase_filter", O.with_(
+    O.POSTS, "w(i, w) as (values " + ", ".join(f"({i}, '{w}')" for i, w in enumerate(PHRASE_WORDS)) + ")",
+    """phr as (select a.w || ' ' || b.w as p from w a, w b
+  union all select a.w || ' ' || b.w || ' ' || a.w from w a, w b where a.i < 10 and b.i < 10)""",
+    """tk as (select id, regexp_extract_all(lower(coalesce(selftext, '')), '(\\p{L}+(?:[''’]\\p{L}+)*)', 1) as t from posts)""",
+    """gram as (select id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) as p from tk
+  union all select id, unnest(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) from tk)""")
+    + """select id, count(*) as n_occurrences, count(distinct p) as n_phrases, min(p) as least_phrase
+from gram semi join phr using (p) group by id""")
+def q_posts_phrase_filter(spark, sf_dir):
+    """Posts that hold any of 5,000 phrases of two and three words."""
+    tagged = W.with_phrases(X.posts(spark, sf_dir).select("id", "selftext"), "selftext", phrase_list(),
+                            count="n_occurrences")
+    return tagged.filter("n_occurrences > 0").select(
+        "id", F.col("n_occurrences").cast("long").alias("n_occurrences"),
+        F.size("phrases").cast("long").alias("n_phrases"), F.get("phrases", F.lit(0)).alias("least_phrase"))
+
+
+@register("posts_json_array", O.with_(O.POSTS)
+          + "select id, author, subreddit, title, score, upvote_ratio, md5(selftext) as body from posts")
+def q_posts_json_array(spark, sf_dir):
+    """One JSON array file a community, written and read again by splits."""
+    posts = X.posts(spark, sf_dir).select("id", "author", "subreddit", "title", "score", "upvote_ratio", "selftext")
+    path = scratch_path(spark, "post-arrays")
+    write_json_arrays(posts, path, ["subreddit"], ["id"])
+    return read_json_array(spark, path, posts.schema).withColumn("body", F.md5("selftext")).drop("selftext")
+
+
 @register("posts_silver", SOCIAL + SILVER_SELECT)
 def q_posts_silver(spark, sf_dir):
     """The post silver table: enrichment, sentiment, engagement, event time."""

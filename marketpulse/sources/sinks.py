@@ -36,6 +36,21 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, by: Sequence[str], order_cols: Sequence[str]) -> None:
+    """One JSON array file for each value of ``by``, a record a line, in order.
+    A file is written by one task, row by row after a sort that spills, whatever
+    its size; ``arrays.read_json_array`` reads it by many."""
+    w = Window.partitionBy(*by).orderBy(*order_cols)
+    record = F.to_json(F.struct(*df.columns))
+    line = F.concat(F.when(F.row_number().over(w) == 1, F.lit("[")).otherwise(F.lit(",")), record,
+                    F.when(F.lead(F.lit(1)).over(w).isNull(), F.lit("]")).otherwise(F.lit("")))
+    keys = [f"{c}_key" for c in by]
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.row_number().over(w).alias("_nth"),
+                     line.alias("value"))
+    # the order of the writer, so that it does not sort by the keys alone
+    rows.sortWithinPartitions(*keys, "_nth").drop("_nth").write.partitionBy(*keys).text(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Asks the path's Hadoop file system (``fs.defaultFS`` for a bare path)."""
     jvm = spark.sparkContext._jvm
