@@ -39,9 +39,6 @@ MAX_VALENCE_TENTHS = 40
 #: A token: letters, with apostrophes between letters.
 TOKEN_PATTERN = r"(\p{L}+(?:['\u2019]\p{L}+)*)"
 _TOKEN = re.compile(r"[^\W\d_]+(?:['\u2019][^\W\d_]+)*")
-#: Up to this many words one regular expression finds the matches; beyond it the
-#: tokens are looked up in hash sets. Both take whole tokens only.
-ALTERNATION_LIMIT = 64
 
 
 def tokens(text: Column) -> Column:
@@ -70,10 +67,8 @@ def _literals(words) -> str:
 
 
 def with_matches(df: DataFrame, text: str, lexicon: dict[str, int], out: str) -> DataFrame:
-    """Adds the lexicon words that occur as whole tokens, in text order."""
-    if len(lexicon) <= ALTERNATION_LIMIT:
-        low = F.lower(F.coalesce(F.col(text), F.lit("")))
-        return df.withColumn(out, F.regexp_extract_all(low, F.lit(_bounded(lexicon)), 1))
+    """Adds the lexicon words that occur as whole tokens, in text order: the text
+    is cut into tokens once, and they are looked up in a hash set."""
     df = df.withColumn("_tokens", tokens(F.col(text)))
     return df.withColumn(out, F.expr(f"filter(_tokens, t -> t in ({_literals(lexicon)}))")).drop("_tokens")
 
