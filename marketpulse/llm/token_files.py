@@ -10,8 +10,8 @@ the columns
           fills a file's last sequence
 
 and ``BATCH`` sequences a record batch. A sequence lies at a fixed place of a
-memory-mapped file, so any can be read without copying or parsing. The
-manifest says which documents a file holds. A task writes a name of its own
+memory-mapped file, so any can be read without copying or parsing
+(``Sequences``). The manifest says which documents a file holds. A task writes a name of its own
 and only names that reach the manifest count, so a repeated or speculative
 attempt does no harm.
 
@@ -41,6 +41,8 @@ from marketpulse.session import scratch_path
 
 SEQ_LEN = 2048
 BATCH = 64
+#: Bytes of an Arrow stream's end mark.
+_END_MARK = 8
 #: Words whose ids a worker remembers.
 KNOWN_WORDS = 1_000_000
 
@@ -225,6 +227,61 @@ def read_sequences(path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                    mask.to_numpy(zero_copy_only=False).reshape(-1, width))
 
 
+class Sequences:
+    """Random access to a file's sequences. All batches but the last take the
+    same number of bytes, so sequence ``k`` is found by its number, without
+    reading what stands before it: ``file[k]`` gives its ids as an array and its
+    mask as an Arrow boolean array. Of a local file both are views of the mapped
+    pages, nothing is copied; elsewhere one batch is read."""
+
+    def __init__(self, path: str):
+        fs, name = _open(path)
+        local = isinstance(fs, pyarrow.fs.LocalFileSystem)
+        self.source = pa.memory_map(name) if local else fs.open_input_file(name)
+        self.schema = pa.ipc.read_schema(self.source)
+        self.width = self.schema.field("ids").type.list_size
+        self.first = self.source.tell()
+        self.held: dict[int, pa.RecordBatch] = {}
+        self.per = self._batch(0).num_rows
+        self.step = self.source.tell() - self.first
+        # what follows the whole steps: a smaller batch, or the stream's end mark alone
+        whole, rest = divmod(self.source.size() - self.first, self.step)
+        last = self._batch(whole).num_rows if rest > _END_MARK else 0
+        self.n = whole * self.per + last
+
+    def _batch(self, number: int) -> pa.RecordBatch:
+        if number not in self.held:
+            self.source.seek(self.first + number * self.step if number else self.first)
+            batch = pa.ipc.read_record_batch(pa.ipc.read_message(self.source), self.schema)
+            self.held = {number: batch}
+        return self.held[number]
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        if not 0 <= k < self.n:
+            raise IndexError(k)
+        number, row = divmod(k, self.per)
+        batch = self._batch(number)
+        ids, mask = (batch.column(c).values.slice(row * self.width, self.width) for c in range(2))
+        return ids.to_numpy(), mask
+
+    def span(self, start: int, n: int) -> np.ndarray:
+        """``n`` ids from place ``start`` of the file on, as those of one document."""
+        if not 0 <= start <= start + n <= self.n * self.width:
+            raise IndexError((start, n))
+        if not n:
+            return np.zeros(0, self.schema.field("ids").type.value_type.to_pandas_dtype())
+        k, skip = divmod(start, self.width)
+        parts = [self[j][0] for j in range(k, (start + n - 1) // self.width + 1)]
+        return (parts[0] if len(parts) == 1 else np.concatenate(parts))[skip: skip + n]
+
+    def close(self) -> None:
+        self.held = {}
+        self.source.close()
+
+
 _DOCS_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                    ("ids_crc32", pa.int64())])
