@@ -3,15 +3,17 @@
 A text is cut into paragraphs (lines, with their line ends), paragraphs into
 leaves (up to ``LEAF_WORDS`` words, ending with a sentence), and sections end
 at blank lines or after a paragraph that its own hash picks, so that an edit
-moves no later cut. Every cut keeps all characters: a text is the leaves
-joined. A leaf's digest is that of its bytes, an inner node's that of its
+moves no later cut. Words of more than ``PART`` characters (unspaced scripts,
+encoded data, runs of white space) are cut into parts where the characters
+before a place pick it, and a part counts as a word. Every cut keeps all
+characters: a text is the leaves joined. A leaf's digest is that of its bytes, an inner node's that of its
 children's digests, so equal roots mean equal texts.
 
 A fingerprint is the root and the leaves' short digests with the tree's shape:
 
     <32 hex digits of the root>:<section>/<section>...
     section = <paragraph>.<paragraph>...     paragraph = 8 hex digits a leaf,
-    of which the last two are its length in bytes (255: that or more)
+    of which the last two are its length in bytes (at most 240)
 
 From two fingerprints alone, ``likeness`` is the share of text in common and
 ``differences`` walks down the differing branches to the edited paragraphs.
@@ -26,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +40,11 @@ from marketpulse.llm.common import NULL_ID, keyed, tidy, unkeyed
 from marketpulse.llm.ordered import bounds, bucket, dealt
 
 LEAF_WORDS = 4
+#: The longest part of a word, in characters: a leaf has at most LEAF_WORDS of
+#: them, of up to 4 bytes a character, and its length fits two hex digits.
+PART = 15
+#: The shortest part but the last, and the characters that pick a cut (one in 8).
+LEAST_PART, PICKS = 4, 3
 #: A paragraph whose digest begins with a byte below this ends its section.
 SECTION_BYTE = 32
 
@@ -43,10 +52,30 @@ _WORD = re.compile(r"\s*\S+\s*|\s+")
 _ENDS = re.compile(r"[.!?]\s*$")
 
 
+def _parts(word: str) -> Iterator[str]:
+    """A long word's parts: cut after PICKS characters whose hash says so, at
+    least LEAST_PART and at most PART characters apart."""
+    start = 0
+    for at in range(LEAST_PART, len(word)):
+        n = at - start
+        if n == PART or n >= LEAST_PART and not zlib.crc32(word[at - PICKS: at].encode()) & 7:
+            yield word[start:at]
+            start = at
+    yield word[start:]
+
+
+def words(paragraph: str) -> Iterator[str]:
+    for word in _WORD.findall(paragraph):
+        if len(word) > PART:
+            yield from _parts(word)
+        else:
+            yield word
+
+
 def leaves(paragraph: str) -> list[str]:
     """Up to LEAF_WORDS words each, ending early with a sentence."""
     out, held, n = [], [], 0
-    for word in _WORD.findall(paragraph):
+    for word in words(paragraph):
         held.append(word)
         n += 1
         if n == LEAF_WORDS or _ENDS.search(word):
@@ -69,7 +98,7 @@ def fingerprint(text: str) -> str:
         digests = [_hash(x) for x in parts]
         own = _hash(b"p" + b"".join(digests))
         sums[-1].append(own)
-        sections[-1].append("".join(f"{d.hex()[:6]}{min(len(x), 255):02x}"
+        sections[-1].append("".join(f"{d.hex()[:6]}{len(x):02x}"
                                     for d, x in zip(digests, parts)))
         if own[0] < SECTION_BYTE or not paragraph.strip():
             sections.append([])

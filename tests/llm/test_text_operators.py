@@ -1,5 +1,6 @@
 """Text operators against plain Python on rows with every kind of trouble."""
 
+import random
 from itertools import combinations
 
 import brute
@@ -196,13 +197,39 @@ def test_fingerprints(trouble, pairs):
         r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(t), brute.sha(edited))
         assert r.fingerprint == merkle.fingerprint(t) and r.edited_fingerprint == merkle.fingerprint(edited)
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert r.near_edited == pytest.approx(brute.merkle_likeness(t, edited))
+        assert r.near_next == pytest.approx(brute.merkle_likeness(t, after))
     prints = {merkle.fingerprint(t or "") for _, t in docs}
     assert len(prints) == len({t or "" for _, t in docs})
     one = trouble.filter("doc_id = 9").select("doc_id", F.lit("only one document").alias("text")).limit(1)
     assert merkle.edit_fingerprints(one).first().n_chars == 17
 
 
+def _unspaced():
+    rnd = random.Random(8)
+    yield "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(660))
+    yield "".join(chr(rnd.randrange(0x4e00, 0x4e80)) for _ in range(2000))
+    yield "".join(chr(rnd.randrange(0x1f300, 0x1f500)) for _ in range(900))
+    yield " ".join("".join(chr(rnd.randrange(0xe01, 0xe2f)) for _ in range(rnd.randrange(30, 90))) for _ in range(40))
+
+
+def test_likeness_of_unspaced_text():
+    """Two thirds kept is about two thirds, in any script."""
+    for text in _unspaced():
+        own = merkle.fingerprint(text)
+        leaves = [leaf for line in text.splitlines(keepends=True) for leaf in merkle.leaves(line)]
+        assert "".join(leaves) == text and max(len(x.encode()) for x in leaves) <= 240
+        assert leaves == [leaf for p in brute.merkle_leaves(text) for leaf in p]
+        n = len(text) // 3
+        edited = text[: len(text) - n] + text[0] * n      # as many bytes a character
+        near = merkle.likeness(own, merkle.fingerprint(edited))
+        assert 0.55 <= near <= 0.75 and near == pytest.approx(brute.merkle_likeness(text, edited))
+        assert merkle.likeness(own, merkle.fingerprint("\u0416" * len(text))) == 0
+    # a run of one character has no cuts but by length; equal leaves are counted as often as they occur
+    same = merkle.likeness(merkle.fingerprint("a" * 3000), merkle.fingerprint("a" * 2000))
+    assert 0.6 <= same <= 0.7
+
+
 def test_merkle_locates_edits():
     text = "\n".join(f"Paragraph {k} has some words. And a second sentence {k}." for k in range(40))
     edited = text.replace("words. And a second sentence 17", "changed words. And a second sentence 17")
@@ -232,6 +259,45 @@ def test_token_files(spark, trouble, pairs):
         parts = list(token_files.read_sequences(r.path))
         assert all(ids.shape[1] == 64 and ids.shape == mask.shape for ids, mask in parts)
         assert sum(int(mask.sum()) for _, mask in parts) == r.n_ids
+        _random_access(r.path, parts, dict(zip(r.doc_ids, r.lengths)), want)
+
+
+def _random_access(path, parts, lengths, want):
+    """Any sequence by its number, in any order, and any document by its place."""
+    import zlib
+
+    import numpy as np
+    ids, mask = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    file = token_files.Sequences(path)
+    assert len(file) == len(ids) and file.width == 64
+    for k in random.Random(1).sample(range(len(ids)), min(len(ids), 300)):
+        got, kept = file[k]
+        assert (got == ids[k]).all() and kept.to_pylist() == mask[k].tolist()
+        assert not got.flags.owndata and not got.flags.writeable     # a view of the mapped file
+    start = 0
+    for doc_id, n in lengths.items():
+        one = file.span(start, n).astype("<u4")
+        assert zlib.crc32(one.tobytes()) == next(w[2] for i, w in want.items() if (token_files.NULL_ID if i is None else i) == doc_id)
+        start += n
+    for wrong in (-1, len(file)):
+        with pytest.raises(IndexError):
+            file[wrong]
+    file.close()
+
+
+def test_random_access_at_batch_borders(spark):
+    """Files of one sequence, of whole batches, and of a sequence more."""
+    import numpy as np
+    for n in (1, 63, 64, 65, 128, 129):
+        writer = token_files._Writer(token_files._uri(spark, token_files.scratch_path(spark, "t-seq")), 0,
+                                     np.dtype("<u2"), 8)
+        ids = np.arange(n * 8 - 3, dtype="<u2")
+        writer.add(ids)
+        writer.close()
+        file = token_files.Sequences(writer.path)
+        assert len(file) == n and (file.span(0, len(ids)) == ids).all()
+        assert file[n - 1][1].to_pylist() == [True] * 5 + [False] * 3 and len(file.span(3, 0)) == 0
+        file.close()
 
 
 def test_sentence_pieces(spark, trouble, pairs):
