@@ -118,8 +118,8 @@ def _true_range(high: Column, low: Column, prev: Column) -> Column:
     return F.greatest(high - low, F.abs(high - prev), F.abs(low - prev))
 
 
-def _bar_scale(df: DataFrame, *columns: str) -> int | None:
-    scales = [price_scale(df, c) for c in columns]
+def _bar_scale(df: DataFrame, *columns: str, places: int | None = None) -> int | None:
+    scales = [places if (kept := price_scale(df, c)) is None else kept for c in columns]
     return None if None in scales else max(scales)
 
 
@@ -151,11 +151,12 @@ def add_macd(df: DataFrame, partition_cols, order_cols, close: str = "close",
 
 
 def add_all(df: DataFrame, partition_cols, order_cols, close="close", high="high", low="low",
-            rsi_zero_loss: float | None = None) -> DataFrame:
+            rsi_zero_loss: float | None = None, places: int | None = None) -> DataFrame:
     """The whole silver indicator set in three Window passes over one
-    partitioning: previous close; running sums; their lags."""
+    partitioning: previous close; running sums; their lags. Floating prices
+    known to have ``places`` decimal places are added exactly, as decimals."""
     w = series_window(partition_cols, order_cols)
-    scale = _bar_scale(df, close, high, low)
+    scale = _bar_scale(df, close, high, low, places=places)
     c = exact(close, scale)
     df = df.withColumns({"_close": c, "_prev": F.lag(c).over(w)})
     change = F.col("_close") - F.col("_prev")
@@ -254,13 +255,14 @@ def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
                     order_cols: Sequence[str] = ("datetime",), strategy: str = "auto",
                     chunk_rows: int = 8192, series_task_limit: int = 1_000_000,
                     rsi_zero_loss: float | None = None,
-                    close="close", high="high", low="low") -> DataFrame:
+                    close="close", high="high", low="low", places: int | None = None) -> DataFrame:
     """Market silver: the input columns plus PrctChange, Direction, SMA20/50/200,
-    RSI, ATR and MACD."""
+    RSI, ATR and MACD. Floating prices are added in doubles at any magnitude, or
+    exactly where they are known to have ``places`` decimal places."""
     pcols, ocols = list(partition_cols), list(order_cols)
 
     def compute(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-        return add_all(frame, keys, order, close, high, low, rsi_zero_loss)
+        return add_all(frame, keys, order, close, high, low, rsi_zero_loss, places)
 
     if strategy == "auto":
         strategy = "chunked" if largest_series(df, pcols) > series_task_limit else "partition"
@@ -275,10 +277,16 @@ def with_indicators(df: DataFrame, partition_cols: Sequence[str] = ("ticker",),
 BRONZE_ONLY = ["interval", "scraped_at"]
 
 
-def market_silver_from_bronze(bronze: DataFrame, strategy: str = "auto", **kwargs) -> DataFrame:
+#: Decimal places that the ingest layer rounds prices to.
+BRONZE_PLACES = 2
+
+
+def market_silver_from_bronze(bronze: DataFrame, strategy: str = "auto",
+                              places: int | None = BRONZE_PLACES, **kwargs) -> DataFrame:
     """The silver job on bronze bars as the ingest layer stores them: text
     ``datetime`` parsed (malformed text becomes null and sorts first), bronze
-    metadata dropped, indicators added per ticker."""
+    metadata dropped, indicators added per ticker. ``places`` None: bronze whose
+    prices were not rounded."""
     from marketpulse.operators.ingest import drop_columns, parse_bar_time
     bars = drop_columns(parse_bar_time(bronze), BRONZE_ONLY)
-    return with_indicators(bars, ["ticker"], ["datetime"], strategy=strategy, **kwargs)
+    return with_indicators(bars, ["ticker"], ["datetime"], strategy=strategy, places=places, **kwargs)
