@@ -6,7 +6,8 @@ client. Here "insert only new keys" is a ``left_anti`` join of the
 side pruned to the incoming time range first so that only the overlapping
 slice of a large table is scanned (partition pruning when the table is
 partitioned by date). The inserted count comes from an ``Observation`` on the
-write itself, not from a second job.
+write itself, not from a second job. It stands above every other step, so that
+no step above it can be found empty and be left out of the plan together with it.
 """
 
 from __future__ import annotations
@@ -21,11 +22,14 @@ from marketpulse.operators.ingest import keep_first
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None, **options) -> None:
+                partition_by: Sequence[str] | None = None, written: Observation | None = None, **options) -> None:
     """With ``partition_by`` the rows are brought together by partition first
-    (large partitions stay split), so a task does not write into every one."""
+    (large partitions stay split), so a task does not write into every one.
+    ``written`` observes ``n``, the number of rows that go to the writer."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if written is not None:
+        df = df.observe(written, F.count(F.lit(1)).alias("n"))
     w = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -116,9 +120,8 @@ def insert_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequenc
     seen = incoming.agg(F.count(F.lit(1)), F.count_if(without_key(incoming, key))).first()
     done = Observation("inserted")
     rows = new_rows(incoming, existing, key, arrival, range_col, pcol)
-    rows = rows.observe(done, F.count(F.lit(1)).alias("n"))
-    write_table(transform(rows) if transform else rows, path, fmt, "append", partition_by)
-    return {"consumed": seen[0], "inserted": int(done.get.get("n", 0)), "keyless": seen[1]}
+    write_table(transform(rows) if transform else rows, path, fmt, "append", partition_by, done)
+    return {"consumed": seen[0], "inserted": int(done.get["n"]), "keyless": seen[1]}
 
 
 def append_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequence[str],
