@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.session import scratch_path
 from marketpulse.sources.sinks import insert_new
+from marketpulse.streaming import jobs as J
 
 T0 = dt.datetime(2024, 1, 1, 10)
 
@@ -43,3 +44,17 @@ def test_a_replay_into_a_partitioned_table_counts_nothing(spark, by_shuffle):
     assert insert(range(20, 50)) == {"consumed": 30, "inserted": 20, "keyless": 0}
     assert insert([]) == {"consumed": 0, "inserted": 0, "keyless": 0}
     assert spark.read.parquet(path).select("id").distinct().count() == spark.read.parquet(path).count() == 50
+
+
+def test_a_replayed_stream_into_a_partitioned_table_counts_nothing(spark, by_shuffle):
+    src, path = scratch_path(spark, "ps-in"), scratch_path(spark, "ps")
+    rows = days(spark, range(60))
+    rows.unionByName(rows.filter("id % 7 = 0").withColumn("arrival", F.lit(1))).write.parquet(src)
+    got = []
+    for k in range(2):
+        counts = scratch_path(spark, f"ps-counts{k}")
+        J.insert_new_stream(spark, J.read_stream(spark, src, rows.schema), path, scratch_path(spark, f"ps-chk{k}"),
+                            ["id", "datetime"], ["arrival"], "datetime", ["day"], counts, "market")
+        got.append([tuple(r) for r in spark.read.parquet(counts).select("consumed", "inserted", "errors").collect()])
+    assert got == [[(69, 60, 0)], [(69, 0, 0)]]
+    assert spark.read.parquet(path).count() == 60
