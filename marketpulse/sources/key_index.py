@@ -9,11 +9,14 @@ A table with an index is a folder of two:
 
 A batch reads the buckets that its own keys fall in and no others; in them, the
 Bloom filters and the hash ranges of row groups rule out most of what is
-there. A bucket holds about ``BUCKET_KEYS`` keys however large the table gets:
-when there are more, the index is written anew with eight times the buckets,
-which costs every key a constant number of rewrites per eightfold growth.
-Buckets of more than ``RUNS`` files are put together on the way. So what a
-batch reads depends on its own size, not on the table's.
+there. A bucket holds about ``bucket_keys`` keys: when there are more, the index
+is written anew with eight times the buckets, which costs every key a constant
+number of rewrites per eightfold growth. From ``MANY_BITS`` on, more buckets are
+made only when they hold about ``BUCKET_KEYS`` keys however large the table gets,
+as opening a file takes longer than reading so many. Buckets of more than
+``RUNS`` files are put together on the way. So what a batch reads depends on its
+own size, not on the table's. Files are listed by Spark's tasks, many folders a
+task, and the folder is read as a whole when a batch has keys in all buckets.
 
 Failures: rows are written before their keys, into the batch's own folder, and
 the token of the batch in flight is on record. The same batch again replaces
@@ -30,8 +33,10 @@ an empty batch writes no rows.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +46,25 @@ from marketpulse.sources.files import Files
 from marketpulse.sources.sinks import without_key
 
 #: Keys in a bucket (about), files in it before they are put together, and
-#: bits of the bucket number at first and added at each growth.
-BUCKET_KEYS, RUNS, FIRST_BITS, MORE_BITS = 50_000, 8, 4, 3
+#: bits of the bucket number at first, added at each growth, and from which on
+#: a bucket has to hold BUCKET_KEYS keys before there are more.
+BUCKET_KEYS, RUNS, FIRST_BITS, MORE_BITS, MANY_BITS = 50_000, 8, 4, 3, 10
 #: Largest number of hashes that are handed to the Parquet reader.
 PUSHED = 500
 _PUSHDOWN = "spark.sql.parquet.pushdown.inFilterThreshold"
+#: Tasks that list the folders of the index; by default it is one for each folder.
+LISTERS = 64
+_LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: int):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 class IndexedTable:
@@ -79,37 +98,58 @@ class IndexedTable:
         return f"{self.keys}/bits={bits}" + ("" if bucket is None else f"/bucket={bucket}")
 
     def _load(self, paths: list[str], bits: int) -> DataFrame:
-        return self.spark.read.option("basePath", self._folder(bits)).parquet(*paths)
+        with _setting(self.spark, _LISTERS, LISTERS):
+            return self.spark.read.option("basePath", self._folder(bits)).parquet(*paths)
+
+    def _found(self, bits: int, buckets: list[int]) -> dict[int, dict[str, int]]:
+        """Paths and sizes of the files of some buckets. Many buckets are listed by
+        Spark, which reads no content here."""
+        if len(buckets) <= LISTERS:
+            return {b: self.files.sizes(self._folder(bits, b)) for b in buckets}
+        found: dict[int, dict[str, int]] = {b: {} for b in buckets}
+        if self.files.exists(self._folder(bits)):
+            with _setting(self.spark, _LISTERS, LISTERS):
+                files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self._folder(bits))
+                for r in files.select("bucket", "path", "length").collect() if "bucket" in files.columns else []:
+                    if r["bucket"] in found:
+                        found[r["bucket"]][r["path"]] = r["length"]
+        return found
 
     # --- writing the index -----------------------------------------------------
 
-    def _put(self, keys: DataFrame, bits: int) -> None:
-        """Appends (hash, key columns, token) to the buckets."""
+    def _put(self, keys: DataFrame, bits: int, n: int) -> None:
+        """Appends (hash, key columns, token) of ``n`` keys to the buckets."""
         (keys.withColumn("bucket", self._bucket(bits)).repartition("bucket").sortWithinPartitions("bucket", "_hash")
          .write.mode("append").partitionBy("bucket")
          .option("parquet.bloom.filter.enabled#_hash", "true")
-         .option("parquet.bloom.filter.expected.ndv#_hash", str(self.bucket_keys))
+         .option("parquet.bloom.filter.expected.ndv#_hash", str(max(self.bucket_keys, math.ceil(n / 2 ** bits))))
          .parquet(self._folder(bits)))
 
-    def _grow(self, meta: dict) -> dict:
-        """More buckets where the ones there are would be too full."""
+    def _full(self, bits: int) -> int:
+        """Number of keys beyond which 2**bits buckets are too few."""
+        return (self.bucket_keys if bits < MANY_BITS else max(self.bucket_keys, BUCKET_KEYS)) * 2 ** bits
+
+    def _grow(self, meta: dict, more: int) -> dict:
+        """More buckets where the ones there are would be too full with ``more`` keys."""
         bits = meta["bits"]
-        while meta["keys"] > self.bucket_keys * 2 ** bits:
+        while meta["keys"] + more > self._full(bits):
             bits += MORE_BITS
         if bits != meta["bits"]:
             old = self._folder(meta["bits"])
             self.files.delete(self._folder(bits))      # of a growth that did not end
-            self._put(self.spark.read.parquet(old).drop("bucket"), bits)
+            if self.files.exists(old):
+                self._put(self._load([old], meta["bits"]).drop("bucket"), bits, meta["keys"])
             meta = {"bits": bits, "keys": meta["keys"]}
             self.files.write(self._meta, json.dumps(meta))
             self.files.delete(old)
         return meta
 
-    def _together(self, bits: int, found: dict[int, dict[str, int]]) -> None:
-        """Writes buckets of many files as one file each and deletes those."""
+    def _together(self, bits: int, found: dict[int, dict[str, int]], n: int) -> None:
+        """Writes buckets of many files as one file each and deletes those; ``n``:
+        keys of the whole index."""
         many = [p for files in found.values() if len(files) > RUNS for p in files]
         if many:
-            self._put(self._load(many, bits).drop("bucket").distinct(), bits)
+            self._put(self._load(many, bits).drop("bucket").distinct(), bits, n)
             for p in many:
                 self.files.delete(p)
 
@@ -117,11 +157,12 @@ class IndexedTable:
         """Adds the keys of a batch's stored rows."""
         rows = self.spark.read.parquet(f"{self.rows}/batch={token}")
         keys = self._hashed(rows.select(*self.key)).withColumn("token", F.lit(token))
-        self._put(keys, meta["bits"])
         n = rows.count() if inserted is None else inserted
+        meta = self._grow(meta, n)
+        self._put(keys, meta["bits"], n)
         meta = {"bits": meta["bits"], "keys": meta["keys"] + n}
         self.files.write(self._meta, json.dumps(meta))
-        return self._grow(meta)
+        return meta
 
     def _finish(self, token: str, meta: dict) -> dict:
         """What another batch left unfinished."""
@@ -142,15 +183,16 @@ class IndexedTable:
         them takes: buckets, files and bytes."""
         bits = meta["bits"]
         some = fresh.select(self._bucket(bits).alias("b")).distinct().collect()   # at most 2**bits numbers
-        found = {r["b"]: self.files.sizes(self._folder(bits, r["b"])) for r in some}
-        self._together(bits, found)
+        found = self._found(bits, [r["b"] for r in some])
         if any(len(f) > RUNS for f in found.values()):
-            found = {b: self.files.sizes(self._folder(bits, b)) for b in found}
+            self._together(bits, found, meta["keys"])
+            found = self._found(bits, list(found))
         files = {p: n for sizes in found.values() for p, n in sizes.items()}
         cost = {"buckets": len(found), "index_files": len(files), "index_bytes": sum(files.values())}
         if not files:
             return None, cost
-        return self._load(sorted(files), bits).filter(F.col("token") != token), cost
+        paths = [self._folder(bits)] if len(found) == 2 ** bits else sorted(files)
+        return self._load(paths, bits).filter(F.col("token") != token), cost
 
     def insert(self, batch: DataFrame, arrival: Sequence[str] | None = None, token: str | None = None,
                transform: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, int]:
@@ -187,13 +229,9 @@ class IndexedTable:
 
     @staticmethod
     def _write(rows: DataFrame, target: str) -> None:
-        conf = rows.sparkSession.conf
-        before = conf.get(_PUSHDOWN, None)
-        conf.set(_PUSHDOWN, str(PUSHED))   # longer lists of values would be handed over as a range
-        try:
+        # longer lists of values would be handed over as a range
+        with _setting(rows.sparkSession, _PUSHDOWN, PUSHED):
             rows.write.mode("overwrite").parquet(target)
-        finally:
-            conf.unset(_PUSHDOWN) if before is None else conf.set(_PUSHDOWN, before)
 
     def _new(self, fresh: DataFrame, known: DataFrame) -> DataFrame:
         """Rows of ``fresh`` that are not ``known``. The hashes of a small batch go

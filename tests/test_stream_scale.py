@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketpulse.session import scratch_path
+from marketpulse.sources import key_index
 from marketpulse.sources.sinks import insert_new
 from marketpulse.streaming import jobs as J
 
@@ -58,3 +59,27 @@ def test_a_replayed_stream_into_a_partitioned_table_counts_nothing(spark, by_shu
         got.append([tuple(r) for r in spark.read.parquet(counts).select("consumed", "inserted", "errors").collect()])
     assert got == [[(69, 60, 0)], [(69, 0, 0)]]
     assert spark.read.parquet(path).count() == 60
+
+
+# --- many buckets --------------------------------------------------------------------------
+
+def test_many_buckets_are_filled_before_there_are_more(spark, monkeypatch):
+    """From MANY_BITS on a bucket takes BUCKET_KEYS keys; buckets beyond LISTERS are
+    listed by Spark, and put together where they have too many files."""
+    for name, value in {"MANY_BITS": 4, "BUCKET_KEYS": 60, "LISTERS": 4, "RUNS": 2}.items():
+        monkeypatch.setattr(key_index, name, value, raising=False)
+    t = key_index.IndexedTable(spark, scratch_path(spark, "mb"), ["id"], bucket_keys=5)
+
+    def insert(some, token=None):
+        rows = spark.range(*some).withColumn("v", F.lit(0)).coalesce(2)
+        return t.insert(rows, token=token)["inserted"]
+
+    assert [insert((0, 300)), insert((200, 600)), insert((590, 900))] == [300, 300, 300]
+    assert t.meta() == {"bits": 4, "keys": 900}
+    assert insert((0, 900)) == 0 and insert((895, 897)) == 0
+    assert max(len(t.files.sizes(t._folder(4, b))) for b in range(16)) <= 3
+    assert insert((800, 1000), "q-0") == 100 and t.meta() == {"bits": 7, "keys": 1000}
+    assert insert((800, 1000), "q-0") == 100        # a replay replaces its own
+    assert insert((0, 1000)) == 0
+    assert sorted(r["id"] for r in t.read().collect()) == list(range(1000))
+    assert not t.files.exists(t._folder(4))
