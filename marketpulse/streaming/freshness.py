@@ -96,10 +96,11 @@ def freshness_stream(rows: DataFrame, stream: str = "stream", ts: str = "datetim
 
 def follow_freshness(spark: SparkSession, updates: DataFrame, target: str, checkpoint: str, **trigger):
     """Writes the updates of each micro-batch to ``target``, with the batch's number
-    (``n``); a replayed batch replaces its own."""
+    (``n``); a replayed batch replaces its own. The few updates are put together
+    by a shuffle: all partitions of the state are worked on side by side."""
     def write_batch(batch: DataFrame, n: int) -> None:
         token = f"{query_id(spark, checkpoint)}-{n}"
-        batch.withColumn("n", F.lit(n).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{target}/batch={token}")
+        batch.withColumn("n", F.lit(n).cast("long")).repartition(1).write.mode("overwrite").parquet(f"{target}/batch={token}")
 
     return run(updates.writeStream.outputMode("update").foreachBatch(write_batch)
                .option("checkpointLocation", checkpoint), **trigger)

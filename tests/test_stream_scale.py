@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from marketpulse.session import scratch_path
 from marketpulse.sources import key_index
+from marketpulse.sources.files import Files
 from marketpulse.sources.sinks import insert_new
+from marketpulse.streaming import freshness as W
 from marketpulse.streaming import jobs as J
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -83,3 +85,17 @@ def test_many_buckets_are_filled_before_there_are_more(spark, monkeypatch):
     assert insert((0, 1000)) == 0
     assert sorted(r["id"] for r in t.read().collect()) == list(range(1000))
     assert not t.files.exists(t._folder(4))
+
+
+# --- state partitions of the freshness -----------------------------------------------------
+
+def test_state_partitions_are_worked_on_side_by_side(spark):
+    src, out = scratch_path(spark, "fp-in"), scratch_path(spark, "fp-out")
+    spark.createDataFrame([(f"s{k}", T0) for k in range(20)], "stream string, datetime timestamp").coalesce(1).write.parquet(src)
+    stream = J.read_stream(spark, src, spark.read.parquet(src).schema)
+    q = W.follow_freshness(spark, W.freshness_stream(stream), out, scratch_path(spark, "fp-chk"))
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(str(q.runId)) for s in tracker.getJobInfo(j).stageIds}
+    assert max(i.numTasks for s in stages if (i := tracker.getStageInfo(s))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.read.parquet(out).filter("n = 0").count() == 20
+    assert len(Files(spark).sizes(f"{out}/batch={q.id}-0")) == 1
