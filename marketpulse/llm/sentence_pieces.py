@@ -11,8 +11,8 @@ once:
 2. which are joined to the piece table by equality; characters that no piece
    covers alone become byte pieces;
 3. the edges are grouped by word, and
-4. folded from left to right with ``aggregate``: of the edges that end at a
-   place the best by summed score stays (of equals the longest piece).
+4. folded from left to right, for many words at a time: of the edges that end
+   at a place the best by summed score stays (of equals the longest piece).
 
 Words of more than ``MOST`` characters (unspaced texts, encoded data) take
 the same path over the same pieces, place by place in ``_long_words``: what the
@@ -60,6 +60,8 @@ HOT = 500_000
 COUNTED = 16 << 20
 #: Words in a partition of lattices.
 LATTICES = 1 << 15
+#: Edges that a task folds together.
+EDGES = 1 << 19
 _WORD = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 #: Groups that are gathered in memory before Spark sorts instead.
 GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -218,9 +220,8 @@ def edges(vocab: DataFrame, model: Model) -> DataFrame:
     longest = max(len(p) for p, _, _ in pieces)
     table = spark.createDataFrame([(p, i) for p, i, _ in pieces], "piece string, id int")
     size = F.char_length("word")
-    at = F.transform(F.sequence(F.lit(1), size), lambda k: F.struct(
-        k.alias("at"), F.substring(F.col("word"), k, F.lit(longest)).alias("rest")))
-    cut = (vocab.select("hash", F.inline(at))
+    cut = (vocab.select("hash", "word", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+           .select("hash", "at", F.substring(F.col("word"), F.col("at"), F.lit(longest)).alias("rest"))
            .select("hash", "at", "rest", F.explode(F.sequence(F.lit(1), F.char_length("rest"))).alias("long"))
            .withColumn("part", F.substring("rest", F.lit(1), F.col("long"))))
     met = cut.join(F.broadcast(table), F.col("part") == F.col("piece"), "left")
@@ -232,28 +233,67 @@ def edges(vocab: DataFrame, model: Model) -> DataFrame:
     return met.select("hash", edge.alias("edge"))
 
 
-def fold(lattice: DataFrame, model: Model) -> DataFrame:
-    """(hash, codes): the best path through each word's lattice."""
-    score_of = [0.0] * len(model.raw)
+def _paths(model: Model):
+    """(hash, codes) of lattices: place by place, for many words at a time."""
+    score_of = np.zeros(len(model.raw))
     for _, i, s in model.pieces:
         score_of[i] = s
-    scores = F.split(F.lit(",".join(map(repr, score_of))), ",").cast("array<double>")
-    kind = "array<struct<score: double, codes: array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("codes")))
-
-    def step(best: Column, e: Column) -> Column:
-        end = F.shiftright(e, PLACE + CODE).cast("int")
-        before = F.get(best, F.shiftright(e, CODE).bitwiseAND((1 << PLACE) - 1).cast("int"))
-        code = e.bitwiseAND((1 << CODE) - 1).cast("int")
-        score = before["score"] + F.coalesce(F.get(scores, code), F.lit(model.unknown))
-        now = F.array(F.struct(score.alias("score"), F.concat(before["codes"], F.array(code)).alias("codes")))
-        return (F.when(end == F.size(best), F.concat(best, now))
-                .when(score > F.get(best, end)["score"], F.concat(F.slice(best, F.lit(1), end), now))
-                .otherwise(best))
-
-    group = lattice.groupBy("hash").agg(F.sort_array(F.collect_list("edge")).alias("e"))
-    return group.select("hash", F.aggregate("e", start.cast(kind), step, lambda best: F.get(
-        best, F.size(best) - 1)["codes"]).alias("codes"))
+    unknown = model.unknown
+
+    def best(lattices: list[pa.RecordBatch]) -> pa.RecordBatch:
+        hashes = np.concatenate([int_array(x.column(0)) for x in lattices])
+        size = np.concatenate([np.diff(x.column(1).offsets.to_numpy()) for x in lattices])
+        edge = np.concatenate([x.column(1).flatten().to_numpy() for x in lattices])
+        end, start = edge >> PLACE + CODE, edge >> CODE & (1 << PLACE) - 1
+        length = np.maximum.reduceat(end, np.cumsum(size) - size)
+        base = np.cumsum(length + 1) - length - 1   # a word's place 0 among those of all words
+        word = np.repeat(np.arange(len(size)), size)
+        order = np.argsort(end << PLACE + CODE | word << PLACE | start)
+        code, end = (edge & (1 << CODE) - 1)[order], end[order]
+        before, after = (base[word] + start)[order], base[word[order]] + end
+        gain = np.where(code < BYTES, score_of[np.minimum(code, len(score_of) - 1)], unknown)
+        score = np.zeros(int(length.sum()) + len(size))
+        last = np.zeros(len(score), np.int64)   # the best edge that ends at a place
+        cuts = np.searchsorted(end, np.arange(1, int(length.max()) + 2))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            total, place = score[before[a:b]] + gain[a:b], after[a:b]
+            first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            score[place[first]] = np.maximum.reduceat(total, first)
+            top = np.flatnonzero(total == score[place])
+            top = top[np.append(True, place[top[1:]] != place[top[:-1]])]   # of equals the longest piece
+            last[place[top]] = a + top
+        # back from the words' ends, a piece at a time
+        live, at, found = np.arange(len(size)), base + length, []
+        while len(live):
+            found.append((live, code[last[at]]))
+            at = before[last[at]]
+            more = at > base[live]
+            live, at = live[more], at[more]
+        n = np.bincount(np.concatenate([w for w, _ in found]), minlength=len(size))
+        edges_at, out = np.append(0, np.cumsum(n)), np.zeros(int(n.sum()), np.int32)
+        for k, (w, c) in enumerate(found, 1):
+            out[edges_at[w + 1] - k] = c
+        lists = pa.ListArray.from_arrays(pa.array(edges_at, pa.int32()), pa.array(out, pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), lists], names=["hash", "codes"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += len(batch.column(1).flatten())
+            if n >= EDGES:
+                yield best(held)
+                held, n = [], 0
+        if held:
+            yield best(held)
+    return run
+
+
+def fold(lattice: DataFrame, model: Model) -> DataFrame:
+    """(hash, codes): the best path through each word's lattice."""
+    group = lattice.groupBy("hash").agg(F.collect_list("edge").alias("edges"))
+    return group.mapInArrow(tidy(_paths(model)), "hash long, codes array<int>")
 
 
 def _long_words(model: Model):

@@ -314,6 +314,28 @@ def test_sentence_pieces(spark, trouble, pairs):
         assert {r.doc_id: r.decoded for r in rows} == {i: t or "" for i, t in brute.by_id(pairs)}
 
 
+def test_lattices_are_folded_many_at_a_time(spark, monkeypatch):
+    """No function is interpreted edge by edge; words of all lengths in one batch,
+    batches of one Arrow batch each, and paths that tie."""
+    import random
+    rng = random.Random(7)
+    pieces = [(p, i, -float(len(p))) for i, p in enumerate(("a", "b", "ab", "ba", "aab", "abab"))]   # every path ties
+    ties = sentence_pieces.Model(pieces, [6] * 256, [p.encode() for p, _, _ in pieces] + [b"?"], -20.0)
+    real = sentence_pieces.Model.load(tokenizer("piece_bpe_32k.model"))
+    monkeypatch.setattr(sentence_pieces, "EDGES", 64)
+    for model, letters in ((ties, "ab\u00e9"), (real, " international\u00e9\u6771")):
+        words = sorted({"".join(rng.choice(letters) for _ in range(rng.choice((1, 2, 5, 9, 80)))) for _ in range(150)})
+        vocab = spark.createDataFrame(list(enumerate(words)), "hash long, word string").repartition(2)
+        out = sentence_pieces.fold(sentence_pieces.edges(vocab, model), model)
+        assert "lambdafunction" not in out._jdf.queryExecution().optimizedPlan().toString()
+        score = {p: (i, s) for p, i, s in model.pieces}
+        got = {r.hash: r.codes for r in out.collect()}
+        assert len(got) == len(words)
+        for k, w in enumerate(words):
+            path = model.ids(got[k])
+            assert path == model.ids(brute.viterbi(w, score, model.unknown, model.longest)), w
+
+
 def test_long_words_are_not_cut(spark):
     """Unspaced text and words of more than 64 characters, of more than 65,535 ids too."""
     import base64
