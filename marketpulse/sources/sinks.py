@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -62,6 +63,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def stored_rows(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The table at ``path``; None if there is none, or only an empty folder: a
+    partitioned write of no rows leaves no file that tells the columns."""
+    if not table_exists(spark, path):
+        return None
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def without_key(df: DataFrame, key: Sequence[str]) -> Column:
     """True for rows with a null or empty part in their key."""
     out = F.lit(False)
@@ -115,7 +129,7 @@ def insert_new(spark: SparkSession, incoming: DataFrame, path: str, key: Sequenc
     of ``range_col``, stored partitions outside the incoming range are not
     read. ``transform`` is applied to the new rows before they are written (it
     keeps the key)."""
-    existing = spark.read.format(fmt).load(path) if table_exists(spark, path) else None
+    existing = stored_rows(spark, path, fmt)
     pcol = partition_by[0] if partition_by and len(partition_by) == 1 and range_col else None
     seen = incoming.agg(F.count(F.lit(1)), F.count_if(without_key(incoming, key))).first()
     done = Observation("inserted")

@@ -49,6 +49,21 @@ def test_a_replay_into_a_partitioned_table_counts_nothing(spark, by_shuffle):
     assert spark.read.parquet(path).select("id").distinct().count() == spark.read.parquet(path).count() == 50
 
 
+def test_a_partitioned_table_may_begin_with_inserts_of_nothing(spark):
+    """Batches without rows, or with rows that have no key only, before the first row."""
+    path, key = scratch_path(spark, "pe"), ["id", "datetime"]
+    keyless = days(spark, [1]).withColumn("id", F.lit(None).cast("long"))
+
+    def insert(rows):
+        return insert_new(spark, rows, path, key, ["arrival"], "datetime", partition_by=["day"])
+
+    assert insert(days(spark, [])) == {"consumed": 0, "inserted": 0, "keyless": 0}
+    assert insert(keyless) == {"consumed": 1, "inserted": 0, "keyless": 1}
+    for n in (9, 0):
+        assert insert(days(spark, range(9))) == {"consumed": 9, "inserted": n, "keyless": 0}
+    assert spark.read.parquet(path).count() == 9
+
+
 def test_a_replayed_stream_into_a_partitioned_table_counts_nothing(spark, by_shuffle):
     src, path = scratch_path(spark, "ps-in"), scratch_path(spark, "ps")
     rows = days(spark, range(60))
