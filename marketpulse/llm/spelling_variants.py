@@ -22,7 +22,9 @@ A word's form is its most frequent near word if that is at least twice as
 frequent; its root is found by doubling the forms' pointers, in as many rounds
 as the logarithm of the longest chain, which is itself at most the logarithm of
 the largest frequency. All tables grow with the vocabulary, not with the text;
-every step is a stored table.
+every step is a stored table. All joins sort and merge: Spark goes by the size
+of a stored table's compressed files, also for the signatures made of its rows,
+and would broadcast what the driver cannot hold.
 
 Defined cases: null and empty texts have no words; an empty table gives an
 empty result; a repeated id is one document (see ``common``); a null id is the
@@ -145,7 +147,7 @@ def near_words(words: DataFrame, parts: int = PARTS, parts_longer: int = PARTS_L
         return signed.filter(F.col("role") == role).select("key", F.col("word").alias(word), F.col("n").alias(n))
 
     def meet(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
-        return left.join(right, "key").filter(more & (F.levenshtein("a", "b", 1) == 1)).drop("key")
+        return left.join(right.hint("merge"), "key").filter(more & (F.levenshtein("a", "b", 1) == 1)).drop("key")
 
     equal = meet(side(_REPLACED, "a", "an"), side(_REPLACED, "b", "bn"), F.col("a") < F.col("b"))
     longer = meet(side(_SHORTER, "a", "an"), side(_LONGER, "b", "bn"), F.lit(True))
@@ -157,7 +159,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         up = now.select(F.col("word").alias("via"), F.col("root").alias("top"))
-        step = stored(now.join(up, F.col("root") == F.col("via"), "left")
+        step = stored(now.join(up.hint("merge"), F.col("root") == F.col("via"), "left")
                       .select("word", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")),
                       "roots")
         now = step.select("word", "root")
@@ -175,8 +177,8 @@ def variants(words: DataFrame, times: int = TIMES, **options) -> DataFrame:
     enough = -F.col("best.col1") >= times * F.col("own")
     found = stored(best.select("word", "n_near", F.when(enough, F.col("best.other")).alias("form"),
                                F.when(enough, -F.col("best.col1")).alias("form_n")), "forms")
-    out = (words.select("word", "n").join(found, "word", "left")
-           .join(roots(found.filter("form is not null")), "word", "left"))
+    out = (words.select("word", "n").join(found.hint("merge"), "word", "left")
+           .join(roots(found.filter("form is not null")).hint("merge"), "word", "left"))
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                       F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")
 

@@ -93,6 +93,29 @@ def test_long_chains_of_forms(spark):
     assert out["aaaaa"]["form"] == "aaaaaa" and out["aaaaaa"]["n_near"] == 2
 
 
+def test_variants_broadcast_no_table(spark, misspelled, monkeypatch):
+    """Spark sizes a step's table by its small files; what the joins make of it may not fit the driver."""
+    steps, keep = [], spelling_variants.stored
+
+    def seen(df, name):
+        steps.append(df)
+        return keep(df, name)
+
+    monkeypatch.setattr(spelling_variants, "stored", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        out = spelling_variants.group(spark.createDataFrame(misspelled, "doc_id long, text string"))
+        assert got_variants(out) == brute_variants(misspelled)
+        for df in (*steps, out):
+            df.collect()  # the plan then shows the joins as planned and as run
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (*steps, out)]
+    assert sum("SortMergeJoin" in p for p in plans) >= 3  # near words, a round of roots, the result
+    assert not any("Broadcast" in p for p in plans)
+
+
 # --- hard negatives ---------------------------------------------------------------
 
 def brute_negatives(rows, every=100, positives=5, negatives=5):
